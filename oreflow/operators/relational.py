@@ -73,13 +73,37 @@ def monthly_sales(gold: DataFrame) -> DataFrame:
     )
 
 
-def sales_by_category(gold: DataFrame, categories: list[str] | None = None) -> DataFrame:
-    """Totals per category; ``categories`` keeps only the listed ones."""
+def sales_by_category(lines: DataFrame, products: DataFrame, categories: list[str] | None = None) -> DataFrame:
+    """Totals per product category; ``categories`` keeps only the listed ones.
+
+    Lines of unknown products form the NULL category, which a list leaves out.
+    """
+    how = "left"
     if categories is not None:
-        gold = gold.filter(F.col("ProductCategory").isin(categories))
-    return gold.groupBy("ProductCategory").agg(
-        total("OrderAmount").alias("TotalSales"), total("Quantity").alias("TotalQuantity")
+        products = products.filter(F.col("ProductCategory").isin(categories))
+        how = "inner"
+    return _per_product(lines, products, "ProductCategory", how).select(
+        "ProductCategory", F.col("amount").cast("double").alias("TotalSales"), F.col("quantity").cast("double").alias("TotalQuantity")
+    )
+
+
+def popular_products(lines: DataFrame, products: DataFrame) -> DataFrame:
+    """Quantity per product name: the totals the monthly table adds up to, without building it."""
+    totals = _per_product(lines, products, "ProductName", "left")
+    return totals.select("ProductName", F.col("quantity").cast("double").alias("TotalQuantity"))
+
+
+def _per_product(lines: DataFrame, products: DataFrame, column: str, how: str) -> DataFrame:
+    """Exact totals per value of a product column.
+
+    Lines are added up per product first. That collapses a hot product before anything is shuffled, and
+    the join to the product list reuses the same partitioning where the list is too big to broadcast.
+    """
+    per_id = lines.groupBy("ProductID").agg(
+        F.sum(money("OrderAmount")).alias("amount"), F.sum(money("Quantity")).alias("quantity")
     )
+    named = per_id.join(products.select("ProductID", column), "ProductID", how)
+    return named.groupBy(column).agg(F.sum("amount").alias("amount"), F.sum("quantity").alias("quantity"))
 
 
 def orders_per_customer(bronze: DataFrame, counts_once: Column | None = None) -> DataFrame:

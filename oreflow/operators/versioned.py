@@ -6,8 +6,8 @@ of, so append, restore, shallow clone and truncate copy no data, and a change re
 that hold touched rows. Rows become visible with the history row, so a job that dies half-way leaves
 nothing a reader can see. One writer at a time is assumed; a second one fails on the history folder.
 
-Tables written with ``cluster_by`` get one segment per value of that column (keep it coarse: a month, a
-region); others are one segment per commit.
+Tables written with ``cluster_by`` get one segment per value of that SQL expression (keep it coarse: a
+month, a region); others are one segment per commit.
 """
 
 from __future__ import annotations
@@ -239,7 +239,7 @@ class VersionedTable:
             rows.write.mode("errorifexists").parquet(folder)
             return [folder]
         # rebalancing gives each value few, even files and splits a value that holds much of the table
-        tagged = rows.withColumn(SEGMENT, F.col(cluster_by).cast("string")).hint("rebalance", SEGMENT)
+        tagged = rows.withColumn(SEGMENT, F.expr(cluster_by).cast("string")).hint("rebalance", SEGMENT)
         tagged.write.mode("errorifexists").partitionBy(SEGMENT).parquet(folder)
         try:
             files = self.spark.read.parquet(folder).inputFiles()

@@ -22,9 +22,10 @@ MONTHLY_SQL = GOLD_SQL + """, monthly AS (
          CAST(SUM(CAST("OrderAmount" AS DECIMAL(18,2))) AS DOUBLE) AS "OrderAmount"
   FROM gold GROUP BY 1, 2, 3, 4)"""
 
-CATEGORY_TOTALS_SQL = """SELECT "ProductCategory",
-  CAST(SUM(CAST("OrderAmount" AS DECIMAL(18,2))) AS DOUBLE) AS "TotalSales",
-  CAST(SUM(CAST("Quantity" AS DECIMAL(18,2))) AS DOUBLE) AS "TotalQuantity" FROM gold """
+CATEGORY_TOTALS_SQL = """SELECT p_type AS "ProductCategory",
+  CAST(SUM(CAST(l_extendedprice * l_quantity AS DECIMAL(18,2))) AS DOUBLE) AS "TotalSales",
+  CAST(SUM(CAST(l_quantity AS DECIMAL(18,2))) AS DOUBLE) AS "TotalQuantity"
+  FROM lineitem LEFT JOIN part ON p_partkey = l_partkey """
 
 # Two of the product categories, as a user would pick them from the list.
 CHOSEN_CATEGORIES = ["ECONOMY", "PROMO"]
@@ -145,25 +146,26 @@ def top_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rel.monthly_sales(gold(spark, sf_dir)).orderBy(*order).limit(10)
 
 
-@query(GOLD_SQL + CATEGORY_TOTALS_SQL + """GROUP BY 1 ORDER BY "TotalSales" DESC""")
+@query(CATEGORY_TOTALS_SQL + """GROUP BY 1 ORDER BY "TotalSales" DESC""")
 def sales_by_category(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Sales and quantity per product category, best first."""
-    return rel.sales_by_category(gold(spark, sf_dir)).orderBy(F.desc("TotalSales"))
+    totals = rel.sales_by_category(src.line_amounts(spark, sf_dir), src.products(spark, sf_dir))
+    return totals.orderBy(F.desc("TotalSales"))
 
 
-@query(GOLD_SQL + CATEGORY_TOTALS_SQL + """WHERE "ProductCategory" IN ('ECONOMY', 'PROMO')
-          GROUP BY 1 ORDER BY "TotalSales" """)
+@query(CATEGORY_TOTALS_SQL + """WHERE p_type IN ('ECONOMY', 'PROMO') GROUP BY 1 ORDER BY "TotalSales" """)
 def sales_by_category_filtered(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The same for a list of categories given as parameter; the list reaches the product scan."""
-    return rel.sales_by_category(gold(spark, sf_dir), CHOSEN_CATEGORIES).orderBy("TotalSales")
+    lines, products = src.line_amounts(spark, sf_dir), src.products(spark, sf_dir)
+    return rel.sales_by_category(lines, products, CHOSEN_CATEGORIES).orderBy("TotalSales")
 
 
 @query(MONTHLY_SQL + """SELECT "ProductName", CAST(SUM(CAST("Quantity" AS DECIMAL(18,2))) AS DOUBLE) AS "TotalQuantity"
           FROM monthly GROUP BY 1 ORDER BY "TotalQuantity" DESC""")
 def popular_products(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Quantity per product over the monthly table, most first."""
-    monthly = rel.monthly_sales(gold(spark, sf_dir))
-    return monthly.groupBy("ProductName").agg(rel.total("Quantity").alias("TotalQuantity")).orderBy(F.desc("TotalQuantity"))
+    """Quantity per product, most first."""
+    totals = rel.popular_products(src.line_amounts(spark, sf_dir), src.products(spark, sf_dir))
+    return totals.orderBy(F.desc("TotalQuantity"))
 
 
 @query("""SELECT DISTINCT p_type AS "ProductCategory" FROM part""")

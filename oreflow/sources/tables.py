@@ -39,6 +39,15 @@ def sales_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def line_amounts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Product, quantity and amount of every order line; needs no order header and so no join."""
+    return table(spark, sf_dir, "lineitem").select(
+        F.col("l_partkey").alias("ProductID"),
+        F.col("l_quantity").alias("Quantity"),
+        (F.col("l_extendedprice") * F.col("l_quantity")).alias("OrderAmount"),
+    )
+
+
 def products(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Product list with the price as DECIMAL(10,2)."""
     return silver_products(bronze_products(spark, sf_dir))
