@@ -13,7 +13,7 @@ from oreflow.session import prepare
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 
-PLAN_MODULES = ("sales", "versions")
+PLAN_MODULES = ("sales", "versions", "scans", "features")
 
 
 @dataclass(frozen=True)
