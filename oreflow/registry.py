@@ -13,7 +13,7 @@ from oreflow.session import prepare
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 
-PLAN_MODULES = ("sales", "versions", "scans", "features", "streams", "scoring")
+PLAN_MODULES = ("sales", "versions", "scans", "features", "streams", "scoring", "learning")
 
 
 @dataclass(frozen=True)
