@@ -228,8 +228,10 @@ class VersionedTable:
         """Segments with touched rows, and the others. At most one row per segment reaches the driver."""
         if len(v.segments) <= 1:
             return v.segments, ()
-        rows = self._rows(v).withColumn("_folder", F.regexp_replace("_metadata.file_path", "/[^/]*$", ""))
-        folders = [unquote(r[0]) for r in touched_rows(rows).select("_folder").distinct().collect()]
+        rows = self._rows(v).withColumn("_file", F.col("_metadata.file_path"))
+        files = touched_rows(rows).select("_file").distinct()
+        folders = files.select(F.regexp_replace("_file", "/[^/]*$", "").alias("folder")).distinct()
+        folders = [unquote(r.folder) for r in folders.collect()]
         touched = tuple(s for s in v.segments if any(_same_folder(s, f) for f in folders))
         return touched, tuple(s for s in v.segments if s not in touched)
 
@@ -241,12 +243,7 @@ class VersionedTable:
         # rebalancing gives each value few, even files and splits a value that holds much of the table
         tagged = rows.withColumn(SEGMENT, F.expr(cluster_by).cast("string")).hint("rebalance", SEGMENT)
         tagged.write.mode("errorifexists").partitionBy(SEGMENT).parquet(folder)
-        try:
-            files = self.spark.read.parquet(folder).inputFiles()
-        except AnalysisException as e:  # nothing was written: no rows left
-            if "UNABLE_TO_INFER_SCHEMA" in str(e):
-                return []
-            raise
+        files = self.spark.read.schema(tagged.schema).parquet(folder).inputFiles()
         return sorted({unquote(f.rsplit("/", 1)[0]) for f in files})
 
     def _next(
@@ -270,13 +267,17 @@ class VersionedTable:
         segments: list[str],
     ) -> Version:
         now = datetime.now(timezone.utc)
-        row = (version, now, operation, parameters, schema.json(), cluster_by, list(segments))
-        (
-            self.spark.createDataFrame([row], HISTORY_SCHEMA)
-            .coalesce(1)
-            .write.mode("errorifexists")
-            .json(f"{self.path}/history/v{version:010d}")
-        )
+        row = {
+            "version": version,
+            "committed_at": now.isoformat(timespec="milliseconds"),
+            "operation": operation,
+            "parameters": parameters,
+            "table_schema": schema.json(),
+            "cluster_by": cluster_by,
+            "segments": list(segments),
+        }
+        entry = self.spark.range(1).select(F.lit(json.dumps(row)).alias("value")).coalesce(1)
+        entry.write.mode("errorifexists").text(f"{self.path}/history/v{version:010d}")
         return Version(version, now, operation, parameters, schema, cluster_by, tuple(segments))
 
     def _has_batch(self, batch: tuple[str, int]) -> bool:

@@ -2,13 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from oreflow.functions.time import epoch_text_to_time_text
 from oreflow.sources.tables import PENDING, table
 
-MAX_LINES_PER_DOCUMENT = 1000
+MAX_LINES_PER_DOCUMENT = 100_000
 MAX_BROADCAST_ROWS = 100_000
 
 
@@ -22,74 +22,107 @@ def order_documents(
     lines are kept with a NULL array.
     """
     lines = table(spark, sf_dir, "lineitem").select(
-        "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey",
-        "l_extendedprice", "l_quantity", "l_linestatus",
-        # tells exact copies of a line apart when an order has to be spread over documents
-        F.monotonically_increasing_id().alias("row"),
-    )
-    keys = ("l_orderkey", "part")
-    documents = (
-        _assign_parts(lines, max_lines)
-        # shuffled once as plain rows: lists gain nothing from being built before the shuffle
-        .repartition(*keys)
-        .groupBy(*keys)
-        .agg(
-            F.count("*").alias("n_lines"),
-            F.array_sort(
-                F.collect_list(
-                    F.struct(
-                        F.col("l_linenumber").alias("line"),
-                        F.col("l_partkey").alias("id"),
-                        F.col("l_suppkey").alias("supplier"),
-                        F.lit("USD").alias("curr"),
-                        F.col("l_extendedprice").alias("price"),
-                        F.col("l_quantity").alias("qty"),
-                        F.col("l_linestatus").alias("unit"),
-                    )
-                )
-            ).alias("ordered_products"),
-        )
+        "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice", "l_quantity", "l_linestatus"
     )
     orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderdate", "o_orderstatus")
-    # documents stay on the left: a hot order's documents can then be split over join tasks
-    headed = documents.join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
-    ordered = table(spark, sf_dir, "lineitem").select("l_orderkey").distinct()
-    empty = (
-        orders.join(ordered, F.col("o_orderkey") == F.col("l_orderkey"), "left_anti")
-        .withColumn("part", F.lit(0).cast("bigint"))
-        .withColumn("n_lines", F.lit(0).cast("bigint"))
-        .withColumn("ordered_products", F.lit(None).cast(documents.schema["ordered_products"].dataType))
+    same_order = F.col("l_orderkey") == F.col("o_orderkey")
+    big, found = _big_orders(lines, max_lines)
+    if not found:
+        return _headers(_one_per_order(lines, orders))
+    # documents stay on the left: a big order's documents can then be split over join tasks
+    documents = _collect(_assign_parts(lines, big, found), ["l_orderkey", "part"])
+    headed = documents.join(orders, same_order)
+    empty = orders.join(lines.select("l_orderkey").distinct(), same_order, "left_anti").select(
+        *orders.columns,
+        F.lit(0).cast("bigint").alias("part"),
+        F.lit(None).cast("bigint").alias("n_lines"),
+        F.lit(None).cast(documents.schema["ordered_products"].dataType).alias("ordered_products"),
+    )
+    return _headers(headed.select(*empty.columns).unionByName(empty))
+
+
+def order_headers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The documents without their arrays, one row per order: lines are only counted."""
+    counts = table(spark, sf_dir, "lineitem").groupBy("l_orderkey").agg(F.count("*").alias("n_lines"))
+    orders = table(spark, sf_dir, "orders")
+    joined = orders.join(counts, F.col("l_orderkey") == F.col("o_orderkey"), "left")
+    return _headers(joined.withColumn("part", F.lit(0).cast("bigint")))
+
+
+def _product() -> Column:
+    return F.struct(
+        F.col("l_linenumber").alias("line"),
+        F.col("l_partkey").alias("id"),
+        F.col("l_suppkey").alias("supplier"),
+        F.lit("USD").alias("curr"),
+        F.col("l_extendedprice").alias("price"),
+        F.col("l_quantity").alias("qty"),
+        F.col("l_linestatus").alias("unit"),
+    )
+
+
+def _one_per_order(lines: DataFrame, orders: DataFrame) -> DataFrame:
+    """Documents of orders that all fit in one: headers and lines meet in a single shuffle, no join."""
+    header = F.struct(*orders.columns)
+    rows = lines.select(F.col("l_orderkey").alias("key"), _product().alias("product")).unionByName(
+        orders.select(F.col("o_orderkey").alias("key"), header.alias("header")), allowMissingColumns=True
+    )
+    grouped = rows.repartition("key").groupBy("key")
+    documents = grouped.agg(
+        F.first("header", ignorenulls=True).alias("header"),
+        F.count("product").alias("n_lines"),
+        F.array_sort(F.collect_list("product")).alias("products"),
+    )
+    return documents.filter(F.col("header").isNotNull()).select(
+        "header.*",
+        F.lit(0).cast("bigint").alias("part"),
+        "n_lines",
+        F.when(F.col("n_lines") > 0, F.col("products")).alias("ordered_products"),
+    )
+
+
+def _collect(lines: DataFrame, keys: list[str]) -> DataFrame:
+    # shuffled once as plain rows: lists gain nothing from being built before the shuffle
+    grouped = lines.repartition(*keys).groupBy(*keys)
+    return grouped.agg(
+        F.count("*").alias("n_lines"), F.array_sort(F.collect_list(_product())).alias("ordered_products")
     )
-    columns = [*orders.columns, "part", "n_lines", "ordered_products"]
-    return _headers(headed.select(*columns).unionByName(empty.select(*columns)))
 
 
 def _headers(documents: DataFrame) -> DataFrame:
     seconds = F.unix_timestamp(F.col("o_orderdate").cast("timestamp"))
-    return documents.select(
+    columns = [
         F.col("o_custkey").alias("customer_id"),
         F.format_string("Customer#%09d", "o_custkey").alias("customer_name"),
         F.when(F.col("o_orderstatus") == PENDING, "").otherwise(seconds.cast("string")).alias("order_datetime"),
         F.col("o_orderkey").alias("order_number"),
-        F.col("n_lines").alias("number_of_line_items"),
+        F.coalesce("n_lines", F.lit(0)).alias("number_of_line_items"),
         F.col("part").alias("document_part"),
-        "ordered_products",
-    )
+    ]
+    if "ordered_products" in documents.columns:
+        columns.append(F.col("ordered_products"))
+    return documents.select(*columns)
 
 
-def _assign_parts(lines: DataFrame, max_lines: int) -> DataFrame:
-    """Document number of each line within its order: 0 but for orders above the limit."""
+def _big_orders(lines: DataFrame, max_lines: int) -> tuple[DataFrame, int]:
+    """Orders above the limit with their number of documents, and how many there are (up to a bound)."""
     counts = lines.groupBy("l_orderkey").agg(F.count("*").alias("n"))
-    oversize = counts.filter(F.col("n") > max_lines).select(
+    big = counts.filter(F.col("n") > max_lines).select(
         F.col("l_orderkey").alias("big_order"), F.ceil(F.col("n") / max_lines).alias("parts")
     )
-    found = oversize.limit(MAX_BROADCAST_ROWS + 1).count()
-    if found == 0:
-        return lines.withColumn("part", F.lit(0).cast("bigint"))
+    return big, big.limit(MAX_BROADCAST_ROWS + 1).count()
+
+
+def _assign_parts(lines: DataFrame, big: DataFrame, found: int) -> DataFrame:
+    """Document number of each line within its order: 0 but for big orders, whose lines are spread evenly.
+
+    Lines are told apart by their place in the scan, so exact copies of a line are spread as well.
+    """
     if found <= MAX_BROADCAST_ROWS:
-        oversize = F.broadcast(oversize)
+        big = F.broadcast(big)
+    placed = lines.withColumn("row", F.monotonically_increasing_id())
     part = F.pmod(F.xxhash64("row"), F.coalesce("parts", F.lit(1)))
-    return lines.join(oversize, F.col("l_orderkey") == F.col("big_order"), "left").withColumn("part", part)
+    return placed.join(big, F.col("l_orderkey") == F.col("big_order"), "left").withColumn("part", part)
 
 
 def bronze_orders(documents: DataFrame) -> DataFrame:
