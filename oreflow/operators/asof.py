@@ -32,16 +32,15 @@ def window_means(
     )
 
 
-def window_features(
+def with_window_features(
     readings: DataFrame,
-    id: str = "id",
     key: str = "device_id",
     time: str = "reading_time",
     columns: tuple[str, ...] = READINGS,
     width: str = "5 minutes",
     prefix: str = "mean_5m_",
 ) -> DataFrame:
-    """Per reading, the means of its key's newest window that had closed by then; none, no row.
+    """Readings with the means of their key's newest window that had closed by then; without one, no row.
 
     Windows are aligned, so every reading inside one window sees the same closed window: the previous
     non-empty one of its key. That makes the lookup a lag over the aggregated windows (one row per key
@@ -58,9 +57,23 @@ def window_features(
         *[F.lag(m).over(order).alias(m) for m in means],
         F.lag("window_start").over(order).alias("_previous"),
     ).filter(F.col("_previous").isNotNull())
-    own = readings.select(id, key, F.window(time, width).getField("start").alias("_own"))
+    own = readings.select("*", F.window(time, width).getField("start").alias("_own"))
     joined = own.join(previous, (F.col(key) == F.col("_key")) & (F.col("_own") == F.col("_start")))
-    return joined.select(id, *means)
+    return joined.select(*readings.columns, *means)
+
+
+def window_features(
+    readings: DataFrame,
+    id: str = "id",
+    key: str = "device_id",
+    time: str = "reading_time",
+    columns: tuple[str, ...] = READINGS,
+    width: str = "5 minutes",
+    prefix: str = "mean_5m_",
+) -> DataFrame:
+    """The features alone, keyed by reading id, as a feature table holds them."""
+    rows = with_window_features(readings, key, time, columns, width, prefix)
+    return rows.select(id, *[prefix + c for c in columns])
 
 
 def asof_join(

@@ -35,9 +35,13 @@ def rounded(df: DataFrame, *columns: str) -> DataFrame:
     return df.withColumns({c: F.round(c, 6) for c in columns})
 
 
+def with_features(readings: DataFrame) -> DataFrame:
+    """The training set made straight from the readings, without a feature table to look up in."""
+    return asof.with_window_features(readings).filter(F.col(MEANS[0]).isNotNull())
+
+
 def training_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    readings = src.sensor_readings(spark, sf_dir)
-    return asof.training_set(readings, asof.window_features(readings))
+    return with_features(src.sensor_readings(spark, sf_dir))
 
 
 @query(WINDOWS_SQL + """ SELECT device_id, window_start, window_end, ROUND(m1, 6) AS mean_5m_reading_1,
@@ -95,8 +99,9 @@ def feature_table(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(TRAINING_SQL + " SELECT * FROM training ORDER BY id")
 def training_set(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Readings with their features; readings before their device's first closed window are left out."""
-    rows = rounded(training_rows(spark, sf_dir), *MEANS)
+    """Readings with features looked up by id; readings before their device's first closed window are left out."""
+    readings = src.sensor_readings(spark, sf_dir)
+    rows = rounded(asof.training_set(readings, asof.window_features(readings)), *MEANS)
     return rows.withColumn("reading_time", plain("reading_time")).orderBy("id")
 
 

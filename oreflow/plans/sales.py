@@ -50,17 +50,18 @@ def bronze_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bronze.withColumn("ProductRows", rows).drop("OrderedProducts")
 
 
-@query(
-    """SELECT o_custkey AS "CustomerID", l_partkey AS "ProductID",
+NESTED_LINES_SQL = """SELECT o_custkey AS "CustomerID", l_partkey AS "ProductID",
       CASE WHEN o_orderstatus <> 'P' THEN strftime(o_orderdate, '%Y-%m-%d %H:%M:%S') END AS "OrderDateTime",
       o_orderkey AS "OrderNo",
       CASE WHEN l_orderkey IS NOT NULL THEN ROW_NUMBER() OVER (PARTITION BY o_orderkey
-        ORDER BY l_linenumber, l_partkey, l_suppkey) END AS "LineNo",
+        ORDER BY l_linenumber, l_partkey, l_suppkey, l_extendedprice, l_quantity, l_linestatus) END AS "LineNo",
       CASE WHEN l_orderkey IS NOT NULL THEN 'USD' END AS "CurrencyCode",
       l_extendedprice AS "Price", l_quantity AS "Quantity", l_extendedprice * l_quantity AS "OrderAmount",
       l_linestatus AS "UnitOfMeasure"
     FROM orders LEFT JOIN lineitem ON l_orderkey = o_orderkey"""
-)
+
+
+@query(NESTED_LINES_SQL)
 def order_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One row per ordered product of the nested documents, orders without products kept."""
     return nested.order_lines(nested.bronze_orders(nested.order_documents(spark, sf_dir)))
@@ -93,8 +94,8 @@ def silver_customer(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("""SELECT p_partkey AS "ProductID", p_type AS "ProductCategory", p_name AS "ProductName",
           p_brand AS "UnitOfMeasure", CAST(p_retailprice AS DECIMAL(10,2)) AS "SalePrice" FROM part""")
 def silver_product(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Product list with a typed price."""
-    return src.products(spark, sf_dir)
+    """Product list out of its all-text bronze rows, with typed key and price."""
+    return src.silver_products(src.bronze_products(spark, sf_dir))
 
 
 @query("""SELECT "OrderNo", "LineNo", COUNT(*) AS "Copies" FROM (WITH """ + src.LINES_SQL + """ SELECT * FROM lines)

@@ -117,6 +117,49 @@ def scan_path_sql(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _name(spark: SparkSession, prefix: str) -> tuple[str, str]:
+    """A new folder, and a table name made of its unique part."""
+    folder = scratch(spark, prefix)
+    return f"{prefix}_{folder.rsplit('-', 1)[1]}", folder
+
+
+@query(f"""WITH {src.READINGS_SQL} SELECT * FROM readings""")
+def insert_select(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A table with declared columns filled by INSERT ... SELECT, one insert per device type."""
+    table, folder = _name(spark, "readings")
+    spark.sql(
+        f"CREATE TABLE {table} (id BIGINT, reading_time TIMESTAMP, device_type STRING, device_id STRING, "
+        "device_operational_status STRING, reading_1 DOUBLE, reading_2 DOUBLE, reading_3 DOUBLE) "
+        f"USING parquet LOCATION '{folder}'"
+    )
+    src.sensor_readings(spark, sf_dir).createOrReplaceTempView("current_readings")
+    for kind in ("Transformer", "Rectifier"):
+        spark.sql(f"INSERT INTO {table} SELECT * FROM current_readings WHERE device_type = '{kind}'")
+    return spark.table(table).withColumn("reading_time", plain("reading_time"))
+
+
+@query("""SELECT event_type AS gt, COUNT(*) AS n FROM events GROUP BY 1""")
+def external_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A table declared over files that are already there, its columns taken from them."""
+    table, folder = _name(spark, "activity")
+    files.land(activity_rows(src.table(spark, sf_dir, "events")), folder, "parquet")
+    spark.sql(f"CREATE TABLE {table} USING parquet LOCATION '{folder}'")
+    return spark.sql(f"SELECT gt, COUNT(*) AS n FROM {table} GROUP BY gt")
+
+
+@query("""SELECT p_partkey AS id, p_type AS category FROM part""")
+def create_as_select(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """CREATE TABLE IF NOT EXISTS ... AS SELECT, run twice: the second run finds the table and does nothing."""
+    table, folder = _name(spark, "products")
+    src.table(spark, sf_dir, "part").createOrReplaceTempView("part_rows")
+    for _ in range(2):
+        spark.sql(
+            f"CREATE TABLE IF NOT EXISTS {table} USING parquet LOCATION '{folder}' AS "
+            "SELECT p_partkey AS id, p_type AS category FROM part_rows"
+        )
+    return spark.table(table)
+
+
 @query(f"""WITH {src.READINGS_SQL} SELECT id, reading_time, device_type, device_id, reading_1, reading_2, reading_3
           FROM readings""")
 def unlabelled(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -5,9 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from oreflow.operators import asof, drift, metrics, models, scoring
+from oreflow.operators import drift, metrics, models, scoring
 from oreflow.operators.versioned import VersionedTable
-from oreflow.plans.features import FEATURES_SQL, TRAINING_SQL, rounded, training_rows
+from oreflow.plans.features import FEATURES_SQL, TRAINING_SQL, rounded, training_rows, with_features
 from oreflow.registry import query
 from oreflow.session import scratch
 from oreflow.sources import files
@@ -167,9 +167,7 @@ def _drift_step_sql(step: int) -> str:
 def drift_sequence(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Four drift runs: readings scaled in the table, features and training set rebuilt, model checked."""
     table = VersionedTable.create(spark, scratch(spark, "readings"), src.sensor_readings(spark, sf_dir))
-    checks = drift.drift_runs(
-        table, lambda rows: asof.training_set(rows, asof.window_features(rows)), RULES.column(), LABEL
-    )
+    checks = drift.drift_runs(table, with_features, RULES.column(), LABEL)
     rows = [(i, round(c.score, 6), c.need_retrain) for i, c in enumerate(checks, 1)]
     return spark.createDataFrame(rows, "step INT, score DOUBLE, need_retrain BOOLEAN")
 

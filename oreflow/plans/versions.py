@@ -7,8 +7,11 @@ from pyspark.sql import functions as F
 
 from oreflow.operators import relational as rel
 from oreflow.operators.versioned import VersionedTable
+from oreflow.plans.sales import NESTED_LINES_SQL
 from oreflow.registry import query
 from oreflow.session import scratch
+from oreflow.sources import files
+from oreflow.sources import orders as nested
 from oreflow.sources import tables as src
 
 # The stand-in for a missing order time, and the four columns an order line is matched by.
@@ -26,15 +29,15 @@ MATCH = " AND ".join(f't."{k}" = s."{k}"' for k in LINE_KEY)
 TAKEN = ", ".join(
     f'CASE WHEN s."OrderNo" IS NULL THEN t.{c} ELSE s.{c} END AS {c}' for c in COLUMNS.split(", ")
 )
-STEPS_SQL = f"""WITH {src.LINES_SQL},
-updated AS (SELECT * REPLACE (COALESCE("OrderDateTime", '{NO_DATE}') AS "OrderDateTime") FROM lines),
-deleted AS (SELECT * FROM updated WHERE NOT (("OrderDateTime" = '{NO_DATE}' AND "LineNo" = 2)
-  OR ("OrderDateTime" >= '2001-07-01' AND "LineNo" = 3))),
+STEPS = f"""updated AS (SELECT * REPLACE (COALESCE("OrderDateTime", '{NO_DATE}') AS "OrderDateTime") FROM lines),
+deleted AS (SELECT * FROM updated WHERE NOT COALESCE(("OrderDateTime" = '{NO_DATE}' AND "LineNo" = 2)
+  OR ("OrderDateTime" >= '2001-07-01' AND "LineNo" = 3), FALSE)),
 newer AS (SELECT {COLUMNS} FROM (SELECT *, ROW_NUMBER() OVER (PARTITION BY "CustomerID", "ProductID",
   "OrderDateTime", "LineNo" ORDER BY "OrderNo", "Price", "Quantity", "UnitOfMeasure") AS r FROM lines) WHERE r = 1),
 merged AS (SELECT {TAKEN} FROM deleted t LEFT JOIN newer s ON {MATCH}
   UNION ALL SELECT {COLUMNS} FROM newer s WHERE NOT EXISTS (SELECT 1 FROM deleted t WHERE {MATCH})),
 evolved AS (SELECT *, "Price" / NULLIF("Quantity", 0) AS "UnitPrice" FROM merged) """
+STEPS_SQL = f"WITH {src.LINES_SQL}, {STEPS}"
 
 
 def _create(spark: SparkSession, sf_dir: str) -> VersionedTable:
@@ -51,9 +54,8 @@ def _delete(table: VersionedTable) -> None:
     table.delete(undated | last)
 
 
-def _merge(table: VersionedTable, sf_dir: str) -> None:
-    source = rel.keep_first(src.sales_lines(table.spark, sf_dir), LINE_KEY, TIE_BREAK)
-    table.merge(source, LINE_KEY)
+def _merge(table: VersionedTable, lines: DataFrame) -> None:
+    table.merge(rel.keep_first(lines, LINE_KEY, TIE_BREAK), LINE_KEY)
 
 
 def _evolve(table: VersionedTable) -> None:
@@ -63,8 +65,11 @@ def _evolve(table: VersionedTable) -> None:
 
 def lifecycle(spark: SparkSession, sf_dir: str, steps: int = 5) -> VersionedTable:
     """The table after its first ``steps`` commits: create, update, delete, merge, evolve."""
-    table = _create(spark, sf_dir)
-    for step in (_update, _delete, lambda t: _merge(t, sf_dir), _evolve)[: steps - 1]:
+    return _steps(_create(spark, sf_dir), src.sales_lines(spark, sf_dir), steps)
+
+
+def _steps(table: VersionedTable, lines: DataFrame, steps: int) -> VersionedTable:
+    for step in (_update, _delete, lambda t: _merge(t, lines), _evolve)[: steps - 1]:
         step(table)
     return table
 
@@ -172,3 +177,26 @@ def append_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table.read().groupBy("device_type").agg(
         F.count("*").alias("n"), F.min("id").alias("first_id"), F.max("id").alias("last_id")
     )
+
+
+@query(
+    f"""WITH lines AS ({NESTED_LINES_SQL}), {STEPS}
+    SELECT p_type AS "ProductCategory", p_name AS "ProductName", c_name AS "CustomerName",
+      CAST(date_trunc('month', CAST("OrderDateTime" AS TIMESTAMP)) AS DATE) AS "YearMonth",
+      CAST(SUM(CAST("Quantity" AS DECIMAL(18,2))) AS DOUBLE) AS "Quantity",
+      CAST(SUM(CAST("OrderAmount" AS DECIMAL(18,2))) AS DOUBLE) AS "OrderAmount"
+    FROM evolved LEFT JOIN part ON p_partkey = "ProductID" LEFT JOIN customer ON c_custkey = "CustomerID"
+    GROUP BY 1, 2, 3, 4"""
+)
+def sales_medallion(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The whole sales pipeline: JSON and CSV files to bronze, changed silver versions, gold, monthly totals."""
+    orders_json, products_csv = scratch(spark, "orders-json"), scratch(spark, "products-csv")
+    files.land(nested.order_documents(spark, sf_dir), orders_json, "json")
+    files.land(src.bronze_products(spark, sf_dir), products_csv, "csv", header="true", delimiter=";")
+    documents = files.read_json(spark, orders_json)
+    bronze = VersionedTable.create(spark, scratch(spark, "bronze"), nested.bronze_orders(documents)).read()
+    products = src.silver_products(files.csv_view(spark, "product_text", products_csv))
+    customers = nested.silver_customers(bronze)
+    lines = nested.order_lines(bronze)
+    silver = _steps(VersionedTable.create(spark, scratch(spark, "silver"), lines, BY_YEAR), lines, 5)
+    return rel.monthly_sales(rel.gold_lines(silver.read(), rel.require_unique(customers, "CustomerID"), products))

@@ -50,7 +50,13 @@ def line_amounts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def products(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Product list with the price as DECIMAL(10,2)."""
-    return silver_products(bronze_products(spark, sf_dir))
+    return table(spark, sf_dir, "part").select(
+        F.col("p_partkey").alias("ProductID"),
+        F.col("p_type").alias("ProductCategory"),
+        F.col("p_name").alias("ProductName"),
+        F.col("p_brand").alias("UnitOfMeasure"),
+        F.col("p_retailprice").cast("decimal(10,2)").alias("SalePrice"),
+    )
 
 
 def bronze_products(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -1,4 +1,4 @@
-"""Run a streaming DataFrame over what is available and stop; one checkpoint folder per stream.
+"""Run streaming DataFrames, mostly over what is available and then stop; one checkpoint folder per stream.
 
 Every runner is restartable: called again with the same checkpoint it takes up only new input. Sinks are
 files or versioned tables in shared folders, never the driver's memory.
@@ -10,7 +10,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
-from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
 from oreflow.operators.versioned import VersionedTable
 
@@ -32,8 +32,12 @@ def read_stream(
     return reader.load(path)
 
 
-def use_disk_state(spark: SparkSession) -> None:
-    spark.conf.set("spark.sql.streaming.stateStore.providerClass", STATE_STORE)
+def _writer(stream: DataFrame, mode: str, checkpoint: str) -> DataStreamWriter:
+    """Writer with the settings all streams share; a stream restarted keeps the state store it began with."""
+    provider = "spark.sql.streaming.stateStore.providerClass"
+    if stream.sparkSession.conf.get(provider).endswith("HDFSBackedStateStoreProvider"):
+        stream.sparkSession.conf.set(provider, STATE_STORE)
+    return stream.writeStream.outputMode(mode).option("checkpointLocation", checkpoint).trigger(availableNow=True)
 
 
 def _finish(query: StreamingQuery) -> StreamingQuery:
@@ -51,25 +55,21 @@ def stop_all(spark: SparkSession) -> None:
 
 def append_to_files(stream: DataFrame, path: str, checkpoint: str, fmt: str = "parquet") -> StreamingQuery:
     """Append mode into a folder of files, exactly once per checkpoint."""
-    return _finish(
-        stream.writeStream.format(fmt)
-        .outputMode("append")
-        .option("checkpointLocation", checkpoint)
-        .trigger(availableNow=True)
-        .start(path)
-    )
+    return _finish(_writer(stream, "append", checkpoint).format(fmt).start(path))
+
+
+def keep_appending(
+    stream: DataFrame, path: str, checkpoint: str, every: str = "0 seconds", fmt: str = "parquet", name: str | None = None
+) -> StreamingQuery:
+    """The same without an end: a batch per interval until the returned query is stopped."""
+    writer = _writer(stream, "append", checkpoint).format(fmt).trigger(processingTime=every)
+    return (writer.queryName(name) if name else writer).start(path)
 
 
 def each_batch(
     stream: DataFrame, action: Callable[[DataFrame, int], None], checkpoint: str, mode: str = "append"
 ) -> StreamingQuery:
-    return _finish(
-        stream.writeStream.foreachBatch(action)
-        .outputMode(mode)
-        .option("checkpointLocation", checkpoint)
-        .trigger(availableNow=True)
-        .start()
-    )
+    return _finish(_writer(stream, mode, checkpoint).foreachBatch(action).start())
 
 
 def complete_to_files(stream: DataFrame, path: str, checkpoint: str) -> DataFrame:

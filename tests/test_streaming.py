@@ -121,19 +121,6 @@ def test_upsert_keeps_one_row_per_key(spark, folder):
     assert [tuple(r) for r in table.read().collect()] == [("a", 5)]
 
 
-def test_large_state_on_disk(spark, folder):
-    key = "spark.sql.streaming.stateStore.providerClass"
-    before = spark.conf.get(key)
-    runner.use_disk_state(spark)
-    try:
-        arrive(spark, f"{folder}/in", 1, 2)
-        stream = runner.read_stream(spark, f"{folder}/in", SCHEMA)
-        result = runner.complete_to_files(agg.action_counts(stream), f"{folder}/out", f"{folder}/cp")
-        assert [r["count"] for r in result.collect()] == [2]
-    finally:
-        spark.conf.set(key, before)
-
-
 def test_multi_hop_takes_up_new_files_only(spark, folder):
     owners = spark.createDataFrame([(1, "north")], "device BIGINT, segment STRING")
     hop = MultiHop(spark, f"{folder}/in", f"{folder}/hops")
@@ -150,9 +137,14 @@ def test_parsing_is_the_same_on_a_table(spark):
     assert parse_recordings(raw).count() == 1
 
 
-def test_stop_all(spark, folder):
+def test_running_query_is_named_and_stopped(spark, folder):
     arrive(spark, f"{folder}/in", 1)
     stream = runner.read_stream(spark, f"{folder}/in", SCHEMA)
-    stream.writeStream.format("noop").option("checkpointLocation", f"{folder}/cp").start()
+    query = runner.keep_appending(stream, f"{folder}/out", f"{folder}/cp", every="100 milliseconds", name="running")
+    query.processAllAvailable()
+    arrive(spark, f"{folder}/in", 2)
+    query.processAllAvailable()
+    assert [q.name for q in spark.streams.active] == ["running"]
     runner.stop_all(spark)
     assert not spark.streams.active
+    assert spark.read.parquet(f"{folder}/out").count() == 2
