@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+import math
+from collections.abc import Callable
+from fractions import Fraction
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -144,24 +148,33 @@ def hash_sample(df: DataFrame, key: str, fraction: float, seed: int) -> DataFram
     return df.filter(F.substring(digest, 1, 8) < limit)
 
 
-def numeric_quantile(df: DataFrame, column: str, q: float, buckets: int = 1000) -> int | None:
-    """Exact discrete quantile of a whole-number column: the smallest value with at least q of all rows
+def numeric_quantile(
+    df: DataFrame,
+    value: Column,
+    q: float,
+    buckets: int = 10_000,
+    within: Callable[[int, int], Column] | None = None,
+) -> int | None:
+    """Exact discrete quantile of a whole-number expression: the smallest value with at least q of all rows
     at or below it.
 
     Each pass counts rows per equal-width bucket of the remaining value range and narrows the range to
     the bucket the quantile lies in. Only the counts of at most ``buckets`` buckets are fetched, and no
-    rows are sorted; the range shrinks by that factor per pass, so a 64-bit range needs seven.
+    rows are sorted. ``within`` may give the range condition in a form the file reader can use, so that
+    all passes but the first read little.
     """
-    values = df.select(F.col(column).cast("bigint").alias("v")).filter(F.col("v").isNotNull())
+    within = within or value.between
+    values = df.select(value.alias("v")).filter(F.col("v").isNotNull())
     low, high, n = values.agg(F.min("v"), F.max("v"), F.count("v")).first()
     if not n:
         return None
-    wanted = max(1, -(-int(round(q * n * 1_000_000)) // 1_000_000))
+    wanted = max(1, math.ceil(Fraction(str(q)) * n))
     below = 0
     while low < high:
         width = (high - low) // buckets + 1
         counts = (
-            values.filter(F.col("v").between(low, high))
+            df.filter(within(low, high))
+            .select(value.cast("bigint").alias("v"))
             .groupBy(F.expr(f"(v - {low}L) div {width}L").alias("bucket"))
             .agg(F.count("v").alias("n"), F.min("v").alias("low"), F.max("v").alias("high"))
             .collect()
@@ -176,9 +189,12 @@ def numeric_quantile(df: DataFrame, column: str, q: float, buckets: int = 1000)
 
 def time_split(df: DataFrame, time: str, train_fraction: float) -> DataFrame:
     """Mark rows ``train`` up to the cut-off time that has the wanted share of rows at or before it."""
-    micros = df.select(F.unix_micros(time).alias("us"))
-    cut = numeric_quantile(micros, "us", train_fraction)
+
+    def within(low: int, high: int) -> Column:
+        return F.col(time).between(F.timestamp_micros(F.lit(low)), F.timestamp_micros(F.lit(high)))
+
+    cut = numeric_quantile(df, F.unix_micros(time), train_fraction, within=within)
     if cut is None:
         return df.withColumn("split", F.lit("train"))
-    is_train = F.unix_micros(time) <= F.lit(cut)
+    is_train = F.col(time) <= F.timestamp_micros(F.lit(cut))
     return df.withColumn("split", F.when(is_train, "train").otherwise("test"))

@@ -24,12 +24,31 @@ SPEED_SETTINGS = {
 }
 
 
-def build_session(app: str = "oreflow", master: str | None = None, **conf: str) -> SparkSession:
+def sizing(input_bytes: int, partition_bytes: int = 128 << 20) -> dict[str, str]:
+    """Settings for jobs over so much input: shuffles start with partitions that fit an executor's memory.
+
+    Adaptive execution merges partitions that turn out small and splits skewed ones, so the number may be
+    generous. It also fixes the number of state partitions of a new stream.
+    """
+    partitions = min(100_000, max(200, -(-input_bytes // partition_bytes)))
+    return {
+        "spark.sql.shuffle.partitions": str(partitions),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(partition_bytes),
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(2 * partition_bytes),
+        "spark.sql.files.maxPartitionBytes": str(2 * partition_bytes),
+    }
+
+
+def build_session(
+    app: str = "oreflow", master: str | None = None, input_bytes: int | None = None, **conf: str
+) -> SparkSession:
     """A session with the package's settings; extra ones as keyword, dots written as ``__``."""
     builder = SparkSession.builder.appName(app)
     if master:
         builder = builder.master(master)
     settings = {**SPEED_SETTINGS, **RESULT_SETTINGS, "spark.ui.enabled": "false"}
+    if input_bytes is not None:
+        settings.update(sizing(input_bytes))
     settings.update({k.replace("__", "."): v for k, v in conf.items()})
     for key, value in settings.items():
         builder = builder.config(key, value)

@@ -9,6 +9,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
@@ -75,16 +76,18 @@ def each_batch(
 def complete_to_files(stream: DataFrame, path: str, checkpoint: str) -> DataFrame:
     """Complete mode: each batch writes the whole result to its own folder; returns the newest.
 
-    A batch replayed after a failure overwrites its own folder only. The number of the newest batch is
-    kept by the stream's last progress, or by the folder names if the run had nothing to do.
+    A batch replayed after a failure overwrites its own folder only. A run without new input returns the
+    result of the run before.
     """
     spark = stream.sparkSession
+    written: list[int] = []
 
     def write(batch: DataFrame, batch_id: int) -> None:
         batch.write.mode("overwrite").parquet(f"{path}/batch={batch_id}")
+        written.append(batch_id)
 
     each_batch(stream, write, checkpoint, "complete")
-    newest = spark.read.parquet(path).selectExpr("max(batch)").first()[0]
+    newest = max(written) if written else spark.read.parquet(path).agg(F.max("batch")).first()[0]
     return spark.read.parquet(f"{path}/batch={newest}")
 
 

@@ -85,8 +85,17 @@ def test_quantile_equals_sorting(spark, seed):
     df = spark.createDataFrame([(v,) for v in values] + [(None,)], "x BIGINT")
     for q in (0.01, 0.5, 0.8, 1.0):
         want = sorted(values)[max(0, -(-int(round(q * len(values) * 1e6)) // 10**6) - 1)]
-        assert rel.numeric_quantile(df, "x", q, buckets=7) == want
-    assert rel.numeric_quantile(df.limit(0), "x", 0.5) is None
+        assert rel.numeric_quantile(df, F.col("x"), q, buckets=7) == want
+    assert rel.numeric_quantile(df.limit(0), F.col("x"), 0.5) is None
+
+
+def test_time_split_with_equal_and_missing_times(spark):
+    times = ["2024-01-01 00:00:00.000001"] * 3 + ["2024-01-01 00:00:00.000002"] * 4 + ["2031-05-01 10:00:00"] * 3
+    df = spark.createDataFrame([(t,) for t in times], "t STRING").select(F.col("t").cast("timestamp"))
+    counts = {r["split"]: r["count"] for r in rel.time_split(df, "t", 0.5).groupBy("split").count().collect()}
+    assert counts == {"train": 7, "test": 3}
+    counts = {r["split"]: r["count"] for r in rel.time_split(df, "t", 0.3).groupBy("split").count().collect()}
+    assert counts == {"train": 3, "test": 7}
 
 
 def test_sample_does_not_depend_on_partitions(spark):
