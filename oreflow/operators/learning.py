@@ -150,14 +150,21 @@ def fit_and_record(
     return Run(uuid.uuid4().hex, run_name, model, params, evaluate(model, test_rows, spec.label), data_version)
 
 
-def candidates(trials: int = 20, seed: int = 42) -> list[dict]:
+# The search space of the tree model and the number of trials.
+N_ESTIMATORS = range(1, 15)
+MAX_DEPTH = (1, 2, 3)
+GAMMA = (0.01, 1.0)
+TRIALS = 20
+
+
+def candidates(trials: int = TRIALS, seed: int = 42) -> list[dict]:
     """Random settings of the tree model from its search space."""
     rng = random.Random(seed)
     return [
         {
-            "n_estimators": rng.choice(range(1, 15)),
-            "max_depth": rng.choice((1, 2, 3)),
-            "gamma": round(rng.uniform(0.01, 1.0), 4),
+            "n_estimators": rng.choice(N_ESTIMATORS),
+            "max_depth": rng.choice(MAX_DEPTH),
+            "gamma": round(rng.uniform(*GAMMA), 4),
         }
         for _ in range(trials)
     ]

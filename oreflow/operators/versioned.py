@@ -13,6 +13,7 @@ month, a region); others are one segment per commit.
 from __future__ import annotations
 
 import json
+import re
 import uuid
 from dataclasses import dataclass
 from datetime import datetime, timezone
@@ -101,7 +102,7 @@ class VersionedTable:
             row.parameters,
             T.StructType.fromJson(json.loads(row.table_schema)),
             row.cluster_by,
-            tuple(s if "://" in s or s.startswith(("/", "file:")) else f"{self.path}/{s}" for s in row.segments),
+            tuple(row.segments),
         )
 
     def read(self, version: int | None = None, timestamp: datetime | str | None = None) -> DataFrame:
@@ -231,8 +232,10 @@ class VersionedTable:
         rows = self._rows(v).withColumn("_file", F.col("_metadata.file_path"))
         files = touched_rows(rows).select("_file").distinct()
         folders = files.select(F.regexp_replace("_file", "/[^/]*$", "").alias("folder")).distinct()
-        folders = [unquote(r.folder) for r in folders.collect()]
-        touched = tuple(s for s in v.segments if any(_same_folder(s, f) for f in folders))
+        wanted = {_folder(unquote(r.folder)) for r in folders.collect()}
+        touched = tuple(s for s in v.segments if _folder(s) in wanted)
+        if len(touched) != len(wanted):
+            raise RuntimeError(f"rows read from folders that are not segments of {self.path}")
         return touched, tuple(s for s in v.segments if s not in touched)
 
     def _write(self, rows: DataFrame, cluster_by: str | None) -> list[str]:
@@ -296,10 +299,6 @@ def _text(condition: Column | None) -> str:
     return "true" if condition is None else str(condition).removeprefix("Column<'").removesuffix("'>")
 
 
-def _same_folder(a: str, b: str) -> bool:
-    return _plain(a) == _plain(b)
-
-
-def _plain(path: str) -> str:
-    """A path without the forms a file system may write its local scheme in."""
-    return "/" + path.removeprefix("file:").lstrip("/") if path.startswith(("file:", "/")) else path
+def _folder(path: str) -> str:
+    """A path without scheme and host, which one file system may write in several ways."""
+    return re.sub("^[a-z0-9]+:(//[^/]*)?", "", path).rstrip("/")

@@ -13,9 +13,16 @@ from oreflow.plans.features import TRAINING_SQL, training_rows
 from oreflow.registry import query
 from oreflow.session import scratch
 
-MODEL = "sensor_status"
+MODEL = "device_status"
 TRAIN_FRACTION = 0.8
 
+# The settings of the linear classifier that are tried by hand.
+LINEAR_SETTINGS = (
+    {"alpha": 1.0, "fit_intercept": True, "normalize": False},
+    {"alpha": 1.0, "fit_intercept": True, "normalize": True},
+    {"alpha": 0.5, "fit_intercept": False, "normalize": True},
+)
+
 
 def _training_table(spark: SparkSession, sf_dir: str) -> VersionedTable:
     """The training set as a table, so that the passes of a fit do not rebuild the features."""
@@ -75,11 +82,7 @@ def run_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     version = table.latest().version
     train, test = _split(table.read(version))
     runs = VersionedTable(spark, scratch(spark, "runs"))
-    for params in (
-        {"alpha": 1.0, "fit_intercept": True, "normalize": False},
-        {"alpha": 1.0, "fit_intercept": True, "normalize": True},
-        {"alpha": 0.5, "fit_intercept": False, "normalize": True},
-    ):
+    for params in LINEAR_SETTINGS:
         estimator = learning.linear_classifier(**params)
         run = learning.fit_and_record(train, test, estimator, params, data_version=version)
         models.record_run(runs, run.row(spark))

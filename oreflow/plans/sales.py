@@ -76,9 +76,7 @@ def order_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def orders_per_customer(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Orders and order lines per customer, most orders first; the product arrays are never built."""
-    bronze = nested.order_headers(spark, sf_dir).withColumnsRenamed(
-        {"customer_id": "CustomerID", "customer_name": "CustomerName", "number_of_line_items": "LineItemCount"}
-    )
+    bronze = nested.bronze_orders(nested.order_headers(spark, sf_dir))
     return rel.orders_per_customer(bronze).orderBy(F.desc("NoOfOrders"))
 
 

@@ -17,8 +17,8 @@ from oreflow.streaming import runner
 RULES = scoring.STATUS_RULES
 OTHER_RULES = RULES.scaled(0.8)
 LABEL = "device_operational_status"
-MODEL = "sensor_status"
-FUNCTION = "sensor_status_model"
+MODEL = "device_status"
+FUNCTION = "predict_status"
 RUN_FACTORS = {"run_1": 0.5, "run_2": 0.75, "run_3": 1.0, "run_4": 1.5, "run_5": 2.0}
 
 SCORED_SQL = TRAINING_SQL + f", scored AS (SELECT {LABEL} AS label, {RULES.sql()} AS prediction FROM training)"

@@ -125,16 +125,20 @@ def _assign_parts(lines: DataFrame, big: DataFrame, found: int) -> DataFrame:
     return placed.join(big, F.col("l_orderkey") == F.col("big_order"), "left").withColumn("part", part)
 
 
+# Fields of an order document and the names they have in the bronze table.
+BRONZE_NAMES = {
+    "customer_id": "CustomerID",
+    "customer_name": "CustomerName",
+    "order_datetime": "OrderDateTime",
+    "order_number": "OrderNo",
+    "number_of_line_items": "LineItemCount",
+    "ordered_products": "OrderedProducts",
+}
+
+
 def bronze_orders(documents: DataFrame) -> DataFrame:
-    """The six business columns of an order document under their table names."""
-    return documents.selectExpr(
-        "customer_id AS CustomerID",
-        "customer_name AS CustomerName",
-        "order_datetime AS OrderDateTime",
-        "order_number AS OrderNo",
-        "number_of_line_items AS LineItemCount",
-        "ordered_products AS OrderedProducts",
-    )
+    """The business columns of order documents under their table names."""
+    return documents.select(*[F.col(c).alias(BRONZE_NAMES[c]) for c in BRONZE_NAMES if c in documents.columns])
 
 
 def order_lines(bronze: DataFrame) -> DataFrame:

@@ -156,3 +156,20 @@ def test_clustered_merge(clustered, spark):
     before = rows(clustered.read().fillna("z"))
     clustered.merge(new, ["id"])  # merging the same rows again changes nothing
     assert rows(clustered.read().fillna("z")) == before
+
+
+def test_folders_are_compared_without_scheme_and_host():
+    from oreflow.operators.versioned import _folder
+
+    same = ["/lake/t/data/ab", "file:/lake/t/data/ab", "file:///lake/t/data/ab/", "hdfs://nn:8020/lake/t/data/ab"]
+    assert {_folder(p) for p in same} == {"/lake/t/data/ab"}
+    assert _folder("s3a://bucket/t/data/_segment=a b") == "/t/data/_segment=a b"
+
+
+def test_append_then_partial_rewrite_of_a_table_without_clustering(table):
+    table.append(table.read().withColumn("id", F.col("id") + 10))
+    first, second = table.latest().segments
+    table.update({"v": 0.0}, F.col("id") == 12)
+    assert first in table.latest().segments and second not in table.latest().segments
+    table.update({"v": 5.0}, F.col("id") == 777)  # meets no row: a version, but nothing written
+    assert len(table.latest().segments) == 2 and table.latest().version == 3
