@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from oreflow.functions.time import epoch_text_to_time_text
+from oreflow.session import scratch
 from oreflow.sources.tables import PENDING, table
 
 MAX_LINES_PER_DOCUMENT = 100_000
@@ -25,20 +26,27 @@ def order_documents(
         "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice", "l_quantity", "l_linestatus"
     )
     orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderdate", "o_orderstatus")
-    same_order = F.col("l_orderkey") == F.col("o_orderkey")
-    big, found = _big_orders(lines, max_lines)
+    counts = lines.groupBy("l_orderkey").agg(F.count("*").alias("n"))
+    big = counts.filter(F.col("n") > max_lines).select(
+        F.col("l_orderkey").alias("big_order"), F.ceil(F.col("n") / max_lines).alias("parts")
+    )
+    found = big.limit(MAX_BROADCAST_ROWS + 1).count()
     if not found:
         return _headers(_one_per_order(lines, orders))
-    # documents stay on the left: a big order's documents can then be split over join tasks
-    documents = _collect(_assign_parts(lines, big, found), ["l_orderkey", "part"])
-    headed = documents.join(orders, same_order)
-    empty = orders.join(lines.select("l_orderkey").distinct(), same_order, "left_anti").select(
-        *orders.columns,
-        F.lit(0).cast("bigint").alias("part"),
-        F.lit(None).cast("bigint").alias("n_lines"),
-        F.lit(None).cast(documents.schema["ordered_products"].dataType).alias("ordered_products"),
-    )
-    return _headers(headed.select(*empty.columns).unionByName(empty))
+    kept = scratch(spark, "big-orders")
+    big.write.parquet(kept)
+    big = spark.read.schema(big.schema).parquet(kept)
+    if found <= MAX_BROADCAST_ROWS:
+        big = F.broadcast(big)
+    of_big_order = F.col("l_orderkey") == F.col("big_order")
+    is_big_order = F.col("o_orderkey") == F.col("big_order")
+    normal = _one_per_order(lines.join(big, of_big_order, "left_anti"), orders.join(big, is_big_order, "left_anti"))
+    documents = _several_per_order(lines, big, of_big_order)
+    headers = orders.join(big, is_big_order, "left_semi")
+    if found <= MAX_BROADCAST_ROWS:  # one row per big order as well
+        headers = F.broadcast(headers)
+    headed = documents.join(headers, F.col("l_orderkey") == F.col("o_orderkey"))
+    return _headers(normal.unionByName(headed.select(*normal.columns)))
 
 
 def order_headers(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -64,6 +72,7 @@ def _product() -> Column:
 def _one_per_order(lines: DataFrame, orders: DataFrame) -> DataFrame:
     """Documents of orders that all fit in one: headers and lines meet in a single shuffle, no join."""
     header = F.struct(*orders.columns)
+    # shuffled once as plain rows: lists gain nothing from being built before the shuffle
     rows = lines.select(F.col("l_orderkey").alias("key"), _product().alias("product")).unionByName(
         orders.select(F.col("o_orderkey").alias("key"), header.alias("header")), allowMissingColumns=True
     )
@@ -81,9 +90,14 @@ def _one_per_order(lines: DataFrame, orders: DataFrame) -> DataFrame:
     )
 
 
-def _collect(lines: DataFrame, keys: list[str]) -> DataFrame:
-    # shuffled once as plain rows: lists gain nothing from being built before the shuffle
-    grouped = lines.repartition(*keys).groupBy(*keys)
+def _several_per_order(lines: DataFrame, big: DataFrame, of_big_order: Column) -> DataFrame:
+    """Documents of big orders, their lines spread evenly over them.
+
+    Lines are told apart by their place in the scan, so exact copies of a line are spread as well.
+    """
+    placed = lines.withColumn("row", F.monotonically_increasing_id()).join(big, of_big_order)
+    keys = ("l_orderkey", "part")
+    grouped = placed.withColumn("part", F.pmod(F.xxhash64("row"), "parts")).repartition(*keys).groupBy(*keys)
     return grouped.agg(
         F.count("*").alias("n_lines"), F.array_sort(F.collect_list(_product())).alias("ordered_products")
     )
@@ -104,27 +118,6 @@ def _headers(documents: DataFrame) -> DataFrame:
     return documents.select(*columns)
 
 
-def _big_orders(lines: DataFrame, max_lines: int) -> tuple[DataFrame, int]:
-    """Orders above the limit with their number of documents, and how many there are (up to a bound)."""
-    counts = lines.groupBy("l_orderkey").agg(F.count("*").alias("n"))
-    big = counts.filter(F.col("n") > max_lines).select(
-        F.col("l_orderkey").alias("big_order"), F.ceil(F.col("n") / max_lines).alias("parts")
-    )
-    return big, big.limit(MAX_BROADCAST_ROWS + 1).count()
-
-
-def _assign_parts(lines: DataFrame, big: DataFrame, found: int) -> DataFrame:
-    """Document number of each line within its order: 0 but for big orders, whose lines are spread evenly.
-
-    Lines are told apart by their place in the scan, so exact copies of a line are spread as well.
-    """
-    if found <= MAX_BROADCAST_ROWS:
-        big = F.broadcast(big)
-    placed = lines.withColumn("row", F.monotonically_increasing_id())
-    part = F.pmod(F.xxhash64("row"), F.coalesce("parts", F.lit(1)))
-    return placed.join(big, F.col("l_orderkey") == F.col("big_order"), "left").withColumn("part", part)
-
-
 # Fields of an order document and the names they have in the bronze table.
 BRONZE_NAMES = {
     "customer_id": "CustomerID",
