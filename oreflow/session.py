@@ -13,6 +13,9 @@ RESULT_SETTINGS = {
     "spark.sql.ansi.enabled": "true",
 }
 
+# A hot key is split in a join even where a later step then needs one more shuffle; applied likewise.
+SKEW_SETTINGS = {"spark.sql.adaptive.forceOptimizeSkewedJoin": "true"}
+
 # Settings that only speed depends on; used for sessions this package builds itself.
 SPEED_SETTINGS = {
     "spark.sql.adaptive.enabled": "true",
@@ -46,7 +49,7 @@ def build_session(
     builder = SparkSession.builder.appName(app)
     if master:
         builder = builder.master(master)
-    settings = {**SPEED_SETTINGS, **RESULT_SETTINGS, "spark.ui.enabled": "false"}
+    settings = {**SPEED_SETTINGS, **RESULT_SETTINGS, **SKEW_SETTINGS, "spark.ui.enabled": "false"}
     if input_bytes is not None:
         settings.update(sizing(input_bytes))
     settings.update({k.replace("__", "."): v for k, v in conf.items()})
@@ -56,8 +59,8 @@ def build_session(
 
 
 def prepare(spark: SparkSession) -> SparkSession:
-    """Set on a foreign session what results depend on; leaves its sizing alone."""
-    for key, value in RESULT_SETTINGS.items():
+    """Set on a foreign session what results and hot keys depend on; leaves its sizing alone."""
+    for key, value in {**RESULT_SETTINGS, **SKEW_SETTINGS}.items():
         if spark.conf.get(key) != value:
             spark.conf.set(key, value)
     return spark

@@ -80,7 +80,7 @@ def _one_per_order(lines: DataFrame, orders: DataFrame) -> DataFrame:
     documents = grouped.agg(
         F.first("header", ignorenulls=True).alias("header"),
         F.count("product").alias("n_lines"),
-        F.array_sort(F.collect_list("product")).alias("products"),
+        F.sort_array(F.collect_list("product")).alias("products"),
     )
     return documents.filter(F.col("header").isNotNull()).select(
         "header.*",
@@ -99,7 +99,7 @@ def _several_per_order(lines: DataFrame, big: DataFrame, of_big_order: Column) -
     keys = ("l_orderkey", "part")
     grouped = placed.withColumn("part", F.pmod(F.xxhash64("row"), "parts")).repartition(*keys).groupBy(*keys)
     return grouped.agg(
-        F.count("*").alias("n_lines"), F.array_sort(F.collect_list(_product())).alias("ordered_products")
+        F.count("*").alias("n_lines"), F.sort_array(F.collect_list(_product())).alias("ordered_products")
     )
 
 
@@ -139,9 +139,11 @@ def order_lines(bronze: DataFrame) -> DataFrame:
 
     The order time comes as text with unix seconds and may be empty, which becomes NULL.
     """
-    exploded = bronze.select(
+    # converted per document, before there is one row per product
+    timed = bronze.withColumn("OrderDateTime", epoch_text_to_time_text("OrderDateTime"))
+    exploded = timed.select(
         "CustomerID",
-        epoch_text_to_time_text("OrderDateTime").alias("OrderDateTime"),
+        "OrderDateTime",
         "OrderNo",
         F.posexplode_outer("OrderedProducts").alias("pos", "product"),
     )
