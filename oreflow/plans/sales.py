@@ -96,23 +96,25 @@ def silver_product(spark: SparkSession, sf_dir: str) -> DataFrame:
     return src.silver_products(src.bronze_products(spark, sf_dir))
 
 
-@query("""SELECT "OrderNo", "LineNo", COUNT(*) AS "Copies" FROM (WITH """ + src.LINES_SQL + """ SELECT * FROM lines)
+@query("""SELECT l_orderkey AS "OrderNo", l_linenumber AS "LineNo", COUNT(*) AS "Copies" FROM lineitem
           GROUP BY 1, 2 HAVING COUNT(*) > 1""")
 def find_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Order line keys that occur more than once."""
-    return rel.find_duplicates(src.sales_lines(spark, sf_dir), "OrderNo", "LineNo", count="Copies")
+    return rel.find_duplicates(src.line_items(spark, sf_dir), "OrderNo", "LineNo", count="Copies")
 
 
 @query("WITH " + src.LINES_SQL + """ SELECT * EXCLUDE (r) FROM (SELECT *, ROW_NUMBER() OVER (
           PARTITION BY "CustomerID", "OrderNo", "LineNo" ORDER BY "ProductID", "Price", "Quantity", "UnitOfMeasure") AS r
           FROM lines) WHERE r = 1""")
 def dedup_row_number(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One order line per key, ties broken by the remaining columns."""
-    return rel.keep_first(
-        src.sales_lines(spark, sf_dir),
-        ["CustomerID", "OrderNo", "LineNo"],
-        ["ProductID", "Price", "Quantity", "UnitOfMeasure"],
-    )
+    """One order line per customer, order and line number, ties broken by the remaining columns.
+
+    An order has one customer, so lines are deduplicated before the order is joined to them: copies go
+    before anything is shuffled.
+    """
+    tie_break = ["ProductID", "Price", "Quantity", "UnitOfMeasure"]
+    single = rel.keep_first(src.line_items(spark, sf_dir), ["OrderNo", "LineNo"], tie_break)
+    return src.with_order(single, spark, sf_dir)
 
 
 @query(GOLD_SQL + "SELECT * FROM gold")
@@ -146,14 +148,14 @@ def top_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(CATEGORY_TOTALS_SQL + """GROUP BY 1 ORDER BY "TotalSales" DESC""")
 def sales_by_category(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Sales and quantity per product category, best first."""
-    totals = rel.sales_by_category(src.line_amounts(spark, sf_dir), src.products(spark, sf_dir))
+    totals = rel.sales_by_category(src.line_items(spark, sf_dir), src.products(spark, sf_dir))
     return totals.orderBy(F.desc("TotalSales"))
 
 
 @query(CATEGORY_TOTALS_SQL + """WHERE p_type IN ('ECONOMY', 'PROMO') GROUP BY 1 ORDER BY "TotalSales" """)
 def sales_by_category_filtered(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The same for a list of categories given as parameter; the list reaches the product scan."""
-    lines, products = src.line_amounts(spark, sf_dir), src.products(spark, sf_dir)
+    lines, products = src.line_items(spark, sf_dir), src.products(spark, sf_dir)
     return rel.sales_by_category(lines, products, CHOSEN_CATEGORIES).orderBy("TotalSales")
 
 
@@ -161,7 +163,7 @@ def sales_by_category_filtered(spark: SparkSession, sf_dir: str) -> DataFrame:
           FROM monthly GROUP BY 1 ORDER BY "TotalQuantity" DESC""")
 def popular_products(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Quantity per product, most first."""
-    totals = rel.popular_products(src.line_amounts(spark, sf_dir), src.products(spark, sf_dir))
+    totals = rel.popular_products(src.line_items(spark, sf_dir), src.products(spark, sf_dir))
     return totals.orderBy(F.desc("TotalQuantity"))
 
 

@@ -21,15 +21,11 @@ def order_time_text(order_time: str | Column, status: str | Column) -> Column:
     return F.when(F.col(status) != PENDING, F.date_format(order_time, "yyyy-MM-dd HH:mm:ss"))
 
 
-def sales_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Order lines in the silver layout. Lines are the streamed side of the join, orders are unique."""
-    lines = table(spark, sf_dir, "lineitem")
-    orders = table(spark, sf_dir, "orders")
-    return lines.join(orders, F.col("l_orderkey") == F.col("o_orderkey")).select(
-        F.col("o_custkey").alias("CustomerID"),
+def line_items(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Order lines without what only the order itself knows: customer and order time."""
+    return table(spark, sf_dir, "lineitem").select(
         F.col("l_partkey").alias("ProductID"),
-        order_time_text("o_orderdate", "o_orderstatus").alias("OrderDateTime"),
-        F.col("o_orderkey").alias("OrderNo"),
+        F.col("l_orderkey").alias("OrderNo"),
         F.col("l_linenumber").alias("LineNo"),
         F.lit("USD").alias("CurrencyCode"),
         F.col("l_extendedprice").alias("Price"),
@@ -39,13 +35,19 @@ def sales_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def line_amounts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Product, quantity and amount of every order line; needs no order header and so no join."""
-    return table(spark, sf_dir, "lineitem").select(
-        F.col("l_partkey").alias("ProductID"),
-        F.col("l_quantity").alias("Quantity"),
-        (F.col("l_extendedprice") * F.col("l_quantity")).alias("OrderAmount"),
+def with_order(lines: DataFrame, spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines in the silver layout. Lines are the left side of the join, orders are unique."""
+    orders = table(spark, sf_dir, "orders")
+    joined = lines.join(orders, F.col("OrderNo") == F.col("o_orderkey")).select(
+        F.col("o_custkey").alias("CustomerID"),
+        order_time_text("o_orderdate", "o_orderstatus").alias("OrderDateTime"),
+        *lines.columns,
     )
+    return joined.select("CustomerID", "ProductID", "OrderDateTime", *[c for c in lines.columns if c != "ProductID"])
+
+
+def sales_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return with_order(line_items(spark, sf_dir), spark, sf_dir)
 
 
 def products(spark: SparkSession, sf_dir: str) -> DataFrame:
