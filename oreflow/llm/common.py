@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+import shutil
+from pathlib import Path
+
+from pyspark import SparkFiles
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -11,7 +15,22 @@ from oreflow.session import prepare, scratch
 BROADCAST_KEYS = 500_000
 
 
+_shipped: set[str] = set()
+
+
+def ship(spark: SparkSession) -> None:
+    """Let Spark send this package to the Python workers of all executors; once per application."""
+    context = spark.sparkContext
+    if context.applicationId not in _shipped:
+        _shipped.add(context.applicationId)
+        package = Path(__file__).parents[1]
+        target = Path(SparkFiles.getRootDirectory(), "packages", package.name)  # goes with the application
+        target.parent.mkdir(exist_ok=True)
+        context.addPyFile(shutil.make_archive(str(target), "zip", package.parent, package.name))
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    ship(spark)
     return prepare(spark).read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from oreflow.llm.common import table
+from oreflow.llm.near import near_duplicates
 from oreflow.llm.packing import pack_documents
 
 
@@ -12,5 +13,9 @@ def op2_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_documents(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op2_best_fit_packing,)}
+def op5_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates(table(spark, sf_dir, "documents"))
+
+
+QUERIES = {f.__name__: f for f in (op2_best_fit_packing, op5_ngram_jaccard_join)}
 ORACLES: dict[str, str] = {}
