@@ -3,10 +3,12 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from oreflow.llm.common import table
 from oreflow.llm.near import near_duplicates
 from oreflow.llm.packing import pack_documents
+from oreflow.llm.substrings import remove_repeats
 
 
 def op2_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -17,5 +19,12 @@ def op5_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op2_best_fit_packing, op5_ngram_jaccard_join)}
+def op7_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    removed = F.aggregate("removed", F.lit(0).cast("long"), lambda n, x: n + x["end"] - x["first"])
+    return remove_repeats(table(spark, sf_dir, "documents")).select(
+        "doc_id", "n_words", removed.alias("n_removed"), F.sha2("kept", 256).alias("kept_sha256")
+    )
+
+
+QUERIES = {f.__name__: f for f in (op2_best_fit_packing, op5_ngram_jaccard_join, op7_substring_dedup)}
 ORACLES: dict[str, str] = {}
