@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from oreflow.llm.common import table
+from oreflow.llm.lines import dedup_lines
 from oreflow.llm.near import near_duplicates
 from oreflow.llm.packing import pack_documents
 from oreflow.llm.substrings import remove_repeats
@@ -26,5 +27,15 @@ def op7_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-QUERIES = {f.__name__: f for f in (op2_best_fit_packing, op5_ngram_jaccard_join, op7_substring_dedup)}
+def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return dedup_lines(table(spark, sf_dir, "documents")).select(
+        "doc_id",
+        "n_lines",
+        F.size("removed").alias("n_removed"),
+        F.array_join(F.transform("removed", lambda n: n.cast("string")), ",").alias("removed_lines"),
+        F.sha2("kept", 256).alias("kept_sha256"),
+    )
+
+
+QUERIES = {f.__name__: f for f in (op2_best_fit_packing, op5_ngram_jaccard_join, op7_substring_dedup, op10_line_dedup)}
 ORACLES: dict[str, str] = {}
