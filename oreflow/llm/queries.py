@@ -9,6 +9,7 @@ from oreflow.llm.common import table
 from oreflow.llm.lines import dedup_lines
 from oreflow.llm.near import near_duplicates
 from oreflow.llm.packing import pack_documents
+from oreflow.llm.quality import quality_rules
 from oreflow.llm.substrings import remove_repeats
 
 
@@ -20,6 +21,10 @@ def op5_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_rules(table(spark, sf_dir, "documents"))
+
+
 def op7_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     removed = F.aggregate("removed", F.lit(0).cast("long"), lambda n, x: n + x["end"] - x["first"])
     return remove_repeats(table(spark, sf_dir, "documents")).select(
@@ -37,5 +42,5 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-QUERIES = {f.__name__: f for f in (op2_best_fit_packing, op5_ngram_jaccard_join, op7_substring_dedup, op10_line_dedup)}
+QUERIES = {f.__name__: f for f in (op2_best_fit_packing, op5_ngram_jaccard_join, op6_quality_rules, op7_substring_dedup, op10_line_dedup)}
 ORACLES: dict[str, str] = {}
