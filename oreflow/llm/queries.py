@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from oreflow.llm.common import table
+from oreflow.llm.leaks import decontaminate
 from oreflow.llm.lines import dedup_lines
 from oreflow.llm.near import near_duplicates
 from oreflow.llm.packing import pack_documents
@@ -13,6 +14,12 @@ from oreflow.llm.quality import quality_rules
 from oreflow.llm.substrings import remove_repeats
 
 
+def op1_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")).select(
+        "doc_id", F.col("item").alias("item_id"), "first_word", "n_words", "shared", "mass"
+    )
+
+
 def op2_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_documents(table(spark, sf_dir, "documents"))
 
@@ -42,5 +49,5 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-QUERIES = {f.__name__: f for f in (op2_best_fit_packing, op5_ngram_jaccard_join, op6_quality_rules, op7_substring_dedup, op10_line_dedup)}
+QUERIES = {f.__name__: f for f in (op1_benchmark_decontamination, op2_best_fit_packing, op5_ngram_jaccard_join, op6_quality_rules, op7_substring_dedup, op10_line_dedup)}
 ORACLES: dict[str, str] = {}
