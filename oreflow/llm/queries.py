@@ -12,6 +12,7 @@ from oreflow.llm.near import near_duplicates
 from oreflow.llm.packing import pack_documents
 from oreflow.llm.quality import quality_rules
 from oreflow.llm.substrings import remove_repeats
+from oreflow.llm.toxicity import score_toxicity
 
 
 def op1_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -24,6 +25,10 @@ def op2_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_documents(table(spark, sf_dir, "documents"))
 
 
+def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return score_toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op5_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"))
 
@@ -49,5 +54,5 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-QUERIES = {f.__name__: f for f in (op1_benchmark_decontamination, op2_best_fit_packing, op5_ngram_jaccard_join, op6_quality_rules, op7_substring_dedup, op10_line_dedup)}
+QUERIES = {f.__name__: f for f in (op1_benchmark_decontamination, op2_best_fit_packing, op3_toxicity, op5_ngram_jaccard_join, op6_quality_rules, op7_substring_dedup, op10_line_dedup)}
 ORACLES: dict[str, str] = {}
