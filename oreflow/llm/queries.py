@@ -13,6 +13,7 @@ from oreflow.llm.packing import pack_documents
 from oreflow.llm.quality import quality_rules
 from oreflow.llm.substrings import remove_repeats
 from oreflow.llm.toxicity import score_toxicity
+from oreflow.llm.warc import round_trip
 
 
 def op1_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -44,6 +45,10 @@ def op7_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op8_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return round_trip(table(spark, sf_dir, "pages"))
+
+
 def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dedup_lines(table(spark, sf_dir, "documents")).select(
         "doc_id",
@@ -54,5 +59,5 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-QUERIES = {f.__name__: f for f in (op1_benchmark_decontamination, op2_best_fit_packing, op3_toxicity, op5_ngram_jaccard_join, op6_quality_rules, op7_substring_dedup, op10_line_dedup)}
+QUERIES = {f.__name__: f for f in (op1_benchmark_decontamination, op2_best_fit_packing, op3_toxicity, op5_ngram_jaccard_join, op6_quality_rules, op7_substring_dedup, op8_warc, op10_line_dedup)}
 ORACLES: dict[str, str] = {}
