@@ -10,12 +10,17 @@ from oreflow.llm.leaks import decontaminate
 from oreflow.llm.lines import dedup_lines
 from oreflow.llm.near import near_duplicates
 from oreflow.llm.packing import pack_documents
+from oreflow.llm.personal import KINDS, find_personal
 from oreflow.llm.quality import quality_rules
 from oreflow.llm.substrings import remove_repeats
 from oreflow.llm.toxicity import score_toxicity
 from oreflow.llm.warc import round_trip
 
 
+def _is(kind: str):
+    return lambda span: span["kind"] == kind
+
+
 def op1_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")).select(
         "doc_id", F.col("item").alias("item_id"), "first_word", "n_words", "shared", "mass"
@@ -30,6 +35,16 @@ def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return score_toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op4_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    joined = lambda c: F.array_join(F.transform(c, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ",")
+    counts = [
+        F.size(F.filter("base", _is(k))).cast("long").alias(f"n_{k}") for k in KINDS
+    ]
+    return find_personal(table(spark, sf_dir, "documents")).select(
+        "doc_id", *counts, F.sha2(joined("base"), 256).alias("base_sha256"), joined("spans").alias("spans")
+    )
+
+
 def op5_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"))
 
@@ -59,5 +74,5 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-QUERIES = {f.__name__: f for f in (op1_benchmark_decontamination, op2_best_fit_packing, op3_toxicity, op5_ngram_jaccard_join, op6_quality_rules, op7_substring_dedup, op8_warc, op10_line_dedup)}
+QUERIES = {f.__name__: f for f in (op1_benchmark_decontamination, op2_best_fit_packing, op3_toxicity, op4_pii, op5_ngram_jaccard_join, op6_quality_rules, op7_substring_dedup, op8_warc, op10_line_dedup)}
 ORACLES: dict[str, str] = {}
