@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from oreflow.llm.common import table
 from oreflow.llm.leaks import decontaminate
+from oreflow.llm.licenses import scan_licenses
 from oreflow.llm.lines import dedup_lines
 from oreflow.llm.near import near_duplicates
 from oreflow.llm.packing import pack_documents
@@ -64,6 +65,10 @@ def op8_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return round_trip(table(spark, sf_dir, "pages"))
 
 
+def op9_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return scan_licenses(table(spark, sf_dir, "documents"))
+
+
 def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dedup_lines(table(spark, sf_dir, "documents")).select(
         "doc_id",
@@ -74,5 +79,5 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-QUERIES = {f.__name__: f for f in (op1_benchmark_decontamination, op2_best_fit_packing, op3_toxicity, op4_pii, op5_ngram_jaccard_join, op6_quality_rules, op7_substring_dedup, op8_warc, op10_line_dedup)}
+QUERIES = {f.__name__: f for f in (op1_benchmark_decontamination, op2_best_fit_packing, op3_toxicity, op4_pii, op5_ngram_jaccard_join, op6_quality_rules, op7_substring_dedup, op8_warc, op9_license_scan, op10_line_dedup)}
 ORACLES: dict[str, str] = {}
