@@ -14,10 +14,12 @@ that match none so are joined with all earlier ones.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from oreflow.llm.common import small, stored
+from oreflow.llm.common import discard, small, stored
 
 PERCENT = 80
 #: Hash buckets for which word counts are kept; a power of two.
@@ -32,12 +34,13 @@ def word_list(line: Column) -> Column:
 def text_lines(docs: DataFrame, id: str, text: str) -> DataFrame:
     """(id, key, number, line): key tells texts with one id apart."""
     keyed = docs.select(F.col(id).alias("id"), F.col(text).alias("text"), F.xxhash64(F.col(text)).alias("key"))
-    return keyed.select("id", "key", F.posexplode(F.split("text", "\n", -1)).alias("number", "line"))
+    # outer: else Spark adds a filter that splits each text once more; lines of a null text are dropped below
+    return keyed.select("id", "key", F.posexplode_outer(F.split("text", "\n", -1)).alias("number", "line"))
 
 
 def rarity(docs: DataFrame, text: str, buckets: int) -> Column:
     """Rank of each bucket of words by how rare they are, as an array literal; all words are counted."""
-    words = docs.select(F.explode(word_list(F.col(text))).alias("word"))
+    words = docs.select(F.explode_outer(word_list(F.col(text))).alias("word")).where("word is not null")
     counted = words.groupBy(F.xxhash64("word").bitwiseAND(buckets - 1).cast("int").alias("bucket")).count()
     counts = {r["bucket"]: r["count"] for r in counted.collect()}  # at most one row per bucket
     rank = [0] * buckets
@@ -86,10 +89,13 @@ def verified(pairs: DataFrame, lines: DataFrame, percent: int) -> DataFrame:
 
 
 def dedup_lines(
-    docs: DataFrame, id: str = "doc_id", text: str = "text", percent: int = PERCENT, buckets: int = BUCKETS
-) -> DataFrame:
+    docs: DataFrame, id: str = "doc_id", text: str = "text", percent: int = PERCENT, buckets: int = BUCKETS,
+    carry: Sequence[str] = (),
+) -> DataFrame:
     """(id, n_lines, removed, kept) per row: numbers of the removed lines (from 0), and the text without them.
 
+    Columns named in ``carry`` come along in a struct of that name.
+
     A line is removed if an earlier line, removed or not, has a Jaccard similarity of at least ``percent``
     hundredths; earlier by id, then by number in the text. Words are compared by 63-bit hashes.
 
@@ -134,6 +140,7 @@ def dedup_lines(
     rest = x.join(y, F.expr("x.word = y.word and x.place < y.place") & may_match("x", "y", percent))
     rest = rest.select(F.col("x.set").alias("early"), F.col("y.set").alias("late")).distinct()
     rest = stored(rest.exceptAll(firsts), "pairs")
+    discard(met)
     gone = stored(gone.unionByName(verified(rest, lines, percent)), "gone")
 
     # a line goes if its set does, or if it isn't the first with its set
@@ -144,7 +151,8 @@ def dedup_lines(
     marked = marked.where(F.col("near").isNotNull() | ~F.struct("id", "number").eqNullSafe(F.col("place")))
     marked = marked.groupBy("id", "key").agg(F.sort_array(F.collect_set("number")).alias("removed"))
 
-    own = docs.select(F.col(id), F.col(text).alias("text"), F.xxhash64(F.col(text)).alias("key")).alias("own")
+    along = [F.struct(*(F.col(c) for c in carry)).alias("carry")] if carry else []
+    own = docs.select(F.col(id), F.col(text).alias("text"), F.xxhash64(F.col(text)).alias("key"), *along).alias("own")
     joined = own.join(marked.alias("m"), F.col(f"own.`{id}`").eqNullSafe(F.col("m.id")) & F.expr("own.key = m.key"), "left")
     split = F.split("text", "\n", -1)
     # runs of lines between removed ones, cut out of the list of lines
@@ -157,10 +165,11 @@ def dedup_lines(
             end - F.when(k == 0, 0).otherwise(F.get("removed", k - 1) + 1),
         ),
     )
-    joined = joined.select(f"own.`{id}`", "text", split.alias("lines"), "removed")
+    joined = joined.select(f"own.`{id}`", "text", split.alias("lines"), "removed", *["carry"] * bool(carry))
     return joined.select(
         F.col(id),
         F.when(F.col("text").isNull(), 0).otherwise(F.size("lines")).alias("n_lines"),
         F.coalesce("removed", F.array().cast("array<int>")).alias("removed"),
         F.when(F.col("removed").isNull(), F.col("text")).otherwise(F.array_join(F.flatten(runs), "\n")).alias("kept"),
+        *["carry"] * bool(carry),
     )
