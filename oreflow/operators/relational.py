@@ -59,28 +59,33 @@ def gold_lines(lines: DataFrame, customers: DataFrame, products: DataFrame) -> D
     )
 
 
-CENT_BLOCK = 1_000_000
+#: Amounts are added in millionths, in blocks of so many units and the rest.
+SCALE = 1_000_000
+BLOCK = 1_000_000
+#: Digits that totals are rounded to when they come out.
+DIGITS = 2
 
 
-def cent_parts(column: str) -> tuple[Column, Column]:
-    """An amount in whole cents, cut into millions of cents and the rest.
+def unit_parts(column: str) -> tuple[Column, Column]:
+    """An amount in millionths, cut into blocks of a million units and the rest.
 
     Sums of whole numbers are exact and do not depend on the order of addition; cut in two, 64 bits hold
     the sum of any number of rows a table can have. Far cheaper than adding decimals.
     """
-    cents = f"cast(rint({column} * 100) AS BIGINT)"
-    return F.expr(f"{cents} div {CENT_BLOCK}"), F.expr(f"{cents} % {CENT_BLOCK}")
+    units = f"cast(rint({column} * {SCALE}) AS BIGINT)"
+    return F.expr(f"{units} div {BLOCK}"), F.expr(f"{units} % {BLOCK}")
 
 
-def from_cent_parts(blocks: Column, rest: Column) -> Column:
-    """The amount, as a double, whose summed parts these are."""
-    return ((blocks.cast("decimal(20,0)") * CENT_BLOCK + rest) / 100).cast("double")
+def from_unit_parts(blocks: Column, rest: Column, digits: int = DIGITS) -> Column:
+    """The amount, as a double, whose summed parts these are; only the sum is rounded."""
+    units = blocks.cast("decimal(20,0)") * BLOCK + rest
+    return F.round(units.cast("decimal(32,0)") / F.lit(SCALE).cast("decimal(7,0)"), digits).cast("double")
 
 
-def total(column: str) -> Column:
-    """Exact sum of an amount in cents, as a double."""
-    blocks, rest = cent_parts(column)
-    return from_cent_parts(F.sum(blocks), F.sum(rest))
+def total(column: str, digits: int = DIGITS) -> Column:
+    """Exact sum of an amount, as a double."""
+    blocks, rest = unit_parts(column)
+    return from_unit_parts(F.sum(blocks), F.sum(rest), digits)
 
 
 def monthly_sales(gold: DataFrame) -> DataFrame:
@@ -120,11 +125,11 @@ def _per_product(
     """
     parts = {}
     for amount in totals:
-        parts[f"_{amount}_blocks"], parts[f"_{amount}_rest"] = cent_parts(amount)
+        parts[f"_{amount}_blocks"], parts[f"_{amount}_rest"] = unit_parts(amount)
     per_id = lines.groupBy("ProductID").agg(*[F.sum(c).alias(n) for n, c in parts.items()])
     named = per_id.join(products.select("ProductID", column), "ProductID", how)
     sums = [
-        from_cent_parts(F.sum(f"_{amount}_blocks"), F.sum(f"_{amount}_rest")).alias(name)
+        from_unit_parts(F.sum(f"_{amount}_blocks"), F.sum(f"_{amount}_rest")).alias(name)
         for amount, name in totals.items()
     ]
     return named.groupBy(column).agg(*sums)
@@ -133,8 +138,11 @@ def _per_product(
 def orders_per_customer(bronze: DataFrame, counts_once: Column | None = None) -> DataFrame:
     """Number of orders and of their lines per customer.
 
-    ``counts_once`` marks one row of each order where an order may be spread over several documents.
+    ``counts_once`` marks one row of each order where an order may be spread over several documents; by default
+    that is its first document.
     """
+    if counts_once is None and "DocumentPart" in bronze.columns:
+        counts_once = F.col("DocumentPart") == 0
     orders = F.count("*") if counts_once is None else F.count_if(counts_once)
     return bronze.groupBy("CustomerID", "CustomerName").agg(
         orders.alias("NoOfOrders"), F.sum("LineItemCount").alias("LineItemCount")

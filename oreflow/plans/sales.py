@@ -18,13 +18,13 @@ GOLD_SQL = f"""WITH {src.LINES_SQL}, gold AS (
 MONTHLY_SQL = GOLD_SQL + """, monthly AS (
   SELECT "ProductCategory", "ProductName", "CustomerName",
          CAST(date_trunc('month', CAST("OrderDateTime" AS TIMESTAMP)) AS DATE) AS "YearMonth",
-         CAST(SUM(CAST("Quantity" AS DECIMAL(18,2))) AS DOUBLE) AS "Quantity",
-         CAST(SUM(CAST("OrderAmount" AS DECIMAL(18,2))) AS DOUBLE) AS "OrderAmount"
+         CAST(CAST(SUM(CAST("Quantity" AS DECIMAL(30,8))) AS DECIMAL(30,2)) AS DOUBLE) AS "Quantity",
+         CAST(CAST(SUM(CAST("OrderAmount" AS DECIMAL(30,8))) AS DECIMAL(30,2)) AS DOUBLE) AS "OrderAmount"
   FROM gold GROUP BY 1, 2, 3, 4)"""
 
 CATEGORY_TOTALS_SQL = """SELECT p_type AS "ProductCategory",
-  CAST(SUM(CAST(l_extendedprice * l_quantity AS DECIMAL(18,2))) AS DOUBLE) AS "TotalSales",
-  CAST(SUM(CAST(l_quantity AS DECIMAL(18,2))) AS DOUBLE) AS "TotalQuantity"
+  CAST(CAST(SUM(CAST(l_extendedprice * l_quantity AS DECIMAL(30,8))) AS DECIMAL(30,2)) AS DOUBLE) AS "TotalSales",
+  CAST(CAST(SUM(CAST(l_quantity AS DECIMAL(30,8))) AS DECIMAL(30,2)) AS DOUBLE) AS "TotalQuantity"
   FROM lineitem LEFT JOIN part ON p_partkey = l_partkey """
 
 # Two of the product categories, as a user would pick them from the list.
@@ -37,12 +37,25 @@ def gold(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-@query(
-    """SELECT o_custkey AS "CustomerID", printf('Customer#%09d', o_custkey) AS "CustomerName",
+def _documents_sql(lines_per_document: int) -> str:
+    """Documents with their place among those of the order and the lines before them."""
+    return f"""documents AS (SELECT l_orderkey, COUNT(*) AS n,
+        ROW_NUMBER() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber // {lines_per_document}) - 1 AS part,
+        COALESCE(SUM(COUNT(*)) OVER (PARTITION BY l_orderkey ORDER BY l_linenumber // {lines_per_document}
+          ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before
+      FROM lineitem GROUP BY l_orderkey, l_linenumber // {lines_per_document})"""
+
+
+def _bronze_sql(lines_per_document: int) -> str:
+    return f"""WITH {_documents_sql(lines_per_document)}
+    SELECT o_custkey AS "CustomerID", c_name AS "CustomerName",
       CASE WHEN o_orderstatus <> 'P' THEN CAST(CAST(epoch(o_orderdate) AS BIGINT) AS VARCHAR) ELSE '' END AS "OrderDateTime",
-      o_orderkey AS "OrderNo", COALESCE(n, 0) AS "LineItemCount", COALESCE(n, 0) AS "ProductRows"
-    FROM orders LEFT JOIN (SELECT l_orderkey, COUNT(*) AS n FROM lineitem GROUP BY 1) ON l_orderkey = o_orderkey"""
-)
+      o_orderkey AS "OrderNo", COALESCE(n, 0) AS "LineItemCount", COALESCE(n, 0) AS "ProductRows",
+      CAST(COALESCE(part, 0) AS INT) AS "DocumentPart", CAST(COALESCE(before, 0) AS BIGINT) AS "FirstLine"
+    FROM orders LEFT JOIN customer ON c_custkey = o_custkey LEFT JOIN documents ON l_orderkey = o_orderkey"""
+
+
+@query(_bronze_sql(nested.LINES_PER_DOCUMENT))
 def bronze_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Order documents under their table names; the array is shown by its size."""
     bronze = nested.bronze_orders(nested.order_documents(spark, sf_dir))
@@ -67,6 +80,30 @@ def order_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return nested.order_lines(nested.bronze_orders(nested.order_documents(spark, sf_dir)))
 
 
+@query(NESTED_LINES_SQL)
+def order_lines_split(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same from documents of two line numbers each: lines are numbered within the order, not the document."""
+    return nested.order_lines(nested.bronze_orders(nested.order_documents(spark, sf_dir, lines_per_document=2)))
+
+
+@query(_bronze_sql(2).replace('COALESCE(n, 0) AS "ProductRows",', ""))
+def bronze_orders_split(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Headers of documents of two line numbers each."""
+    return nested.bronze_orders(nested.order_headers(spark, sf_dir, lines_per_document=2))
+
+
+FRACTIONS_SQL = """SELECT p_name AS "ProductName",
+    CAST(CAST(SUM(CAST(l_quantity / 250 AS DECIMAL(30,8))) AS DECIMAL(30,2)) AS DOUBLE) AS "TotalQuantity"
+  FROM lineitem LEFT JOIN part ON p_partkey = l_partkey GROUP BY 1"""
+
+
+@query(FRACTIONS_SQL)
+def popular_products_fractional(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quantity per product where lines hold thousandths: only the totals are rounded."""
+    lines = src.line_items(spark, sf_dir).withColumn("Quantity", F.col("Quantity") / 250)
+    return rel.popular_products(lines, src.products(spark, sf_dir))
+
+
 @query(
     """SELECT o_custkey AS "CustomerID", c_name AS "CustomerName", COUNT(*) AS "NoOfOrders",
       CAST(SUM(COALESCE(n, 0)) AS BIGINT) AS "LineItemCount"
@@ -159,7 +196,7 @@ def sales_by_category_filtered(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rel.sales_by_category(lines, products, CHOSEN_CATEGORIES).orderBy("TotalSales")
 
 
-@query(MONTHLY_SQL + """SELECT "ProductName", CAST(SUM(CAST("Quantity" AS DECIMAL(18,2))) AS DOUBLE) AS "TotalQuantity"
+@query(MONTHLY_SQL + """SELECT "ProductName", CAST(CAST(SUM(CAST("Quantity" AS DECIMAL(30,8))) AS DECIMAL(30,2)) AS DOUBLE) AS "TotalQuantity"
           FROM monthly GROUP BY 1 ORDER BY "TotalQuantity" DESC""")
 def popular_products(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Quantity per product, most first."""

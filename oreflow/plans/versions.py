@@ -183,8 +183,8 @@ def append_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
     f"""WITH lines AS ({NESTED_LINES_SQL}), {STEPS}
     SELECT p_type AS "ProductCategory", p_name AS "ProductName", c_name AS "CustomerName",
       CAST(date_trunc('month', CAST("OrderDateTime" AS TIMESTAMP)) AS DATE) AS "YearMonth",
-      CAST(SUM(CAST("Quantity" AS DECIMAL(18,2))) AS DOUBLE) AS "Quantity",
-      CAST(SUM(CAST("OrderAmount" AS DECIMAL(18,2))) AS DOUBLE) AS "OrderAmount"
+      CAST(CAST(SUM(CAST("Quantity" AS DECIMAL(30,8))) AS DECIMAL(30,2)) AS DOUBLE) AS "Quantity",
+      CAST(CAST(SUM(CAST("OrderAmount" AS DECIMAL(30,8))) AS DECIMAL(30,2)) AS DOUBLE) AS "OrderAmount"
     FROM evolved LEFT JOIN part ON p_partkey = "ProductID" LEFT JOIN customer ON c_custkey = "CustomerID"
     GROUP BY 1, 2, 3, 4"""
 )

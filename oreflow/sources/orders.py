@@ -2,59 +2,73 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from oreflow.functions.time import epoch_text_to_time_text
-from oreflow.session import scratch
 from oreflow.sources.tables import PENDING, table
 
-MAX_LINES_PER_DOCUMENT = 100_000
-MAX_BROADCAST_ROWS = 100_000
+#: Line numbers that one document covers; an order with higher ones arrives in several documents.
+LINES_PER_DOCUMENT = 10_000
 
 
 def order_documents(
-    spark: SparkSession, sf_dir: str, max_lines: int = MAX_LINES_PER_DOCUMENT
+    spark: SparkSession, sf_dir: str, lines_per_document: int = LINES_PER_DOCUMENT
 ) -> DataFrame:
     """Order documents as a JSON feed would deliver them, built from the flat tables.
 
-    A document holds at most about ``max_lines`` lines. An order with more arrives as several
-    documents with the same order number, so no array grows with the size of one order. Orders without
+    Each document of an order covers a range of line numbers and carries its place among the order's documents and
+    the number of lines before its first one, so no array grows with the size of an order, and lines keep their
+    number within the order. A range holds as many lines as it has numbers, and copies of those. Orders without
     lines are kept with a NULL array.
     """
-    lines = table(spark, sf_dir, "lineitem").select(
-        "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice", "l_quantity", "l_linestatus"
+    lines = _numbered(spark, sf_dir, lines_per_document)
+    # shuffled once as plain rows: lists gain nothing from being built before the shuffle
+    rows = lines.select(F.col("l_orderkey").alias("key"), "range", _product().alias("product")).unionByName(
+        _document_headers(spark, sf_dir, lines), allowMissingColumns=True
     )
-    orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderdate", "o_orderstatus")
-    counts = lines.groupBy("l_orderkey").agg(F.count("*").alias("n"))
-    big = counts.filter(F.col("n") > max_lines).select(
-        F.col("l_orderkey").alias("big_order"), F.ceil(F.col("n") / max_lines).alias("parts")
+    grouped = rows.repartition("key", "range").groupBy("key", "range")
+    documents = grouped.agg(
+        F.first("header", ignorenulls=True).alias("header"),
+        F.sort_array(F.collect_list("product")).alias("products"),
+    )
+    return _business(
+        documents.filter(F.col("header").isNotNull()).select(
+            "header.*", F.when(F.size("products") > 0, F.col("products")).alias("ordered_products")
+        )
     )
-    found = big.limit(MAX_BROADCAST_ROWS + 1).count()
-    if not found:
-        return _headers(_one_per_order(lines, orders))
-    kept = scratch(spark, "big-orders")
-    big.write.parquet(kept)
-    big = spark.read.schema(big.schema).parquet(kept)
-    if found <= MAX_BROADCAST_ROWS:
-        big = F.broadcast(big)
-    of_big_order = F.col("l_orderkey") == F.col("big_order")
-    is_big_order = F.col("o_orderkey") == F.col("big_order")
-    normal = _one_per_order(lines.join(big, of_big_order, "left_anti"), orders.join(big, is_big_order, "left_anti"))
-    documents = _several_per_order(lines, big, of_big_order)
-    headers = orders.join(big, is_big_order, "left_semi")
-    if found <= MAX_BROADCAST_ROWS:  # one row per big order as well
-        headers = F.broadcast(headers)
-    headed = documents.join(headers, F.col("l_orderkey") == F.col("o_orderkey"))
-    return _headers(normal.unionByName(headed.select(*normal.columns)))
-
-
-def order_headers(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The documents without their arrays, one row per order: lines are only counted."""
-    counts = table(spark, sf_dir, "lineitem").groupBy("l_orderkey").agg(F.count("*").alias("n_lines"))
-    orders = table(spark, sf_dir, "orders")
-    joined = orders.join(counts, F.col("l_orderkey") == F.col("o_orderkey"), "left")
-    return _headers(joined.withColumn("part", F.lit(0).cast("bigint")))
+
+
+def order_headers(spark: SparkSession, sf_dir: str, lines_per_document: int = LINES_PER_DOCUMENT) -> DataFrame:
+    """The documents without their arrays: lines are only counted."""
+    headers = _document_headers(spark, sf_dir, _numbered(spark, sf_dir, lines_per_document))
+    return _business(headers.select("header.*"))
+
+
+def _numbered(spark: SparkSession, sf_dir: str, lines_per_document: int) -> DataFrame:
+    return table(spark, sf_dir, "lineitem").select(
+        "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice", "l_quantity", "l_linestatus",
+        F.floor(F.col("l_linenumber") / lines_per_document).alias("range"),
+    )
+
+
+def _document_headers(spark: SparkSession, sf_dir: str, lines: DataFrame) -> DataFrame:
+    """(key, range, header) of every document; the counts per document are added up along the order."""
+    counts = lines.groupBy("l_orderkey", "range").agg(F.count("*").alias("n_lines"))
+    along = Window.partitionBy("l_orderkey").orderBy(F.col("range").asc_nulls_first())
+    before = F.sum("n_lines").over(along.rowsBetween(Window.unboundedPreceding, -1))
+    counts = counts.withColumns({"part": F.row_number().over(along) - 1, "first_line": F.coalesce(before, F.lit(0))})
+    names = table(spark, sf_dir, "customer").select("c_custkey", "c_name")
+    orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderdate", "o_orderstatus")
+    named = orders.join(names, F.col("o_custkey") == F.col("c_custkey"), "left")
+    joined = named.join(counts, F.col("l_orderkey") == F.col("o_orderkey"), "left")
+    header = F.struct(
+        "o_orderkey", "o_custkey", "c_name", "o_orderdate", "o_orderstatus",
+        F.coalesce("part", F.lit(0)).alias("part"),
+        F.coalesce("first_line", F.lit(0)).cast("bigint").alias("first_line"),
+        F.coalesce("n_lines", F.lit(0)).alias("n_lines"),
+    )
+    return joined.select(F.col("o_orderkey").alias("key"), "range", header.alias("header"))
 
 
 def _product() -> Column:
@@ -69,49 +83,16 @@ def _product() -> Column:
     )
 
 
-def _one_per_order(lines: DataFrame, orders: DataFrame) -> DataFrame:
-    """Documents of orders that all fit in one: headers and lines meet in a single shuffle, no join."""
-    header = F.struct(*orders.columns)
-    # shuffled once as plain rows: lists gain nothing from being built before the shuffle
-    rows = lines.select(F.col("l_orderkey").alias("key"), _product().alias("product")).unionByName(
-        orders.select(F.col("o_orderkey").alias("key"), header.alias("header")), allowMissingColumns=True
-    )
-    grouped = rows.repartition("key").groupBy("key")
-    documents = grouped.agg(
-        F.first("header", ignorenulls=True).alias("header"),
-        F.count("product").alias("n_lines"),
-        F.sort_array(F.collect_list("product")).alias("products"),
-    )
-    return documents.filter(F.col("header").isNotNull()).select(
-        "header.*",
-        F.lit(0).cast("bigint").alias("part"),
-        "n_lines",
-        F.when(F.col("n_lines") > 0, F.col("products")).alias("ordered_products"),
-    )
-
-
-def _several_per_order(lines: DataFrame, big: DataFrame, of_big_order: Column) -> DataFrame:
-    """Documents of big orders, their lines spread evenly over them.
-
-    Lines are told apart by their place in the scan, so exact copies of a line are spread as well.
-    """
-    placed = lines.withColumn("row", F.monotonically_increasing_id()).join(big, of_big_order)
-    keys = ("l_orderkey", "part")
-    grouped = placed.withColumn("part", F.pmod(F.xxhash64("row"), "parts")).repartition(*keys).groupBy(*keys)
-    return grouped.agg(
-        F.count("*").alias("n_lines"), F.sort_array(F.collect_list(_product())).alias("ordered_products")
-    )
-
-
-def _headers(documents: DataFrame) -> DataFrame:
+def _business(documents: DataFrame) -> DataFrame:
     seconds = F.unix_timestamp(F.col("o_orderdate").cast("timestamp"))
     columns = [
         F.col("o_custkey").alias("customer_id"),
-        F.format_string("Customer#%09d", "o_custkey").alias("customer_name"),
+        F.col("c_name").alias("customer_name"),
         F.when(F.col("o_orderstatus") == PENDING, "").otherwise(seconds.cast("string")).alias("order_datetime"),
         F.col("o_orderkey").alias("order_number"),
-        F.coalesce("n_lines", F.lit(0)).alias("number_of_line_items"),
+        F.col("n_lines").alias("number_of_line_items"),
         F.col("part").alias("document_part"),
+        F.col("first_line"),
     ]
     if "ordered_products" in documents.columns:
         columns.append(F.col("ordered_products"))
@@ -125,6 +106,8 @@ BRONZE_NAMES = {
     "order_datetime": "OrderDateTime",
     "order_number": "OrderNo",
     "number_of_line_items": "LineItemCount",
+    "document_part": "DocumentPart",
+    "first_line": "FirstLine",
     "ordered_products": "OrderedProducts",
 }
 
@@ -145,6 +128,7 @@ def order_lines(bronze: DataFrame) -> DataFrame:
         "CustomerID",
         "OrderDateTime",
         "OrderNo",
+        "FirstLine",
         F.posexplode_outer("OrderedProducts").alias("pos", "product"),
     )
     return exploded.select(
@@ -152,7 +136,7 @@ def order_lines(bronze: DataFrame) -> DataFrame:
         F.col("product.id").alias("ProductID"),
         "OrderDateTime",
         "OrderNo",
-        (F.col("pos") + 1).alias("LineNo"),
+        (F.col("FirstLine") + F.col("pos") + 1).alias("LineNo"),
         F.col("product.curr").alias("CurrencyCode"),
         F.col("product.price").alias("Price"),
         F.col("product.qty").alias("Quantity"),

@@ -119,23 +119,29 @@ def hot_orders(spark, folder):
     spark.createDataFrame(
         [(1, 7, "O"), (2, 7, "P"), (3, 8, "F")], "o_orderkey BIGINT, o_custkey BIGINT, o_orderstatus STRING"
     ).selectExpr("*", "timestamp_ntz'1996-01-02' AS o_orderdate").write.parquet(f"{folder}/orders.parquet")
+    spark.createDataFrame([(7, "Ada"), (8, "Bob")], "c_custkey BIGINT, c_name STRING").write.parquet(
+        f"{folder}/customer.parquet"
+    )
     return folder
 
 
 def test_hot_order_is_spread_over_documents(spark, hot_orders):
-    documents = nested.order_documents(spark, hot_orders, max_lines=50)
+    documents = nested.order_documents(spark, hot_orders, lines_per_document=50)
     rows = documents.collect()
     sizes = [r.number_of_line_items for r in rows if r.order_number == 1]
-    assert sum(sizes) == 600 and len(sizes) == 12 and max(sizes) < 120
+    assert sorted(sizes) == [50] * 5 + [350]  # a document covers 50 line numbers, and copies of them
     assert [(r.number_of_line_items, r.ordered_products) for r in rows if r.order_number == 3] == [(0, None)]
     lines = nested.order_lines(nested.bronze_orders(documents))
     assert lines.count() == 602
+    assert sorted(r.LineNo for r in lines.filter("OrderNo = 1").collect()) == list(range(1, 601))
+    assert {r.CustomerName for r in documents.withColumnsRenamed(nested.BRONZE_NAMES).collect()} == {"Ada", "Bob"}
     assert lines.agg(F.sum("OrderAmount")).first()[0] == 300 * 2.0 + 300 * 3.0 + 9.0
-    headers = nested.bronze_orders(nested.order_headers(spark, hot_orders))
+    headers = nested.bronze_orders(nested.order_headers(spark, hot_orders, lines_per_document=50))
     for counted in (
         rel.orders_per_customer(headers),
+        rel.orders_per_customer(nested.bronze_orders(documents)),
         rel.orders_per_customer(
-            documents.withColumnsRenamed(nested.BRONZE_NAMES), counts_once=F.col("document_part") == 0
+            documents.withColumnsRenamed(nested.BRONZE_NAMES), counts_once=F.col("DocumentPart") == 0
         ),
     ):
         assert sorted((r.CustomerID, r.NoOfOrders, r.LineItemCount) for r in counted.collect()) == [
