@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import functools
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -177,6 +179,23 @@ def sample_seeded(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sampled.select("id", "device_id", "reading_1")
 
 
+def _mac_logs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return src.table(spark, sf_dir, "events").select(
+        F.unix_micros(F.col("ts").cast("timestamp")).alias("seen_us"),
+        F.col("user_id").alias("gym"),
+        F.concat(F.lit("mac-"), F.col("event_id").cast("string")).alias("mac"),
+        "ts",
+    )
+
+
+def _rows_by_version(table: VersionedTable) -> DataFrame:
+    counts = [
+        table.read(v).agg(F.count("*").alias("n")).withColumn("version", F.lit(v))
+        for v in range(1, table.latest().version + 1)
+    ]
+    return functools.reduce(DataFrame.unionByName, counts)
+
+
 @query("""SELECT version, COUNT(*) AS n FROM (SELECT UNNEST(CASE WHEN ts < TIMESTAMP '2024-01-15'
             THEN [1, 2, 3] WHEN ts < TIMESTAMP '2024-01-22' THEN [2, 3] ELSE [3] END) AS version FROM events)
           GROUP BY 1""")
@@ -186,27 +205,39 @@ def ingest_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
     The schema of one file is declared for the whole feed. A last run without new files adds nothing.
     """
     source, checkpoint = scratch(spark, "mac-logs"), scratch(spark, "mac-logs-checkpoint")
-    logs = src.table(spark, sf_dir, "events").select(
-        F.unix_micros(F.col("ts").cast("timestamp")).alias("seen_us"),
-        F.col("user_id").alias("gym"),
-        F.concat(F.lit("mac-"), F.col("event_id").cast("string")).alias("mac"),
-        "ts",
-    )
-    arrivals = [("1900-01-01", "2024-01-15"), ("2024-01-15", "2024-01-22"), ("2024-01-22", "2900-01-01")]
+    logs = _mac_logs(spark, sf_dir)
+    # rows without a time come with the last arrival
+    first, second = "timestamp_ntz'2024-01-15'", "timestamp_ntz'2024-01-22'"
+    arrivals = [f"ts < {first}", f"ts >= {first} AND ts < {second}", f"ts >= {second} OR ts IS NULL"]
     table = None
-    for start, end in arrivals:
-        new = logs.filter(f"ts >= timestamp_ntz'{start}' AND ts < timestamp_ntz'{end}'").drop("ts")
-        files.land(new, source, "json")
+    for condition in arrivals:
+        files.land(logs.filter(condition).drop("ts"), source, "json")
         if table is None:
             schema = files.schema_of_one_file(spark, source)
             table = VersionedTable.create(spark, scratch(spark, "mac-table"), spark.createDataFrame([], schema))
         files.ingest_files_to_table(spark, source, table, checkpoint, schema)
     files.ingest_files_to_table(spark, source, table, checkpoint, schema)
-    counts = [
-        table.read(v).agg(F.count("*").alias("n")).withColumn("version", F.lit(v))
-        for v in range(1, table.latest().version + 1)
-    ]
-    out = counts[0]
-    for c in counts[1:]:
-        out = out.unionByName(c)
-    return out
+    return _rows_by_version(table)
+
+
+@query("""SELECT version, CAST(COUNT(*) AS BIGINT) AS n FROM (SELECT UNNEST(CASE WHEN ts < TIMESTAMP '2024-01-15'
+            THEN [1, 2, 2, 3, 3] ELSE [2, 3] END) AS version FROM events) GROUP BY 1
+          ORDER BY version""")
+def ingest_new_checkpoint(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A feed read again from its beginning by a new checkpoint: all its files are loaded once more.
+
+    Running the new checkpoint again adds nothing, shown by the newest version under the number 3.
+    """
+    source = scratch(spark, "mac-logs")
+    logs = _mac_logs(spark, sf_dir)
+    early = "ts < timestamp_ntz'2024-01-15'"
+    files.land(logs.filter(early).drop("ts"), source, "json")
+    schema = files.schema_of_one_file(spark, source)
+    table = VersionedTable.create(spark, scratch(spark, "mac-table"), spark.createDataFrame([], schema))
+    files.ingest_files_to_table(spark, source, table, scratch(spark, "first-checkpoint"), schema)
+    files.land(logs.filter(f"NOT coalesce({early}, false)").drop("ts"), source, "json")
+    again = scratch(spark, "second-checkpoint")
+    for _ in range(2):
+        files.ingest_files_to_table(spark, source, table, again, schema)
+    newest = table.read().agg(F.count("*").alias("n")).withColumn("version", F.lit(3))
+    return _rows_by_version(table).unionByName(newest)

@@ -131,13 +131,13 @@ def stream_watermark_sink(spark: SparkSession, sf_dir: str) -> DataFrame:
 ARRIVALS = (
     "ts < timestamp_ntz'2024-01-11'",
     "ts >= timestamp_ntz'2024-01-11' AND ts < timestamp_ntz'2024-01-21'",
-    "ts >= timestamp_ntz'2024-01-21'",
+    "ts >= timestamp_ntz'2024-01-21' OR ts IS NULL",
 )
 # The same, but errors of the first span are reported only with the second one.
 LATE_ARRIVALS = (
     "ts < timestamp_ntz'2024-01-11' AND event_type <> 'error'",
     "ts < timestamp_ntz'2024-01-21' AND (ts >= timestamp_ntz'2024-01-11' OR event_type = 'error')",
-    "ts >= timestamp_ntz'2024-01-21'",
+    "ts >= timestamp_ntz'2024-01-21' OR ts IS NULL",
 )
 
 
@@ -174,7 +174,7 @@ def stream_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
     for condition in ARRIVALS:
         files.land(events.filter(condition), landing, "parquet")
         changed = per_device(event_stream(spark, sf_dir, landing))
-        runner.upsert_to_table(changed, table, ["device_id"], checkpoint, "devices")
+        runner.upsert_to_table(changed, table, ["device_id"], checkpoint)
     return table.read().withColumn("last_seen", plain("last_seen"))
 
 

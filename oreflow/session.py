@@ -33,7 +33,7 @@ def sizing(input_bytes: int, partition_bytes: int = 128 << 20) -> dict[str, str]
     Adaptive execution merges partitions that turn out small and splits skewed ones, so the number may be
     generous. It also fixes the number of state partitions of a new stream.
     """
-    partitions = min(100_000, max(200, -(-input_bytes // partition_bytes)))
+    partitions = max(200, -(-input_bytes // partition_bytes))
     return {
         "spark.sql.shuffle.partitions": str(partitions),
         "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(partition_bytes),

@@ -83,4 +83,4 @@ def ingest_files_to_table(
     max_files: int | None = None,
 ) -> None:
     """The same into a versioned table: every batch of new files becomes a version."""
-    append_to_table(read_stream(spark, source, schema, fmt, max_files), table, checkpoint, source)
+    append_to_table(read_stream(spark, source, schema, fmt, max_files), table, checkpoint)

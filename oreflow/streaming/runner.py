@@ -91,22 +91,29 @@ def complete_to_files(stream: DataFrame, path: str, checkpoint: str) -> DataFram
     return spark.read.parquet(f"{path}/batch={newest}")
 
 
-def upsert_to_table(stream: DataFrame, table: VersionedTable, on: list[str], checkpoint: str, name: str) -> None:
+def query_id(spark: SparkSession, checkpoint: str) -> str:
+    """The id that a stream's checkpoint gives it: the same after a restart, another for every new checkpoint."""
+    return spark.read.json(f"{checkpoint}/metadata").first()["id"]
+
+
+def upsert_to_table(stream: DataFrame, table: VersionedTable, on: list[str], checkpoint: str) -> None:
     """Update mode: the rows that changed in a batch are merged by key, one table version per batch.
 
-    The batch number is stored with the version, so a replayed batch is not applied twice.
+    The checkpoint's id and the batch number are stored with the version, so a replayed batch is not applied twice.
     """
 
     def merge(batch: DataFrame, batch_id: int) -> None:
-        VersionedTable(batch.sparkSession, table.path).merge(batch, on, batch=(name, batch_id))
+        spark = batch.sparkSession
+        VersionedTable(spark, table.path).merge(batch, on, batch=(query_id(spark, checkpoint), batch_id))
 
     each_batch(stream, merge, checkpoint, "update")
 
 
-def append_to_table(stream: DataFrame, table: VersionedTable, checkpoint: str, name: str) -> None:
-    """Append mode into a versioned table, one version per batch."""
+def append_to_table(stream: DataFrame, table: VersionedTable, checkpoint: str) -> None:
+    """Append mode into a versioned table, one version per batch of a checkpoint."""
 
     def append(batch: DataFrame, batch_id: int) -> None:
-        VersionedTable(batch.sparkSession, table.path).append(batch, batch=(name, batch_id))
+        spark = batch.sparkSession
+        VersionedTable(spark, table.path).append(batch, batch=(query_id(spark, checkpoint), batch_id))
 
     each_batch(stream, append, checkpoint)

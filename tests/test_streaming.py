@@ -117,7 +117,7 @@ def test_upsert_keeps_one_row_per_key(spark, folder):
     for minutes in ((1, 2), (3, 4, 5)):
         arrive(spark, f"{folder}/in", *minutes)
         counts = runner.read_stream(spark, f"{folder}/in", SCHEMA).groupBy("action").agg(F.count("*").alias("n"))
-        runner.upsert_to_table(counts, table, ["action"], f"{folder}/cp", "counts")
+        runner.upsert_to_table(counts, table, ["action"], f"{folder}/cp")
     assert [tuple(r) for r in table.read().collect()] == [("a", 5)]
 
 
