@@ -39,10 +39,19 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     spark = df.sparkSession
     path = scratch(spark, name)
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    table = spark.read.schema(df.schema).parquet(path)
+    table.stored_at = path
+    return table
 
 
 def small(keys: DataFrame, limit: int = BROADCAST_KEYS) -> DataFrame:
     """Mark a stored table for broadcasting if it has at most ``limit`` rows; else leave the join to a shuffle."""
     few = keys.limit(limit + 1).count() <= limit
     return F.broadcast(keys) if few else keys
+
+
+def discard(table: DataFrame) -> None:
+    """Delete the files of a stored table that nothing will read again."""
+    spark = table.sparkSession
+    path = spark._jvm.org.apache.hadoop.fs.Path(table.stored_at)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)

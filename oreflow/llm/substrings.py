@@ -5,8 +5,8 @@ the word hashes. A window is removed when its words also start anywhere else. Wi
 only those that can be repeated go through the shuffle. For that, every window has an anchor: of the word n-grams
 inside it, the one with the smallest hash (winnowing). Equal windows have equal anchors, so a window whose anchor
 occurs only once in the corpus cannot be repeated. Neighbouring windows mostly share an anchor, so there are far
-fewer anchors than windows; they are counted first, then the windows round repeated anchors. Both counts combine
-before the shuffle. Copies of a whole text are found by the text's hash, and only one of them is looked at.
+fewer anchors than windows; they are counted first. Then the runs of windows that share a repeated anchor are
+counted as one, and window by window those whose run is not repeated as a whole. Counts combine before the shuffle. Copies of a whole text are found by the text's hash, and only one of them is looked at.
 """
 
 from __future__ import annotations
@@ -18,8 +18,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from oreflow.llm.common import stored
-from oreflow.llm.words import Words, signed, slices, windows
+from oreflow.llm.common import discard, stored
+from oreflow.llm.words import Words, mix, rolling, signed, slices, windows
 
 WIDTH = 35
 GRAM = 8
@@ -91,35 +91,43 @@ def anchors(texts: DataFrame, width: int, gram: int) -> DataFrame:
     return texts.mapInArrow(rows, "key long, anchor long, own boolean")
 
 
-def candidates(texts: DataFrame, width: int, gram: int) -> DataFrame:
-    """(hash, key, number) of the windows of texts (key, text, anchors) that have one of the anchors."""
+def runs(texts: DataFrame, width: int, gram: int) -> DataFrame:
+    """(anchor, run, key, first, hashes) of texts (key, text, anchors): windows in a row that have one of the anchors.
+
+    ``run`` names the windows' words, ``first`` is the number of the first window, ``hashes`` has one per window.
+    """
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen: set[int] = set()
         for part in slices(batches, "text"):
-            part = unseen(part, 0, seen)
             w = Windows(part.column(1), width, gram)
             keep = np.zeros(len(w.hash), bool)
             for k, own in enumerate(part.column(2)):
                 a, b = w.begin[k], w.begin[k + 1]
                 keep[a:b] = np.isin(w.anchor[a:b], own.values.to_numpy().view(np.uint64))
             at = np.flatnonzero(keep)
-            columns = [pa.array(signed(w.hash[at])), part.column(0).take(pa.array(w.text[at]))]
-            columns += [pa.array(w.number[at], pa.int32())]
-            yield pa.RecordBatch.from_arrays(columns, names=["hash", "key", "number"])
-
-    return texts.mapInArrow(rows, "hash long, key long, number int")
-
-
-def spans(numbers: np.ndarray, width: int) -> list[tuple[int, int]]:
-    """Maximal runs of words that windows beginning at these words cover: (first word, end)."""
-    if not len(numbers):
-        return []
-    numbers = np.sort(numbers)
-    cut = np.flatnonzero(np.diff(numbers) > width)
-    firsts = numbers[np.concatenate([[0], cut + 1])]
-    lasts = numbers[np.concatenate([cut, [len(numbers) - 1]])]
-    return [(int(a), int(b) + width) for a, b in zip(firsts, lasts)]
+            new = np.ones(len(at), bool)
+            new[1:] = (np.diff(at) > 1) | (w.anchor[at][1:] != w.anchor[at][:-1]) | (w.text[at][1:] != w.text[at][:-1])
+            begin = np.flatnonzero(new)
+            end = np.append(begin[1:], len(at))
+            head = at[begin] if len(at) else at
+            name = mix(rolling(w.hash[at], begin, end if len(at) else begin) + (end[: len(begin)] - begin).astype(np.uint64))
+            lists = pa.ListArray.from_arrays(np.append(begin, len(at)).astype(np.int32), signed(w.hash[at]))
+            columns = [pa.array(signed(w.anchor[head])), pa.array(signed(name))]
+            columns += [part.column(0).take(pa.array(w.text[head])), pa.array(w.number[head], pa.int32()), lists]
+            yield pa.RecordBatch.from_arrays(columns, names=["anchor", "run", "key", "first", "hashes"])
+
+    return texts.mapInArrow(rows, "anchor long, run long, key long, first int, hashes array<long>")
+
+
+def merged(covered: list[tuple[int, int]]) -> list[tuple[int, int]]:
+    """Maximal intervals (first, end) of words from overlapping or touching ones."""
+    out: list[tuple[int, int]] = []
+    for first, end in sorted(covered):
+        if out and first <= out[-1][1]:
+            out[-1] = (out[-1][0], max(end, out[-1][1]))
+        else:
+            out.append((first, end))
+    return out
 
 
 def remove_repeats(
@@ -144,10 +152,26 @@ def remove_repeats(
     again = found.groupBy("anchor").agg(F.min("key").alias("x"), F.max("key").alias("y"), F.max("own").alias("own"))
     again = again.where("x <> y or own").select("anchor")
     again = found.join(again, "anchor").groupBy("key").agg(F.collect_set("anchor").alias("anchors"))
-    met = stored(candidates(texts.join(again, "key"), width, gram), "windows")
-    place = F.struct("key", "number")
-    twice = met.groupBy("hash").agg(F.min(place).alias("x"), F.max(place).alias("y")).where("x <> y").select("hash")
-    twice = met.join(twice, "hash").groupBy("key").agg(F.collect_set("number").alias("numbers"))
+    met = stored(runs(texts.join(again, "key").dropDuplicates(["key"]), width, gram), "runs")
+    discard(found)
+
+    # a run that is found again has only repeated windows; one that isn't shares some at most with runs of its anchor
+    times = stored(met.groupBy("anchor", "run").agg(F.count("*").alias("times")), "times")
+    once = times.where("times = 1")
+    end = lambda n: (n + width).alias("end")
+    whole = met.join(times.where("times > 1"), ["anchor", "run"]).select(
+        "key", "first", end(F.col("first") + F.size("hashes") - 1)
+    )
+    single = met.join(once.select("anchor").distinct(), "anchor").join(once, ["anchor", "run"], "left").select(
+        "key", "first", F.col("times").isNotNull().alias("once"), F.posexplode("hashes").alias("at", "hash")
+    )
+    single = stored(single.select("key", "once", (F.col("first") + F.col("at")).alias("first"), "hash"), "windows")
+    twice = single.groupBy("hash").agg(F.count("*").alias("times")).where("times > 1").select("hash")
+    part = single.where("once").join(twice, "hash").select("key", "first", end(F.col("first")))
+    covered = F.collect_list(F.struct("first", "end")).alias("covered")
+    twice = stored(whole.unionByName(part).groupBy("key").agg(covered), "covered")
+    for table in (met, times, single):
+        discard(table)
     marked = twice.join(copied, "key", "full")
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -160,7 +184,7 @@ def remove_repeats(
                 if copies[k].is_valid:
                     gone = [(0, len(words))] * (len(words) >= width)
                 elif found[k].is_valid:
-                    gone = spans(found[k].values.to_numpy(), width)
+                    gone = merged([(x["first"], x["end"]) for x in found[k].as_py()])
                 kept, at = [], 0
                 for a, b in gone:
                     kept += words[at:a]
@@ -174,6 +198,6 @@ def remove_repeats(
             )
 
     interval = pa.list_(pa.struct([("first", pa.int32()), ("end", pa.int32())]))
-    joined = keyed.join(marked, "key", "left").select(F.col(id), "text", "copies", "numbers")
+    joined = keyed.join(marked, "key", "left").select(F.col(id), "text", "copies", "covered")
     schema = f"`{id}` {kind}, n_words long, removed array<struct<first: int, end: int>>, kept string"
     return joined.mapInArrow(rows, schema)
