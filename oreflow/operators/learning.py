@@ -11,7 +11,14 @@ from multiprocessing.pool import ThreadPool
 
 from pyspark.ml import Estimator, Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassifier, LogisticRegression, OneVsRest, RandomForestClassifier
-from pyspark.ml.feature import FeatureHasher, IndexToString, OneHotEncoder, StringIndexer, VectorAssembler
+from pyspark.ml.feature import (
+    FeatureHasher,
+    Imputer,
+    IndexToString,
+    StringIndexer,
+    StringIndexerModel,
+    VectorAssembler,
+)
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -29,7 +36,9 @@ CONTINUOUS = (
     "mean_5m_reading_3",
 )
 
-MAX_CATEGORIES = 1000
+#: Most values that a label may have; they are listed on the driver.
+MAX_CLASSES = 1000
+#: Columns that all category values are hashed to.
 HASHED_SIZE = 1024
 
 
@@ -38,41 +47,42 @@ class FeatureSpec:
     label: str = LABEL
     categorical: tuple[str, ...] = CATEGORICAL
     continuous: tuple[str, ...] = CONTINUOUS
-    max_categories: int = MAX_CATEGORIES
+    max_classes: int = MAX_CLASSES
+    hashed_size: int = HASHED_SIZE
 
 
 def label_classes(rows: DataFrame, spec: FeatureSpec) -> list[str]:
     """The label's values in order; an error if there are too many to be classes."""
-    values = rows.select(spec.label).distinct().limit(spec.max_categories + 1).collect()
-    if len(values) > spec.max_categories:
-        raise ValueError(f"{spec.label} has more than {spec.max_categories} values")
+    values = rows.select(spec.label).distinct().limit(spec.max_classes + 1).collect()
+    if len(values) > spec.max_classes:
+        raise ValueError(f"{spec.label} has more than {spec.max_classes} values")
     return sorted(v[0] for v in values if v[0] is not None)
 
 
-def encoder(rows: DataFrame, spec: FeatureSpec = FeatureSpec()) -> Pipeline:
-    """Stages that make the columns ``features`` and ``label_index``.
+def encoder(spec: FeatureSpec = FeatureSpec()) -> Pipeline:
+    """Stages that make the columns ``features`` and ``label_index``; the same for any number of rows and values.
 
-    A category column becomes one-hot columns, unknown values all zero. A column with more values than
-    ``max_categories`` is hashed to a fixed number of columns, so that no list of its values is ever
-    gathered on the driver.
+    Category columns are hashed together to ``hashed_size`` columns, so no list of their values is gathered; a NULL
+    category sets none of them. A missing number counts as the mean of the rows that the stages are fitted on.
     """
-    counted = rows.agg(*[F.approx_count_distinct(c).alias(c) for c in spec.categorical]).first()
-    small = [c for c in spec.categorical if counted[c] <= spec.max_categories]
-    large = [c for c in spec.categorical if c not in small]
-    stages: list = [
-        StringIndexer(inputCol=spec.label, outputCol="label_index", stringOrderType="alphabetAsc", handleInvalid="skip")
-    ]
-    inputs = list(spec.continuous)
-    if small:
-        indexed, encoded = [f"{c}_index" for c in small], [f"{c}_onehot" for c in small]
-        stages.append(StringIndexer(inputCols=small, outputCols=indexed, handleInvalid="keep"))
-        stages.append(OneHotEncoder(inputCols=indexed, outputCols=encoded))  # drops the index of unknown values
-        inputs += encoded
-    if large:
-        stages.append(FeatureHasher(inputCols=large, outputCol="hashed", numFeatures=HASHED_SIZE))
-        inputs.append("hashed")
-    stages.append(VectorAssembler(inputCols=inputs, outputCol="features", handleInvalid="skip"))
-    return Pipeline(stages=stages)
+    indexer = StringIndexer(inputCol=spec.label, outputCol="label_index", stringOrderType="alphabetAsc")
+    filled = [f"{c}_filled" for c in spec.continuous]
+    return Pipeline(
+        stages=[
+            indexer.setHandleInvalid("skip"),  # while fitting: a row without a label teaches nothing
+            Imputer(inputCols=list(spec.continuous), outputCols=filled),
+            FeatureHasher(inputCols=list(spec.categorical), outputCol="hashed", numFeatures=spec.hashed_size),
+            VectorAssembler(inputCols=[*filled, "hashed"], outputCol="features", handleInvalid="keep"),
+        ]
+    )
+
+
+def keep_all_rows(model: PipelineModel) -> PipelineModel:
+    """Let a fitted pipeline score rows whose label it has not seen, or that have none, instead of leaving them out."""
+    for stage in model.stages:
+        if isinstance(stage, StringIndexerModel):
+            stage.setHandleInvalid("keep")
+    return model
 
 
 def linear_classifier(alpha: float = 1.0, fit_intercept: bool = True, normalize: bool = True) -> LogisticRegression:
@@ -109,7 +119,7 @@ def train(rows: DataFrame, estimator: Estimator, spec: FeatureSpec = FeatureSpec
     """Encoding, model and conversion of predicted indexes back to label names, fitted as one pipeline."""
     classes = label_classes(rows, spec)
     names = IndexToString(inputCol="prediction", outputCol="predicted_label", labels=classes)
-    return Pipeline(stages=[*encoder(rows, spec).getStages(), estimator, names]).fit(rows)
+    return keep_all_rows(Pipeline(stages=[*encoder(spec).getStages(), estimator, names]).fit(rows))
 
 
 def evaluate(model: PipelineModel, rows: DataFrame, label: str = LABEL) -> dict[str, float]:
@@ -182,11 +192,11 @@ def search(
 
     Features are encoded once for all settings; each fit is a set of Spark jobs and a few run at a time.
     """
-    encoding = encoder(train_rows, spec).fit(train_rows)
+    encoding = encoder(spec).fit(train_rows)
     names = label_classes(train_rows, spec)
     keep = ["features", "label_index", spec.label]
     encoded = encoding.transform(train_rows).select(*keep).persist()
-    test = encoding.transform(test_rows).select(*keep).persist()
+    test = keep_all_rows(encoding).transform(test_rows).select(*keep).persist()
 
     def loss(params: dict) -> float:
         scored = make(**params).fit(encoded).transform(test)

@@ -40,17 +40,32 @@ def _label_counts(rows: DataFrame) -> DataFrame:
     )
 
 
-@query(TRAINING_SQL + f""" SELECT id, 6 + (SELECT COUNT(DISTINCT device_type) FROM training)
-          + (SELECT CASE WHEN COUNT(DISTINCT device_id) <= {learning.MAX_CATEGORIES} THEN COUNT(DISTINCT device_id)
-             ELSE {learning.HASHED_SIZE} END FROM training) AS columns,
+@query(TRAINING_SQL + f""" SELECT id, 6 + {learning.HASHED_SIZE} AS columns,
           CAST(DENSE_RANK() OVER (ORDER BY device_operational_status) - 1 AS DOUBLE) AS label_index FROM training""")
 def encode_features(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Encoded training rows: number of feature columns and label index per reading."""
     rows = _training_table(spark, sf_dir).read()
-    encoded = learning.encoder(rows).fit(rows).transform(rows)
+    encoded = learning.encoder().fit(rows).transform(rows)
     return encoded.select("id", F.size(vector_to_array("features")).alias("columns"), "label_index")
 
 
+@query(TRAINING_SQL + """, held AS (SELECT CASE WHEN device_type IN (SELECT MIN(device_type) FROM training)
+            THEN 'not seen' ELSE device_operational_status END AS label FROM training)
+          SELECT label, COUNT(*) AS support FROM held GROUP BY 1""")
+def score_unseen(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Support of every label when rows of one device type carry an unseen label and lack a reading: no row is lost."""
+    rows = _training_table(spark, sf_dir).read()
+    changed = F.col("device_type") == rows.agg(F.min("device_type")).first()[0]
+    held = rows.withColumns(
+        {
+            learning.LABEL: F.when(changed, "not seen").otherwise(F.col(learning.LABEL)),
+            "reading_1": F.when(~changed, F.col("reading_1")),
+        }
+    )
+    scored = learning.train(rows, learning.linear_classifier(alpha=0.01)).transform(held)
+    return _label_counts(scored).groupBy("label").agg(F.sum("n").alias("support"))
+
+
 @query()
 def train_linear(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Linear classifier trained on the earlier rows: confusion counts on the later ones."""
@@ -110,6 +125,6 @@ def retrain_loop(spark: SparkSession, sf_dir: str) -> DataFrame:
     fit_and_promote(learning.linear_classifier(**weak), weak)
     log = VersionedTable(spark, scratch(spark, "performance"))
     check = drift.monitor(
-        production_scores(), log, lambda: fit_and_promote(learning.forest(**strong), strong), drift.RUN_THRESHOLD
+        production_scores(), log, lambda: fit_and_promote(learning.boosted_trees(gamma=0.0, **strong), strong), drift.RUN_THRESHOLD
     )
     return versions.rows().select("model", "version", "stage", F.lit(check.need_retrain).alias("needed_retrain"))

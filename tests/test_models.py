@@ -104,12 +104,15 @@ def test_training_learns_a_plain_rule(training, make, params):
     }
 
 
-def test_unknown_and_many_categories(training):
-    spec = learning.FeatureSpec(max_categories=5)
-    for s, size in ((learning.FeatureSpec(), 6 + 2 + 20), (spec, 6 + 2 + learning.HASHED_SIZE)):
-        fitted = learning.encoder(training, s).fit(training)
-        new = training.limit(3).withColumn("device_id", F.lit("never seen"))
-        assert {r.features.size for r in fitted.transform(new).collect()} == {size}
+def test_unknown_values_are_encoded_and_kept(training):
+    for s, size in ((learning.FeatureSpec(), 6 + learning.HASHED_SIZE), (learning.FeatureSpec(hashed_size=8), 6 + 8)):
+        model = learning.train(training, learning.linear_classifier(), s)
+        new = training.limit(4).withColumn("device_id", F.lit("never seen"))
+        new = new.withColumn("reading_1", F.lit(None).cast("double")).withColumn(learning.LABEL, F.lit("new"))
+        new = new.unionByName(new.withColumn("device_type", F.lit(None)).withColumn(learning.LABEL, F.lit(None)))
+        rows = model.transform(new).collect()
+        assert len(rows) == 8 and {r.features.size for r in rows} == {size}
+        assert all(r.predicted_label in ("bad", "good", "odd") for r in rows)
 
 
 def test_search_returns_every_setting(training):
