@@ -111,6 +111,7 @@ def forest(n_estimators: int = 20, max_depth: int = 5, gamma: float = 0.0) -> Ra
         numTrees=n_estimators,
         maxDepth=max_depth,
         minInfoGain=gamma,
+        featureSubsetStrategy="onethird",  # most columns are hashed categories; the root of all would rarely hold a number
         seed=42,
     )
 
