@@ -238,6 +238,10 @@ class VersionedTable:
             raise RuntimeError(f"rows read from folders that are not segments of {self.path}")
         return touched, tuple(s for s in v.segments if s not in touched)
 
+    def _file_system(self, location: str):
+        path = self.spark._jvm.org.apache.hadoop.fs.Path(location)
+        return path.getFileSystem(self.spark._jsc.hadoopConfiguration()), path
+
     def _write(self, rows: DataFrame, cluster_by: str | None) -> list[str]:
         folder = f"{self.path}/data/{uuid.uuid4().hex}"
         if cluster_by is None:
@@ -246,8 +250,9 @@ class VersionedTable:
         # rebalancing gives each value few, even files and splits a value that holds much of the table
         tagged = rows.withColumn(SEGMENT, F.expr(cluster_by).cast("string")).hint("rebalance", SEGMENT)
         tagged.write.mode("errorifexists").partitionBy(SEGMENT).parquet(folder)
-        files = self.spark.read.schema(tagged.schema).parquet(folder).inputFiles()
-        return sorted({unquote(f.rsplit("/", 1)[0]) for f in files})
+        # one folder per segment; its files are not listed
+        fs, path = self._file_system(folder)
+        return sorted(f.getPath().toString() for f in fs.listStatus(path) if f.isDirectory())
 
     def _next(
         self,
@@ -279,8 +284,17 @@ class VersionedTable:
             "cluster_by": cluster_by,
             "segments": list(segments),
         }
-        entry = self.spark.range(1).select(F.lit(json.dumps(row)).alias("value")).coalesce(1)
-        entry.write.mode("errorifexists").text(f"{self.path}/history/v{version:010d}")
+        # complete under a name of its own, then given the version's name, which fails if that is taken
+        pending, name = f"{self.path}/pending/{uuid.uuid4().hex}.json", f"{self.path}/history/v{version:010d}.json"
+        fs, path = self._file_system(pending)
+        out = fs.create(path, False)
+        out.write(bytearray(json.dumps(row).encode()))
+        out.close()
+        gateway, hadoop = self.spark.sparkContext._gateway, self.spark._jvm.org.apache.hadoop.fs
+        fs.mkdirs(hadoop.Path(f"{self.path}/history"))
+        context = hadoop.FileContext.getFileContext(path.toUri(), self.spark._jsc.hadoopConfiguration())
+        no_overwrite = gateway.new_array(getattr(hadoop, "Options$Rename"), 0)
+        context.rename(path, hadoop.Path(name), no_overwrite)
         return Version(version, now, operation, parameters, schema, cluster_by, tuple(segments))
 
     def _has_batch(self, batch: tuple[str, int]) -> bool:

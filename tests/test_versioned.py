@@ -1,5 +1,7 @@
 """Versioned tables: commits, time travel, changes, clones, evolution."""
 
+import os
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -173,3 +175,22 @@ def test_append_then_partial_rewrite_of_a_table_without_clustering(table):
     assert first in table.latest().segments and second not in table.latest().segments
     table.update({"v": 5.0}, F.col("id") == 777)  # meets no row: a version, but nothing written
     assert len(table.latest().segments) == 2 and table.latest().version == 3
+
+
+def test_a_commit_that_died_does_not_block_the_next(spark, folder):
+    table = VersionedTable.create(spark, f"{folder}/t", spark.range(3))
+    os.makedirs(f"{folder}/t/history/v0000000001/_temporary/0")
+    os.makedirs(f"{folder}/t/pending", exist_ok=True)
+    with open(f"{folder}/t/pending/left.json", "w") as f:
+        f.write('{"version": 1')
+    assert table.append(spark.range(2)).version == 1
+    assert table.latest().version == 1 and table.read().count() == 5
+
+
+def test_two_writers_of_one_version(spark, folder):
+    table = VersionedTable.create(spark, f"{folder}/t", spark.range(3))
+    old = table.latest()
+    table.append(spark.range(2))
+    with pytest.raises(Exception, match="already exists"):
+        table._next(old, "append", {}, old.schema, list(old.segments))
+    assert table.read().count() == 5
