@@ -34,8 +34,11 @@ LEAST_TEXTS = 4
 #: Texts whose weight the prior odds have, and the first bias.
 PRIOR_TEXTS = 20
 START_BIAS = -3.0
-STEPS = 150
+STEPS = 100
 BATCH = 256
+#: Texts that are cut to words, and words whose n-grams are hashed, at once; they bound the memory of a fit.
+TEXTS_AT_ONCE = 100
+WORDS_AT_ONCE = 20_000
 RATE = 4.0
 DECAY = 1e-4
 HELD_OUT = 5
@@ -107,24 +110,46 @@ def scores(model: Model, texts: pa.Array) -> np.ndarray:
     return 1 / (1 + np.exp(-np.clip(logit + model.bias, -30, 30)))
 
 
+def vocabulary(texts: list[str]) -> tuple[list[bytes], np.ndarray, np.ndarray]:
+    """The different words of some texts, which of them each word is, and where each text's words begin."""
+    known: dict[int, int] = {}
+    listed: list[bytes] = []
+    which, count = [np.zeros(0, np.int64)], [np.zeros(1, np.int64)]
+    for k in range(0, len(texts), TEXTS_AT_ONCE):
+        words = Words(pa.array(texts[k : k + TEXTS_AT_ONCE], pa.large_string()), lower=True)
+        hashes, at, own = np.unique(words.hashes(), return_index=True, return_inverse=True)
+        number = np.array([known.setdefault(h, len(known)) for h in hashes.tolist()], np.int64)
+        new = np.flatnonzero(number >= len(listed))
+        listed += [words.data[words.start[i] : words.end[i]].tobytes() for i in at[new[np.argsort(number[new])]]]
+        which.append(number[own] if len(own) else own)
+        count.append(words.counts())
+    return listed, np.concatenate(which).astype(np.int64), np.cumsum(np.concatenate(count))
+
+
 def fit(texts: list[str], labels: list[int], seed: int = 0) -> Model:
     """Fit embeddings and softmax on texts with labels 0 and 1."""
     rng = np.random.default_rng(seed)
-    words = Words(pa.array(texts, pa.large_string()), lower=True)
     y = np.array(labels, np.float64)
-    if not len(words.start):
+    listed, which, first = vocabulary(texts)
+    if not listed:
         return Model(np.zeros(ROWS, np.float32), 0.0)
-    at, which = distinct(words)
-    rows, begin = word_rows(words, at)
     # only n-grams of enough texts are learnt; the others stay zero, all in one row of their own
-    owner = np.repeat(np.arange(len(y)), np.diff(words.first))
-    pair = np.unique(owner * len(at) + which)
-    by_word = [np.bincount(pair[y[pair // len(at)] == k] % len(at), minlength=len(at)) for k in (0, 1)]
-    count = np.diff(begin)
-    texts_of = [np.bincount(rows, np.repeat(n, count), ROWS) for n in by_word]
+    pair = np.unique(np.repeat(np.arange(len(y)), np.diff(first)) * len(listed) + which)
+    by_word = [np.bincount(pair[y[pair // len(listed)] == k] % len(listed), minlength=len(listed)) for k in (0, 1)]
+    texts_of = [np.zeros(ROWS), np.zeros(ROWS)]
+    parts, sizes = [], [np.zeros(1, np.int64)]
+    for k in range(0, len(listed), WORDS_AT_ONCE):
+        own = Words(pa.array(listed[k : k + WORDS_AT_ONCE], pa.large_binary()))
+        found, begin = word_rows(own, np.arange(len(own.start)))
+        parts.append(found.astype(np.int32))
+        sizes.append(np.diff(begin))
+        for n, total in zip(by_word, texts_of):
+            total += np.bincount(found, np.repeat(n[k : k + WORDS_AT_ONCE], sizes[-1]), ROWS)
+    rows, begin = np.concatenate(parts), np.cumsum(np.concatenate(sizes))
+    del parts
     known = np.flatnonzero(texts_of[0] + texts_of[1] >= LEAST_TEXTS)
-    compact = np.full(ROWS, len(known))
-    compact[known] = np.arange(len(known))
+    compact = np.full(ROWS, len(known), np.int32)
+    compact[known] = np.arange(len(known), dtype=np.int32)
     rows = compact[rows]
     # first vectors: along the softmax by the n-gram's log odds, less sure the fewer texts have it
     seen = texts_of[0][known], texts_of[1][known]
@@ -138,12 +163,12 @@ def fit(texts: list[str], labels: list[int], seed: int = 0) -> Model:
     bias = np.full(1, START_BIAS)
     share = np.where(y == 1, 0.5 / max(y.sum(), 1), 0.5 / max((1 - y).sum(), 1)) * len(y)
     state = [np.zeros_like(p) for p in (table, softmax, bias)]
-    with_words = np.flatnonzero(np.diff(words.first))
+    with_words = np.flatnonzero(np.diff(first))
     for step in range(1, STEPS + 1):
         sharp = 2.0
         batch = rng.choice(with_words, min(BATCH, len(with_words)), replace=False)
-        own = np.concatenate([which[words.first[k] : words.first[k + 1]] for k in batch])
-        start, of = chunks(np.concatenate([[0], np.cumsum(np.diff(words.first)[batch])]))
+        own = np.concatenate([which[first[k] : first[k + 1]] for k in batch])
+        start, of = chunks(np.concatenate([[0], np.cumsum(np.diff(first)[batch])]))
         used, local = np.unique(own, return_inverse=True)
         count = np.diff(begin)[used]
         gram = rows[np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count) + np.repeat(begin[used], count)]
