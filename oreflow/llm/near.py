@@ -5,14 +5,15 @@ are put into bands of sizes from 2^k to 2^(k + 1) - 1. Each band cuts the univer
 ranges, its segments, more of them than the band's largest set can differ in. So two similar sets agree fully
 in some segment (pigeonhole), and share an index entry made from that segment's subset. Some segments of a band
 also index their subsets with one shingle left out: two sets that differ by one shingle there still meet, so such
-a segment counts twice. A set may so pass over its costliest lists, those of its empty segments, which all sets
-of the band share: it does while its other entries reach the bound. The few sets for which they don't reach it
-look up the empty segments too. Sets at the low end of a band are also entered under the band below.
+a segment counts twice. With that a set's segments count for more than the bound, and it need not look up all of
+them: once the lengths of the lists are known, a set leaves out its longest lists, as long as its other segments
+reach the bound. Empty segments, which all sets of a band share, are left out first. The few sets for which the
+rest doesn't reach the bound look up everything.
 
 Entries that meet give candidates, verified by exact set sizes. Entries are not paired with each other within a
 list, which may hold a third of all sets: first every set of a list is verified against the list's first. Only
-sets of one list that are in different components after that are verified with each other, so no link between
-components is lost, and no component takes the square of its size.
+sets of one list that are in different components after that, and that were not left out, are compared with
+each other; so no link between components is lost, and no component takes the square of its size.
 """
 
 from __future__ import annotations
@@ -24,12 +25,17 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from oreflow.llm.common import small, stored
+from oreflow.llm.common import discard, small, stored
 from oreflow.llm.graph import components
 from oreflow.llm.words import Words, mix, signed, slices, windows
 
 WIDTH = 5
 PERCENT = 80
+#: Bits of the parity map of a set, by which most pairs that are not similar are told before their sets are fetched.
+PARITY_BITS = 1024
+#: Kinds of index entries: a set is only found by FOUND ones, may leave out SPARED ones, looks up ASKED ones. Those of
+#: empty segments are looked up by sets that need them only.
+FOUND, SPARED, ASKED, EMPTY, EMPTY_ASKED = range(5)
 _SEGMENT = np.uint64(0xD1B54A32D192ED03)
 
 
@@ -53,6 +59,12 @@ def set_key(grams: np.ndarray) -> int:
     return int(signed(mix(mix(grams).sum(keepdims=True, dtype=np.uint64) + np.uint64(len(grams))))[0])
 
 
+def parity(grams: np.ndarray) -> bytes:
+    """Whether an odd number of shingles falls on each bit; two sets differ by at least as many shingles as bits."""
+    at = (mix(grams ^ _SEGMENT) & np.uint64(PARITY_BITS - 1)).astype(np.int64)
+    return np.packbits((np.bincount(at, minlength=PARITY_BITS) & 1).astype(bool)).tobytes()
+
+
 def differing(small_size: int, percent: int) -> int:
     """Most shingles in which a set of that size and a similar one that is no smaller can differ."""
     return (100 - percent) * (small_size + small_size * 100 // percent) // (100 + percent)
@@ -61,14 +73,26 @@ def differing(small_size: int, percent: int) -> int:
 def band_layout(band: int, percent: int) -> tuple[int, int]:
     """Segments of a band, and how many of them also index their one-deletion neighbourhoods."""
     segments = differing((2 << band) - 1, percent) + 1
-    return segments, min(segments, segments // 16 + 3)
+    return segments, min(segments, segments // 24 + 3)
 
 
-def entries(grams: np.ndarray, band: int, percent: int) -> tuple[np.ndarray, np.ndarray, int]:
-    """Index entries of a set's segments, those of its empty segments, and for how much the former count."""
-    segments, deletions = band_layout(band, percent)
+def segment_sizes(grams: np.ndarray, segments: int) -> tuple[np.ndarray, np.ndarray]:
+    """The segment of each shingle, ascending as the shingles are, and the number in each segment."""
     at = (((grams >> np.uint64(32)) * np.uint64(segments)) >> np.uint64(32)).astype(np.int64)
-    size = np.bincount(at, minlength=segments)
+    return at, np.bincount(at, minlength=segments)
+
+
+def spare(grams: np.ndarray, percent: int) -> int:
+    """By how much a set's segments count for more than the bound; negative if for less."""
+    segments, deletions = band_layout(len(grams).bit_length() - 1, percent)
+    _, size = segment_sizes(grams, segments)
+    return int((size > 0).sum() + (size[:deletions] > 1).sum()) - differing(len(grams), percent) - 1
+
+
+def entries(grams: np.ndarray, band: int, percent: int, short: bool) -> tuple[np.ndarray, np.ndarray]:
+    """Index entries of a set in its band and their kinds; ``short`` if it has nothing to spare."""
+    segments, deletions = band_layout(band, percent)
+    at, size = segment_sizes(grams, segments)
     full = np.flatnonzero(size)
     element = mix(grams ^ _SEGMENT)
     total = np.zeros(segments, np.uint64)
@@ -76,37 +100,40 @@ def entries(grams: np.ndarray, band: int, percent: int) -> tuple[np.ndarray, np.
     tag = mix(np.arange(segments, dtype=np.uint64) + np.uint64((band + 1) << 40))
     deleted = np.flatnonzero((at < deletions) & (size[at] > 1))
     without = mix(total[at[deleted]] - element[deleted] + tag[at[deleted]])
-    own = np.unique(np.concatenate([mix(total[full] + tag[full]), without]))
-    counts = len(full) + int((size[:deletions] > 1).sum())
-    return own, mix(tag[size == 0]), counts
+    kind = np.full(segments + len(deleted), ASKED)
+    kind[deletions:segments] = ASKED if short else SPARED
+    kind[:segments][size == 0] = EMPTY_ASKED if short else EMPTY
+    return np.concatenate([mix(total + tag), without]), kind
 
 
-def memberships(docs: DataFrame, id: str, text: str, width: int) -> DataFrame:
-    """(id, set, size) per row; no set for documents without words."""
+def memberships(docs: DataFrame, id: str, text: str, width: int, percent: int) -> DataFrame:
+    """(id, set, size, spare, parity) per row; no set for documents without words."""
     kind = docs.schema[id].dataType.simpleString()
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in slices(batches, text):
-            keys, sizes = [], []
+            keys, sizes, spares, maps = [], [], [], []
             for grams in shingle_sets(part.column(1), width):
                 keys.append(set_key(grams) if len(grams) else None)
                 sizes.append(len(grams))
+                spares.append(spare(grams, percent) if len(grams) else 0)
+                maps.append(parity(grams))
             columns = [part.column(0), pa.array(keys, pa.int64()), pa.array(sizes, pa.int64())]
-            yield pa.RecordBatch.from_arrays(columns, names=[id, "set", "size"])
+            columns += [pa.array(spares, pa.int64()), pa.array(maps, pa.binary())]
+            yield pa.RecordBatch.from_arrays(columns, names=[id, "set", "size", "spare", "parity"])
 
-    return docs.select(F.col(id), F.col(text)).mapInArrow(rows, f"`{id}` {kind}, set long, size long")
+    schema = f"`{id}` {kind}, set long, size long, spare long, parity binary"
+    return docs.select(F.col(id), F.col(text)).mapInArrow(rows, schema)
 
 
 def indexed(docs: DataFrame, text: str, width: int, percent: int) -> DataFrame:
-    """(entry, set, size, empty, short) of every different set; a task enters copies once.
-
-    ``empty`` marks entries of empty segments, ``short`` sets whose other entries don't reach the bound.
-    """
+    """(entry, set, size, kind) of every different set; a task enters copies once."""
+    names = ["entry", "set", "size", "kind"]
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[int] = set()
         for part in slices(batches, text, 1 << 20):
-            columns: list[list] = [[], [], [], [], []]
+            columns: list[list] = [[] for _ in names]
             for grams in shingle_sets(part.column(0), width):
                 n = len(grams)
                 key = set_key(grams) if n else 0
@@ -114,21 +141,31 @@ def indexed(docs: DataFrame, text: str, width: int, percent: int) -> DataFrame:
                     continue
                 seen.add(key)
                 band = n.bit_length() - 1
-                bands = [band] + [band - 1] * (-(-n * percent // 100) < 1 << band)
-                for b in bands:
-                    own, empty, counts = entries(grams, b, percent)
-                    short = b == band and counts <= differing(n, percent)
-                    for found, is_empty in ((own, False), (empty, True)):
-                        columns[0].append(found)
-                        for column, value in zip(columns[1:], (key, n, is_empty, short)):
-                            column.append(np.full(len(found), value))
+                found, kind = entries(grams, band, percent, spare(grams, percent) < 0)
+                parts = [(found, kind)]
+                if -(-n * percent // 100) < 1 << band:  # sets of the band below may find it
+                    found, kind = entries(grams, band - 1, percent, False)
+                    parts.append((found, np.where(kind == EMPTY, EMPTY, FOUND)))
+                for found, kind in parts:
+                    for column, value in zip(columns, (found, np.full(len(found), key), np.full(len(found), n), kind)):
+                        column.append(value)
             if columns[0]:
-                entry, *rest = (np.concatenate(c) for c in columns)
-                arrays = [pa.array(signed(entry)), pa.array(rest[0], pa.int64()), pa.array(rest[1], pa.int32())]
-                arrays += [pa.array(c, pa.bool_()) for c in rest[2:]]
-                yield pa.RecordBatch.from_arrays(arrays, names=["entry", "set", "size", "empty", "short"])
+                entry, key, size, kind = (np.concatenate(c) for c in columns)
+                arrays = [pa.array(signed(entry)), pa.array(key), pa.array(size, pa.int32()), pa.array(kind, pa.int8())]
+                yield pa.RecordBatch.from_arrays(arrays, names=names)
 
-    return docs.select(F.col(text)).mapInArrow(rows, "entry long, set long, size int, empty boolean, short boolean")
+    return docs.select(F.col(text)).mapInArrow(rows, "entry long, set long, size int, kind tinyint")
+
+
+def looked_up(met: DataFrame, where: DataFrame) -> DataFrame:
+    """(entry, set, size) that each set looks up, of lists that hold others too: the longest are left out."""
+    length = met.groupBy("entry").agg(F.count("*").alias("length"))
+    longest = Window.partitionBy("set").orderBy(F.desc("length"), "entry")  # of the lists of one set
+    spared = met.where(F.col("kind") == SPARED).join(length, "entry").withColumn("rank", F.row_number().over(longest))
+    spared = spared.join(where.select("set", "spare"), "set").where("rank > spare")
+    return spared.select("entry", "set", "size").unionByName(
+        met.where(F.col("kind").isin(ASKED, EMPTY_ASKED)).select("entry", "set", "size")
+    )
 
 
 def _alike(x: Column, y: Column, percent: int) -> Column:
@@ -136,8 +173,28 @@ def _alike(x: Column, y: Column, percent: int) -> Column:
     return 100 * F.least(x, y) >= percent * F.greatest(x, y)
 
 
+def may_be_similar(pairs: DataFrame, where: DataFrame, percent: int) -> DataFrame:
+    """Of pairs (a, b) of sets, those whose parity maps don't exclude that they are similar."""
+
+    def near(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            x, y = (
+                np.frombuffer(b"".join(batch.column(k).to_pylist()), np.uint64).reshape(batch.num_rows, -1)
+                for k in (2, 3)
+            )
+            bits = np.bitwise_count(x ^ y).sum(axis=1, dtype=np.int64)
+            ok = (100 + percent) * bits <= (100 - percent) * batch.column(4).to_numpy()
+            yield batch.select([0, 1]).filter(pa.array(ok))
+
+    x = where.select(F.col("set").alias("a"), F.col("size").alias("m"), F.col("parity").alias("x"))
+    y = where.select(F.col("set").alias("b"), F.col("size").alias("n"), F.col("parity").alias("y"))
+    sized = pairs.join(x, "a").join(y, "b").select("a", "b", "x", "y", (F.col("m") + F.col("n")).alias("sizes"))
+    return sized.mapInArrow(near, "a long, b long")
+
+
 def similar(pairs: DataFrame, docs: DataFrame, where: DataFrame, id: str, text: str, width: int, percent: int):
-    """Of pairs (a, b) of sets, those that are similar; ``where`` has a document for each set."""
+    """Of pairs (a, b) of sets, those that are similar; ``where`` has a document, size and parity of each set."""
+    pairs = stored(may_be_similar(pairs, where, percent), "pairs")
     ends = pairs.select(F.col("a").alias("set")).unionByName(pairs.select(F.col("b").alias("set"))).distinct()
     needed = stored(ends.join(where, "set").select("set", F.col("doc")), "needed")
 
@@ -177,33 +234,37 @@ def near_duplicates(
     with none, and is never the smallest of others. An empty table gives an empty result. Columns other than
     ``id`` and ``text`` are not read.
     """
-    members = stored(memberships(docs, id, text, width), "members")
-    where = stored(members.where("set is not null").groupBy("set").agg(F.min(id).alias("doc")), "sets")
-    listed = Window.partitionBy("entry").orderBy(F.desc("short"), "set")
-    first = F.first(F.struct("set", "size", "short")).over(listed)
-    met = indexed(docs, text, width, percent).withColumn("head", first)
-    met = met.where("set <> head.set and (not empty or head.short)")
-    met = stored(met.select("entry", "set", "size", "empty", "short", F.col("head.set").alias("head"),
-                            F.col("head.size").alias("head_size")), "met")
-    heads = met.where(_alike(F.col("size"), F.col("head_size"), percent))
-    heads = stored(heads.select(F.col("head").alias("a"), F.col("set").alias("b")).distinct(), "pairs")
+    members = stored(memberships(docs, id, text, width, percent), "members")
+    where = members.where("set is not null").groupBy("set").agg(
+        F.min(id).alias("doc"), F.first("size").alias("size"), F.first("spare").alias("spare"), F.first("parity").alias("parity")
+    )
+    where = stored(where, "sets")
+    row = ["set", "size", "kind"]
+    listed = Window.partitionBy("entry").orderBy(F.desc("kind"), "set")
+    # an empty segment's list matters only if it has a set that looks it up, which then comes first
+    met = indexed(docs, text, width, percent).withColumn("head", F.first(F.struct(*row)).over(listed))
+    met = stored(met.where(f"set <> head.set and (kind <> {EMPTY} or head.kind = {EMPTY_ASKED})"), "met")
+    heads = met.where(_alike(F.col("size"), F.col("head.size"), percent))
+    heads = stored(heads.select(F.col("head.set").alias("a"), F.col("set").alias("b")).distinct(), "pairs")
     links = stored(similar(heads, docs, where, id, text, width, percent), "links")
     parts = stored(components(links), "components").withColumnRenamed("node", "set")
 
     # within a list, sets that are still apart
-    apart = met.distinct().join(parts, "set", "left").withColumn("component", F.coalesce("component", "set"))
-    mixed = apart.groupBy("entry").agg(F.min("component").alias("x"), F.max("component").alias("y")).where("x <> y")
-    apart = stored(apart.join(mixed.select("entry"), "entry", "left_semi"), "apart")
-    x, y = apart.alias("x"), apart.alias("y")
-    rest = x.join(y, F.expr("x.entry = y.entry and x.set < y.set and x.component <> y.component"))
-    rest = rest.where(_alike(F.col("x.size"), F.col("y.size"), percent))
-    rest = rest.where("not x.empty or x.short or y.short")
+    every = met.select("entry", *row).unionByName(met.select("entry", *(f"head.{c}" for c in row))).distinct()
+    every = every.join(parts, "set", "left").withColumn("component", F.coalesce("component", "set"))
+    mixed = every.groupBy("entry").agg(F.min("component").alias("x"), F.max("component").alias("y")).where("x <> y")
+    every = stored(every.join(mixed.select("entry"), "entry", "left_semi"), "lists")
+    discard(met)
+    asked = looked_up(every, where).join(parts, "set", "left").withColumn("component", F.coalesce("component", "set"))
+    later = "x.entry = y.entry and x.component <> y.component and struct(x.size, x.set) < struct(y.size, y.set)"
+    rest = asked.alias("x").join(every.alias("y"), F.expr(later) & _alike(F.col("x.size"), F.col("y.size"), percent))
     rest = rest.select(F.col("x.set").alias("a"), F.col("y.set").alias("b")).distinct()
     rest = stored(rest, "pairs")
+    discard(every)
     more = similar(rest, docs, where, id, text, width, percent)
     parts = stored(components(links.unionByName(more)), "components").withColumnRenamed("node", "set")
 
-    label = where.join(parts, "set", "left").withColumn("component", F.coalesce("component", "set"))
+    label = where.select("set", "doc").join(parts, "set", "left").withColumn("component", F.coalesce("component", "set"))
     least = label.groupBy("component").agg(F.min("doc").alias("component_id"))
     label = stored(label.join(least, "component").select("set", "component_id"), "labels")
     return members.join(label, "set", "left").select(
