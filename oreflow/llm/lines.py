@@ -3,13 +3,14 @@
 A line is the set of its words in lower case. Words are ordered by rarity, the same way in all lines. Of two
 lines with a Jaccard similarity of at least t, the first |x| - ceil(t |x|) + 1 words in that order have one in
 common (prefix filter), at places that leave room for enough others (positional filter), and their sizes are
-alike (length filter); a 64-bit map of the words excludes most other pairs. What remains is verified on the whole
+alike (length filter); a 128-bit map of the words excludes most other pairs. What remains is verified on the whole
 sets. Everything is DataFrame expressions.
 
 Rarity is counted for hash buckets of words, so that the table of counts has the same size for any corpus; the
-order needs to be the same everywhere, not exact. Equal lines are merged before the join. Lines under a prefix
-word are not paired with each other at once: each is first verified against the earliest of them, and only lines
-that match none so are joined with all earlier ones.
+order needs to be the same everywhere, not exact. A word is a 31-bit number, the rank of its bucket and the rest of
+its hash. Equal lines are merged before the join. Many lines with the same two rarest words, such as copies with a
+few words changed, are first verified against the earliest of them only; pairs of lines that both match one so
+are left out of the join.
 """
 
 from __future__ import annotations
@@ -46,46 +47,43 @@ def rarity(docs: DataFrame, text: str, buckets: int) -> Column:
     rank = [0] * buckets
     for place, bucket in enumerate(sorted(range(buckets), key=lambda b: (counts.get(b, 0), b))):
         rank[bucket] = place
-    return F.split(F.lit(",".join(map(str, rank))), ",").cast("array<long>")
+    return F.split(F.lit(",".join(map(str, rank))), ",").cast("array<int>")
 
 
 def tokens(line: Column, rank: Column, buckets: int) -> Column:
     """Distinct words of a line as positive numbers, rarest first: rank of the bucket, then the rest of the hash."""
     bits = buckets.bit_length() - 1
-    hashes = F.array_distinct(F.transform(word_list(line), lambda w: F.xxhash64(w)))
-    token = lambda h: F.shiftleft(
-        F.get(rank, h.bitwiseAND(buckets - 1).cast("int")), 63 - bits
-    ).bitwiseOR(F.shiftrightunsigned(h, bits + 1))
-    return F.sort_array(F.transform(hashes, token))
 
+    def token(word: Column) -> Column:
+        hashed = F.xxhash64(word)
+        high = F.get(rank, hashed.bitwiseAND(buckets - 1).cast("int"))
+        return F.shiftleft(high, 31 - bits).bitwiseOR(F.shiftrightunsigned(hashed, 33 + bits).cast("int"))
 
-def token_lines(docs: DataFrame, id: str, text: str, rank: Column, buckets: int) -> DataFrame:
-    """Lines with words, as (id, key, number, tokens, set); ``set`` names the set of words."""
-    lines = text_lines(docs, id, text).withColumn("tokens", tokens(F.col("line"), rank, buckets)).drop("line")
-    return lines.where(F.size("tokens") > 0).withColumn("set", F.xxhash64("tokens"))
+    return F.sort_array(F.array_distinct(F.transform(word_list(line), token)))
 
 
-def may_match(x: str, y: str, percent: int) -> Column:
-    """Length, positional and bitmap filter for two prefix rows of one word."""
+def may_match(x: str, y: str, percent: int, placed: bool = True) -> Column:
+    """Length and bitmap filter for two sets, and positional filter if they are prefix rows of one word."""
     sizes = f"({x}.size + {y}.size)"
-    return F.expr(
-        f"100 * least({x}.size, {y}.size) >= {percent} * greatest({x}.size, {y}.size)"
-        f" and {100 + percent} * least({x}.size - {x}.pos, {y}.size - {y}.pos) >= {percent} * {sizes}"
-        f" and {100 + percent} * bit_count({x}.bits ^ {y}.bits) <= {100 - percent} * {sizes}"
-    )
+    rules = [
+        f"100 * least({x}.size, {y}.size) >= {percent} * greatest({x}.size, {y}.size)",
+        f"{100 + percent} * (bit_count({x}.low ^ {y}.low) + bit_count({x}.high ^ {y}.high)) <= {100 - percent} * {sizes}",
+        f"{100 + percent} * least({x}.size - {x}.pos, {y}.size - {y}.pos) >= {percent} * {sizes}",
+    ]
+    return F.expr(" and ".join(rules if placed else rules[:2]))
 
 
 def verified(pairs: DataFrame, lines: DataFrame, percent: int) -> DataFrame:
-    """Of pairs (early, late) of sets, the late ones of those that are similar."""
-    needed = pairs.select(F.col("early").alias("set")).unionByName(pairs.select(F.col("late").alias("set")))
+    """Of pairs (a, b) of sets, those that are similar; ``lines`` has the tokens."""
+    needed = pairs.select(F.col("a").alias("set")).unionByName(pairs.select(F.col("b").alias("set")))
     needed = stored(needed.distinct(), "needed")
     sets = lines.select("set", "tokens").join(small(needed), "set", "left_semi").dropDuplicates(["set"])
     sets = stored(sets, "sets")
-    both = pairs.join(sets.select(F.col("set").alias("early"), F.col("tokens").alias("x")), "early")
-    both = both.join(sets.select(F.col("set").alias("late"), F.col("tokens").alias("y")), "late")
+    both = pairs.join(sets.select(F.col("set").alias("a"), F.col("tokens").alias("x")), "a")
+    both = both.join(sets.select(F.col("set").alias("b"), F.col("tokens").alias("y")), "b")
     shared = F.size(F.array_intersect("x", "y"))
     similar = 100 * shared >= percent * (F.size("x") + F.size("y") - shared)
-    return both.where(similar).select(F.col("late").alias("set")).distinct()
+    return both.where(similar).select("a", "b")
 
 
 def dedup_lines(
@@ -97,7 +95,7 @@ def dedup_lines(
     Columns named in ``carry`` come along in a struct of that name.
 
     A line is removed if an earlier line, removed or not, has a Jaccard similarity of at least ``percent``
-    hundredths; earlier by id, then by number in the text. Words are compared by 63-bit hashes.
+    hundredths; earlier by id, then by number in the text. Words are compared by 31-bit numbers.
 
     Defined cases. Lines without words match nothing and stay. A null text has no lines and stays null; an empty
     one has one empty line. Rows that agree in id and text are one document: each gets the result of the first.
@@ -106,50 +104,48 @@ def dedup_lines(
     than ``id`` and ``text`` are not read.
     """
     rank = rarity(docs, text, buckets)
-    lines = token_lines(docs, id, text, rank, buckets)
+    # told by the line itself: a filter on the tokens would have Spark make them twice
+    lines = text_lines(docs, id, text).where(F.col("line").rlike(r"[^\x20\x09-\x0D]"))
+    lines = lines.withColumn("tokens", tokens(F.col("line"), rank, buckets)).drop("line")
+    lines = stored(lines.withColumn("set", F.xxhash64("tokens")), "lines")
     n = F.size("tokens")
     prefix = F.slice("tokens", F.lit(1), n - F.floor((n * percent + 99) / 100).cast("int") + 1)
-    entered = stored(
-        lines.select(
-            "id", "key", "number", "set", n.alias("size"),
-            F.expr("aggregate(tokens, 0L, (b, t) -> b | shiftleft(1L, cast(t & 63 as int)))").alias("bits"),
-            F.transform(prefix, lambda t: F.shiftright(t, 32).cast("int")).alias("prefix"),
-        ),
-        "lines",
-    )
-    sets = entered.groupBy("set").agg(F.min(F.struct("id", "number", "size", "bits", "prefix")).alias("s"))
-    sets = stored(sets.select("set", "s.*"), "sets")
+    # whether an odd number of words falls on each of 128 bits; sets differ by at least as many words as bits
+    odd = "aggregate(tokens, 0L, (b, t) -> if(t & 64 = {}, b ^ shiftleft(1L, t & 63), b))"
+    low, high = F.expr(odd.format(0)).alias("low"), F.expr(odd.format(64)).alias("high")
+    own = F.struct("id", "number", n.alias("size"), low, high, prefix.alias("prefix"))
+    sets = lines.select("set", own.alias("s")).groupBy("set").agg(F.min("s").alias("s"))
+    sets = sets.select("set", F.struct("s.id", "s.number", "set").alias("place"), "s.size", "s.low", "s.high", "s.prefix")
+    sets = stored(sets, "sets")
 
-    words = sets.select(
-        "set", F.struct("id", "number", "set").alias("place"), "size", "bits", F.posexplode("prefix").alias("pos", "word")
-    )
-    by_place = Window.partitionBy("word").orderBy("place")
-    met = words.withColumns(
-        {
-            "x": F.first(F.struct("set", "size", "pos", "bits")).over(by_place),
-            "more": F.lead("set").over(by_place).isNotNull(),
-        }
-    ).where("more or x.set <> set")
-    met = stored(met.drop("more").withColumn("y", F.struct("size", "pos", "bits")), "met")
-
-    firsts = met.where("x.set <> set").where(may_match("x", "y", percent))
-    firsts = stored(firsts.select(F.col("x.set").alias("early"), F.col("set").alias("late")).distinct(), "pairs")
-    gone = stored(verified(firsts, lines, percent), "gone")
-
-    x, y = met.drop("x", "y").alias("x"), met.drop("x", "y").join(gone, "set", "left_anti").alias("y")
-    rest = x.join(y, F.expr("x.word = y.word and x.place < y.place") & may_match("x", "y", percent))
-    rest = rest.select(F.col("x.set").alias("early"), F.col("y.set").alias("late")).distinct()
-    rest = stored(rest.exceptAll(firsts), "pairs")
-    discard(met)
-    gone = stored(gone.unionByName(verified(rest, lines, percent)), "gone")
+    rarest = Window.partitionBy(F.get("prefix", F.lit(0)), F.get("prefix", F.lit(1))).orderBy("place")
+    heads = sets.withColumns({"x": F.first(F.struct("set", "size", "low", "high")).over(rarest), "y": F.struct("size", "low", "high")})
+    heads = heads.where("x.set <> set").where(may_match("x", "y", percent, placed=False))
+    heads = stored(heads.select(F.col("x.set").alias("a"), F.col("set").alias("b")), "pairs")
+    gone = stored(verified(heads, lines, percent).select(F.col("b").alias("set")).distinct(), "gone")
+
+    # both sides of the join read one shuffle, so conditions are on pairs of rows only
+    open_sets = sets.join(gone.withColumn("gone", F.lit(True)), "set", "left")
+    words = open_sets.select("set", "size", "low", "high", F.col("gone").isNull().alias("open"), F.posexplode("prefix").alias("pos", "word"))
+    words = words.repartition("word")
+    both = words.alias("x").join(words.alias("y"), F.expr("x.word = y.word and x.set < y.set and (x.open or y.open)"))
+    rest = both.where(may_match("x", "y", percent)).select(F.col("x.set").alias("a"), F.col("y.set").alias("b"))
+    rest = stored(rest.distinct(), "pairs")
+    place = sets.select("set", "place")
+    similar = verified(rest, lines, percent).join(place.withColumnsRenamed({"set": "a", "place": "p"}), "a")
+    similar = similar.join(place.withColumnsRenamed({"set": "b", "place": "q"}), "b")
+    late = similar.select(F.greatest("p", "q")["set"].alias("set"))
+    gone = stored(gone.unionByName(late).distinct(), "gone")
 
     # a line goes if its set does, or if it isn't the first with its set
-    state = sets.select("set", F.struct("id", "number").alias("place")).join(
+    state = sets.select("set", F.struct("place.id", "place.number").alias("first")).join(
         gone.withColumn("near", F.lit(True)), "set", "left"
     )
-    marked = entered.select("id", "key", "number", "set").join(state, "set")
-    marked = marked.where(F.col("near").isNotNull() | ~F.struct("id", "number").eqNullSafe(F.col("place")))
+    marked = lines.select("id", "key", "number", "set").join(state, "set")
+    marked = marked.where(F.col("near").isNotNull() | ~F.struct("id", "number").eqNullSafe(F.col("first")))
     marked = marked.groupBy("id", "key").agg(F.sort_array(F.collect_set("number")).alias("removed"))
+    marked = stored(marked, "removed")
+    discard(lines)
 
     along = [F.struct(*(F.col(c) for c in carry)).alias("carry")] if carry else []
     own = docs.select(F.col(id), F.col(text).alias("text"), F.xxhash64(F.col(text)).alias("key"), *along).alias("own")
