@@ -80,4 +80,18 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (op1_benchmark_decontamination, op2_best_fit_packing, op3_toxicity, op4_pii, op5_ngram_jaccard_join, op6_quality_rules, op7_substring_dedup, op8_warc, op9_license_scan, op10_line_dedup)}
-ORACLES: dict[str, str] = {}
+# Windows counted by their texts, kept words put together again.
+SUBSTRING_SQL = r"""WITH w AS (SELECT doc_id, list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS words
+  FROM documents),
+starts AS (SELECT doc_id, words, unnest(range(0, len(words) - 34)) AS s FROM w),
+hashed AS (SELECT doc_id, s, md5(array_to_string(words[s + 1 : s + 35], ' ')) AS h FROM starts),
+again AS (SELECT doc_id, s FROM hashed WHERE h IN (SELECT h FROM hashed GROUP BY h HAVING COUNT(*) > 1)),
+gone AS (SELECT DISTINCT doc_id, unnest(range(s, s + 35)) AS p FROM again),
+places AS (SELECT doc_id, unnest(range(0, len(words))) AS p, unnest(words) AS word FROM w),
+kept AS (SELECT doc_id, COUNT(*) AS n, string_agg(word, ' ' ORDER BY p) AS text
+  FROM places ANTI JOIN gone USING (doc_id, p) GROUP BY 1)
+SELECT doc_id, CAST(len(words) AS BIGINT) AS n_words, CAST(len(words) - COALESCE(n, 0) AS BIGINT) AS n_removed,
+  sha256(COALESCE(kept.text, '')) AS kept_sha256
+FROM w LEFT JOIN kept USING (doc_id)"""
+
+ORACLES = {"op7_substring_dedup": SUBSTRING_SQL}
