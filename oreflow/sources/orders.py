@@ -120,8 +120,11 @@ def bronze_orders(documents: DataFrame) -> DataFrame:
 def order_lines(bronze: DataFrame) -> DataFrame:
     """One row per ordered product; an order without products gives one row with NULL product columns.
 
-    The order time comes as text with unix seconds and may be empty, which becomes NULL.
+    The order time comes as text with unix seconds and may be empty, which becomes NULL. A table without ``FirstLine``
+    has whole orders only.
     """
+    if "FirstLine" not in bronze.columns:
+        bronze = bronze.withColumn("FirstLine", F.lit(0).cast("bigint"))
     # converted per document, before there is one row per product
     timed = bronze.withColumn("OrderDateTime", epoch_text_to_time_text("OrderDateTime"))
     exploded = timed.select(
