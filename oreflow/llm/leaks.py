@@ -1,6 +1,7 @@
 """Finding benchmark items in documents by the fingerprints of item-sized windows.
 
-Items and windows are weighted sets of word n-grams; an n-gram that few items hold weighs more. A window of as
+Items and windows are weighted sets of word n-grams; an n-gram that few items hold weighs more, and one that no
+item holds as much as one of a single item. A window of as
 many words as an item gets a 64-bit SimHash. Fingerprints are cut into blocks; of two within ``RADIUS`` bits, some
 block differs in at most RADIUS // BLOCKS bits. So the items are indexed under every value so near to each of
 their blocks, and a look-up by the window's blocks finds every fingerprint within the radius. Those that are
@@ -51,10 +52,10 @@ def text_grams(texts: DataFrame, width: int) -> DataFrame:
     return hashed.select(*others, _grams(F.col("hashes"), width).alias("grams"))
 
 
-def counted(grams: DataFrame, by: list[str], weights: DataFrame) -> DataFrame:
-    """Weighted sets: ``by``, g, c (how often) and w (weight) of rows (by, grams)."""
+def counted(grams: DataFrame, by: list[str], weights: DataFrame, rare: int) -> DataFrame:
+    """Weighted sets: ``by``, g, c (how often) and w (weight; ``rare`` if no item has g) of rows (by, grams)."""
     rows = grams.select(*by, F.explode("grams").alias("g")).groupBy(*by, "g").agg(F.count("*").alias("c"))
-    return rows.join(small(weights), "g", "left").withColumn("w", F.coalesce("w", F.lit(MAX_WEIGHT)))
+    return rows.join(small(weights), "g", "left").withColumn("w", F.coalesce("w", F.lit(rare)))
 
 
 def fingerprints(sets: DataFrame, by: list[str]) -> DataFrame:
@@ -104,7 +105,9 @@ def leaks(
     bench = bench.withColumn("key", F.struct("item", F.xxhash64("text").alias("t")))
     bench = stored(text_grams(bench.drop("item"), width).where(F.size("grams") > 0), "items")
     held = bench.select("key", F.explode("grams").alias("g")).distinct().groupBy("g").agg(F.count("*").alias("n"))
-    weight = 1 + F.floor(F.log2(F.lit(bench.count()) / F.col("n")))
+    n_items = bench.count()
+    weight = 1 + F.floor(F.log2(F.lit(n_items) / F.col("n")))
+    rare = min(MAX_WEIGHT, max(1, n_items.bit_length()))  # as much as an n-gram of one item, whatever their number
     weights = stored(held.select("g", F.least(weight, F.lit(MAX_WEIGHT)).cast("int").alias("w")), "weights")
     places = bench.select(F.size("grams").alias("n"), F.posexplode("grams").alias("at", "g")).distinct()
     places = stored(places, "places")
@@ -123,8 +126,8 @@ def leaks(
     windows = text_grams(whole, width).select("key", "grams", F.explode_outer("places").alias("x"))
     windows = windows.select("key", "x.*", F.slice("grams", F.col("x.first") + 1, F.col("x.n")).alias("grams"))
     name = ["key", "first", "n"]
-    windows = stored(counted(windows, name, weights), "windows")
-    sets = stored(counted(bench.withColumn("n", F.size("grams")), ["key", "n"], weights), "sets")
+    windows = stored(counted(windows, name, weights, rare), "windows")
+    sets = stored(counted(bench.withColumn("n", F.size("grams")), ["key", "n"], weights, rare), "sets")
 
     own = stored(fingerprints(windows, name), "prints")
     bench_prints = stored(fingerprints(sets, ["key", "n"]).withColumnRenamed("key", "item"), "prints")

@@ -248,6 +248,22 @@ def test_leaks(spark, docs, odd_docs, no_docs, texts):
     assert {r.doc_id for r in decontaminate(odd_docs, bench).collect()} >= {None, 0}
 
 
+def made_items(n, size=64):
+    """Items of words that no other has."""
+    return [" ".join(f"w{k}x{i}" for i in range(size)) for k in range(n)]
+
+
+@pytest.mark.parametrize("n", [1, 40, 200])
+def test_leaks_with_a_word_changed(spark, n):
+    """A changed word in the middle takes 5 of 60 n-grams: 55 of 65, whatever the number of items."""
+    items = made_items(n)
+    bench = spark.createDataFrame(list(enumerate(items)), "item_id BIGINT, text STRING")
+    copies = [(k, " ".join("changed" if i == 32 else w for i, w in enumerate(t.split()))) for k, t in enumerate(items[:10])]
+    got = decontaminate(spark.createDataFrame(copies, "doc_id BIGINT, text STRING"), bench).collect()
+    assert sorted((r.doc_id, r.item) for r in got) == [(k, k) for k, _ in copies]
+    assert all(abs(r.shared / r.mass - 55 / 65) < 1e-12 for r in got)
+
+
 def test_blocks_find_every_print_within_the_radius():
     rng = random.Random(1)
     patterns = set(leaks.flips(15, 8))
