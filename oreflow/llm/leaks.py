@@ -8,7 +8,8 @@ their blocks, and a look-up by the window's blocks finds every fingerprint withi
 within it are verified by their exact weighted Jaccard similarity.
 
 Only windows that share an n-gram with an item of their size, at the same place in it, are fingerprinted: all
-others have the words of no item where the item has them. This is a join of all n-grams of all documents with
+others have the words of no item where the item has them. Windows that would reach over an end of the text are
+clipped to it, so that an item of which words are missing there is found too. This is a join of all n-grams of all documents with
 those of the items; copies of a text are merged before. Everything is DataFrame expressions.
 """
 
@@ -117,15 +118,20 @@ def leaks(
     found = text_grams(texts, width).withColumn("m", F.size("grams"))  # below the explosion, which drops the array
     # outer: else Spark adds a filter on the size of the array, which computes it once more, in nested form
     found = found.select("key", "m", F.posexplode_outer("grams").alias("p", "g"))
-    found = found.join(small(places), "g").withColumn("first", F.col("p") - F.col("at"))
-    found = found.where("first >= 0 and first + n <= m").groupBy("key").agg(
-        F.collect_set(F.struct("first", "n")).alias("places")  # as many as the text has words, times sizes of items
+    found = found.join(small(places), "g").withColumn("from", F.col("p") - F.col("at"))
+    # clipped to the text; where the item would begin before the text, so much at its start as an item has, too
+    first, end = F.greatest(F.lit(0), "from"), F.least("m", F.col("from") + F.col("n"))
+    ends = F.array_distinct(F.array(end, F.least("m", first + F.col("n"))))
+    found = found.select("key", "n", first.alias("first"), F.explode(ends).alias("end"))
+    found = found.groupBy("key").agg(
+        # at most twice as many as the text has words, and as the items that hang over its ends, times sizes of items
+        F.collect_set(F.struct("first", (F.col("end") - F.col("first")).alias("size"), "n")).alias("places")
     )
     found = stored(found, "places")
     whole = texts.join(small(found), "key").dropDuplicates(["key"])
     windows = text_grams(whole, width).select("key", "grams", F.explode_outer("places").alias("x"))
-    windows = windows.select("key", "x.*", F.slice("grams", F.col("x.first") + 1, F.col("x.n")).alias("grams"))
-    name = ["key", "first", "n"]
+    windows = windows.select("key", "x.*", F.slice("grams", F.col("x.first") + 1, F.col("x.size")).alias("grams"))
+    name = ["key", "first", "size", "n"]  # n-grams of the window, and of the items it is compared with
     windows = stored(counted(windows, name, weights, rare), "windows")
     sets = stored(counted(bench.withColumn("n", F.size("grams")), ["key", "n"], weights, rare), "sets")
 
@@ -155,7 +161,7 @@ def leaks(
         "key",
         F.col("item.item").alias("item"),
         F.col("first").alias("first_word"),
-        (F.col("n") + width - 1).alias("n_words"),
+        (F.col("size") + width - 1).alias("n_words"),
         "shared",
         union.alias("mass"),
     )
@@ -169,7 +175,7 @@ def decontaminate(
     The best window has the largest ``shared / mass``, then the first place. Words are in lower case, parted by
     white space and punctuation, and compared by 64-bit hashes.
 
-    Defined cases. Null texts and texts shorter than every item have no result rows. Items with fewer words than an
+    Defined cases. Null texts and texts with fewer words than an n-gram have no result rows. Items with fewer words than an
     n-gram, null ones too, match nothing. Equal texts get equal results; repeated rows repeat their result rows.
     An item given twice with the same id counts once; given with several texts, its best counts. Ids may be null.
     Empty tables give an empty result. Other columns are not read.

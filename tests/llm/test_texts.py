@@ -264,6 +264,24 @@ def test_leaks_with_a_word_changed(spark, n):
     assert all(abs(r.shared / r.mass - 55 / 65) < 1e-12 for r in got)
 
 
+def test_leaks_of_cut_items(spark):
+    """Items without their first or last words, as whole texts and at the ends of longer ones."""
+    items = made_items(10, 50)
+    bench = spark.createDataFrame(list(enumerate(items)), "item_id BIGINT, text STRING")
+    other, docs = " ".join(f"v{i}" for i in range(70)), []
+    for k, t in enumerate(items):
+        w, cut = t.split(), 1 + k // 4
+        first, last = " ".join(w[cut:]), " ".join(w[:-cut])
+        docs += [(k, first), (k, last), (k, f"{first} {other}"), (k, f"{other} {last}"), (k, f"{other} {t} {other}")]
+    table = spark.createDataFrame([(100 * n + k, t) for n, (k, t) in enumerate(docs)], "doc_id BIGINT, text STRING")
+    got = {r.doc_id: r for r in decontaminate(table, bench).collect()}
+    assert sorted(got) == [100 * n + k for n, (k, _) in enumerate(docs)]
+    for n, (k, t) in enumerate(docs):
+        r, left = got[100 * n + k], 50 - (n % 5 < 4) * (1 + k // 4)
+        assert (r.item, r.n_words) == (k, left) and abs(r.shared / r.mass - (left - 4) / 46) < 1e-12
+        assert t.split()[r.first_word : r.first_word + left] == [x for x in t.split() if x[0] == "w"]
+
+
 def test_blocks_find_every_print_within_the_radius():
     rng = random.Random(1)
     patterns = set(leaks.flips(15, 8))
