@@ -5,7 +5,8 @@ item holds as much as one of a single item. A window of as
 many words as an item gets a 64-bit SimHash. Fingerprints are cut into blocks; of two within ``RADIUS`` bits, some
 block differs in at most RADIUS // BLOCKS bits. So the items are indexed under every value so near to each of
 their blocks, and a look-up by the window's blocks finds every fingerprint within the radius. Those that are
-within it are verified by their exact weighted Jaccard similarity.
+within it are verified by their exact weighted Jaccard similarity. So are the windows that share one of an item's
+heaviest n-grams, enough of them that a similar window can't do without: the radius alone loses some.
 
 Only windows that share an n-gram with an item of their size, at the same place in it, are fingerprinted: all
 others have the words of no item where the item has them. Windows that would reach over an end of the text are
@@ -18,14 +19,14 @@ from __future__ import annotations
 from functools import reduce
 from itertools import combinations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from oreflow.llm.common import small, stored
 
 WIDTH = 5
 PERCENT = 80
-#: Bits in which fingerprints of similar windows may differ, and blocks of the index; the latter divides 64.
+#: Bits in which fingerprints found by the index may differ, and its blocks; the latter divides 64.
 RADIUS = 15
 BLOCKS = 8
 #: Largest weight of an n-gram.
@@ -150,7 +151,19 @@ def leaks(
     looked = own.select(*name, "mass", "print", F.explode(looked).alias("b")).select(*name, "mass", "print", "b.*")
     near = looked.join(small(index), ["n", "k", "v"])
     near = near.where(F.bit_count(F.col("print").bitwiseXOR(F.col("item_print"))) <= radius)
-    near = stored(near.select(*name, "item", "mass", "item_mass").distinct(), "near")
+    near = near.select(*name, "item", "mass", "item_mass")
+    # those that fingerprints miss: a window without an item's heaviest n-grams, of more than 100 - percent
+    # hundredths of its mass, can't reach percent hundredths of it
+    heaviest = Window.partitionBy("key").orderBy(F.desc("w"), "g").rowsBetween(Window.unboundedPreceding, -1)
+    own_weight = F.col("c") * F.col("w")
+    heads = sets.withColumn("before", F.coalesce(F.sum(own_weight).over(heaviest), F.lit(0)))
+    heads = heads.withColumn("item_mass", F.sum(own_weight).over(Window.partitionBy("key")))
+    heads = heads.where(100 * F.col("before") <= (100 - percent) * F.col("item_mass"))
+    heads = stored(heads.select(F.col("key").alias("item"), "n", "g", "item_mass"), "heads")
+    sharing = windows.join(small(heads), ["n", "g"]).select(*name, "item", "item_mass").distinct()
+    near = near.unionByName(sharing.join(own.select(*name, "mass"), name))
+    alike = 100 * F.least("mass", "item_mass") >= percent * F.greatest("mass", "item_mass")
+    near = stored(near.where(alike).distinct(), "near")
 
     both = near.join(windows.drop("w"), name).join(
         sets.select(F.col("key").alias("item"), "g", F.col("c").alias("d"), "w"), ["item", "g"]

@@ -282,6 +282,18 @@ def test_leaks_of_cut_items(spark):
         assert t.split()[r.first_word : r.first_word + left] == [x for x in t.split() if x[0] == "w"]
 
 
+def test_leaks_at_the_bound(spark):
+    """A changed word in the middle of 49 leaves 40 of 50 n-grams, whatever bits of the fingerprint it turns."""
+    items = made_items(200, 49)
+    bench = spark.createDataFrame(list(enumerate(items)), "item_id BIGINT, text STRING")
+    copies = [(k, " ".join("changed" if i == 20 else w for i, w in enumerate(t.split()))) for k, t in enumerate(items)]
+    docs = spark.createDataFrame(copies, "doc_id BIGINT, text STRING")
+    got = decontaminate(docs, bench).collect()
+    assert sorted((r.doc_id, r.item) for r in got) == [(k, k) for k, _ in copies]
+    assert {(r.shared * 50, r.mass * 40) for r in got} == {(r.shared * 50,) * 2 for r in got}
+    assert leaks.leaks(docs, bench, radius=0).select("item").distinct().count() == len(items)
+
+
 def test_blocks_find_every_print_within_the_radius():
     rng = random.Random(1)
     patterns = set(leaks.flips(15, 8))
