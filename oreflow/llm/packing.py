@@ -14,6 +14,7 @@ from __future__ import annotations
 
 import base64
 import bisect
+import json
 import re
 import zlib
 from collections.abc import Iterator
@@ -43,20 +44,45 @@ def vocabulary() -> str:
     return public_tokenizers.path("byte_bpe_50k.tiktoken")
 
 
-def encoder(ranks: str):
-    """A function from text to ids for a rank file; built once per worker."""
-    if ranks not in _encoders:
+def added_tokens() -> dict[str, int]:
+    """The added tokens of the vocabulary's tokenizer, which stand for their names wherever a text holds them."""
+    import public_tokenizers
+
+    with open(public_tokenizers.path("byte_bpe_50k.json"), encoding="utf-8") as f:
+        return {t["content"]: t["id"] for t in json.load(f)["added_tokens"]}
+
+
+def encoder(ranks: str, added: dict[str, int] | None = None):
+    """A function from text to ids for a rank file and added tokens; built once per worker."""
+    added = added or {}
+    key = ranks, *sorted(added.items())
+    if key not in _encoders:
         import public_tokenizers
         import tiktoken
 
         with open(ranks, "rb") as f:
             merge = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
-        _encoders[ranks] = tuple(
+        _encoders[key] = tuple(
             tiktoken.Encoding(name, pat_str=p, mergeable_ranks=merge, special_tokens={})
             for name, p in (("whole", public_tokenizers.PATTERN), ("plain", PLAIN_PATTERN))
         )
-    whole, plain = _encoders[ranks]
-    return lambda text: (whole if _TWO_SPACES.search(text) else plain).encode_ordinary(text)
+    whole, plain = _encoders[key]
+
+    def ordinary(text: str) -> list[int]:
+        return (whole if _TWO_SPACES.search(text) else plain).encode_ordinary(text)
+
+    if not added:
+        return ordinary
+    names = re.compile("|".join(re.escape(t) for t in sorted(added, key=len, reverse=True)))
+
+    def ids_of(text: str) -> list[int]:
+        ids, at = [], 0
+        for m in names.finditer(text):
+            ids += [*ordinary(text[at : m.start()]), added[m.group()]]
+            at = m.end()
+        return ids + ordinary(text[at:]) if at else ordinary(text)
+
+    return ids_of
 
 
 def cuts(n: int, length: int) -> list[tuple[int, int]]:
@@ -70,12 +96,16 @@ def tokenise(
     docs: DataFrame, id: str = "doc_id", text: str = "text", length: int = LENGTH, ranks: str | None = None,
     with_ids: bool = True,
 ) -> DataFrame:
-    """Pieces of every document: id, piece, start, length, ids_crc32 and, if asked for, the ids (binary, 32 bit)."""
+    """Pieces of every document: id, piece, start, length, ids_crc32 and, if asked for, the ids (binary, 32 bit).
+
+    Without ``ranks`` the ids are those of the vocabulary's tokenizer, its added tokens too; a rank file has none.
+    """
+    own = ranks is None
     ranks = ranks or vocabulary()
     kind = docs.schema[id].dataType.simpleString()
 
     def pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        ids_of = encoder(ranks)
+        ids_of = encoder(ranks, added_tokens() if own else None)
         for batch in batches:
             for at in range(0, batch.num_rows, 256):
                 part = batch.slice(at, 256)

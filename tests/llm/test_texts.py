@@ -43,6 +43,21 @@ def test_tokens_are_those_of_the_tokenizer(texts):
         assert ids(t) == reference.encode(t, add_special_tokens=False).ids
 
 
+def test_added_tokens_are_those_of_the_tokenizer(spark, texts):
+    import public_tokenizers
+    from tokenizers import Tokenizer
+
+    reference = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    ids = packing.encoder(packing.vocabulary(), packing.added_tokens())
+    more = ["a <|endoftext|> b", "<|endoftext|>  <|endoftext|><|endoftext|>b", "it's   <|endoftext|>   x", "<|endoftext|>", "<|ENDOFTEXT|> <|endoftext"]
+    for t in [t or "" for t in texts] + more:
+        assert ids(t) == reference.encode(t, add_special_tokens=False).ids
+    assert ids(more[0]) == [64, 220, 50256, 275]
+    rows = packing.tokenise(spark.createDataFrame(list(enumerate(more)), "doc_id BIGINT, text STRING")).collect()
+    for r in rows:
+        assert np.frombuffer(r.ids, "<u4").tolist() == [*reference.encode(more[r.doc_id], add_special_tokens=False).ids, packing.END]
+
+
 def test_packing(docs, odd_docs, no_docs, texts):
     rows = packing.pack_documents(docs, length=64).collect()
     ids = packing.encoder(packing.vocabulary())
