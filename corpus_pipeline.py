@@ -1,7 +1,8 @@
 """A corpus from raw documents to packed training sequences, in stages that each read what the one before kept.
 
 Every stage takes (spark, docs, sf_dir) and returns the documents it keeps, with all their columns; the last one
-returns the packed pieces. Rows that share an id are one document to the filters: if one goes, all go. Rows without
+returns the packed pieces. Rows that share an id are one document to the filters: if one goes, all go;
+only near duplicates are told by id and text. Rows without
 an id are never filtered out. Null and empty texts pass the filters, and pack as their end mark.
 """
 
@@ -13,7 +14,7 @@ from pyspark.sql import functions as F
 from oreflow.llm.common import ship, small, stored, table
 from oreflow.llm.leaks import decontaminate
 from oreflow.llm.lines import dedup_lines
-from oreflow.llm.near import near_duplicates
+from oreflow.llm.near import near_duplicates, text_key
 from oreflow.llm.packing import pack_documents
 from oreflow.llm.toxicity import score_toxicity
 from oreflow.session import prepare
@@ -41,14 +42,23 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near duplicates, that with the smallest id."""
+    """One document of each group of near duplicates, that with the smallest id; of several texts of it one.
+
+    Goes by id and text: a text is not lost because another one of the same id is a duplicate.
+    """
     ship(prepare(spark))
-    found = stored(near_duplicates(docs), "components")
-    kept = without(docs, found.where("doc_id <> component_id").select("doc_id"))
-    again = stored(found.groupBy("doc_id").count().where("count > 1 and doc_id is not null").select("doc_id"), "again")
+    found = stored(near_duplicates(docs, named=True), "components")
+    row = ["doc_id", "text_key"]
+    first = found.where("doc_id = component_id and component is not null").groupBy("component", "doc_id")
+    first = first.agg(F.min("text_key").alias("first"), F.max("text_key").alias("last")).where("first <> last")
+    later = found.join(small(stored(first, "several")), ["component", "doc_id"]).where("text_key <> first")
+    gone = stored(found.where("doc_id <> component_id").select(row).unionByName(later.select(row)).distinct(), "rejected")
+    again = stored(found.where("doc_id is not null").groupBy(row).count().where("count > 1").select(row), "again")
+    kept = docs.withColumn("text_key", text_key("text")).join(small(gone), row, "left_anti")
     if again.isEmpty():
-        return kept
-    return without(kept, again).unionByName(kept.join(small(again), "doc_id", "left_semi").dropDuplicates(["doc_id"]))
+        return kept.select(docs.columns)
+    once = kept.join(small(again), row, "left_semi").dropDuplicates(row)
+    return kept.join(small(again), row, "left_anti").unionByName(once).select(docs.columns)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

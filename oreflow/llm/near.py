@@ -106,8 +106,13 @@ def entries(grams: np.ndarray, band: int, percent: int, short: bool) -> tuple[np
     return np.concatenate([mix(total + tag), without]), kind
 
 
+def text_key(text: str) -> Column:
+    """A 64-bit name of a text, by which it is found again whatever ids its rows have."""
+    return F.xxhash64(F.col(text), F.octet_length(F.col(text)))
+
+
 def memberships(docs: DataFrame, id: str, text: str, width: int, percent: int) -> DataFrame:
-    """(id, set, size, spare, parity) per row; no set for documents without words."""
+    """(id, set, size, spare, parity, text_key) per row; no set for documents without words."""
     kind = docs.schema[id].dataType.simpleString()
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -119,11 +124,11 @@ def memberships(docs: DataFrame, id: str, text: str, width: int, percent: int) -
                 spares.append(spare(grams, percent) if len(grams) else 0)
                 maps.append(parity(grams))
             columns = [part.column(0), pa.array(keys, pa.int64()), pa.array(sizes, pa.int64())]
-            columns += [pa.array(spares, pa.int64()), pa.array(maps, pa.binary())]
-            yield pa.RecordBatch.from_arrays(columns, names=[id, "set", "size", "spare", "parity"])
+            columns += [pa.array(spares, pa.int64()), pa.array(maps, pa.binary()), part.column(2)]
+            yield pa.RecordBatch.from_arrays(columns, names=[id, "set", "size", "spare", "parity", "text_key"])
 
-    schema = f"`{id}` {kind}, set long, size long, spare long, parity binary"
-    return docs.select(F.col(id), F.col(text)).mapInArrow(rows, schema)
+    schema = f"`{id}` {kind}, set long, size long, spare long, parity binary, text_key long"
+    return docs.select(F.col(id), F.col(text), text_key(text).alias("text_key")).mapInArrow(rows, schema)
 
 
 def indexed(docs: DataFrame, text: str, width: int, percent: int) -> DataFrame:
@@ -193,10 +198,11 @@ def may_be_similar(pairs: DataFrame, where: DataFrame, percent: int) -> DataFram
 
 
 def similar(pairs: DataFrame, docs: DataFrame, where: DataFrame, id: str, text: str, width: int, percent: int):
-    """Of pairs (a, b) of sets, those that are similar; ``where`` has a document, size and parity of each set."""
+    """Of pairs (a, b) of sets, those that are similar; ``where`` has a row's id and text key, size and parity of each set."""
     pairs = stored(may_be_similar(pairs, where, percent), "pairs")
     ends = pairs.select(F.col("a").alias("set")).unionByName(pairs.select(F.col("b").alias("set"))).distinct()
-    needed = stored(ends.join(where, "set").select("set", F.col("doc")), "needed")
+    needed = ends.join(where, "set").select("set", F.col("doc").alias("its_doc"), F.col("text_key").alias("its_key"))
+    needed = stored(needed, "needed")
 
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in slices(batches, "text"):
@@ -212,8 +218,10 @@ def similar(pairs: DataFrame, docs: DataFrame, where: DataFrame, id: str, text:
                 keep.append(100 * both >= percent * (len(x) + len(y) - both))
             yield batch.select([0, 1]).filter(pa.array(keep, pa.bool_()))
 
-    own = docs.select(F.col(id).alias("doc"), F.col(text).alias("text"))
-    texts = own.join(small(needed), "doc").dropDuplicates(["set"]).select("set", "text")
+    own = docs.select(F.col(id).alias("doc"), F.col(text).alias("text"), text_key(text).alias("key"))
+    # by the text; the id, which may be null, only spares fetching all copies of it
+    same = F.col("key").eqNullSafe(F.col("its_key")) & F.col("doc").eqNullSafe(F.col("its_doc"))
+    texts = own.join(small(needed), same).dropDuplicates(["set"]).select("set", "text")
     grams = stored(texts.mapInArrow(sets, "set long, grams binary"), "sets")
     sided = pairs.join(grams.withColumnsRenamed({"set": "b", "grams": "y"}), "b")
     sided = sided.join(grams.withColumnsRenamed({"set": "a", "grams": "x"}), "a")
@@ -221,8 +229,9 @@ def similar(pairs: DataFrame, docs: DataFrame, where: DataFrame, id: str, text:
 
 
 def near_duplicates(
-    docs: DataFrame, id: str = "doc_id", text: str = "text", width: int = WIDTH, percent: int = PERCENT
-) -> DataFrame:
+    docs: DataFrame, id: str = "doc_id", text: str = "text", width: int = WIDTH, percent: int = PERCENT,
+    named: bool = False,
+) -> DataFrame:
     """(id, n_shingles, component_id) per row: the smallest id reachable by links of similar documents.
 
     Documents are sets of word n-grams, ASCII letters in lower case; two link when their intersection is at
@@ -230,13 +239,15 @@ def near_duplicates(
 
     Defined cases. A text with fewer words than ``width`` is one shingle of all its words. Null texts and texts
     without words have no shingles and link with nothing: their component is their own id. Equal texts are always
-    linked; repeated rows give repeated result rows. A null id stays null as component of a document that links
+    linked; repeated rows give repeated result rows. Rows that share an id but not the text are documents of their
+    own; ``named`` adds ``text_key`` and ``component``, which tell those apart. A null id stays null as component of a document that links
     with none, and is never the smallest of others. An empty table gives an empty result. Columns other than
     ``id`` and ``text`` are not read.
     """
     members = stored(memberships(docs, id, text, width, percent), "members")
     where = members.where("set is not null").groupBy("set").agg(
-        F.min(id).alias("doc"), F.first("size").alias("size"), F.first("spare").alias("spare"), F.first("parity").alias("parity")
+        F.min(id).alias("doc"), F.first("size").alias("size"), F.first("spare").alias("spare"), F.first("parity").alias("parity"),
+        F.min_by("text_key", F.struct(F.col(id).isNull(), F.col(id), "text_key")).alias("text_key"),  # of the smallest id
     )
     where = stored(where, "sets")
     row = ["set", "size", "kind"]
@@ -266,9 +277,10 @@ def near_duplicates(
 
     label = where.select("set", "doc").join(parts, "set", "left").withColumn("component", F.coalesce("component", "set"))
     least = label.groupBy("component").agg(F.min("doc").alias("component_id"))
-    label = stored(label.join(least, "component").select("set", "component_id"), "labels")
+    label = stored(label.join(least, "component").select("set", "component", "component_id"), "labels")
     return members.join(label, "set", "left").select(
         F.col(id),
         F.col("size").alias("n_shingles"),
         F.when(F.col("set").isNull(), F.col(id)).otherwise(F.col("component_id")).alias("component_id"),
+        *(["text_key", "component"] if named else []),
     )

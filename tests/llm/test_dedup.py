@@ -6,6 +6,7 @@ from collections import Counter
 import numpy as np
 import pytest
 
+import corpus_pipeline
 from oreflow.llm import near
 from oreflow.llm.graph import components
 from oreflow.llm.lines import dedup_lines
@@ -45,6 +46,28 @@ def test_near_duplicates_of_odd_rows(odd_docs, no_docs):
     assert near_duplicates(no_docs).count() == 0
 
 
+def test_near_duplicates_by_text_not_id(spark):
+    """Near copies without an id, one of them a bridge, and different texts under one id."""
+    word = lambda k: [f"w{k}x{i}" for i in range(100)]
+    edit = lambda w, *at: " ".join("changed" if i in at else x for i, x in enumerate(w))
+    rows, want = [], []
+    for k in range(0, 200, 10):
+        a, b, c = word(k), word(k + 1), word(k + 2)
+        rows += [(k, edit(a)), (None, edit(a, 30)), (k + 1, edit(a, 30, 60))]  # the first and the last only link by the second
+        want += [(k, k), (None, k), (k + 1, k)]
+        rows += [(k + 2, edit(b)), (k + 2, edit(c)), (k + 3, edit(b, 50)), (k + 4, edit(c, 50))]
+        want += [(k + 2, k + 2), (k + 2, k + 2), (k + 3, k + 2), (k + 4, k + 2)]
+        rows += [(None, edit(word(k + 3))), (None, edit(word(k + 3), 40))]
+        want += [(None, None)] * 2
+    docs = spark.createDataFrame(rows, "doc_id BIGINT, text STRING").repartition(5)
+    found = near_duplicates(docs, named=True).collect()
+    assert Counter((r.doc_id, r.component_id) for r in found) == Counter(want)
+    assert len({r.component for r in found}) == 80  # no link to, nor between, the two texts of one id
+    kept = Counter((r.doc_id, r.text) for r in corpus_pipeline.near_dedup(spark, docs, "").collect())
+    want = [r for r in rows if r[0] is None or r[0] % 10 in (0, 2)]
+    assert kept == Counter(want)
+
+
 def test_every_pair_within_the_bound_meets():
     """Two similar sets share an entry that the smaller one looks up, whatever it leaves out."""
     rng = np.random.default_rng(5)
