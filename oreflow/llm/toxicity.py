@@ -1,8 +1,8 @@
 """Toxicity of texts: subword-bag embeddings averaged into a linear softmax, trained jointly in numpy.
 
 A word is the bag of its byte n-grams between end marks, hashed to a table of embeddings, so that misspelt words
-share most vectors with the words they come from. The vectors of a word are averaged, then those of a chunk of
-consecutive words, and a softmax over the average gives the chunk's score. A text scores as its highest chunk:
+share most vectors with the words they come from. The vectors of a word are averaged, then those of a chunk, any run
+of consecutive words, and a softmax over the average gives the chunk's score. A text scores as its highest chunk:
 an insult in a long text counts as much as in a short one. Only texts carry labels, so training gives each text's
 gradient to its chunks in proportion to a softmax over their scores. The vectors start along the softmax, by the
 log odds of their n-grams; then both learn together, by gradient steps with momentum.
@@ -79,12 +79,24 @@ def distinct(words: Words) -> tuple[np.ndarray, np.ndarray]:
     return at, which
 
 
-def chunks(first: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Begin of each chunk as a word number, and where each text's chunks begin; a text without words has none."""
-    count = -(-np.diff(first) // CHUNK)
+def chunks(first: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Begin and size of each chunk in words, and where each text's chunks begin; a text without words has none.
+
+    Every run of CHUNK words is a chunk; a shorter text is one.
+    """
+    words = np.diff(first)
+    count = np.where(words > 0, np.maximum(words - CHUNK + 1, 1), 0)
     begin = np.concatenate([[0], np.cumsum(count)])
     number = np.arange(begin[-1]) - np.repeat(begin[:-1], count)
-    return np.repeat(first[:-1], count) + CHUNK * number, begin
+    return np.repeat(first[:-1], count) + number, np.repeat(np.minimum(words, CHUNK), count), begin
+
+
+def chunk_sums(values: np.ndarray, start: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """Sum of the word values of each chunk."""
+    total = values[start]
+    for k in range(1, CHUNK):
+        total += np.where(size > k, values[np.minimum(start + k, len(values) - 1)], 0)
+    return total
 
 
 def means(values: np.ndarray, begin: np.ndarray) -> np.ndarray:
@@ -102,8 +114,8 @@ def scores(model: Model, texts: pa.Array) -> np.ndarray:
         at, which = distinct(words)
         rows, begin = word_rows(words, at)
         word = means(model.rows[rows].astype(np.float64), begin)
-        start, of = chunks(words.first)
-        chunk = CHUNK * means(word[which], np.append(start, len(which)))
+        start, size, of = chunks(words.first)
+        chunk = CHUNK * chunk_sums(word[which], start, size) / size
         some = np.flatnonzero(np.diff(of))
         logit[some] = np.maximum.reduceat(chunk, of[some])
     logit[np.isinf(logit)] = 0.0
@@ -168,15 +180,14 @@ def fit(texts: list[str], labels: list[int], seed: int = 0) -> Model:
         sharp = 2.0
         batch = rng.choice(with_words, min(BATCH, len(with_words)), replace=False)
         own = np.concatenate([which[first[k] : first[k + 1]] for k in batch])
-        start, of = chunks(np.concatenate([[0], np.cumsum(np.diff(first)[batch])]))
+        start, size, of = chunks(np.concatenate([[0], np.cumsum(np.diff(first)[batch])]))
         used, local = np.unique(own, return_inverse=True)
         count = np.diff(begin)[used]
         gram = rows[np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count) + np.repeat(begin[used], count)]
         gram_of = np.repeat(np.arange(len(used)), count)
         value = table @ softmax
         word = np.bincount(gram_of, value[gram], len(used)) / count
-        size = np.diff(np.append(start, len(local)))
-        logit = CHUNK * np.add.reduceat(word[local], start) / size + bias[0]
+        logit = CHUNK * chunk_sums(word[local], start, size) / size + bias[0]
         # each text's gradient goes to its chunks by their scores
         text_of = np.repeat(np.arange(len(batch)), np.diff(of))
         peak = np.maximum.reduceat(logit, of[:-1])
@@ -185,7 +196,11 @@ def fit(texts: list[str], labels: list[int], seed: int = 0) -> Model:
         whole = np.add.reduceat(pull * logit, of[:-1])
         error = (1 / (1 + np.exp(-np.clip(whole, -30, 30))) - y[batch]) * share[batch] / len(batch)
         to_chunk = error[text_of] * pull
-        to_word = np.bincount(local, np.repeat(CHUNK * to_chunk / size, size), len(used)) / count
+        to_place = np.zeros(len(local))
+        for k in range(CHUNK):
+            inside = size > k
+            to_place += np.bincount(start[inside] + k, (CHUNK * to_chunk / size)[inside], len(local))
+        to_word = np.bincount(local, to_place, len(used)) / count
         to_row = np.bincount(gram, to_word[gram_of], len(table))
         to_row[-1] = 0
         grads = [np.outer(to_row, softmax), table.T @ to_row, np.array([error.sum()])]

@@ -131,6 +131,26 @@ def test_toxicity_model():
     assert score[120] == score[121] < 0.5 < score[122]  # unseen forms share n-grams
 
 
+def test_toxicity_wherever_a_phrase_begins():
+    """A neutral word in front changes nothing: every run of two words is scored."""
+    rows = toxicity.Words(pa.array(["zwo grum ba"]))
+    where, begin = toxicity.word_rows(rows, np.arange(3))
+    value = np.zeros(toxicity.ROWS, np.float32)
+    for k, weight in enumerate((2, 2, -3)):
+        value[where[begin[k] : begin[k + 1]]] = weight
+    model = toxicity.Model(value, -3.0)
+    texts = [f"{'qqq ' * n}ba zwo grum ba{' qqq' * m}" for n in range(4) for m in range(3)]
+    assert len({round(x, 6) for x in toxicity.scores(model, pa.array(texts)).tolist()}) == 1
+    assert toxicity.scores(model, pa.array(texts[:1]))[0] > 0.5
+    rows = toxic_texts(240, 1)
+    model = toxicity.fit([t for t, _ in rows], [y for _, y in rows])
+    test = [t for t, _ in toxic_texts(120, 2)]
+    plain, moved = (toxicity.scores(model, pa.array(x)) >= 0.5 for x in (test, ["qqq " + t for t in test]))
+    assert (plain == moved).all()
+    start, size, of = toxicity.chunks(np.array([0, 3, 3, 4, 6]))
+    assert (start.tolist(), size.tolist(), of.tolist()) == ([0, 1, 3, 4], [2, 2, 1, 2], [0, 2, 2, 3, 4])
+
+
 def test_toxicity_of_tables(spark, docs, no_docs):
     rows = [(k, t) for k, (t, _) in enumerate(toxic_texts(90, 3))] + [(None, "ba"), (4, "no ti"), (5, None)]
     table = spark.createDataFrame(rows, "doc_id BIGINT, text STRING")
