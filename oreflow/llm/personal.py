@@ -288,7 +288,7 @@ def added_spans(field: Field, text: str, base: list[Span]) -> list[Span]:
 
 
 def sample_surroundings(docs: DataFrame, text: str, sample: int) -> list[str]:
-    """So many stretches round digits and @ signs of the whole table, those with the smallest hashes."""
+    """So many different stretches round digits and @ signs of the whole table, those with the smallest hashes."""
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -296,7 +296,8 @@ def sample_surroundings(docs: DataFrame, text: str, sample: int) -> list[str]:
             yield pa.RecordBatch.from_arrays([pa.array(found, pa.string())], names=["stretch"])
 
     hot = docs.select(F.col(text).alias("text")).where(F.col("text").rlike("[0-9@]"))
-    found = hot.mapInArrow(rows, "stretch string").orderBy(F.xxhash64("stretch"), "stretch").limit(sample)
+    found = hot.mapInArrow(rows, "stretch string").distinct()  # copies of one would take all the places
+    found = found.orderBy(F.xxhash64("stretch"), "stretch").limit(sample)
     return [r["stretch"] for r in found.collect()]
 
 

@@ -220,6 +220,12 @@ def test_personal_tables(spark, odd_docs, no_docs):
     assert find_personal(odd_docs).count() == odd_docs.count() and find_personal(no_docs).count() == 0
 
 
+def test_field_sample_has_no_copies(spark):
+    stretches = [f"no {k} ba" for k in range(20)]
+    docs = spark.createDataFrame([(t,) for t in stretches for _ in range(30)], "text STRING")
+    assert sorted(personal.sample_surroundings(docs, "text", 20)) == sorted({t[a:b] for t in stretches for a, b in personal.surroundings(t)})
+
+
 def base_figures(text):
     w = WORD.findall(text or "")
     count, again = Counter(tuple(w[k : k + 5]) for k in range(len(w) - 4)), [False] * len(w)
