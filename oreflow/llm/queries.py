@@ -9,7 +9,9 @@ from oreflow.llm.common import table
 from oreflow.llm.leaks import decontaminate
 from oreflow.llm.licenses import scan_licenses
 from oreflow.llm.lines import dedup_lines
+from oreflow.llm.merkle import fold, leaf_digest, manifest, siblings
 from oreflow.llm.near import near_duplicates
+from oreflow.llm.oracles import MANIFEST_SQL
 from oreflow.llm.packing import pack_documents
 from oreflow.llm.personal import KINDS, find_personal
 from oreflow.llm.quality import quality_rules
@@ -79,7 +81,24 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-QUERIES = {f.__name__: f for f in (op1_benchmark_decontamination, op2_best_fit_packing, op3_toxicity, op4_pii, op5_ngram_jaccard_join, op6_quality_rules, op7_substring_dedup, op8_warc, op9_license_scan, op10_line_dedup)}
+def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    columns = ("doc_id", "source", "lang", "n_chars", "text")
+    tampered = F.crc32(F.col("doc_id").cast("string")) % 7 == 0
+    changed = [F.try_add("n_chars", F.lit(1)) if c == "n_chars" else F.col(c) for c in columns]
+    rows = manifest(table(spark, sf_dir, "documents"), columns=columns, carry={"tampered": F.when(tampered, leaf_digest(changed))})
+    rows = rows.withColumn("folded_root", fold(F.col("path"), F.coalesce("tampered", "leaf")))
+    return rows.select(
+        "doc_id",
+        "leaf",
+        "subroot",
+        "root",
+        F.sha2(siblings(F.col("path")), 256).alias("proof_sha256"),
+        "folded_root",
+        (F.col("folded_root") == F.col("root")).alias("verified"),
+    )
+
+
+QUERIES = {f.__name__: f for f in (op1_benchmark_decontamination, op2_best_fit_packing, op3_toxicity, op4_pii, op5_ngram_jaccard_join, op6_quality_rules, op7_substring_dedup, op8_warc, op9_license_scan, op10_line_dedup, op11_merkle_manifest)}
 # Windows counted by their texts, kept words put together again.
 SUBSTRING_SQL = r"""WITH w AS (SELECT doc_id, list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS words
   FROM documents),
@@ -94,4 +113,4 @@ SELECT doc_id, CAST(len(words) AS BIGINT) AS n_words, CAST(len(words) - COALESCE
   sha256(COALESCE(kept.text, '')) AS kept_sha256
 FROM w LEFT JOIN kept USING (doc_id)"""
 
-ORACLES = {"op7_substring_dedup": SUBSTRING_SQL}
+ORACLES = {"op7_substring_dedup": SUBSTRING_SQL, "op11_merkle_manifest": MANIFEST_SQL}
