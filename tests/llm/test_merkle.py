@@ -75,7 +75,7 @@ def test_manifest(spark, monkeypatch, fan, block):
     assert bad.count() == 0
     forged = df.where(merkle.fold(F.col("path"), merkle.digest(F.col("leaf"))) == F.col("root"))
     assert forged.count() == 0
-    assert df.where("size = 2").count() == 1
+    assert df.where("size = 200").count() == 1
 
 
 def test_manifest_of_few_rows(spark, no_docs, odd_docs):
