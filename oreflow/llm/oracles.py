@@ -50,3 +50,27 @@ folded AS (SELECT *, list_reduce(list_prepend(COALESCE(tampered, leaf), path), l
     sha256(CASE WHEN s[1] = 'L' THEN s[2:] || h ELSE h || s[2:] END)) AS folded_root FROM proofs)
 SELECT doc_id, leaf, subroot, root, sha256(array_to_string(list_transform(path, lambda s: s[2:]), '')) AS proof_sha256, folded_root,
   folded_root = root AS verified FROM folded"""
+
+
+_LOWER = "translate(COALESCE(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+
+PHRASES_SQL = rf"""WITH pieces AS (SELECT COALESCE(lang, 'und') AS lang,
+    unnest(regexp_split_to_array({_LOWER}, '[.,;:!?\x0A-\x0D]')) AS piece FROM documents),
+words AS (SELECT lang, list_filter(regexp_split_to_array(piece, '[\x20\x09]+'), lambda x: x <> '') AS w FROM pieces),
+totals AS (SELECT lang, CAST(SUM(len(w)) AS BIGINT) AS n FROM words GROUP BY 1),
+sizes AS (SELECT unnest([1, 2, 3, 4, 5]) AS k),
+spans AS (SELECT lang, w, k, unnest(range(1, len(w) - k + 2)) AS s FROM words, sizes WHERE len(w) >= k),
+counts AS (SELECT lang, k, array_to_string(w[s : s + k - 1], ' ') AS phrase, COUNT(*) AS f FROM spans GROUP BY ALL HAVING COUNT(*) >= 100),
+cuts AS (SELECT lang, k, phrase, f, string_split(phrase, ' ') AS w, unnest(range(1, k)) AS cut FROM counts WHERE k > 1),
+scored AS (SELECT c.lang, c.k, c.phrase, c.f AS a, l.f AS l, r.f AS r, n, cut,
+    CAST(1000::HUGEINT * c.f * n // (l.f::HUGEINT * r.f) AS BIGINT) AS score
+  FROM cuts c JOIN totals t ON t.lang = c.lang
+  JOIN counts l ON l.lang = c.lang AND l.k = cut AND l.phrase = array_to_string(w[1 : cut], ' ')
+  JOIN counts r ON r.lang = c.lang AND r.k = c.k - cut AND r.phrase = array_to_string(w[cut + 1 :], ' ')),
+lowest AS (SELECT * FROM scored QUALIFY ROW_NUMBER() OVER (PARTITION BY lang, phrase ORDER BY score, cut) = 1),
+parts AS (SELECT lang, f, w, k, unnest(range(2, k)) AS size FROM (SELECT *, string_split(phrase, ' ') AS w FROM counts WHERE k > 2)),
+held AS (SELECT lang, f, w, size, unnest(range(1, k - size + 2)) AS s FROM parts),
+inner_phrases AS (SELECT lang, array_to_string(w[s : s + size - 1], ' ') AS phrase, MAX(f) AS most FROM held GROUP BY ALL),
+kept AS (SELECT l.* FROM lowest l LEFT JOIN inner_phrases USING (lang, phrase) WHERE most IS NULL OR 100 * most < 100 * a),
+ranked AS (SELECT *, ROW_NUMBER() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank FROM kept)
+SELECT lang, rank, phrase, a, l, r, n, score FROM ranked WHERE rank <= 2000"""

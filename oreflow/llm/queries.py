@@ -11,9 +11,10 @@ from oreflow.llm.licenses import scan_licenses
 from oreflow.llm.lines import dedup_lines
 from oreflow.llm.merkle import fold, leaf_digest, manifest, siblings
 from oreflow.llm.near import near_duplicates
-from oreflow.llm.oracles import MANIFEST_SQL
+from oreflow.llm.oracles import MANIFEST_SQL, PHRASES_SQL
 from oreflow.llm.packing import pack_documents
 from oreflow.llm.personal import KINDS, find_personal
+from oreflow.llm.phrases import best_phrases, mine_phrases
 from oreflow.llm.quality import quality_rules
 from oreflow.llm.substrings import remove_repeats
 from oreflow.llm.toxicity import score_toxicity
@@ -98,7 +99,12 @@ def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-QUERIES = {f.__name__: f for f in (op1_benchmark_decontamination, op2_best_fit_packing, op3_toxicity, op4_pii, op5_ngram_jaccard_join, op6_quality_rules, op7_substring_dedup, op8_warc, op9_license_scan, op10_line_dedup, op11_merkle_manifest)}
+def op13_phrase_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    phrases = best_phrases(mine_phrases(table(spark, sf_dir, "documents")))
+    return phrases.select("lang", "rank", "phrase", "a", "l", "r", "n", "score")
+
+
+QUERIES = {f.__name__: f for f in (op1_benchmark_decontamination, op2_best_fit_packing, op3_toxicity, op4_pii, op5_ngram_jaccard_join, op6_quality_rules, op7_substring_dedup, op8_warc, op9_license_scan, op10_line_dedup, op11_merkle_manifest, op13_phrase_collocations)}
 # Windows counted by their texts, kept words put together again.
 SUBSTRING_SQL = r"""WITH w AS (SELECT doc_id, list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS words
   FROM documents),
@@ -113,4 +119,4 @@ SELECT doc_id, CAST(len(words) AS BIGINT) AS n_words, CAST(len(words) - COALESCE
   sha256(COALESCE(kept.text, '')) AS kept_sha256
 FROM w LEFT JOIN kept USING (doc_id)"""
 
-ORACLES = {"op7_substring_dedup": SUBSTRING_SQL, "op11_merkle_manifest": MANIFEST_SQL}
+ORACLES = {"op7_substring_dedup": SUBSTRING_SQL, "op11_merkle_manifest": MANIFEST_SQL, "op13_phrase_collocations": PHRASES_SQL}

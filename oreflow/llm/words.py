@@ -48,12 +48,15 @@ def rolling(values: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndar
 
 
 class Words:
-    """The words of a list of texts: byte ranges in ``data``; text i owns words ``first[i]`` to ``first[i + 1]``."""
+    """The words of a list of texts: byte ranges in ``data``; text i owns words ``first[i]`` to ``first[i + 1]``.
 
-    def __init__(self, texts: pa.Array, lower: bool = False):
+    ``apart`` marks the bytes between words; they must be ASCII.
+    """
+
+    def __init__(self, texts: pa.Array, lower: bool = False, apart: np.ndarray = _WHITE):
         data, offsets = text_bytes(texts)
         self.data = _LOWER[data] if lower else data
-        inside = ~_WHITE[data]
+        inside = ~apart[data]
         before = np.zeros(len(data) + 1, bool)
         before[1:] = inside
         after = np.zeros(len(data) + 1, bool)
