@@ -17,6 +17,7 @@ from oreflow.llm.personal import KINDS, find_personal
 from oreflow.llm.phrases import best_phrases, mine_phrases
 from oreflow.llm.quality import quality_rules
 from oreflow.llm.substrings import remove_repeats
+from oreflow.llm.suffixes import score_texts
 from oreflow.llm.toxicity import score_toxicity
 from oreflow.llm.warc import round_trip
 
@@ -99,12 +100,20 @@ def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op12_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    held_out = F.crc32(F.col("doc_id").cast("string")) % 5 == 1
+    scored = score_texts(table(spark, sf_dir, "documents"), ~held_out)
+    return scored.withColumn("held_out", ~F.col("trained")).select(
+        "doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"
+    )
+
+
 def op13_phrase_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
     phrases = best_phrases(mine_phrases(table(spark, sf_dir, "documents")))
     return phrases.select("lang", "rank", "phrase", "a", "l", "r", "n", "score")
 
 
-QUERIES = {f.__name__: f for f in (op1_benchmark_decontamination, op2_best_fit_packing, op3_toxicity, op4_pii, op5_ngram_jaccard_join, op6_quality_rules, op7_substring_dedup, op8_warc, op9_license_scan, op10_line_dedup, op11_merkle_manifest, op13_phrase_collocations)}
+QUERIES = {f.__name__: f for f in (op1_benchmark_decontamination, op2_best_fit_packing, op3_toxicity, op4_pii, op5_ngram_jaccard_join, op6_quality_rules, op7_substring_dedup, op8_warc, op9_license_scan, op10_line_dedup, op11_merkle_manifest, op12_lm_scoring, op13_phrase_collocations)}
 # Windows counted by their texts, kept words put together again.
 SUBSTRING_SQL = r"""WITH w AS (SELECT doc_id, list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS words
   FROM documents),
