@@ -2,15 +2,15 @@
 
 Phrases are counted level by level. The frequent words of a language get ids by falling frequency; every text is
 then a row of ids, with 0 where a word is rare or a piece of text ends. Neighbouring ids are a cell of a table that
-is split into square tiles of ``SIDE`` ids a side. Because ids are ranked by frequency, most of what is counted
+is split into tiles, small ones for the commonest ids. Because ids are ranked by frequency, much of what is counted
 falls into the few tiles near the corner, which are counted by direct address: one ``numpy.bincount`` over the
-whole tile. Tiles with few entries are counted as sorted coordinates. Cells that reach the bound become the ids of
+whole tile. Tiles with few entries for their cells are counted as sorted coordinates. Cells that reach the bound become the ids of
 the next level, ranked by frequency again: two neighbouring pairs overlap in a word, so a frequent pair of pairs is
 a phrase of three words, and so on. A phrase can't be frequent if its first or last part is not, so no phrase is
 lost.
 
 Counting works on the blocks of ``blocks.py``. A block counts its own tiles; tiles are added up over blocks by a
-shuffle on the tile, hot ones in rounds of groups of bounded size. Each block then asks which of its cells are
+shuffle on the tile, those with many entries split by their cells. Each block then asks which of its cells are
 frequent and writes its texts in the new ids.
 """
 
@@ -26,71 +26,90 @@ from pyspark.sql import functions as F
 from oreflow.llm import blocks as bl
 from oreflow.llm.common import discard, small, stored
 from oreflow.llm.numbering import numbered
+from oreflow.llm.words import mix
 
 LEAST = 100
 LONGEST = 5
 INSIDE = 100
 APART, BREAKS = b"\x20\x09", b".,;:!?\x0a\x0b\x0c\x0d"
-#: Ids along a side of a tile, as a power of two.
-SIDE_BITS = 9
-CELL_BITS = 2 * SIDE_BITS
-#: Entries from which a tile is counted by direct address.
-DENSE = 1 << (CELL_BITS - 4)
+#: Ids along a side of the tiles in the corner. The next are as wide, and each further one twice as wide as the last,
+#: so a block has few tiles however many words there are.
+SIDE = 512
+#: Share of a tile's cells that must have an entry for direct address, and cells of such a tile at most.
+DENSE_SHARE = 1 / 16
+DENSE_CELLS = 4 * SIDE * SIDE
 #: Cells in a row of a shuffle at most, and cells that one task adds up for a tile at most (a hot tile's are split).
 ROW_CELLS = 1024
 GROUP_CELLS = 4 << 20
-#: Sums of groups that the next round adds up together, each of at most a whole tile.
-ROUND_GROUPS = 16
 
-CHUNK = "grp string, rt int, ct int, block long, cells array<int>, counts array<long>"
+CHUNK = "grp string, rt int, ct int, block long, cells array<long>, counts array<long>"
 
 
-def count_cells(tile: np.ndarray, cell: np.ndarray, counts: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
-    """Distinct (tile << CELL_BITS | cell), sorted, and how often each occurs.
+def tile_of(ids: np.ndarray) -> np.ndarray:
+    return np.where(ids < SIDE, 0, np.frexp(ids / SIDE)[1].astype(np.int64))
 
-    ``tile`` has small numbers from 0; ``counts`` are weights of the entries, added exactly below 2^53.
+
+def base_of(tile: np.ndarray) -> np.ndarray:
+    """The first id of a tile's side."""
+    return np.where(tile > 0, (SIDE >> 1) << tile, 0)
+
+
+def width_of(tile: np.ndarray) -> np.ndarray:
+    return np.where(tile > 0, (SIDE >> 1) << tile, SIDE)
+
+
+def pair_ids() -> tuple[Column, Column]:
+    """The two ids of the column ``cell`` in the tile (rt, ct), as longs."""
+    half = F.lit(SIDE >> 1).cast("long")
+    first = lambda t: F.when(F.col(t) > 0, F.call_function("shiftleft", half, F.col(t))).otherwise(F.lit(0).cast("long"))
+    width = F.when(F.col("ct") > 0, first("ct")).otherwise(F.lit(SIDE).cast("long"))
+    inside = F.col("cell") % width
+    return first("rt") + ((F.col("cell") - inside) / width).cast("long"), first("ct") + inside
+
+
+def count_cells(
+    tile: np.ndarray, cell: np.ndarray, area: np.ndarray, counts: np.ndarray | None = None
+) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(tile, cell, sum) of each distinct cell, sorted, from its entries.
+
+    Tiles have numbers from 0, ``area`` their cells; ``counts`` are weights of the entries, added exactly below 2^53.
     """
-    entries = np.bincount(tile)
-    dense = entries >= DENSE
-    in_dense = dense[tile]
-    codes, sums = [], []
+    dense = (np.bincount(tile, minlength=len(area)) >= DENSE_SHARE * area) & (area <= DENSE_CELLS)
+    found = []
     for t in np.flatnonzero(dense).tolist():
         own = tile == t
-        weights = None if counts is None else counts[own]
-        table = np.bincount(cell[own], weights).astype(np.int64)
+        table = np.bincount(cell[own], None if counts is None else counts[own]).astype(np.int64)
         at = np.flatnonzero(table)
-        codes.append((t << CELL_BITS) | at)
-        sums.append(table[at])
-    rest = ~in_dense
-    code = (tile[rest].astype(np.int64) << CELL_BITS) | cell[rest]
-    order = np.argsort(code, kind="stable")
-    code = code[order]
-    new = np.ones(len(code), bool)
-    new[1:] = code[1:] != code[:-1]
+        found.append((np.full(len(at), t), at, table[at]))
+    rest = ~dense[tile]
+    tile, cell = tile[rest], cell[rest]
+    order = np.lexsort((cell, tile))
+    tile, cell = tile[order], cell[order]
+    new = np.ones(len(cell), bool)
+    new[1:] = (cell[1:] != cell[:-1]) | (tile[1:] != tile[:-1])
     begin = np.flatnonzero(new)
-    codes.append(code[begin])
-    weight = np.ones(len(code), np.int64) if counts is None else counts[rest][order].astype(np.int64)
-    sums.append(np.add.reduceat(weight, begin) if len(begin) else weight)
-    codes, sums = np.concatenate(codes), np.concatenate(sums)
-    order = np.argsort(codes, kind="stable")
-    return codes[order], sums[order]
-
-
-def chunk_rows(tiles: list[tuple], block: np.ndarray | int, codes: np.ndarray, sums: np.ndarray) -> pa.RecordBatch:
-    """Counted cells as rows of at most ROW_CELLS cells of one tile; ``tiles`` has (grp, rt, ct) by number."""
-    tile = codes >> CELL_BITS
+    if counts is None:
+        sums = np.diff(np.append(begin, len(cell)))
+    else:
+        sums = np.add.reduceat(counts[rest][order].astype(np.int64), begin) if len(begin) else begin
+    found.append((tile[begin], cell[begin], sums))
+    tile, cell, sums = (np.concatenate(c) for c in zip(*found))
+    order = np.argsort(tile, kind="stable")
+    return tile[order], cell[order], sums[order]
+
+
+def chunk_rows(keys: list[tuple], tile: np.ndarray, cell: np.ndarray, sums: np.ndarray) -> pa.RecordBatch:
+    """Counted cells as rows of at most ROW_CELLS cells of one tile; ``keys`` has (grp, rt, ct, block) by tile."""
     new = np.ones(len(tile), bool)
     new[1:] = tile[1:] != tile[:-1]
     first = np.flatnonzero(new)
     inside = np.arange(len(tile)) - np.repeat(first, np.diff(np.append(first, len(tile))))
     begin = np.flatnonzero(inside % ROW_CELLS == 0)
-    own = tile[begin]
     offsets = pa.array(np.append(begin, len(tile)), pa.int32())
-    blocks = np.full(len(own), block) if np.ndim(block) == 0 else block[own]
-    keys = [pa.array([tiles[t][k] for t in own], kind) for k, kind in enumerate((pa.string(), pa.int32(), pa.int32()))]
-    cells = pa.ListArray.from_arrays(offsets, pa.array((codes & ((1 << CELL_BITS) - 1)).astype(np.int32)))
-    counts = pa.ListArray.from_arrays(offsets, pa.array(sums, pa.int64()))
-    return pa.RecordBatch.from_arrays([*keys, pa.array(blocks, pa.int64()), cells, counts], names=["grp", "rt", "ct", "block", "cells", "counts"])
+    own = tile[begin].tolist()
+    columns = [pa.array([keys[t][k] for t in own], kind) for k, kind in enumerate((pa.string(), pa.int32(), pa.int32(), pa.int64()))]
+    lists = [pa.ListArray.from_arrays(offsets, pa.array(x, pa.int64())) for x in (cell, sums)]
+    return pa.RecordBatch.from_arrays([*columns, *lists], names=["grp", "rt", "ct", "block", "cells", "counts"])
 
 
 def pairs_of(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -103,77 +122,85 @@ def block_tiles(blocks: DataFrame) -> DataFrame:
     """Each block's own counts of neighbouring ids, by tile."""
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        low = (1 << SIDE_BITS) - 1
         for batch in batches:
             for group, block, value in zip(*batch.columns):
                 _, a, b = pairs_of(bl.numbers_of(value))
                 if len(a):
-                    corner, tile = np.unique((a >> SIDE_BITS) << 32 | b >> SIDE_BITS, return_inverse=True)
-                    codes, sums = count_cells(tile, (a & low) << SIDE_BITS | b & low)
-                    tiles = [(group.as_py(), c >> 32, c & 0xFFFFFFFF) for c in corner.tolist()]
-                    yield chunk_rows(tiles, block.as_py(), codes, sums)
+                    rt, ct = tile_of(a), tile_of(b)
+                    corner, tile = np.unique(rt * 64 + ct, return_inverse=True)
+                    cell = (a - base_of(rt)) * width_of(ct) + b - base_of(ct)
+                    area = width_of(corner // 64) * width_of(corner % 64)
+                    keys = [(group.as_py(), c // 64, c % 64, block.as_py()) for c in corner.tolist()]
+                    yield chunk_rows(keys, *count_cells(tile, cell, area))
 
     return blocks.select("grp", "block", "ids").mapInArrow(rows, CHUNK)
 
 
+def row_keys(part: pa.RecordBatch) -> tuple[list[tuple], np.ndarray]:
+    """Distinct (grp, rt, ct, block) of chunk rows, and the number of each row's."""
+    number: dict[tuple, int] = {}
+    rows = [number.setdefault(k, len(number)) for k in zip(*(part.column(k).to_pylist() for k in range(4)))]
+    return list(number), np.array(rows, np.int64)
+
+
 def add_up(chunks: DataFrame, least: int, group_cells: int = GROUP_CELLS) -> DataFrame:
     """(grp, a, b, n) of all cells that occur ``least`` times in all blocks together.
 
-    A tile with more than ``group_cells`` entries is dealt over groups of about as many, whose sums are added up
-    in further rounds, a few groups' sums at a time.
+    A tile with more than ``group_cells`` entries is dealt by its cells over groups of about as many.
     """
     tile = ["grp", "rt", "ct"]
 
+    def split(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            keys, row = row_keys(batch)
+            cells, counts = batch.column("cells"), batch.column("counts")
+            size = np.diff(cells.offsets.to_numpy())
+            cell, sums = cells.flatten().to_numpy(), counts.flatten().to_numpy()
+            groups = np.repeat(batch.column("parts").to_numpy(), size)
+            part = (mix(cell.astype(np.uint64)) % groups.astype(np.uint64)).astype(np.int64)
+            entry = np.repeat(row, size)
+            order = np.lexsort((cell, part, entry))
+            pair, number = np.unique(np.stack([entry[order], part[order]], 1), axis=0, return_inverse=True)
+            yield chunk_rows([(*keys[k][:3], p) for k, p in pair.tolist()], number.ravel(), cell[order], sums[order])
+
     def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """Rows come sorted by tile and salt; the last one's cells wait for what may follow."""
+        """Rows come sorted by tile and part; the last one's cells wait for what may follow."""
         held: list[pa.RecordBatch] = []
 
-        def flush(rows: list[pa.RecordBatch], whole: bool) -> Iterator[pa.RecordBatch]:
+        def flush(whole: bool) -> Iterator[pa.RecordBatch]:
+            part = pa.concat_batches(held)
             held.clear()
-            part = pa.Table.from_batches(rows).combine_chunks()
-            keys = list(zip(*(part.column(k).to_pylist() for k in range(4))))
-            number: dict[tuple, int] = {}
-            row_tile = np.array([number.setdefault(k, len(number)) for k in keys])
-            cells, counts = part.column("cells").combine_chunks(), part.column("counts").combine_chunks()
-            entry = np.repeat(row_tile, np.diff(cells.offsets.to_numpy()))
-            codes, sums = count_cells(entry, cells.flatten().to_numpy(), counts.flatten().to_numpy())
-            names = list(number)
-            done = chunk_rows([k[:3] for k in names], np.array([k[3] for k in names]), codes, sums)
-            if whole:
-                yield done
-            else:
-                last = names[-1]
-                mask = np.array([k == last for k in zip(*(done.column(k).to_pylist() for k in range(4)))])
-                held.append(done.filter(pa.array(mask)))
-                yield done.filter(pa.array(~mask))
+            keys, row = row_keys(part)
+            cells, counts = part.column("cells"), part.column("counts")
+            entry = np.repeat(row, np.diff(cells.offsets.to_numpy()))
+            area = np.array([int(width_of(rt) * width_of(ct)) for _, rt, ct, _ in keys])
+            number, cell, sums = count_cells(entry, cells.flatten().to_numpy(), area, counts.flatten().to_numpy())
+            last = len(number) if whole else int(np.searchsorted(number, len(keys) - 1))
+            if last < len(number):
+                held.append(chunk_rows(keys, number[last:], cell[last:], sums[last:]))
+            frequent = sums[:last] >= least
+            yield chunk_rows(keys, number[:last][frequent], cell[:last][frequent], sums[:last][frequent])
 
         waiting = 0
         for batch in batches:
             held.append(batch)
             waiting += len(batch.column("cells").flatten())
             if waiting >= group_cells:
-                yield from flush(list(held), whole=False)
+                yield from flush(whole=False)
                 waiting = 0
         if held:
-            yield from flush(list(held), whole=True)
-
-    most = chunks.groupBy(tile).agg(F.sum(F.size("cells")).alias("n")).agg(F.max("n")).first()[0] or 0
-    salts = max(1, -(-most // group_cells))
-    while True:
-        salted = chunks.withColumn("block", F.pmod(F.hash("block", "cells"), F.lit(salts)).cast("long"))
-        dealt = salted.repartition(*tile, "block").sortWithinPartitions(*tile, "block")
-        chunks = dealt.mapInArrow(merge, CHUNK)
-        if salts == 1:
-            break
-        salts = -(-salts // ROUND_GROUPS)
-    counted = chunks.select(*tile, F.explode(F.filter(F.arrays_zip("cells", "counts"), lambda c: c["counts"] >= least)).alias("c"))
-    side = 1 << SIDE_BITS
-    return counted.select(
-        "grp",
-        (F.col("rt") * side + F.shiftright("c.cells", SIDE_BITS)).alias("a"),
-        (F.col("ct") * side + F.col("c.cells").bitwiseAND(side - 1)).alias("b"),
-        F.col("c.counts").alias("n"),
-    )
+            yield from flush(whole=True)
+
+    sizes = chunks.groupBy(tile).agg(F.ceil(F.sum(F.size("cells")) / F.lit(group_cells)).alias("parts"))
+    large = stored(sizes.where("parts > 1"), "large")
+    dealt = chunks.withColumn("block", F.lit(0).cast("long"))
+    if not large.isEmpty():
+        several = chunks.join(small(large), tile).select(*chunks.columns, "parts").mapInArrow(split, CHUNK)
+        dealt = dealt.join(small(large), tile, "left_anti").select(chunks.columns).unionByName(several)
+    sums = dealt.repartition(*tile, "block").sortWithinPartitions(*tile, "block").mapInArrow(merge, CHUNK)
+    cells = sums.select(*tile, F.explode(F.arrays_zip("cells", "counts")).alias("c")).select(*tile, F.col("c.cells").alias("cell"), F.col("c.counts").alias("n"))
+    a, b = pair_ids()
+    return cells.select("grp", a.alias("a"), b.alias("b"), "n")
 
 
 def ranked(counted: DataFrame, *keys: str) -> DataFrame:
@@ -235,7 +262,7 @@ def frequent_phrases(
     totals = stored(words.groupBy("grp").agg(F.sum("n").alias("n")), "totals")
     none = F.array().cast("array<long>")
     level = ranked(words.where(F.col("n") >= least), "word").select(
-        "grp", "id", F.lit(0).alias("a"), F.lit(0).alias("b"), "n", F.col("word").alias("words"), F.col("word").alias("last"),
+        "grp", "id", F.lit(0).cast("long").alias("a"), F.lit(0).cast("long").alias("b"), "n", F.col("word").alias("words"), F.col("word").alias("last"),
         none.alias("heads"), none.alias("tails"),
     )
     keys = level.select("grp", F.col("words").alias("word"), "id")
@@ -248,13 +275,11 @@ def frequent_phrases(
         pairs = ranked(add_up(chunks, least), "a", "b")
         levels.append(stored(joined(pairs, levels[-1]), f"phrases-{length}"))
         if length < longest:
-            code = F.shiftleft(F.col("a").cast("long"), 32).bitwiseOR(F.col("b").cast("long"))
+            code = F.shiftleft("a", 32).bitwiseOR(F.col("b"))
             keys = stored(pairs.select("grp", code.alias("code"), "id"), "keys")
-            low = F.lit((1 << SIDE_BITS) - 1)
             asked = chunks.select("grp", "block", "rt", "ct", F.explode("cells").alias("cell"))
-            a = F.shiftleft("rt", SIDE_BITS) + F.shiftright("cell", SIDE_BITS)
-            b = F.shiftleft("ct", SIDE_BITS) + F.col("cell").bitwiseAND(low)
-            asked = asked.select("grp", "block", F.shiftleft(a.cast("long"), 32).bitwiseOR(b.cast("long")).alias("code"))
+            a, b = pair_ids()
+            asked = asked.select("grp", "block", F.shiftleft(a, 32).bitwiseOR(b).alias("code"))
             old, blocks = blocks, answered(blocks, asked.join(small(keys), ["grp", "code"]).select("block", "code", "id"), str(length))
             discard(old)
         discard(chunks)

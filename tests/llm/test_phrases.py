@@ -85,24 +85,41 @@ def test_scores_beyond_64_bits(spark):
 @pytest.mark.parametrize("weighted", [False, True])
 def test_cells(size, weighted):
     rng = np.random.default_rng(size)
-    tile = np.sort(rng.zipf(1.5, size) % 7) if size else np.zeros(0, np.int64)
-    cell = rng.integers(0, 1 << phrases.CELL_BITS, size) // rng.integers(1, 5000, size)
+    area = np.array([phrases.SIDE**2] * 4 + [1 << 40] * 3)
+    tile = rng.zipf(1.5, size) % 7 if size else np.zeros(0, np.int64)
+    cell = rng.integers(0, phrases.SIDE**2, size) // rng.integers(1, 5000, size)
     counts = rng.integers(1, 1 << 40, size) if weighted else None
-    codes, sums = phrases.count_cells(tile, cell, counts)
+    tiles, cells, sums = phrases.count_cells(tile, cell, area, counts)
     want = Counter()
-    for k, (t, c) in enumerate(zip(tile.tolist(), cell.tolist())):
-        want[t << phrases.CELL_BITS | c] += int(counts[k]) if weighted else 1
-    assert dict(zip(codes.tolist(), sums.tolist())) == want and (np.diff(codes) > 0).all()
+    for k, key in enumerate(zip(tile.tolist(), cell.tolist())):
+        want[key] += int(counts[k]) if weighted else 1
+    got = list(zip(tiles.tolist(), cells.tolist()))
+    assert dict(zip(got, sums.tolist())) == want and got == sorted(want)
 
 
-def test_hot_tiles_are_added_up_in_rounds(spark):
+def test_tiles_cover_all_ids():
+    ids = np.array([0, 1, 511, 512, 1023, 1024, 2047, 2048, 5000, (1 << 31) - 1], np.int64)
+    tile = phrases.tile_of(ids)
+    assert (phrases.base_of(tile) <= ids).all() and (ids < phrases.base_of(tile) + phrases.width_of(tile)).all()
+    assert tile[:9].tolist() == [0, 0, 0, 1, 1, 2, 2, 3, 4] and tile.max() < 64
+
+
+def test_hot_tiles_are_split(spark):
     rng = random.Random(1)
     rows, want = [], Counter()
     for block in range(300):
+        tiles = (0, 0), (3, 2), (1, 0)
+        rt, ct = tiles[block % 3]
         cells = sorted(rng.sample(range(2000), 20))
-        rows.append(("en", 0, block % 3, block, cells, [block + 1] * 20))
+        rows.append(("en", rt, ct, block, cells, [block + 1] * 20))
         want.update({(block % 3, c): block + 1 for c in cells})
     chunks = spark.createDataFrame(rows, phrases.CHUNK).repartition(6)
-    got = phrases.add_up(chunks, 300, group_cells=30).collect()  # 67 groups a tile, then 5, then one
-    side = 1 << phrases.SIDE_BITS
-    assert {(r.b // side, r.a * side + r.b % side): r.n for r in got} == {k: v for k, v in want.items() if v >= 300}
+    for size in (30, 1000, 1 << 22):
+        got = phrases.add_up(chunks, 300, group_cells=size).collect()
+        found = {}
+        for r in got:
+            k = {(0, 0): 0, (3, 2): 1, (1, 0): 2}[int(phrases.tile_of(r.a)), int(phrases.tile_of(r.b))]
+            base, width = (lambda t: int(phrases.base_of(t))), (lambda t: int(phrases.width_of(t)))
+            rt, ct = tiles[k]
+            found[k, (r.a - base(rt)) * width(ct) + r.b - base(ct)] = r.n
+        assert found == {k: v for k, v in want.items() if v >= 300}
