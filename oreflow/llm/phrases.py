@@ -10,8 +10,8 @@ a phrase of three words, and so on. A phrase can't be frequent if its first or l
 lost.
 
 Counting works on the blocks of ``blocks.py``. A block counts its own tiles; tiles are added up over blocks by a
-shuffle on the tile, those with many entries split by their cells. Each block then asks which of its cells are
-frequent and writes its texts in the new ids.
+shuffle on the tile, those with many entries split by their cells. Each block is then written
+in the new ids: few are sent to every task, of many each block gets those that it asks for.
 """
 
 from __future__ import annotations
@@ -20,11 +20,12 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from oreflow.llm import blocks as bl
-from oreflow.llm.common import discard, small, stored
+from oreflow.llm.common import BROADCAST_KEYS, discard, small, stored
 from oreflow.llm.numbering import numbered
 from oreflow.llm.words import mix
 
@@ -211,39 +212,79 @@ def ranked(counted: DataFrame, *keys: str) -> DataFrame:
     return out
 
 
-def answered(blocks: DataFrame, found: DataFrame, name: str) -> DataFrame:
-    """Blocks in new ids: ``found`` has (block, code, id), codes being numbers of words or pairs of ids."""
+def new_ids(numbers: np.ndarray, codes: np.ndarray, ids: np.ndarray, pairs: bool) -> bytes:
+    """A row of ids in new ones: ``codes``, sorted, are numbers of words or pairs of ids, ``ids`` what they become."""
+    if pairs:
+        at, a, b = pairs_of(numbers)
+        want = a << 32 | b
+    else:
+        at = np.flatnonzero(numbers >= 0)
+        want = numbers[at].astype(np.int64)
+    new = np.zeros(len(numbers), np.int32)
+    if len(codes):
+        place = np.minimum(np.searchsorted(codes, want), len(codes) - 1)
+        new[at] = np.where(codes[place] == want, ids[place], 0)
+    keep = np.ones(len(new), bool)
+    keep[1:] = (new[1:] > 0) | (new[:-1] > 0)  # one 0 tells neighbours apart as well as many
+    return new[keep].tobytes()
+
+
+CODED = "grp string, block long, ids binary"
+
+
+def recoded(blocks: DataFrame, keys: DataFrame, asked: DataFrame | None, name: str, few: int = BROADCAST_KEYS) -> DataFrame:
+    """Blocks in the ids of the next level. ``keys``, stored, has (grp, word, id) or (grp, code, id).
+
+    At most ``few`` keys are sent to all tasks. Of more, each block gets those it asks for: ``asked`` has the rows
+    (grp, block, number, word) or (grp, block, code) of all blocks, which meet the keys and then the blocks in a
+    shuffle.
+    """
+    pairs = "code" in keys.columns
+    if keys.limit(few + 1).count() <= few:
+        table = keys.toArrow()
+        own: dict[str, tuple] = {}
+        for group in table.column("grp").unique().to_pylist():
+            part = table.filter(pc.equal(table.column("grp"), group))
+            values, ids = part.column(1).combine_chunks(), part.column("id").to_numpy()
+            if pairs:
+                order = np.argsort(values := values.to_numpy())
+                values, ids = values[order], ids[order]
+            own[group] = values, ids
+        shared = blocks.sparkSession.sparkContext.broadcast(own)
+
+        def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                out = []
+                for k, group in enumerate(batch.column("grp").to_pylist()):
+                    numbers = bl.numbers_of(batch.column("ids")[k])
+                    codes, ids = shared.value.get(group, (np.zeros(0, np.int64), np.zeros(0, np.int32)))
+                    if not pairs and len(ids):
+                        found = pc.index_in(batch.column("words")[k].values, codes).to_numpy(zero_copy_only=False)
+                        codes = np.flatnonzero(~np.isnan(found))
+                        ids = ids[found[codes].astype(np.int64)]
+                    out.append(new_ids(numbers, codes, ids, pairs))
+                columns = [batch.column("grp"), batch.column("block"), pa.array(out, pa.binary())]
+                yield pa.RecordBatch.from_arrays(columns, names=["grp", "block", "ids"])
+
+        columns = ["grp", "block", "ids"] + ["words"] * (not pairs)
+        return stored(blocks.select(columns).mapInArrow(rows, CODED), f"blocks-{name}", "zstd")
 
     def recode(left: pa.Table, right: pa.Table) -> pa.Table:
-        values = [bl.numbers_of(v) for v in left.column("ids")]
         order = np.argsort(codes := right.column("code").to_numpy())
         codes, ids = codes[order], right.column("id").to_numpy()[order]
-        out = []
-        for numbers in values:
-            if pairs:
-                at, a, b = pairs_of(numbers)
-                want = a << 32 | b
-            else:
-                at = np.flatnonzero(numbers >= 0)
-                want = numbers[at].astype(np.int64)
-            new = np.zeros(len(numbers), np.int32)
-            if len(codes):
-                place = np.minimum(np.searchsorted(codes, want), len(codes) - 1)
-                new[at] = np.where(codes[place] == want, ids[place], 0)
-            keep = np.ones(len(new), bool)
-            keep[1:] = (new[1:] > 0) | (new[:-1] > 0)  # one 0 tells neighbours apart as well as many
-            out.append(new[keep].tobytes())
+        out = [new_ids(bl.numbers_of(v), codes, ids, pairs) for v in left.column("ids")]
         return pa.table([left.column("grp"), left.column("block"), pa.array(out, pa.binary())], names=["grp", "block", "ids"])
 
-    pairs = name != "words"
-    answers = found.select(F.col("block").alias("asker"), F.col("code").cast("long").alias("code"), "id")
+    found = asked.join(keys, ["grp", keys.columns[1]])
+    code = F.col("code" if pairs else "number").cast("long").alias("code")
+    answers = found.select(F.col("block").alias("asker"), code, "id")
     both = blocks.select("grp", "block", "ids").groupBy("block").cogroup(answers.groupBy("asker"))
-    return stored(both.applyInArrow(recode, "grp string, block long, ids binary"), f"blocks-{name}")
+    return stored(both.applyInArrow(recode, CODED), f"blocks-{name}", "zstd")
 
 
 def frequent_phrases(
     docs: DataFrame, group: str = "lang", text: str = "text", least: int = LEAST, longest: int = LONGEST,
-    block_bytes: int = bl.BLOCK_BYTES,
+    block_bytes: int = bl.BLOCK_BYTES, few: int = BROADCAST_KEYS,
 ) -> tuple[DataFrame, list[DataFrame]]:
     """(grp, n): words of each group; and, for each length, the phrases that occur ``least`` times.
 
@@ -256,7 +297,7 @@ def frequent_phrases(
     )
     finish = lambda b: [bl.listed(b["words"]), bl.listed(b["counts"]), bl.raw(b["numbers"])]
     schema = "words array<string>, counts array<long>, ids binary"
-    first = stored(bl.encode(texts, schema, finish, APART, BREAKS, block_bytes=block_bytes), "blocks")
+    first = stored(bl.encode(texts, schema, finish, APART, BREAKS, block_bytes=block_bytes), "blocks", "zstd")
     entries = bl.dictionary(first, "counts")
     words = stored(entries.groupBy("grp", "word").agg(F.sum("counts").alias("n")), "words")
     totals = stored(words.groupBy("grp").agg(F.sum("n").alias("n")), "totals")
@@ -265,9 +306,8 @@ def frequent_phrases(
         "grp", "id", F.lit(0).cast("long").alias("a"), F.lit(0).cast("long").alias("b"), "n", F.col("word").alias("words"), F.col("word").alias("last"),
         none.alias("heads"), none.alias("tails"),
     )
-    keys = level.select("grp", F.col("words").alias("word"), "id")
-    found = entries.join(small(stored(keys, "keys")), ["grp", "word"]).select("block", F.col("number").alias("code"), "id")
-    blocks = answered(first, found, "words")
+    keys = stored(level.select("grp", F.col("words").alias("word"), "id"), "keys")
+    blocks = recoded(first, keys, entries, "words", few)
     discard(first)
     levels = [level]
     for length in range(2, longest + 1):
@@ -280,7 +320,7 @@ def frequent_phrases(
             asked = chunks.select("grp", "block", "rt", "ct", F.explode("cells").alias("cell"))
             a, b = pair_ids()
             asked = asked.select("grp", "block", F.shiftleft(a, 32).bitwiseOR(b).alias("code"))
-            old, blocks = blocks, answered(blocks, asked.join(small(keys), ["grp", "code"]).select("block", "code", "id"), str(length))
+            old, blocks = blocks, recoded(blocks, keys, asked, str(length), few)
             discard(old)
         discard(chunks)
         discard(pairs)
@@ -312,7 +352,7 @@ def lowest_cut(a: str, n: str) -> Column:
 
 def mine_phrases(
     docs: DataFrame, group: str = "lang", text: str = "text", least: int = LEAST, longest: int = LONGEST,
-    inside: int = INSIDE, block_bytes: int = bl.BLOCK_BYTES,
+    inside: int = INSIDE, block_bytes: int = bl.BLOCK_BYTES, few: int = BROADCAST_KEYS,
 ) -> DataFrame:
     """(group, phrase, words, a, l, r, n, score): phrases of 2 to ``longest`` words that occur ``least`` times.
 
@@ -325,7 +365,7 @@ def mine_phrases(
     Repeated rows count as often as they come. A group without frequent phrases, and an empty table, give no rows.
     Other columns are not read. Words are told apart by 64-bit hashes within a block and by their letters beyond.
     """
-    totals, levels = frequent_phrases(docs, group, text, least, longest, block_bytes)
+    totals, levels = frequent_phrases(docs, group, text, least, longest, block_bytes, few)
     kept = None
     for k, level in enumerate(levels[1:], 1):
         phrases = level.withColumn("size", F.lit(k + 1))

@@ -53,12 +53,14 @@ def sample(seed=3):
     return rows + [("en", "same same; words here " * 200)] * 2
 
 
-@pytest.mark.parametrize("block_bytes,inside,longest", [(bl.BLOCK_BYTES, 100, 5), (2000, 100, 5), (500, 80, 3)])
-def test_phrases(spark, block_bytes, inside, longest):
+@pytest.mark.parametrize(
+    "block_bytes,inside,longest,few", [(bl.BLOCK_BYTES, 100, 5, 10_000), (2000, 100, 5, 0), (2000, 100, 5, 10_000), (500, 80, 3, 0)]
+)
+def test_phrases(spark, block_bytes, inside, longest, few):
     rows = sample()
     clashing = [F.lit("x").alias(c) for c in ("grp", "block", "words", "n", "a", "id", "rank", "score")]
     docs = spark.createDataFrame(rows, "lang string, text string").repartition(5).select("*", *clashing)
-    got = phrases.mine_phrases(docs, least=10, longest=longest, inside=inside, block_bytes=block_bytes)
+    got = phrases.mine_phrases(docs, least=10, longest=longest, inside=inside, block_bytes=block_bytes, few=few)
     want = brute(rows, 10, longest, inside)
     assert sorted(tuple(r) for r in got.collect()) == want
     assert len(want) > 30 and any(w[2] == longest for w in want)
