@@ -21,7 +21,7 @@ from oreflow.llm.words import Words, mix, slices
 
 BLOCK_BYTES = 8 << 20
 #: Bytes of texts that wait in a task until their groups fill a block.
-WAITING_BYTES = 4 * BLOCK_BYTES
+WAITING_BYTES = 2 * BLOCK_BYTES
 BREAK = -1
 
 _END_HASH = mix(np.array([1], np.uint64))[0]
@@ -41,8 +41,8 @@ class Waiting:
         self.size = 0
 
     def add(self, w: Words, breaks: np.ndarray | None, end: bool, rows: pa.RecordBatch) -> None:
-        hashes, length = w.hashes(), w.end - w.start
-        start, count = w.start, w.counts()
+        hashes, length = w.hashes(), (w.end - w.start).astype(np.int32)
+        start, count = w.start.astype(np.int32), w.counts()
         cut = None
         if breaks is not None:
             before = np.concatenate([[0], np.cumsum(breaks[w.data])])
@@ -60,7 +60,7 @@ class Waiting:
         """Dictionary, numbers and rows of everything that waits; nothing waits afterwards."""
         hashes, length = (np.concatenate([p[k] for p in self.parts]) for k in (0, 2))
         shift = np.cumsum([0, *(len(p[3]) for p in self.parts)])
-        start = np.concatenate([p[1] + s for p, s in zip(self.parts, shift)])
+        start = np.concatenate([p[1] + np.int32(s) for p, s in zip(self.parts, shift)])
         data = np.concatenate([p[3] for p in self.parts])
         _, first, numbers, counts = np.unique(hashes, return_index=True, return_inverse=True, return_counts=True)
         order = np.argsort(-counts, kind="stable")
@@ -94,13 +94,21 @@ def listed(values: pa.Array | np.ndarray) -> pa.ListArray:
     return pa.ListArray.from_arrays([0, len(values)], pa.array(values))
 
 
+def packed(numbers: np.ndarray) -> bytes:
+    """32-bit numbers, compressed, behind their count."""
+    data = numbers.astype("<i4").tobytes()
+    return len(data).to_bytes(8, "little") + pa.compress(data, codec="zstd", asbytes=True)
+
+
 def raw(numbers: np.ndarray) -> pa.Array:
-    """32-bit numbers as the one binary value of a row."""
-    return pa.array([numbers.astype("<i4").tobytes()], pa.binary())
+    """Packed numbers as the one binary value of a row."""
+    return pa.array([packed(numbers)], pa.binary())
 
 
 def numbers_of(value: pa.Scalar) -> np.ndarray:
-    return np.frombuffer(value.as_buffer(), "<i4")
+    data = value.as_buffer()
+    size = int.from_bytes(data[:8].to_pybytes(), "little")
+    return np.frombuffer(pa.decompress(data[8:], size, codec="zstd"), "<i4") if size else np.zeros(0, "<i4")
 
 
 def encode(

@@ -41,7 +41,7 @@ DENSE_SHARE = 1 / 16
 DENSE_CELLS = 4 * SIDE * SIDE
 #: Cells in a row of a shuffle at most, and cells that one task adds up for a tile at most (a hot tile's are split).
 ROW_CELLS = 1024
-GROUP_CELLS = 4 << 20
+GROUP_CELLS = 1 << 20
 
 CHUNK = "grp string, rt int, ct int, block long, cells array<long>, counts array<long>"
 
@@ -226,7 +226,7 @@ def new_ids(numbers: np.ndarray, codes: np.ndarray, ids: np.ndarray, pairs: bool
         new[at] = np.where(codes[place] == want, ids[place], 0)
     keep = np.ones(len(new), bool)
     keep[1:] = (new[1:] > 0) | (new[:-1] > 0)  # one 0 tells neighbours apart as well as many
-    return new[keep].tobytes()
+    return bl.packed(new[keep])
 
 
 CODED = "grp string, block long, ids binary"
@@ -267,7 +267,7 @@ def recoded(blocks: DataFrame, keys: DataFrame, asked: DataFrame | None, name: s
                 yield pa.RecordBatch.from_arrays(columns, names=["grp", "block", "ids"])
 
         columns = ["grp", "block", "ids"] + ["words"] * (not pairs)
-        return stored(blocks.select(columns).mapInArrow(rows, CODED), f"blocks-{name}", "zstd")
+        return stored(blocks.select(columns).mapInArrow(rows, CODED), f"blocks-{name}")
 
     def recode(left: pa.Table, right: pa.Table) -> pa.Table:
         order = np.argsort(codes := right.column("code").to_numpy())
@@ -279,7 +279,7 @@ def recoded(blocks: DataFrame, keys: DataFrame, asked: DataFrame | None, name: s
     code = F.col("code" if pairs else "number").cast("long").alias("code")
     answers = found.select(F.col("block").alias("asker"), code, "id")
     both = blocks.select("grp", "block", "ids").groupBy("block").cogroup(answers.groupBy("asker"))
-    return stored(both.applyInArrow(recode, CODED), f"blocks-{name}", "zstd")
+    return stored(both.applyInArrow(recode, CODED), f"blocks-{name}")
 
 
 def frequent_phrases(
@@ -297,7 +297,7 @@ def frequent_phrases(
     )
     finish = lambda b: [bl.listed(b["words"]), bl.listed(b["counts"]), bl.raw(b["numbers"])]
     schema = "words array<string>, counts array<long>, ids binary"
-    first = stored(bl.encode(texts, schema, finish, APART, BREAKS, block_bytes=block_bytes), "blocks", "zstd")
+    first = stored(bl.encode(texts, schema, finish, APART, BREAKS, block_bytes=block_bytes), "blocks")
     entries = bl.dictionary(first, "counts")
     words = stored(entries.groupBy("grp", "word").agg(F.sum("counts").alias("n")), "words")
     totals = stored(words.groupBy("grp").agg(F.sum("n").alias("n")), "totals")
