@@ -1,28 +1,24 @@
-"""Training of status classifiers with Spark MLlib."""
+"""Training of status classifiers: ridge by its closed form, trees with Spark MLlib."""
 
 from __future__ import annotations
 
 import json
 import random
 import uuid
-from collections.abc import Iterable
-from dataclasses import dataclass
+from collections.abc import Callable, Iterable
+from dataclasses import asdict, dataclass
 from multiprocessing.pool import ThreadPool
 
-from pyspark.ml import Estimator, Pipeline, PipelineModel
+from pyspark.ml import Estimator, Model, PipelineModel
 from pyspark.ml.classification import GBTClassifier, LogisticRegression, OneVsRest, RandomForestClassifier
-from pyspark.ml.feature import (
-    FeatureHasher,
-    Imputer,
-    IndexToString,
-    StringIndexer,
-    StringIndexerModel,
-    VectorAssembler,
-)
-from pyspark.sql import DataFrame
+from pyspark.ml.feature import IndexToString, OneHotEncoder, StringIndexerModel, VectorAssembler
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from oreflow.operators import tpe
+from oreflow.operators.dictionary import looked_up, number_values
 from oreflow.operators.metrics import class_report, confusion_counts, report_summary
+from oreflow.operators.ridge import MAX_DENSE, RidgeClassifier, RidgeModel
 
 # The label and the features every model is trained with.
 LABEL = "device_operational_status"
@@ -38,8 +34,6 @@ CONTINUOUS = (
 
 #: Most values that a label may have; they are listed on the driver.
 MAX_CLASSES = 1000
-#: Columns that all category values are hashed to.
-HASHED_SIZE = 1024
 
 
 @dataclass(frozen=True)
@@ -48,7 +42,6 @@ class FeatureSpec:
     categorical: tuple[str, ...] = CATEGORICAL
     continuous: tuple[str, ...] = CONTINUOUS
     max_classes: int = MAX_CLASSES
-    hashed_size: int = HASHED_SIZE
 
 
 def label_classes(rows: DataFrame, spec: FeatureSpec) -> list[str]:
@@ -59,30 +52,112 @@ def label_classes(rows: DataFrame, spec: FeatureSpec) -> list[str]:
     return sorted(v[0] for v in values if v[0] is not None)
 
 
-def encoder(spec: FeatureSpec = FeatureSpec()) -> Pipeline:
-    """Stages that make the columns ``features`` and ``label_index``; the same for any number of rows and values.
+def column_means(rows: DataFrame, columns: Iterable[str]) -> dict[str, float]:
+    """Mean of each number column, 0 if it has no value; what a missing value counts as."""
+    means = rows.agg(*[F.avg(c).alias(c) for c in columns]).first().asDict()
+    return {c: float(m or 0.0) for c, m in means.items()}
 
-    Category columns are hashed together to ``hashed_size`` columns, so no list of their values is gathered; a NULL
-    category sets none of them. A missing number counts as the mean of the rows that the stages are fitted on.
-    """
-    indexer = StringIndexer(inputCol=spec.label, outputCol="label_index", stringOrderType="alphabetAsc")
-    filled = [f"{c}_filled" for c in spec.continuous]
-    return Pipeline(
-        stages=[
-            indexer.setHandleInvalid("skip"),  # while fitting: a row without a label teaches nothing
-            Imputer(inputCols=list(spec.continuous), outputCols=filled),
-            FeatureHasher(inputCols=list(spec.categorical), outputCol="hashed", numFeatures=spec.hashed_size),
-            VectorAssembler(inputCols=[*filled, "hashed"], outputCol="features", handleInvalid="keep"),
-        ]
-    )
 
+@dataclass
+class Encoding:
+    """How rows become feature vectors: the numbers, then for each category column one column per value.
+
+    The values of a category are numbered by a table of their own, however many there are (``dictionaries``, with
+    ``sizes``); rows get their numbers by a join. A NULL or unknown category sets none of its columns, a missing
+    number counts as the mean of the rows that the encoding was fitted on.
+    """
 
-def keep_all_rows(model: PipelineModel) -> PipelineModel:
-    """Let a fitted pipeline score rows whose label it has not seen, or that have none, instead of leaving them out."""
-    for stage in model.stages:
-        if isinstance(stage, StringIndexerModel):
-            stage.setHandleInvalid("keep")
-    return model
+    spec: FeatureSpec
+    classes: list[str]
+    means: dict[str, float]
+    dictionaries: dict[str, DataFrame]
+    sizes: dict[str, int]
+
+    @classmethod
+    def fit(cls, rows: DataFrame, spec: FeatureSpec = FeatureSpec()) -> Encoding:
+        dictionaries = {c: number_values(rows, c) for c in spec.categorical}
+        sizes = {c: d.count() for c, d in dictionaries.items()}
+        return cls(spec, label_classes(rows, spec), column_means(rows, spec.continuous), dictionaries, sizes)
+
+    @property
+    def width(self) -> int:
+        return len(self.spec.continuous) + sum(self.sizes.values())
+
+    def origin(self, feature: int) -> tuple[str, int | None]:
+        """The column that a feature comes from, and for a category the number of its value."""
+        if feature < len(self.spec.continuous):
+            return self.spec.continuous[feature], None
+        feature -= len(self.spec.continuous)
+        for c, size in self.sizes.items():
+            if feature < size:
+                return c, feature
+            feature -= size
+        raise IndexError("no such feature")
+
+    def transform(self, rows: DataFrame, fitting: bool = False) -> DataFrame:
+        """Rows with ``features`` and ``label_index``; all rows, or to fit a model on only those with a known label."""
+        out, inputs = rows, []
+        for c in self.spec.continuous:
+            inputs.append(f"{c}_filled")
+            out = out.withColumn(inputs[-1], F.coalesce(F.col(c).cast("double"), F.lit(self.means[c])))
+        for c, size in self.sizes.items():
+            if size:
+                index = f"{c}_index"
+                out = looked_up(out, c, self.dictionaries[c], index)
+                out = out.withColumn(index, F.coalesce(F.col(index), F.lit(size)).cast("double"))
+                widest = rows.sparkSession.createDataFrame([(float(size - 1),)], f"{index} DOUBLE")
+                # the number after the last stands for no value, which sets no column
+                one_hot = OneHotEncoder(inputCol=index, outputCol=f"{c}_columns", handleInvalid="keep", dropLast=True)
+                out = one_hot.fit(widest).transform(out)
+                inputs.append(f"{c}_columns")
+        out = VectorAssembler(inputCols=inputs, outputCol="features").transform(out)
+        invalid = "skip" if fitting else "keep"
+        label = StringIndexerModel.from_labels(self.classes, self.spec.label, "label_index", handleInvalid=invalid)
+        extra = [c for c in out.columns if c.endswith(("_filled", "_columns")) and c in inputs]
+        return label.transform(out).drop(*extra)
+
+    def save(self, spark: SparkSession, path: str) -> None:
+        parts = {"spec": asdict(self.spec), "classes": self.classes, "means": self.means, "sizes": self.sizes}
+        spark.createDataFrame([(json.dumps(parts),)], "value STRING").coalesce(1).write.mode("overwrite").text(f"{path}/parts")
+        for c, d in self.dictionaries.items():
+            d.write.mode("overwrite").parquet(f"{path}/dictionary/{c}")
+
+    @classmethod
+    def load(cls, spark: SparkSession, path: str) -> Encoding:
+        parts = json.loads(spark.read.text(f"{path}/parts").first().value)
+        spec = FeatureSpec(**{k: tuple(v) if isinstance(v, list) else v for k, v in parts["spec"].items()})
+        schema = "value STRING, index BIGINT"
+        dictionaries = {c: spark.read.schema(schema).parquet(f"{path}/dictionary/{c}") for c in spec.categorical}
+        return cls(spec, parts["classes"], parts["means"], dictionaries, parts["sizes"])
+
+
+@dataclass
+class TrainedModel:
+    """A fitted classifier with what its input needs; ``transform`` adds ``prediction`` and ``predicted_label``."""
+
+    encoding: Encoding | None
+    model: Model | RidgeModel
+
+    def transform(self, rows: DataFrame) -> DataFrame:
+        if isinstance(self.model, RidgeModel):
+            return self.model.transform(rows)
+        names = IndexToString(inputCol="prediction", outputCol="predicted_label", labels=self.encoding.classes)
+        return names.transform(self.model.transform(self.encoding.transform(rows)))
+
+    def save(self, spark: SparkSession, path: str) -> None:
+        kind = "ridge" if isinstance(self.model, RidgeModel) else "encoded"
+        spark.createDataFrame([(kind,)], "value STRING").coalesce(1).write.mode("overwrite").text(f"{path}/kind")
+        if kind == "ridge":
+            self.model.save(spark, f"{path}/ridge")
+        else:
+            self.encoding.save(spark, f"{path}/encoding")
+            PipelineModel([self.model]).write().overwrite().save(f"{path}/model")
+
+    @classmethod
+    def load(cls, spark: SparkSession, path: str) -> TrainedModel:
+        if spark.read.text(f"{path}/kind").first().value == "ridge":
+            return cls(None, RidgeModel.load(spark, f"{path}/ridge"))
+        return cls(Encoding.load(spark, f"{path}/encoding"), PipelineModel.load(f"{path}/model").stages[0])
 
 
 def linear_classifier(alpha: float = 1.0, fit_intercept: bool = True, normalize: bool = True) -> LogisticRegression:
@@ -116,14 +191,29 @@ def forest(n_estimators: int = 20, max_depth: int = 5, gamma: float = 0.0) -> Ra
     )
 
 
-def train(rows: DataFrame, estimator: Estimator, spec: FeatureSpec = FeatureSpec()) -> PipelineModel:
-    """Encoding, model and conversion of predicted indexes back to label names, fitted as one pipeline."""
-    classes = label_classes(rows, spec)
-    names = IndexToString(inputCol="prediction", outputCol="predicted_label", labels=classes)
-    return keep_all_rows(Pipeline(stages=[*encoder(spec).getStages(), estimator, names]).fit(rows))
+def train(rows: DataFrame, estimator: Estimator | RidgeClassifier, spec: FeatureSpec = FeatureSpec()) -> TrainedModel:
+    """A model fitted on the rows that have a label."""
+    if isinstance(estimator, RidgeClassifier):
+        return TrainedModel(None, train_ridge(rows, estimator, spec))
+    rows = rows.where(F.col(spec.label).isNotNull())
+    encoding = Encoding.fit(rows, spec)
+    return TrainedModel(encoding, estimator.fit(encoding.transform(rows, fitting=True)))
 
 
-def evaluate(model: PipelineModel, rows: DataFrame, label: str = LABEL) -> dict[str, float]:
+def train_ridge(rows: DataFrame, estimator: RidgeClassifier, spec: FeatureSpec) -> RidgeModel:
+    """The category column with most values may have any number of them; the others' are written out."""
+    rows = rows.where(F.col(spec.label).isNotNull())
+    counts = rows.agg(*[F.count_distinct(c).alias(c) for c in spec.categorical]).first().asDict() if spec.categorical else {}
+    by = max(counts, key=lambda c: counts[c], default=None)
+    categories = {}
+    for c in spec.categorical:
+        if c != by:
+            values = rows.select(F.col(c).cast("string")).distinct().limit(MAX_DENSE + 1).collect()
+            categories[c] = sorted(v[0] for v in values if v[0] is not None)
+    return estimator.fit(rows, spec.label, label_classes(rows, spec), column_means(rows, spec.continuous), categories, by)
+
+
+def evaluate(model: TrainedModel, rows: DataFrame, label: str = LABEL) -> dict[str, float]:
     """Averages of the classification report, by flattened name."""
     confusion = confusion_counts(model.transform(rows), label, "predicted_label")
     return report_summary(class_report(confusion)).first().asDict()
@@ -133,7 +223,7 @@ def evaluate(model: PipelineModel, rows: DataFrame, label: str = LABEL) -> dict[
 class Run:
     run_id: str
     run_name: str
-    model: PipelineModel
+    model: TrainedModel
     params: dict
     metrics: dict[str, float]
     data_version: int | None
@@ -151,7 +241,7 @@ class Run:
 def fit_and_record(
     train_rows: DataFrame,
     test_rows: DataFrame,
-    estimator: Estimator,
+    estimator: Estimator | RidgeClassifier,
     params: dict,
     run_name: str = "single run",
     data_version: int | None = None,
@@ -162,54 +252,78 @@ def fit_and_record(
 
 
 # The search space of the tree model and the number of trials.
-N_ESTIMATORS = range(1, 15)
-MAX_DEPTH = (1, 2, 3)
-GAMMA = (0.01, 1.0)
+SPACE = {
+    "n_estimators": tpe.Choice(tuple(range(1, 15))),
+    "max_depth": tpe.Choice((1, 2, 3)),
+    "gamma": tpe.Uniform(0.01, 1.0),
+}
 TRIALS = 20
 
 
 def candidates(trials: int = TRIALS, seed: int = 42) -> list[dict]:
     """Random settings of the tree model from its search space."""
     rng = random.Random(seed)
-    return [
-        {
-            "n_estimators": rng.choice(N_ESTIMATORS),
-            "max_depth": rng.choice(MAX_DEPTH),
-            "gamma": round(rng.uniform(*GAMMA), 4),
-        }
-        for _ in range(trials)
-    ]
+    return [{name: part.draw(rng) for name, part in SPACE.items()} for _ in range(trials)]
 
 
-def search(
-    train_rows: DataFrame,
-    test_rows: DataFrame,
-    settings: Iterable[dict],
-    make=forest,
-    parallelism: int = 4,
-    spec: FeatureSpec = FeatureSpec(),
-) -> list[tuple[float, dict]]:
-    """Loss (1 - weighted F1 on the later rows) of every setting, best first.
+def losses(
+    train_rows: DataFrame, test_rows: DataFrame, make: Callable[..., Estimator] = boosted_trees, spec: FeatureSpec = FeatureSpec()
+) -> tuple[Callable[[dict], float], Callable[[], None]]:
+    """The loss of a setting, 1 - weighted F1 on the later rows, and what frees the encoded rows when done.
 
-    Features are encoded once for all settings; each fit is a set of Spark jobs and a few run at a time.
+    Features are encoded once for all settings.
     """
-    encoding = encoder(spec).fit(train_rows)
-    names = label_classes(train_rows, spec)
+    train_rows = train_rows.where(F.col(spec.label).isNotNull())
+    encoding = Encoding.fit(train_rows, spec)
     keep = ["features", "label_index", spec.label]
-    encoded = encoding.transform(train_rows).select(*keep).persist()
-    test = keep_all_rows(encoding).transform(test_rows).select(*keep).persist()
+    encoded = encoding.transform(train_rows, fitting=True).select(*keep).persist()
+    test = encoding.transform(test_rows).select(*keep).persist()
+    names = IndexToString(inputCol="prediction", outputCol="predicted_label", labels=encoding.classes)
 
     def loss(params: dict) -> float:
-        scored = make(**params).fit(encoded).transform(test)
-        named = IndexToString(inputCol="prediction", outputCol="predicted_label", labels=names).transform(scored)
+        named = names.transform(make(**params).fit(encoded).transform(test))
         confusion = confusion_counts(named, spec.label, "predicted_label")
         return 1 - report_summary(class_report(confusion)).first()["weighted_avg__f1_score"]
 
+    def free() -> None:
+        encoded.unpersist()
+        test.unpersist()
+
+    return loss, free
+
+
+def search(
+    train_rows: DataFrame,
+    test_rows: DataFrame,
+    settings: Iterable[dict],
+    make: Callable[..., Estimator] = boosted_trees,
+    parallelism: int = 4,
+    spec: FeatureSpec = FeatureSpec(),
+) -> list[tuple[float, dict]]:
+    """Loss of every given setting, best first; each fit is a set of Spark jobs and a few run at a time."""
+    loss, free = losses(train_rows, test_rows, make, spec)
     try:
         settings = list(settings)
         with ThreadPool(parallelism) as pool:
-            losses = pool.map(loss, settings)
+            found = pool.map(loss, settings)
     finally:
-        encoded.unpersist()
-        test.unpersist()
-    return sorted(zip(losses, settings), key=lambda pair: (pair[0], sorted(pair[1].items())))
+        free()
+    return sorted(zip(found, settings), key=lambda pair: (pair[0], sorted(pair[1].items())))
+
+
+def guided_search(
+    train_rows: DataFrame,
+    test_rows: DataFrame,
+    trials: int = TRIALS,
+    make: Callable[..., Estimator] = boosted_trees,
+    space: dict[str, tpe.Choice | tpe.Uniform] = SPACE,
+    parallelism: int = 4,
+    seed: int = 42,
+    spec: FeatureSpec = FeatureSpec(),
+) -> list[tpe.Trial]:
+    """Trials of a model-based search in the order they were proposed."""
+    loss, free = losses(train_rows, test_rows, make, spec)
+    try:
+        return tpe.minimise(loss, space, trials, parallelism, seed)
+    finally:
+        free()

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from oreflow.operators.learning import TrainedModel
 from oreflow.operators.versioned import VersionedTable
 
 PRODUCTION, ARCHIVED, NO_STAGE = "Production", "Archived", "None"  # fixed stage names
@@ -54,6 +55,13 @@ class ModelVersions:
         rows = self.table.read().filter((F.col("model") == model) & (F.col("stage") == PRODUCTION))
         return rows.orderBy(F.desc("version")).first()
 
+    def version_of(self, model: str, run_id: str) -> int | None:
+        """The version that a run was registered as, if it was."""
+        if not self.table.exists():
+            return None
+        same = (F.col("model") == model) & (F.col("run_id") == run_id)
+        return self.table.read().filter(same).agg(F.max("version")).first()[0]
+
     def promote(self, model: str, version: int) -> None:
         """Move a version to production and the one there before to the archive, in one commit."""
         rows = self.table.read().filter(F.col("model") == model)
@@ -62,3 +70,17 @@ class ModelVersions:
             "stage", F.when(is_new, PRODUCTION).otherwise(ARCHIVED)
         )
         self.table.merge(changed, ["model", "version"])
+
+
+class ModelStore:
+    """Fitted models in a shared folder, by run."""
+
+    def __init__(self, spark: SparkSession, path: str):
+        self.spark = spark
+        self.path = path
+
+    def save(self, run_id: str, model: TrainedModel) -> None:
+        model.save(self.spark, f"{self.path}/{run_id}")
+
+    def load(self, run_id: str) -> TrainedModel:
+        return TrainedModel.load(self.spark, f"{self.path}/{run_id}")

@@ -1,10 +1,15 @@
 """Metrics, scoring, training, model records and drift."""
 
+import random
+
+import numpy as np
 import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
-from oreflow.operators import drift, learning, metrics, models, scoring
+from oreflow.operators import drift, flat, learning, metrics, models, scoring, tpe
+from oreflow.operators.dictionary import number_values
+from oreflow.operators.ridge import RidgeClassifier
 from oreflow.operators.versioned import VersionedTable
 from oreflow.sources import files
 
@@ -105,14 +110,94 @@ def test_training_learns_a_plain_rule(training, make, params):
 
 
 def test_unknown_values_are_encoded_and_kept(training):
-    for s, size in ((learning.FeatureSpec(), 6 + learning.HASHED_SIZE), (learning.FeatureSpec(hashed_size=8), 6 + 8)):
-        model = learning.train(training, learning.linear_classifier(), s)
-        new = training.limit(4).withColumn("device_id", F.lit("never seen"))
-        new = new.withColumn("reading_1", F.lit(None).cast("double")).withColumn(learning.LABEL, F.lit("new"))
-        new = new.unionByName(new.withColumn("device_type", F.lit(None)).withColumn(learning.LABEL, F.lit(None)))
-        rows = model.transform(new).collect()
-        assert len(rows) == 8 and {r.features.size for r in rows} == {size}
-        assert all(r.predicted_label in ("bad", "good", "odd") for r in rows)
+    model = learning.train(training, learning.linear_classifier())
+    assert model.encoding.sizes == {"device_type": 2, "device_id": 20} and model.encoding.width == 6 + 22
+    new = training.limit(4).withColumn("device_id", F.lit("never seen"))
+    new = new.withColumn("reading_1", F.lit(None).cast("double")).withColumn(learning.LABEL, F.lit("new"))
+    new = new.unionByName(new.withColumn("device_type", F.lit(None)).withColumn(learning.LABEL, F.lit(None)))
+    rows = model.transform(new).collect()
+    assert len(rows) == 8 and {r.features.size for r in rows} == {28}
+    assert sorted(sum(r.features.toArray()[6:]) for r in rows) == [0.0] * 4 + [1.0] * 4  # only the known device type
+    assert all(r.predicted_label in ("bad", "good", "odd") for r in rows)
+
+
+def test_dictionary_numbers_values_in_order(spark):
+    rng = random.Random(4)
+    values = [f"{rng.choice('abÉ日z')}{rng.randrange(10**6)}" for _ in range(3000)]
+    rows = spark.createDataFrame([(v,) for v in [*values, values[0], None, ""]], "c STRING").repartition(7)
+    found = {r.value: r["index"] for r in number_values(rows, "c").collect()}
+    assert found == {v: k for k, v in enumerate(sorted({*values, ""}, key=str.encode))}
+    assert number_values(rows.limit(0), "c").count() == 0
+
+
+def ridge_by_hand(rows, settings):
+    """Coefficients of the one-hot features written out, by the centred normal equations."""
+    alpha, intercept, normalize = settings["alpha"], settings["fit_intercept"], settings["normalize"]
+    numbers = [c for c in learning.CONTINUOUS]
+    types, devices = sorted(rows.device_type.dropna().unique()), sorted(rows.device_id.dropna().unique())
+    x = np.column_stack(
+        [rows[c].fillna(rows[c].mean()) for c in numbers] + [rows.device_type == t for t in types] + [rows.device_id == d for d in devices]
+    ).astype(float)
+    classes = sorted(rows[learning.LABEL].unique())
+    y = np.column_stack([np.where(rows[learning.LABEL] == c, 1.0, -1.0) for c in classes])
+    means, targets = (x.mean(0), y.mean(0)) if intercept else (np.zeros(x.shape[1]), np.zeros(len(classes)))
+    x = x - means
+    scale = np.ones(x.shape[1])
+    if normalize and intercept:
+        scale = np.where((x**2).sum(0) > 1e-9, np.sqrt((x**2).sum(0)), 1)
+    z = x / scale
+    w = np.linalg.solve(z.T @ z + alpha * np.eye(z.shape[1]), z.T @ (y - targets)) / scale[:, None]
+    return w, targets - means @ w, devices, classes
+
+
+@pytest.mark.parametrize(
+    "settings",
+    [
+        {"alpha": 1.0, "fit_intercept": True, "normalize": False},
+        {"alpha": 0.3, "fit_intercept": True, "normalize": True},
+        {"alpha": 0.5, "fit_intercept": False, "normalize": True},
+    ],
+)
+def test_ridge_is_the_solution_of_all_features(spark, training, folder, settings):
+    noisy = training.withColumn("reading_1", F.when(F.col("id") % 11 > 0, F.col("reading_1") + F.rand(7)))
+    noisy = noisy.withColumn("device_id", F.when(F.col("id") % 13 > 0, F.col("device_id")))
+    path = f"{folder}/rows"
+    noisy.write.parquet(path)
+    noisy = spark.read.parquet(path)
+    model = learning.train(noisy, RidgeClassifier(**settings))
+    w, intercept, devices, classes = ridge_by_hand(noisy.orderBy("id").toPandas(), settings)
+    assert model.model.by == "device_id" and model.model.classes == classes
+    own = model.model.weights
+    if settings["fit_intercept"]:
+        np.testing.assert_allclose(own[0], intercept, atol=1e-8)
+        own = own[1:]
+    np.testing.assert_allclose(own, w[: len(own)], atol=1e-8)
+    offsets = {r.value: r.offsets for r in model.model.offsets.collect()}
+    np.testing.assert_allclose([offsets[d] for d in devices], w[len(own) :], atol=1e-8)
+    model.save(spark, f"{folder}/ridge")
+    again = learning.TrainedModel.load(spark, f"{folder}/ridge")
+    labels = lambda m: [r[0] for r in m.transform(noisy).orderBy("id").select("predicted_label").collect()]
+    assert labels(model) == labels(again)
+
+
+@pytest.mark.parametrize(
+    "make", [lambda: learning.boosted_trees(4, 3, 0.0), lambda: learning.forest(5, 4), lambda: RidgeClassifier(0.5)], ids=["boosted", "forest", "ridge"]
+)
+def test_flat_models_predict_what_the_model_predicts(spark, training, folder, make):
+    noisy = training.withColumn("reading_1", F.col("reading_1") + 30 * F.rand(3))
+    noisy.withColumn("device_id", F.concat("device_id", F.lit("é"))).write.parquet(f"{folder}/rows")
+    noisy = spark.read.parquet(f"{folder}/rows")
+    model = learning.train(noisy.where("id < 500"), make())
+    odd = noisy.withColumn("reading_2", F.when(F.col("id") % 3 > 0, F.col("reading_2")))
+    odd = odd.withColumn("device_type", F.when(F.col("id") % 5 > 0, F.col("device_type")).otherwise(F.when(F.col("id") % 10 > 0, "X")))
+    scoring.register_model(spark, "flat_model", flat.flatten(spark, model).predict, odd.columns)
+    odd.createOrReplaceTempView("odd_rows")
+    got = {r.id: r.p for r in spark.sql("SELECT id, flat_model(*) AS p FROM odd_rows").collect()}
+    want = {r.id: r.predicted_label for r in model.transform(odd).select("id", "predicted_label").collect()}
+    assert got == want and len(set(want.values())) == 3
+    model.save(spark, f"{folder}/model")
+    again = learning.TrainedModel.load(spark, f"{folder}/model").transform(odd)
+    assert {r.id: r.predicted_label for r in again.select("id", "predicted_label").collect()} == want
 
 
 def test_search_returns_every_setting(training):
@@ -123,6 +208,73 @@ def test_search_returns_every_setting(training):
     assert learning.candidates(20) == learning.candidates(20)
 
 
+SPACE = {"x": tpe.Uniform(-5.0, 5.0), "k": tpe.Choice((1, 2, 3, 4, 5, 6)), "y": tpe.Uniform(0.0, 10.0)}
+
+
+def bowl(s):
+    return (s["x"] - 1.3) ** 2 + abs(s["k"] - 5) + abs(s["y"] - 7)
+
+
+def test_guided_search_beats_random_settings():
+    guided, blind = [], []
+    for seed in range(20):
+        trials = tpe.minimise(bowl, SPACE, 40, 4, seed)
+        assert trials == tpe.minimise(bowl, SPACE, 40, 4, seed)
+        assert [t.number for t in trials] == list(range(1, 41))
+        assert all(part.holds(t.settings[c]) for t in trials for c, part in SPACE.items())
+        guided.append(min(t.loss for t in trials))
+        rng = random.Random(seed)
+        blind.append(min(bowl({c: part.draw(rng) for c, part in SPACE.items()}) for _ in range(40)))
+    assert sum(guided) < 0.5 * sum(blind)
+
+
+def test_first_trials_spread_evenly():
+    first = [tpe.propose(SPACE, [], [], k, 1)["x"] for k in range(1, 8)]
+    assert first == [0.0, -2.5, 2.5, -3.75, 1.25, -1.25, 3.75]
+    round_of = [t.settings for t in tpe.minimise(bowl, SPACE, 16, 4, 3)][12:]
+    assert len({tuple(s.values()) for s in round_of}) > 1
+
+
+class Died(Exception):
+    pass
+
+
+def test_drift_runs_are_taken_up_where_they_stopped(spark, training, folder):
+    def runs(path, fail_at=None):
+        calls = iter(range(100))
+
+        def fit(rows):
+            if next(calls) == fail_at:
+                raise Died
+            return learning.train(rows, learning.forest(5, 4))
+
+        halves = lambda rows: (rows.where("id < 400"), rows.where("id >= 400"))
+        table = VersionedTable(spark, f"{path}/readings")
+        if not table.exists():
+            VersionedTable.create(spark, table.path, training)
+        # a fifth of the readings is another scale to the model, so it is retrained
+        return drift.DriftRuns(
+            spark, path, table, lambda rows: rows, halves, fit, learning.evaluate, learning.LABEL, "m", threshold=0.95, factors=(0.9, 0.2, 1.0)
+        )
+
+    whole = runs(f"{folder}/a")
+    whole.run()
+    broken = runs(f"{folder}/b", fail_at=1)
+    with pytest.raises(Died):
+        broken.run()
+    assert broken.steps().count() < 3
+    again = runs(f"{folder}/b")
+    again.run()
+    again.run()  # nothing is left to do
+    rows = lambda r: sorted((s.step, round(s.score, 9), s.need_retrain, s.run_id, s.production_version) for s in r.steps().collect())
+    assert rows(again) == rows(whole) and [r[0] for r in rows(whole)] == [1, 2, 3]
+    assert any(r[2] for r in rows(whole)) and not all(r[2] for r in rows(whole))
+    total = lambda rows: float(rows.agg(F.sum("reading_1")).first()[0])
+    assert total(again.readings.read()) == total(whole.readings.read()) == pytest.approx(0.18 * total(training), rel=0.05)
+    stages = sorted((v.version, v.stage) for v in again.versions.rows().collect())
+    assert [s for _, s in stages].count("Production") == 1 and stages[-1][1] == "Production"
+
+
 def test_run_record(spark, training, folder):
     run = learning.fit_and_record(training, training, learning.linear_classifier(), {"alpha": 1.0}, data_version=3)
     runs = VersionedTable(spark, f"{folder}/runs")
