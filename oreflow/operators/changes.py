@@ -1,4 +1,4 @@
-"""UPDATE, DELETE, MERGE and schema evolution as DataFrame transformations: old rows in, new rows out."""
+"""UPDATE, DELETE and MERGE as DataFrame transformations: old rows in, new rows out."""
 
 from __future__ import annotations
 
@@ -9,9 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-
-class SchemaMismatch(ValueError):
-    """The rows to write do not fit the table's columns."""
+from oreflow.operators.schemas import SchemaMismatch, conform
 
 
 def _as_column(value: object) -> Column:
@@ -40,67 +38,53 @@ def update_where(df: DataFrame, assignments: dict[str, object], condition: Colum
     return df.select(*[new_value(f) for f in df.schema.fields])
 
 
-def merge_rows(target: DataFrame, source: DataFrame, on: list[str], null_safe: bool = False) -> DataFrame:
-    """Upsert: a matched target row takes the source row's values, unmatched source rows are inserted.
+def key_matches(left: DataFrame, right: DataFrame, on: list[str], null_safe: bool) -> Column:
+    """Whether rows have the same key; the right side's columns are named with a leading ``_``."""
+    pairs = [(left[k], right[f"_{k}"]) for k in on]
+    return reduce(and_, [l.eqNullSafe(r) if null_safe else l == r for l, r in pairs])
 
-    A NULL key matches nothing unless ``null_safe``. A target row that meets more than one source row
-    is an error. Skew: the target is the left side of a left join and the source the left side of an
-    anti join against distinct target keys, both of which the runtime may split at a hot key; the
-    source side is reduced to one row per key before it is joined.
-    """
+
+def fitted(source: DataFrame, target: DataFrame) -> DataFrame:
+    """Source rows in the target's columns and types; an error if columns are missing on either side."""
     missing = set(target.columns) - set(source.columns)
     extra = set(source.columns) - set(target.columns)
     if missing or extra:
         raise SchemaMismatch(f"source lacks {sorted(missing)}, target lacks {sorted(extra)}")
-    source = source.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in target.schema.fields])
-    rest = [c for c in target.columns if c not in on]
+    return conform(source, target.schema)
+
 
-    def matches(left: DataFrame, right: DataFrame) -> Column:
-        pairs = [(left[k], right[f"_{k}"]) for k in on]
-        return reduce(and_, [l.eqNullSafe(r) if null_safe else l == r for l, r in pairs])
+def merge_matched(target: DataFrame, source: DataFrame, on: list[str], hit: str, null_safe: bool = False) -> DataFrame:
+    """All target rows, matched ones with the source row's values; the column ``hit`` tells which those are.
 
+    A NULL key matches nothing unless ``null_safe``. A target row that meets more than one source row is an error.
+    The target is read once, as the left side of a left join, which the runtime may split at a hot key; the source
+    is reduced to one row per key before.
+    """
+    source = fitted(source, target)
+    rest = [c for c in target.columns if c not in on]
     per_key = source if null_safe else source.dropna(subset=on)
     per_key = per_key.groupBy(*[F.col(k).alias(f"_{k}") for k in on]).agg(
         F.count("*").alias("_n"), F.first(F.struct(F.lit(1).alias("_one"), *rest)).alias("_new")
     )
-    joined = target.join(per_key, matches(target, per_key), "left")
-    hit = F.when(
-        F.col("_n") > 1, F.raise_error(F.lit("merge: a target row matches more than one source row")).cast("boolean")
-    ).otherwise(F.col("_n").isNotNull())
-    updated = joined.withColumn("_hit", hit).select(
-        *[
-            F.col(c) if c in on else F.when(F.col("_hit"), F.col(f"_new.{c}")).otherwise(F.col(c)).alias(c)
-            for c in target.columns
-        ]
-    )
-    keys = target.select(*[F.col(k).alias(f"_{k}") for k in on]).distinct()
-    inserted = source.join(keys, matches(source, keys), "left_anti")
-    return updated.unionByName(inserted)
-
-
-def check_fits(have: T.StructType, new: T.StructType) -> None:
-    """Raise unless the new rows' columns all exist in the table with the same type."""
-    types = {f.name: f.dataType for f in have.fields}
-    extra = [f.name for f in new.fields if f.name not in types]
-    wrong = [f.name for f in new.fields if f.name in types and types[f.name] != f.dataType]
-    if extra or wrong:
-        raise SchemaMismatch(f"columns not in the table: {extra}; columns of another type: {wrong}")
-
-
-def merged_schema(have: T.StructType, new: T.StructType) -> T.StructType:
-    """The table's columns followed by the new ones."""
-    names = {f.name for f in have.fields}
-    check_fits(have, T.StructType([f for f in new.fields if f.name in names]))
-    added = [T.StructField(f.name, f.dataType, True) for f in new.fields if f.name not in names]
-    return T.StructType([*have.fields, *added])
-
-
-def conform(df: DataFrame, schema: T.StructType) -> DataFrame:
-    """Bring rows to a schema; a column they lack becomes NULL."""
-    have = set(df.columns)
-    return df.select(
-        *[
-            F.col(f.name) if f.name in have else F.lit(None).cast(f.dataType).alias(f.name)
-            for f in schema.fields
-        ]
-    )
+    joined = target.join(per_key, key_matches(target, per_key, on, null_safe), "left")
+    several = F.raise_error(F.lit("merge: a target row matches more than one source row")).cast("boolean")
+    joined = joined.withColumn(hit, F.when(F.col("_n") > 1, several).otherwise(F.col("_n").isNotNull()))
+    values = [
+        F.col(c) if c in on else F.when(F.col(hit), F.col(f"_new.{c}")).otherwise(F.col(c)).alias(c) for c in target.columns
+    ]
+    return joined.select(*values, hit)
+
+
+def merge_unmatched(source: DataFrame, keys: DataFrame, on: list[str], null_safe: bool = False) -> DataFrame:
+    """Source rows whose key is not among ``keys``, the ones that were met in the target."""
+    keys = keys.select(*[F.col(k).alias(f"_{k}") for k in on]).distinct()
+    return source.join(keys, key_matches(source, keys, on, null_safe), "left_anti")
+
+
+def merge_rows(target: DataFrame, source: DataFrame, on: list[str], null_safe: bool = False) -> DataFrame:
+    """Upsert: a matched target row takes the source row's values, unmatched source rows are inserted.
+
+    A plain query over both sides; a table, which stores the first part, reads its target only once.
+    """
+    updated = merge_matched(target, source, on, "_hit", null_safe).drop("_hit")
+    return updated.unionByName(merge_unmatched(fitted(source, target), target, on, null_safe))

@@ -25,13 +25,14 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from oreflow.operators.changes import (
-    check_fits,
-    conform,
     delete_where,
-    merge_rows,
-    merged_schema,
+    fitted,
+    key_matches,
+    merge_matched,
+    merge_unmatched,
     update_where,
 )
+from oreflow.operators.schemas import check_fits, conform, merged_schema
 from oreflow.session import scratch
 
 HISTORY_SCHEMA = (
@@ -39,6 +40,8 @@ HISTORY_SCHEMA = (
     "table_schema STRING, cluster_by STRING, segments ARRAY<STRING>"
 )
 SEGMENT = "_segment"
+NO_SEGMENT = "__HIVE_DEFAULT_PARTITION__"  # how a folder is named whose value is NULL or empty
+HIT = "_merge_hit"
 
 
 @dataclass(frozen=True)
@@ -136,23 +139,29 @@ class VersionedTable:
         table._commit(0, "CREATE TABLE AS SELECT", {}, schema, cluster_by, segments)
         return table
 
-    def append(self, rows: DataFrame, batch: tuple[str, int] | None = None) -> Version:
-        """Add rows; with ``batch`` (stream name, batch id) a batch seen before is skipped."""
+    def append(self, rows: DataFrame, batch: tuple[str, int] | None = None, merge_schema: bool = False) -> Version:
+        """Add rows; with ``batch`` (stream name, batch id) a batch seen before is skipped.
+
+        Rows that do not fit the table, at any depth, are refused unless ``merge_schema``. Old segments are not
+        rewritten for new fields: they are read in the table's schema, new fields as NULL.
+        """
         v = self.latest()
         if batch and self._has_batch(batch):
             return v
+        schema = self._fitting(v, rows, merge_schema)
+        added = self._write(conform(rows, schema), v.cluster_by)
+        return self._next(v, "WRITE", {"mode": "Append", **_batch_parameters(batch)}, schema, [*v.segments, *added])
+
+    def _fitting(self, v: Version, rows: DataFrame, merge_schema: bool) -> T.StructType:
+        if merge_schema:
+            return merged_schema(v.schema, rows.schema)
         check_fits(v.schema, rows.schema)
-        added = self._write(conform(rows, v.schema), v.cluster_by)
-        return self._next(v, "WRITE", {"mode": "Append", **_batch_parameters(batch)}, v.schema, [*v.segments, *added])
+        return v.schema
 
     def overwrite(self, rows: DataFrame, merge_schema: bool = False) -> Version:
-        """Replace all rows; columns the table lacks are refused unless ``merge_schema``."""
+        """Replace all rows; such as don't fit the table are refused unless ``merge_schema``."""
         v = self.latest()
-        if merge_schema:
-            schema = merged_schema(v.schema, rows.schema)
-        else:
-            check_fits(v.schema, rows.schema)
-            schema = v.schema
+        schema = self._fitting(v, rows, merge_schema)
         segments = self._write(conform(rows, schema), v.cluster_by)
         return self._next(v, "WRITE", {"mode": "Overwrite", "mergeSchema": str(merge_schema).lower()}, schema, segments)
 
@@ -179,28 +188,48 @@ class VersionedTable:
     def merge(
         self, source: DataFrame, on: list[str], null_safe: bool = False, batch: tuple[str, int] | None = None
     ) -> Version:
-        """Upsert by key; rewrites the segments that hold a matched key and adds the inserted rows."""
+        """Upsert by key; rewrites the segments that hold a matched key and adds the inserted rows.
+
+        If the segments follow from the key, the target's rows are read once, and only those of segments that the
+        source can reach; if not, its keys are read before to find the segments.
+        """
         v = self.latest()
         if batch and self._has_batch(batch):
             return v
         check_fits(v.schema, source.schema)
         # the source is used several times below and must be the same rows each time
         staged = scratch(self.spark, "merge-source")
-        source.write.parquet(staged)
-        source = self.spark.read.schema(source.schema).parquet(staged)
-        keys = source.select(*on).distinct()
-
-        def matched(rows: DataFrame) -> DataFrame:
-            if not null_safe:
-                return rows.join(keys, on, "left_semi")
-            other = keys.toDF(*[f"_{k}" for k in on])
-            same = [rows[k].eqNullSafe(other[f"_{k}"]) for k in on]
-            return rows.join(other, same, "left_semi")
-
-        touched, kept = self._split(v, matched)
-        rows = merge_rows(self._rows(v, touched), source, on, null_safe)
-        parameters = {"on": ",".join(on), **_batch_parameters(batch)}
-        return self._next(v, "MERGE", parameters, v.schema, [*kept, *self._write(rows, v.cluster_by)])
+        fitted(source, self._rows(v, ())).write.parquet(staged)
+        source = self.spark.read.schema(v.schema).parquet(staged)
+        touched = self._reachable(v, source, on)
+        if touched is None:
+            keys = source.select(*[F.col(k).alias(f"_{k}") for k in on]).distinct()
+            touched, _ = self._split(v, lambda rows: rows.join(keys, key_matches(rows, keys, on, null_safe), "left_semi"))
+        # matched rows are marked in the new segments, which then tell what to insert and which segments changed
+        written, changed = [], set()
+        if touched:
+            merged = merge_matched(self._rows(v, touched), source, on, HIT, null_safe)
+            written = self._write(merged, v.cluster_by)
+            marked = self.spark.read.schema(T.StructType([*v.schema.fields, T.StructField(HIT, T.BooleanType())]))
+            hits = marked.parquet(*written).filter(F.col(HIT))
+            changed = self._folders(hits)
+            inserted = merge_unmatched(source, hits, on, null_safe)
+        else:
+            inserted = source
+        added = self._write(inserted, v.cluster_by)
+        if v.cluster_by is None and self._rows(v, tuple(added)).isEmpty():
+            added = []
+        if v.cluster_by is not None:
+            names = {_segment(s) for s in written if _folder(s) in changed}
+            replaced = {s for s in touched if _segment(s) in names}
+        else:
+            replaced = set(touched) if changed else set()
+        for segment in written:
+            if _folder(segment) not in changed:  # like the old one
+                fs, path = self._file_system(segment)
+                fs.delete(path, True)
+        segments = [s for s in v.segments if s not in replaced] + [s for s in written if _folder(s) in changed] + added
+        return self._next(v, "MERGE", {"on": ",".join(on), **_batch_parameters(batch)}, v.schema, segments)
 
     def restore(self, version: int) -> Version:
         """Make an older version current again as a new version; history only grows."""
@@ -225,10 +254,16 @@ class VersionedTable:
 
     # -- parts ---------------------------------------------------------------------------------
 
+    def _folders(self, rows: DataFrame) -> set[str]:
+        """Folders of the files that rows come from. At most one row per segment reaches the driver."""
+        files = rows.select(F.col("_metadata.file_path").alias("_file")).distinct()
+        folders = files.select(F.regexp_replace("_file", "/[^/]*$", "").alias("folder")).distinct()
+        return {_folder(unquote(r.folder)) for r in folders.collect()}
+
     def _split(self, v: Version, touched_rows) -> tuple[tuple[str, ...], tuple[str, ...]]:
-        """Segments with touched rows, and the others. At most one row per segment reaches the driver."""
-        if len(v.segments) <= 1:
-            return v.segments, ()
+        """Segments with touched rows, and the others."""
+        if not v.segments:
+            return (), ()
         rows = self._rows(v).withColumn("_file", F.col("_metadata.file_path"))
         files = touched_rows(rows).select("_file").distinct()
         folders = files.select(F.regexp_replace("_file", "/[^/]*$", "").alias("folder")).distinct()
@@ -238,6 +273,25 @@ class VersionedTable:
             raise RuntimeError(f"rows read from folders that are not segments of {self.path}")
         return touched, tuple(s for s in v.segments if s not in touched)
 
+    def _reachable(self, v: Version, source: DataFrame, on: list[str]) -> tuple[str, ...] | None:
+        """Segments that rows with a key of the source can lie in, or None if the segments don't follow from the key.
+
+        They do if ``cluster_by`` only uses key columns: equal keys then have equal segments. (Not for fractions,
+        where equal numbers can be written differently.)
+        """
+        kinds = {f.name: f.dataType for f in v.schema.fields}
+        if v.cluster_by is None or any(isinstance(kinds[k], (T.FloatType, T.DoubleType)) for k in on):
+            return None
+        try:
+            values = source.select(*on).select(F.expr(v.cluster_by).cast("string").alias("value")).distinct()
+            values.schema  # analysed here at the latest
+        except AnalysisException:
+            return None
+        names = self.spark.createDataFrame([(_segment(s),) for s in v.segments], "name STRING").distinct()
+        name = F.when(F.coalesce("value", F.lit("")) == "", NO_SEGMENT).otherwise(F.col("value"))
+        met = {r.name for r in values.select(name.alias("name")).join(names, "name", "left_semi").distinct().collect()}
+        return tuple(s for s in v.segments if _segment(s) in met)
+
     def _file_system(self, location: str):
         path = self.spark._jvm.org.apache.hadoop.fs.Path(location)
         return path.getFileSystem(self.spark._jsc.hadoopConfiguration()), path
@@ -313,6 +367,11 @@ def _text(condition: Column | None) -> str:
     return "true" if condition is None else str(condition).removeprefix("Column<'").removesuffix("'>")
 
 
+def _segment(path: str) -> str:
+    """The value that a segment's folder is named after."""
+    return unquote(path.rstrip("/").rsplit("/", 1)[-1].removeprefix(f"{SEGMENT}="))
+
+
 def _folder(path: str) -> str:
     """A path without scheme and host, which one file system may write in several ways."""
     return re.sub("^[a-z0-9]+:(//[^/]*)?", "", path).rstrip("/")

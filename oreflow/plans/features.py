@@ -14,6 +14,7 @@ from oreflow.session import scratch
 from oreflow.sources import tables as src
 from oreflow.streaming.aggregates import status_average
 
+STATUS = "device_operational_status"
 MEANS = ["mean_5m_reading_1", "mean_5m_reading_2", "mean_5m_reading_3"]
 
 WINDOWS_SQL = f"""WITH {src.READINGS_SQL}, windows AS (
@@ -77,6 +78,22 @@ def asof_range_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rounded(joined, "mean_5m_reading_1").select("id", plain("window_end").alias("window_end"), "mean_5m_reading_1")
 
 
+@query(f"""WITH {src.READINGS_SQL}, errors AS (SELECT 'plant' AS plant, reading_time AS error_time, MAX(reading_1) AS error_reading
+            FROM readings WHERE device_operational_status = 'error' GROUP BY 2)
+          SELECT id, error_time, error_reading FROM (SELECT 'plant' AS plant, id, reading_time FROM readings) r
+          ASOF JOIN errors e ON r.plant = e.plant AND r.reading_time >= e.error_time""")
+def asof_one_key(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per reading, the newest error of the whole plant: all rows have one key, which is spread over tasks."""
+    readings = src.sensor_readings(spark, sf_dir).withColumn("plant", F.lit("plant"))
+    errors = readings.filter(F.col(STATUS) == "error").groupBy("plant", F.col("reading_time").alias("error_time"))
+    errors = errors.agg(F.max("reading_1").alias("error_reading"))
+    rows = readings.select("plant", "id", "reading_time")
+    joined = asof.asof_join(
+        rows, errors, ["plant"], "reading_time", "error_time", ["error_time", "error_reading"], bucket_seconds=30 * 86_400, bucket_rows=100
+    )
+    return joined.select("id", plain("error_time").alias("error_time"), "error_reading")
+
+
 @query(WINDOWS_SQL + """ SELECT device_id, window_end, ROUND(m1, 6) AS mean_5m_reading_1 FROM (
           SELECT *, ROW_NUMBER() OVER (PARTITION BY device_id ORDER BY window_end DESC) AS rank FROM windows)
           WHERE rank = 1""")

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from oreflow.functions.time import plain
@@ -159,6 +159,26 @@ def late_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _counts_out(spark.read.parquet(out))
 
 
+@query("""WITH arrived AS (SELECT ts, event_type, CASE WHEN ts < TIMESTAMP '2024-01-11' AND event_type <> 'error' THEN 1
+            WHEN ts < TIMESTAMP '2024-01-21' THEN 2 ELSE 3 END AS arrival, date_trunc('hour', ts) + INTERVAL '1 hour' AS closes FROM events),
+          marks AS (SELECT MAX(ts) - INTERVAL '2 hours' AS closed FROM arrived WHERE arrival = 1)
+          SELECT arrival, COUNT(*) AS input_rows,
+            COUNT(DISTINCT CASE WHEN arrival = 2 AND ts < TIMESTAMP '2024-01-11' AND closes <= closed THEN closes END) AS dropped_groups
+          FROM arrived, marks GROUP BY 1""")
+def stream_progress(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What a stream's handle recorded of the arrivals of ``late_data``: rows read, and windows the watermark refused."""
+    landing, out, checkpoint = scratch(spark, "feed"), scratch(spark, "closed"), scratch(spark, "checkpoint")
+    events, log = src.table(spark, sf_dir, "events"), scratch(spark, "progress")
+    for condition in LATE_ARRIVALS:
+        files.land(events.filter(condition), landing, "parquet")
+        counts = agg.action_counts(timed_actions(event_stream(spark, sf_dir, landing)), HOUR, late=LATENESS)
+        runner.append_to_files(counts, out, checkpoint, log=log)
+    runs = spark.read.schema(runner.PROGRESS_SCHEMA).parquet(log).groupBy("run").agg(
+        F.min("batch").alias("first"), F.sum("input_rows").alias("input_rows"), F.sum("dropped_rows").alias("dropped_groups")
+    )
+    return runs.select(F.row_number().over(Window.orderBy("first")).alias("arrival"), "input_rows", "dropped_groups")
+
+
 @query("""SELECT CAST(user_id AS VARCHAR) AS device_id, COUNT(*) AS n, MAX(ts) AS last_seen FROM events GROUP BY 1""")
 def stream_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Counts per device kept in a versioned table: each batch merges the devices it changed."""

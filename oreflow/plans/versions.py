@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from oreflow.operators import relational as rel
+from oreflow.operators.schemas import SchemaMismatch
 from oreflow.operators.versioned import VersionedTable
 from oreflow.plans.sales import NESTED_LINES_SQL
 from oreflow.registry import query
@@ -127,6 +128,53 @@ def schema_evolve(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lifecycle(spark, sf_dir, 5).read()
 
 
+@query(f"""WITH {src.LINES_SQL}, n AS (SELECT COUNT(*) AS rows_left FROM lines)
+    SELECT attempt, reason, 0::BIGINT AS version, rows_left FROM n, (VALUES
+      ('overwrite with a new column', 'UnitPrice is not in the table'),
+      ('append of text for a number', 'Quantity is string, not double'),
+      ('append of both', 'Quantity is string, not double; UnitPrice is not in the table')) AS a(attempt, reason)""")
+def schema_refused(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Writes that do not fit the table fail, say why, and leave it as it was."""
+    table = _create(spark, sf_dir)
+    priced = table.read().withColumn("UnitPrice", F.try_divide("Price", "Quantity"))
+    text = {"Quantity": F.col("Quantity").cast("string")}
+    attempts = {
+        "overwrite with a new column": lambda: table.overwrite(priced),
+        "append of text for a number": lambda: table.append(table.read().withColumns(text)),
+        "append of both": lambda: table.append(priced.withColumns(text)),
+    }
+    refused = []
+    for name, write in attempts.items():
+        try:
+            write()
+        except SchemaMismatch as e:
+            refused.append((name, str(e)))
+    left = [(*r, table.latest().version, table.read().count()) for r in refused]
+    return spark.createDataFrame(left, "attempt STRING, reason STRING, version BIGINT, rows_left BIGINT")
+
+
+@query("""SELECT o_orderkey AS order_number, l_partkey AS id, CAST(l_quantity AS BIGINT) AS qty,
+      CASE WHEN o_orderkey % 2 = 1 THEN l_suppkey END AS supplier,
+      CASE WHEN o_orderkey % 2 = 1 THEN l_linestatus END AS unit_code, o_orderkey % 2 = 1 AS newer
+    FROM lineitem JOIN orders ON l_orderkey = o_orderkey""")
+def schema_evolve_nested(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents whose products have a new field, a new struct and wider quantities, appended to older ones: the old
+    documents are not rewritten and read with NULL for what they lack.
+    """
+    documents = nested.order_documents(spark, sf_dir).select("order_number", "ordered_products")
+    narrow = lambda p: F.struct(p["id"].alias("id"), p["qty"].cast("int").alias("qty"))
+    wide = lambda p: F.struct(
+        p["id"].alias("id"), p["qty"].cast("bigint").alias("qty"), p["supplier"].alias("supplier"),
+        F.struct(p["unit"].alias("code")).alias("unit"),
+    )
+    older, newer = F.col("order_number") % 2 == 0, F.col("order_number") % 2 == 1
+    reshaped = lambda make: documents.withColumn("ordered_products", F.transform("ordered_products", make))
+    table = VersionedTable.create(spark, scratch(spark, "documents"), reshaped(narrow).filter(older))
+    table.append(reshaped(wide).filter(newer), merge_schema=True)
+    products = table.read().select("order_number", F.explode("ordered_products").alias("p"))
+    return products.select("order_number", "p.id", "p.qty", "p.supplier", F.col("p.unit.code").alias("unit_code"), newer.alias("newer"))
+
+
 @query(STEPS_SQL + "SELECT * FROM lines")
 def restore_version(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All rows deleted by mistake, then version 0 made current again."""

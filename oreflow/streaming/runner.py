@@ -7,6 +7,7 @@ files or versioned tables in shared folders, never the driver's memory.
 from __future__ import annotations
 
 from collections.abc import Callable
+from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -41,7 +42,60 @@ def _writer(stream: DataFrame, mode: str, checkpoint: str) -> DataStreamWriter:
     return stream.writeStream.outputMode(mode).option("checkpointLocation", checkpoint).trigger(availableNow=True)
 
 
-def _finish(query: StreamingQuery) -> StreamingQuery:
+PROGRESS_SCHEMA = (
+    "query STRING, run STRING, batch BIGINT, started TIMESTAMP, input_rows BIGINT, watermark TIMESTAMP, "
+    "dropped_rows BIGINT, state_rows BIGINT"
+)
+
+
+class Handle:
+    """A running stream whose progress is kept as a table: one row for each batch that did something.
+
+    ``dropped_rows`` counts what the watermark kept out of the state: rows of an operator that sees single rows,
+    groups (key and window) of a batch where they were added up before. Spark remembers the last hundred batches, so
+    progress is recorded while the stream runs. A batch that is reported again as idle is recorded once.
+    """
+
+    def __init__(self, query: StreamingQuery, log: str, spark: SparkSession):
+        self.query, self.log, self.spark = query, log, spark
+        self._recorded = -1
+
+    def record(self) -> None:
+        """Append the batches that have ended since the last call."""
+        rows = []
+        for p in self.query.recentProgress:
+            if p["batchId"] > self._recorded and p["durationMs"].get("addBatch") is not None:
+                self._recorded = p["batchId"]
+                state = p["stateOperators"]
+                instant = lambda text: text and datetime.fromisoformat(text.replace("Z", "+00:00"))
+                rows.append(
+                    (str(p["id"]), str(p["runId"]), p["batchId"], instant(p["timestamp"]), p["numInputRows"],
+                     instant(p["eventTime"].get("watermark")), sum(s["numRowsDroppedByWatermark"] for s in state),
+                     sum(s["numRowsTotal"] for s in state))
+                )
+        if rows:
+            self.spark.createDataFrame(rows, PROGRESS_SCHEMA).coalesce(1).write.mode("append").parquet(self.log)
+
+    def progress(self) -> DataFrame:
+        return self.spark.read.schema(PROGRESS_SCHEMA).parquet(self.log)
+
+    def wait(self, every: float = 5.0) -> None:
+        """Until the stream ends; it is stopped and its last batches recorded even if it fails."""
+        try:
+            while not self.query.awaitTermination(every):
+                self.record()
+        finally:
+            self.stop()
+
+    def stop(self) -> None:
+        self.query.stop()
+        self.record()
+
+
+def _finish(query: StreamingQuery, spark: SparkSession, log: str | None = None) -> StreamingQuery:
+    if log is not None:
+        Handle(query, log, spark).wait()
+        return query
     try:
         query.awaitTermination()
     finally:
@@ -54,9 +108,11 @@ def stop_all(spark: SparkSession) -> None:
         query.stop()
 
 
-def append_to_files(stream: DataFrame, path: str, checkpoint: str, fmt: str = "parquet") -> StreamingQuery:
-    """Append mode into a folder of files, exactly once per checkpoint."""
-    return _finish(_writer(stream, "append", checkpoint).format(fmt).start(path))
+def append_to_files(
+    stream: DataFrame, path: str, checkpoint: str, fmt: str = "parquet", log: str | None = None
+) -> StreamingQuery:
+    """Append mode into a folder of files, exactly once per checkpoint; ``log`` is a folder for the progress."""
+    return _finish(_writer(stream, "append", checkpoint).format(fmt).start(path), stream.sparkSession, log)
 
 
 def keep_appending(
@@ -70,7 +126,7 @@ def keep_appending(
 def each_batch(
     stream: DataFrame, action: Callable[[DataFrame, int], None], checkpoint: str, mode: str = "append"
 ) -> StreamingQuery:
-    return _finish(_writer(stream, mode, checkpoint).foreachBatch(action).start())
+    return _finish(_writer(stream, mode, checkpoint).foreachBatch(action).start(), stream.sparkSession)
 
 
 def complete_to_files(stream: DataFrame, path: str, checkpoint: str) -> DataFrame:

@@ -4,7 +4,8 @@ import pytest
 from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
-from oreflow.operators.changes import SchemaMismatch, delete_where, merge_rows, update_where
+from oreflow.operators.changes import delete_where, merge_matched, merge_rows, update_where
+from oreflow.operators.schemas import SchemaMismatch
 
 
 def rows(df):
@@ -70,3 +71,10 @@ def test_update_and_delete_with_null_condition(spark):
     assert rows(delete_where(df, F.col("t") == "x")) == [(1, None, "a")]
     with pytest.raises(SchemaMismatch):
         update_where(df, {"nope": 1})
+
+
+def test_merge_plan_reads_the_target_once(spark, folder):
+    frame(spark, [(1, "x", "a")]).write.parquet(f"{folder}/target")
+    target = spark.read.parquet(f"{folder}/target")
+    plan = merge_matched(target, frame(spark, [(1, "x", "b")]), ["k", "t"], "hit")._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan") == 1 and "CartesianProduct" not in plan and "NestedLoop" not in plan

@@ -148,3 +148,30 @@ def test_running_query_is_named_and_stopped(spark, folder):
     runner.stop_all(spark)
     assert not spark.streams.active
     assert spark.read.parquet(f"{folder}/out").count() == 2
+
+
+def test_progress_is_recorded_as_a_table(spark, folder):
+    log = f"{folder}/log"
+    for minutes in ((1, 2), (300,), (400, 3)):
+        arrive(spark, f"{folder}/in", *minutes)
+        counts = runner.read_stream(spark, f"{folder}/in", SCHEMA).withWatermark("time", "1 hour")
+        counts = counts.groupBy(F.window("time", "1 hour"), "action").agg(F.count("*").alias("n"))
+        runner.append_to_files(counts, f"{folder}/out", f"{folder}/cp", log=log)
+    rows = spark.read.schema(runner.PROGRESS_SCHEMA).parquet(log).orderBy("batch").collect()
+    assert len({r.query for r in rows}) == 1 and len({r.run for r in rows}) == 3
+    assert len({r.batch for r in rows}) == len(rows) and sum(r.input_rows for r in rows) == 5
+    assert sum(r.dropped_rows for r in rows) == 1  # the third minute, long after its window was closed
+    assert [r.watermark for r in rows] == sorted(r.watermark for r in rows)
+
+
+def test_handle_of_a_running_stream(spark, folder):
+    arrive(spark, f"{folder}/in", 1, 2)
+    stream = runner.read_stream(spark, f"{folder}/in", SCHEMA)
+    handle = runner.Handle(runner.keep_appending(stream, f"{folder}/out", f"{folder}/cp"), f"{folder}/log", spark)
+    handle.query.processAllAvailable()
+    handle.record()
+    handle.record()  # nothing new
+    arrive(spark, f"{folder}/in", 3)
+    handle.query.processAllAvailable()
+    handle.stop()
+    assert sorted(r.input_rows for r in handle.progress().collect()) == [1, 2] and not spark.streams.active

@@ -5,7 +5,7 @@ import os
 import pytest
 from pyspark.sql import functions as F
 
-from oreflow.operators.changes import SchemaMismatch
+from oreflow.operators.schemas import SchemaMismatch
 from oreflow.operators.versioned import VersionedTable
 
 
@@ -194,3 +194,93 @@ def test_two_writers_of_one_version(spark, folder):
     with pytest.raises(Exception, match="already exists"):
         table._next(old, "append", {}, old.schema, list(old.segments))
     assert table.read().count() == 5
+
+
+def counting_reads(table, monkeypatch):
+    seen = []
+    whole = VersionedTable._rows
+
+    def rows_of(self, v, segments=None):
+        seen.append(segments)
+        return whole(self, v, segments)
+
+    monkeypatch.setattr(VersionedTable, "_rows", rows_of)
+    return seen
+
+
+def test_merge_by_the_clustering_key_reads_reachable_segments_once(clustered, spark, monkeypatch):
+    schema = clustered.read().schema
+    before = clustered.latest().segments
+    seen = counting_reads(clustered, monkeypatch)
+    clustered.merge(spark.createDataFrame([(4, "k 1: x", 44.0), (500, "k 1: x", 5.0), (501, "new", 6.0), (99, None, 9.0)], schema), ["id", "kind"])
+    read = [s for s in seen if s]  # an empty list only asks for the schema
+    assert len(read) == 1 and len(read[0]) == 2  # the segments "k 1: x" and NULL
+    after = clustered.latest().segments
+    assert len(set(before) & set(after)) == 3  # NULL keys match nothing, so that segment stays
+    got = sorted(((r.id, r.kind, r.v) for r in clustered.read().collect() if r.id in (4, 99, 500, 501)), key=str)
+    assert got == sorted([(4, "k 1: x", 44.0), (99, None, 1.0), (99, None, 9.0), (500, "k 1: x", 5.0), (501, "new", 6.0)], key=str)
+    assert clustered.read().count() == 34
+
+
+def test_merge_that_only_inserts_rewrites_nothing(clustered, spark):
+    before = clustered.latest().segments
+    clustered.merge(spark.createDataFrame([(700, "k 1: x", 1.0)], clustered.read().schema), ["id", "kind"])
+    assert clustered.latest().segments[: len(before)] == before
+    clustered.merge(spark.createDataFrame([], clustered.read().schema), ["id", "kind"])
+    assert clustered.read().count() == 32
+
+
+def test_null_safe_merge_by_the_clustering_key(clustered, spark):
+    clustered.merge(spark.createDataFrame([(99, None, 9.0)], clustered.read().schema), ["id", "kind"], null_safe=True)
+    assert [r.v for r in clustered.read().filter("id = 99").collect()] == [9.0]
+
+
+def test_marks_of_a_merge_are_not_read(clustered, spark):
+    clustered.merge(spark.createDataFrame([(4, "k 1: x", 44.0)], clustered.read().schema), ["id", "kind"])
+    assert clustered.read().columns == ["id", "kind", "v"]
+
+
+def test_change_that_meets_no_row_writes_nothing(table, spark):
+    before = table.latest().segments
+    table.update({"v": 0.0}, F.col("id") == 777)
+    table.delete(F.col("id") == 777)
+    table.merge(spark.createDataFrame([], table.read().schema), ["id"])
+    assert table.latest().segments == before and table.latest().version == 3
+
+
+def test_nested_fields_are_refused_then_appended(spark, folder):
+    old = spark.createDataFrame([(1, [(10, "a")], {"x": (1,)}), (2, None, None)], "id INT, items ARRAY<STRUCT<n: INT, s: STRING>>, m MAP<STRING, STRUCT<k: INT>>")
+    table = VersionedTable.create(spark, f"{folder}/nested", old)
+    new = spark.createDataFrame(
+        [(3, [("b", 7_000_000_000, (1.5,)), None], {"y": (2, "z")})],
+        "id INT, items ARRAY<STRUCT<s: STRING, n: BIGINT, price: STRUCT<net: DOUBLE>>>, m MAP<STRING, STRUCT<k: INT, t: STRING>>",
+    )
+    with pytest.raises(SchemaMismatch) as refused:
+        table.append(new)
+    assert str(refused.value) == (
+        "items.element.n is bigint, not int; items.element.price is not in the table; m.value.t is not in the table"
+    )
+    first = table.latest().segments
+    table.append(new, merge_schema=True)
+    assert table.latest().segments[: len(first)] == first
+    got = {r.id: r for r in table.read().collect()}
+    assert [tuple(x) for x in got[1]["items"]] == [(10, "a", None)] and got[1].m["x"] == (1, None)
+    assert got[2]["items"] is None and got[2].m is None
+    assert got[3]["items"][0] == (7_000_000_000, "b", (1.5,)) and got[3]["items"][1] is None and got[3].m["y"] == (2, "z")
+    table.append(old)  # narrower rows fit as they are
+    assert table.read().count() == 5 and table.read(version=0).schema["items"].dataType.elementType.names == ["n", "s"]
+    table.overwrite(table.read().filter("id = 3"))
+    assert table.read().count() == 1
+
+
+def test_wider_types():
+    from pyspark.sql.types import _parse_datatype_string as of
+
+    from oreflow.operators.schemas import holds, united
+
+    for wide, narrow in (("bigint", "smallint"), ("double", "float"), ("double", "int"), ("decimal(12,2)", "decimal(10,2)"), ("decimal(10,0)", "int")):
+        assert holds(of(wide), of(narrow)) and not holds(of(narrow), of(wide)) and united(of(narrow), of(wide)) == of(wide)
+    for a, b in (("double", "bigint"), ("decimal(10,4)", "decimal(10,2)"), ("string", "int"), ("date", "timestamp")):
+        assert not holds(of(a), of(b)) and not holds(of(b), of(a))
+    with pytest.raises(SchemaMismatch, match="s.x is string, not int"):
+        united(of("struct<s: struct<x: int>>"), of("struct<s: struct<x: string>>"))
