@@ -3,14 +3,15 @@
 A line is the set of its words in lower case. Words are ordered by rarity, the same way in all lines. Of two
 lines with a Jaccard similarity of at least t, the first |x| - ceil(t |x|) + 1 words in that order have one in
 common (prefix filter), at places that leave room for enough others (positional filter), and their sizes are
-alike (length filter); a 128-bit map of the words excludes most other pairs. What remains is verified on the whole
-sets. Everything is DataFrame expressions.
-
-Rarity is counted for hash buckets of words, so that the table of counts has the same size for any corpus; the
-order needs to be the same everywhere, not exact. A word is a 31-bit number, the rank of its bucket and the rest of
-its hash. Equal lines are merged before the join. Many lines with the same two rarest words, such as copies with a
-few words changed, are first verified against the earliest of them only; pairs of lines that both match one so
-are left out of the join.
+alike (length filter); a 64-bit map of the words excludes most other pairs. What remains is verified on the whole
+sets of words, made anew from the texts. Everything is DataFrame expressions.
+
+Rarity is counted over all words, in ``BUCKETS`` hash buckets, so that the table of counts has the same size for any
+corpus: a word is as rare as its bucket's count on a scale of powers of the fourth root of two. The order needs to be the same everywhere, not
+exact. Equal lines are merged first, and sets too small to resemble another one join nothing. Words that are in the
+prefix of one line only drop out after one shuffle. Then every line is verified against the earliest line of each of
+its prefix words' lists, which finds most of the lines to remove, copies with a few words changed among them, in one
+pass over the lists; only lines that are still there after that are paired with all others of their lists.
 """
 
 from __future__ import annotations
@@ -21,10 +22,14 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from oreflow.llm.common import discard, small, stored
+from oreflow.llm.numbering import numbered
 
 PERCENT = 80
 #: Hash buckets for which word counts are kept; a power of two.
-BUCKETS = 8192
+BUCKETS = 1 << 20
+#: Steps of the scale of rarity; a word's step is in the bits above its hash.
+RANKS = 128
+RANK_BITS = 7
 _WHITE = r"[\x20\x09-\x0D]+"
 
 
@@ -32,58 +37,72 @@ def word_list(line: Column) -> Column:
     return F.array_remove(F.split(F.lower(line), _WHITE), "")
 
 
+def keyed(docs: DataFrame, id: str, text: str) -> DataFrame:
+    """(id, text, key): key tells texts with one id apart."""
+    return docs.select(F.col(id).alias("id"), F.col(text).alias("text"), F.xxhash64(F.col(text)).alias("key"))
+
+
 def text_lines(docs: DataFrame, id: str, text: str) -> DataFrame:
-    """(id, key, number, line): key tells texts with one id apart."""
-    keyed = docs.select(F.col(id).alias("id"), F.col(text).alias("text"), F.xxhash64(F.col(text)).alias("key"))
+    """(id, key, number, line)"""
     # outer: else Spark adds a filter that splits each text once more; lines of a null text are dropped below
-    return keyed.select("id", "key", F.posexplode_outer(F.split("text", "\n", -1)).alias("number", "line"))
+    return keyed(docs, id, text).select("id", "key", F.posexplode_outer(F.split("text", "\n", -1)).alias("number", "line"))
 
 
 def rarity(docs: DataFrame, text: str, buckets: int) -> Column:
-    """Rank of each bucket of words by how rare they are, as an array literal; all words are counted."""
+    """The step of rarity of each bucket of words, as an array that is computed once; all words are counted."""
     words = docs.select(F.explode_outer(word_list(F.col(text))).alias("word")).where("word is not null")
-    counted = words.groupBy(F.xxhash64("word").bitwiseAND(buckets - 1).cast("int").alias("bucket")).count()
-    counts = {r["bucket"]: r["count"] for r in counted.collect()}  # at most one row per bucket
-    rank = [0] * buckets
-    for place, bucket in enumerate(sorted(range(buckets), key=lambda b: (counts.get(b, 0), b))):
-        rank[bucket] = place
-    return F.split(F.lit(",".join(map(str, rank))), ",").cast("array<int>")
+    counted = words.groupBy(F.xxhash64("word").bitwiseAND(buckets - 1).alias("bucket")).agg(F.count("*").alias("n"))
+    spark = docs.sparkSession
+    every = spark.range(buckets).withColumnRenamed("id", "bucket").join(counted, "bucket", "left")
+    step = F.least(F.lit(RANKS - 1), F.floor(4 * F.log2(F.coalesce("n", F.lit(0)) + 1))).cast("int")
+    row = every.agg(F.transform(F.array_sort(F.collect_list(F.struct("bucket", step.alias("step")))), lambda x: x["step"]).alias("steps"))
+    return stored(row, "rarity").scalar()
 
 
-def tokens(line: Column, rank: Column, buckets: int) -> Column:
-    """Distinct words of a line as positive numbers, rarest first: rank of the bucket, then the rest of the hash."""
-    bits = buckets.bit_length() - 1
+def tokens(line: Column, steps: Column, buckets: int) -> Column:
+    """Distinct words of a line as positive numbers, rarest first: the step of rarity, then 56 bits of the hash."""
 
     def token(word: Column) -> Column:
         hashed = F.xxhash64(word)
-        high = F.get(rank, hashed.bitwiseAND(buckets - 1).cast("int"))
-        return F.shiftleft(high, 31 - bits).bitwiseOR(F.shiftrightunsigned(hashed, 33 + bits).cast("int"))
+        step = F.get(steps, hashed.bitwiseAND(buckets - 1).cast("int")).cast("long")
+        return F.shiftleft(step, 63 - RANK_BITS).bitwiseOR(F.shiftrightunsigned(hashed, 1 + RANK_BITS))
 
     return F.sort_array(F.array_distinct(F.transform(word_list(line), token)))
 
 
 def may_match(x: str, y: str, percent: int, placed: bool = True) -> Column:
     """Length and bitmap filter for two sets, and positional filter if they are prefix rows of one word."""
-    sizes = f"({x}.size + {y}.size)"
+    size = lambda r: f"shiftright({r}at, 32)"
+    place = lambda r: f"({r}at & 4294967295)"
+    sizes = f"({size(x)} + {size(y)})"
     rules = [
-        f"100 * least({x}.size, {y}.size) >= {percent} * greatest({x}.size, {y}.size)",
-        f"{100 + percent} * (bit_count({x}.low ^ {y}.low) + bit_count({x}.high ^ {y}.high)) <= {100 - percent} * {sizes}",
-        f"{100 + percent} * least({x}.size - {x}.pos, {y}.size - {y}.pos) >= {percent} * {sizes}",
+        f"100 * least({size(x)}, {size(y)}) >= {percent} * greatest({size(x)}, {size(y)})",
+        f"{100 + percent} * bit_count({x}map ^ {y}map) <= {100 - percent} * {sizes}",
+        f"{100 + percent} * least({size(x)} - {place(x)}, {size(y)} - {place(y)}) >= {percent} * {sizes}",
     ]
     return F.expr(" and ".join(rules if placed else rules[:2]))
 
 
-def verified(pairs: DataFrame, lines: DataFrame, percent: int) -> DataFrame:
-    """Of pairs (a, b) of sets, those that are similar; ``lines`` has the tokens."""
-    needed = pairs.select(F.col("a").alias("set")).unionByName(pairs.select(F.col("b").alias("set")))
-    needed = stored(needed.distinct(), "needed")
-    sets = lines.select("set", "tokens").join(small(needed), "set", "left_semi").dropDuplicates(["set"])
-    sets = stored(sets, "sets")
-    both = pairs.join(sets.select(F.col("set").alias("a"), F.col("tokens").alias("x")), "a")
-    both = both.join(sets.select(F.col("set").alias("b"), F.col("tokens").alias("y")), "b")
+def verified(pairs: DataFrame, sets: DataFrame, docs: DataFrame, id: str, text: str, percent: int) -> DataFrame:
+    """Of pairs (a, b) of places of sets, those that are similar; their words are made from the texts again."""
+    ends = pairs.select(F.col("a").alias("place")).unionByName(pairs.select(F.col("b").alias("place"))).distinct()
+    # a text is split once for all its lines that are needed
+    needed = ends.join(sets.select("place", "id", "key", "number"), "place").groupBy("id", "key")
+    needed = stored(needed.agg(F.collect_list(F.struct("number", "place")).alias("wanted")), "needed")
+    own = keyed(docs, id, text).alias("own")
+    found = own.join(small(needed).alias("n"), F.expr("own.id <=> n.id and own.key = n.key"))
+    found = found.select(F.split("own.text", "\n", -1).alias("lines"), F.explode("n.wanted").alias("w"))
+    words = F.transform(word_list(F.get("lines", F.col("w.number"))), lambda x: F.xxhash64(x))
+    grams = found.select("w.place", F.array_distinct(words).alias("words")).dropDuplicates(["place"])
+    grams = stored(grams, "words")
+    both = pairs.join(grams.select(F.col("place").alias("a"), F.col("words").alias("x")), "a")
+    both = both.join(grams.select(F.col("place").alias("b"), F.col("words").alias("y")), "b")
     shared = F.size(F.array_intersect("x", "y"))
     similar = 100 * shared >= percent * (F.size("x") + F.size("y") - shared)
-    return both.where(similar).select("a", "b")
+    out = stored(both.where(similar).select("a", "b"), "similar")
+    discard(needed)
+    discard(grams)
+    return out
 
 
 def dedup_lines(
@@ -95,7 +114,8 @@ def dedup_lines(
     Columns named in ``carry`` come along in a struct of that name.
 
     A line is removed if an earlier line, removed or not, has a Jaccard similarity of at least ``percent``
-    hundredths; earlier by id, then by number in the text. Words are compared by 31-bit numbers.
+    hundredths; earlier by id, then by number in the text. Words are compared by 64-bit hashes; what two lines are
+    candidates for depends on 56 bits of them.
 
     Defined cases. Lines without words match nothing and stay. A null text has no lines and stays null; an empty
     one has one empty line. Rows that agree in id and text are one document: each gets the result of the first.
@@ -103,49 +123,49 @@ def dedup_lines(
     hash of their words. A null id comes before all others. An empty table gives an empty result. Columns other
     than ``id`` and ``text`` are not read.
     """
-    rank = rarity(docs, text, buckets)
+    steps = rarity(docs, text, buckets)
     # told by the line itself: a filter on the tokens would have Spark make them twice
-    lines = text_lines(docs, id, text).where(F.col("line").rlike(r"[^\x20\x09-\x0D]"))
-    lines = lines.withColumn("tokens", tokens(F.col("line"), rank, buckets)).drop("line")
-    lines = stored(lines.withColumn("set", F.xxhash64("tokens")), "lines")
+    lines = text_lines(docs, id, text).where(F.col("line").rlike(r"[^\x20\x09-\x0D]")).withColumn("steps", steps)
+    lines = lines.withColumn("tokens", tokens(F.col("line"), F.col("steps"), buckets)).drop("line", "steps")
     n = F.size("tokens")
     prefix = F.slice("tokens", F.lit(1), n - F.floor((n * percent + 99) / 100).cast("int") + 1)
-    # whether an odd number of words falls on each of 128 bits; sets differ by at least as many words as bits
-    odd = "aggregate(tokens, 0L, (b, t) -> if(t & 64 = {}, b ^ shiftleft(1L, t & 63), b))"
-    low, high = F.expr(odd.format(0)).alias("low"), F.expr(odd.format(64)).alias("high")
-    own = F.struct("id", "number", n.alias("size"), low, high, prefix.alias("prefix"))
-    sets = lines.select("set", own.alias("s")).groupBy("set").agg(F.min("s").alias("s"))
-    sets = sets.select("set", F.struct("s.id", "s.number", "set").alias("place"), "s.size", "s.low", "s.high", "s.prefix")
-    sets = stored(sets, "sets")
-
-    rarest = Window.partitionBy(F.get("prefix", F.lit(0)), F.get("prefix", F.lit(1))).orderBy("place")
-    heads = sets.withColumns({"x": F.first(F.struct("set", "size", "low", "high")).over(rarest), "y": F.struct("size", "low", "high")})
-    heads = heads.where("x.set <> set").where(may_match("x", "y", percent, placed=False))
-    heads = stored(heads.select(F.col("x.set").alias("a"), F.col("set").alias("b")), "pairs")
-    gone = stored(verified(heads, lines, percent).select(F.col("b").alias("set")).distinct(), "gone")
-
-    # both sides of the join read one shuffle, so conditions are on pairs of rows only
-    open_sets = sets.join(gone.withColumn("gone", F.lit(True)), "set", "left")
-    words = open_sets.select("set", "size", "low", "high", F.col("gone").isNull().alias("open"), F.posexplode("prefix").alias("pos", "word"))
-    words = words.repartition("word")
-    both = words.alias("x").join(words.alias("y"), F.expr("x.word = y.word and x.set < y.set and (x.open or y.open)"))
-    rest = both.where(may_match("x", "y", percent)).select(F.col("x.set").alias("a"), F.col("y.set").alias("b"))
-    rest = stored(rest.distinct(), "pairs")
-    place = sets.select("set", "place")
-    similar = verified(rest, lines, percent).join(place.withColumnsRenamed({"set": "a", "place": "p"}), "a")
-    similar = similar.join(place.withColumnsRenamed({"set": "b", "place": "q"}), "b")
-    late = similar.select(F.greatest("p", "q")["set"].alias("set"))
-    gone = stored(gone.unionByName(late).distinct(), "gone")
+    # whether an odd number of words falls on each of 64 bits; sets differ by at least as many words as bits
+    odd = F.expr("aggregate(tokens, 0L, (b, t) -> b ^ shiftleft(1L, cast(t & 63 as int)))")
+    alone = 100 * n < percent * (n + 1)  # no other set is similar to one so small
+    own = [F.xxhash64("tokens").alias("set"), n.cast("long").alias("size"), odd.alias("map"), F.when(~alone, prefix).alias("prefix")]
+    lines = stored(lines.select("id", "key", "number", *own), "lines")
+    first = F.min(F.struct("id", "number", "key", "size", "map", "prefix")).alias("s")
+    sets = lines.groupBy("set").agg(first, F.count("*").alias("copies")).select("set", "copies", "s.*", F.lit("").alias("all"))
+    sets = numbered(sets, "all", [F.col("id").asc_nulls_first(), F.col("number"), F.col("set")])
+
+    at = F.shiftleft("size", 32).bitwiseOR(F.col("pos").cast("long")).alias("at")
+    words = sets.where("prefix is not null").select("place", "size", "map", F.posexplode("prefix").alias("pos", "word"))
+    listed = Window.partitionBy("word")
+    head = [F.first(c).over(listed.orderBy("place")).alias(f"head_{c}") for c in ("place", "at", "map")]
+    met = words.select("word", "place", at, "map").select("*", *head, F.count("*").over(listed).alias("n"))
+    met = stored(met.where("n > 1").drop("n"), "met")
+    pairs = met.where("head_place < place").where(may_match("head_", "", percent))
+    pairs = stored(pairs.select(F.col("head_place").alias("a"), F.col("place").alias("b")).distinct(), "pairs")
+    found = verified(pairs, sets, docs, id, text, percent)
+    gone = stored(found.select(F.col("b").alias("place")).distinct(), "gone")
+
+    # lines that are still there, against earlier ones of their lists that they have not been compared with
+    met = met.select("word", "place", "at", "map", (F.col("place") == F.col("head_place")).alias("head"))
+    still = met.where("not head").join(small(gone), "place", "left_anti")
+    both = met.where("not head").alias("x").join(still.alias("y"), F.expr("x.word = y.word and x.place < y.place") & may_match("x.", "y.", percent))
+    pairs = stored(both.select(F.col("x.place").alias("a"), F.col("y.place").alias("b")).distinct(), "pairs")
+    found = verified(pairs, sets, docs, id, text, percent)
+    gone = gone.unionByName(found.select(F.col("b").alias("place"))).distinct().withColumn("near", F.lit(True))
 
     # a line goes if its set does, or if it isn't the first with its set
-    state = sets.select("set", F.struct("place.id", "place.number").alias("first")).join(
-        gone.withColumn("near", F.lit(True)), "set", "left"
-    )
-    marked = lines.select("id", "key", "number", "set").join(state, "set")
-    marked = marked.where(F.col("near").isNotNull() | ~F.struct("id", "number").eqNullSafe(F.col("first")))
+    state = sets.select("set", "place", "copies", F.col("id").alias("first_id"), F.col("number").alias("first_number"))
+    state = state.join(gone, "place", "left").where("near or copies > 1").drop("place", "copies")
+    marked = lines.select("id", "key", "number", "set").join(small(stored(state, "state")), "set")
+    marked = marked.where("near is not null or not (id <=> first_id and number = first_number)")
     marked = marked.groupBy("id", "key").agg(F.sort_array(F.collect_set("number")).alias("removed"))
     marked = stored(marked, "removed")
     discard(lines)
+    discard(sets)
 
     along = [F.struct(*(F.col(c) for c in carry)).alias("carry")] if carry else []
     own = docs.select(F.col(id), F.col(text).alias("text"), F.xxhash64(F.col(text)).alias("key"), *along).alias("own")

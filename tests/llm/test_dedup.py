@@ -174,3 +174,35 @@ def test_similar_lines_of_odd_rows(odd_docs, no_docs, texts):
     assert len(first) == 1 and len(again) == 2 and again[0] == again[1]
     assert len(again[0].removed) == len([x for x in texts[0].split("\n") if x.split()])
     assert dedup_lines(no_docs).count() == 0
+
+
+def test_unlike_lines_all_stay(spark):
+    """Lines of one word each, all different, and long ones that share no word."""
+    short = [(k, "\n".join(f"w{k}x{i}" for i in range(1000))) for k in range(100)]
+    long = [(k, "\n".join(" ".join(f"v{k}x{i}x{j}" for j in range(20)) for i in range(100))) for k in range(100, 120)]
+    rows = dedup_lines(spark.createDataFrame(short + long, "doc_id BIGINT, text STRING").repartition(8)).collect()
+    assert len(rows) == 120 and sum(len(r.removed) for r in rows) == 0
+
+
+@pytest.mark.parametrize("percent", [60, 80, 100])
+def test_similar_lines_of_common_words(spark, percent):
+    """Few words, so that lists are long and many lines resemble several others."""
+    rng = np.random.default_rng(3)
+    common = [f"w{int(x)}" for x in range(30)]
+    docs = [(k, "\n".join(" ".join(rng.choice(common, rng.integers(1, 14))) for _ in range(8))) for k in range(60)]
+    base = [f"b{x}" for x in range(40)]
+    for k in range(60, 120):  # copies of one line with words changed and added
+        copy = list(base)
+        for at in rng.integers(0, 40, k % 6):
+            copy[at] = f"new{k}x{at}"
+        docs.append((k, " ".join(copy + [f"more{k}"] * (k % 2))))
+    got = {r.doc_id: r.removed for r in dedup_lines(spark.createDataFrame(docs, "doc_id BIGINT, text STRING"), percent=percent).collect()}
+    seen, want = [], {}
+    for k, text in docs:
+        want[k] = []
+        for n, line in enumerate(text.split("\n")):
+            s = frozenset(line.split())
+            if any(100 * len(s & t) >= percent * len(s | t) for t in seen):
+                want[k].append(n)
+            seen.append(s)
+    assert got == want and sum(map(len, want.values())) > (10 if percent == 100 else 50)
