@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from oreflow.llm.common import ship, small, stored, table
+from oreflow.llm.common import discard, ship, small, stored, table
 from oreflow.llm.leaks import decontaminate
 from oreflow.llm.lines import dedup_lines
 from oreflow.llm.near import near_duplicates, text_key
@@ -47,14 +47,17 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     Goes by id and text: a text is not lost because another one of the same id is a duplicate.
     """
     ship(prepare(spark))
-    found = stored(near_duplicates(docs, named=True), "components")
-    row = ["doc_id", "text_key"]
+    key = "text_key"
+    while key in docs.columns:  # a column of the documents keeps its name and values
+        key += "_"
+    found = stored(near_duplicates(docs, named=True).withColumnRenamed("text_key", key), "components")
+    row = ["doc_id", key]
     first = found.where("doc_id = component_id and component is not null").groupBy("component", "doc_id")
-    first = first.agg(F.min("text_key").alias("first"), F.max("text_key").alias("last")).where("first <> last")
-    later = found.join(small(stored(first, "several")), ["component", "doc_id"]).where("text_key <> first")
+    first = first.agg(F.min(key).alias("first"), F.max(key).alias("last")).where("first <> last")
+    later = found.join(small(stored(first, "several")), ["component", "doc_id"]).where(F.col(key) != F.col("first"))
     gone = stored(found.where("doc_id <> component_id").select(row).unionByName(later.select(row)).distinct(), "rejected")
     again = stored(found.where("doc_id is not null").groupBy(row).count().where("count > 1").select(row), "again")
-    kept = docs.withColumn("text_key", text_key("text")).join(small(gone), row, "left_anti")
+    kept = docs.withColumn(key, text_key("text")).join(small(gone), row, "left_anti")
     if again.isEmpty():
         return kept.select(docs.columns)
     once = kept.join(small(again), row, "left_semi").dropDuplicates(row)
@@ -85,8 +88,10 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over ``documents``, each one's result written and read again."""
+    """All stages over ``documents``, each one's result written and read again; what a stage has read is deleted."""
     docs = table(spark, sf_dir, "documents")
-    for name, stage in STAGES:
-        docs = stored(stage(spark, docs, sf_dir), name.replace(" ", "-"))
+    for k, (name, stage) in enumerate(STAGES):
+        read, docs = docs, stored(stage(spark, docs, sf_dir), name.replace(" ", "-"))
+        if k:
+            discard(read)
     return docs
