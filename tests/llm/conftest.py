@@ -3,7 +3,7 @@ import random
 import pytest
 
 # Columns that operators don't read, named as they name things inside.
-CLASHING = ["key", "set", "size", "line", "number", "grams", "entry", "carry", "score", "length", "place", "_cell", "id"]
+CLASHING = ["key", "set", "size", "line", "number", "grams", "entry", "carry", "score", "length", "place", "_cell", "id", "text_key", "text_key_", "component"]
 SCHEMA = "doc_id BIGINT, text STRING, lang STRING, source STRING, n_chars BIGINT, " + ", ".join(f"`{c}` STRING" for c in CLASHING)
 
 
@@ -57,3 +57,8 @@ def odd_docs(spark, texts):
     rows = [(k, texts[k], None, None, None, *[None] * len(CLASHING)) for k in (0, 0, 1, 40, 41, 52)]  # 52 is a copy of 0
     rows += [(None, texts[0], None, None, None, *[None] * len(CLASHING)), (None, None, None, None, None, *[None] * len(CLASHING))]
     return spark.createDataFrame(rows, SCHEMA)
+
+
+@pytest.fixture(scope="session")
+def clashing():
+    return CLASHING

@@ -3,6 +3,7 @@
 import os
 
 import pytest
+from pyspark.sql import functions as F
 
 import corpus_pipeline
 from oreflow.llm.common import table
@@ -40,3 +41,12 @@ def test_stages_on_odd_rows(spark, odd_docs, no_docs):
 def test_queries_are_registered():
     numbers = sorted(int(name[2:].split("_")[0]) for name in QUERIES)
     assert numbers == list(range(1, 1 + len(numbers))) and set(ORACLES) <= set(QUERIES)
+
+
+def test_columns_that_are_named_as_inside_keep_their_values(spark, docs, clashing):
+    own = docs.withColumns({c: F.concat(F.lit(c), F.col("doc_id").cast("string")) for c in clashing})
+    for name, stage in corpus_pipeline.STAGES[1:4]:
+        out = stage(spark, own, SF_DIR)
+        assert out.columns == own.columns, name
+        rows = out.select("doc_id", *clashing).collect()
+        assert rows and all(r[c] == f"{c}{r.doc_id}" for r in rows for c in clashing), name
