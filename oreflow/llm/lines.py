@@ -6,12 +6,12 @@ common (prefix filter), at places that leave room for enough others (positional
 alike (length filter); a 64-bit map of the words excludes most other pairs. What remains is verified on the whole
 sets of words, made anew from the texts. Everything is DataFrame expressions.
 
-Rarity is counted over all words, in ``BUCKETS`` hash buckets, so that the table of counts has the same size for any
-corpus: a word is as rare as its bucket's count on a scale of powers of the fourth root of two. The order needs to be the same everywhere, not
-exact. Equal lines are merged first, and sets too small to resemble another one join nothing. Words that are in the
-prefix of one line only drop out after one shuffle. Then every line is verified against the earliest line of each of
-its prefix words' lists, which finds most of the lines to remove, copies with a few words changed among them, in one
-pass over the lists; only lines that are still there after that are paired with all others of their lists.
+Rarity is counted over all words, in hash buckets, so that the table of counts has the same size for any corpus: a
+word is as rare as its bucket's count, on a scale of powers of the fourth root of two. The order needs to be the same
+everywhere, not exact. Equal lines are merged first, and sets too small to resemble another one join nothing. Then
+every line is verified against the earliest line that has the same two neighbours in its prefix, for the first few
+pairs of neighbours: one pass that finds most lines to remove, copies with some words changed among them. Only lines
+that are still there after that are paired with all earlier ones that share a word of the prefix.
 """
 
 from __future__ import annotations
@@ -26,10 +26,12 @@ from oreflow.llm.numbering import numbered
 
 PERCENT = 80
 #: Hash buckets for which word counts are kept; a power of two.
-BUCKETS = 1 << 20
+BUCKETS = 1 << 18
 #: Steps of the scale of rarity; a word's step is in the bits above its hash.
 RANKS = 128
 RANK_BITS = 7
+#: Pairs of neighbours in a line's prefix whose lists it looks for an earliest line in.
+NEIGHBOURS = 3
 _WHITE = r"[\x20\x09-\x0D]+"
 
 
@@ -138,22 +140,24 @@ def dedup_lines(
     sets = lines.groupBy("set").agg(first, F.count("*").alias("copies")).select("set", "copies", "s.*", F.lit("").alias("all"))
     sets = numbered(sets, "all", [F.col("id").asc_nulls_first(), F.col("number"), F.col("set")])
 
-    at = F.shiftleft("size", 32).bitwiseOR(F.col("pos").cast("long")).alias("at")
-    words = sets.where("prefix is not null").select("place", "size", "map", F.posexplode("prefix").alias("pos", "word"))
-    listed = Window.partitionBy("word")
-    head = [F.first(c).over(listed.orderBy("place")).alias(f"head_{c}") for c in ("place", "at", "map")]
-    met = words.select("word", "place", at, "map").select("*", *head, F.count("*").over(listed).alias("n"))
-    met = stored(met.where("n > 1").drop("n"), "met")
-    pairs = met.where("head_place < place").where(may_match("head_", "", percent))
+    # every line against the earliest one that shares two neighbours in its prefix
+    neighbours = [F.xxhash64(F.get("prefix", k), F.get("prefix", k + 1)) for k in range(NEIGHBOURS)]
+    both = [F.when((F.size("prefix") > k + 1) | F.lit(k == 0), c) for k, c in enumerate(neighbours)]
+    at = F.shiftleft("size", 32)
+    lists = sets.where("prefix is not null").select("place", at.alias("at"), "map", F.explode(F.array_compact(F.array(*both))).alias("list"))
+    first = Window.partitionBy("list").orderBy("place")
+    lists = lists.select("place", "at", "map", *(F.first(c).over(first).alias(f"head_{c}") for c in ("place", "at", "map")))
+    pairs = lists.where("head_place < place").where(may_match("head_", "", percent, placed=False))
     pairs = stored(pairs.select(F.col("head_place").alias("a"), F.col("place").alias("b")).distinct(), "pairs")
     found = verified(pairs, sets, docs, id, text, percent)
     gone = stored(found.select(F.col("b").alias("place")).distinct(), "gone")
 
-    # lines that are still there, against earlier ones of their lists that they have not been compared with
-    met = met.select("word", "place", "at", "map", (F.col("place") == F.col("head_place")).alias("head"))
-    still = met.where("not head").join(small(gone), "place", "left_anti")
-    both = met.where("not head").alias("x").join(still.alias("y"), F.expr("x.word = y.word and x.place < y.place") & may_match("x.", "y.", percent))
-    pairs = stored(both.select(F.col("x.place").alias("a"), F.col("y.place").alias("b")).distinct(), "pairs")
+    # lines that are still there, against all earlier ones that share a word of the prefix; both sides read one shuffle
+    flagged = sets.where("prefix is not null").join(small(gone.withColumn("near", F.lit(True))), "place", "left")
+    words = flagged.select("place", at.alias("at"), "map", F.col("near").isNull().alias("still"), F.posexplode("prefix").alias("pos", "word"))
+    words = words.select("word", "place", F.col("at").bitwiseOR(F.col("pos").cast("long")).alias("at"), "map", "still")
+    pairs = words.alias("x").join(words.alias("y"), F.expr("x.word = y.word and x.place < y.place and y.still") & may_match("x.", "y.", percent))
+    pairs = stored(pairs.select(F.col("x.place").alias("a"), F.col("y.place").alias("b")).distinct(), "pairs")
     found = verified(pairs, sets, docs, id, text, percent)
     gone = gone.unionByName(found.select(F.col("b").alias("place"))).distinct().withColumn("near", F.lit(True))
 
