@@ -11,9 +11,11 @@ reach the bound. Empty segments, which all sets of a band share, are left out fi
 rest doesn't reach the bound look up everything.
 
 Entries that meet give candidates, verified by exact set sizes. Entries are not paired with each other within a
-list, which may hold a third of all sets: first every set of a list is verified against the list's first. Only
-sets of one list that are in different components after that, and that were not left out, are compared with
-each other; so no link between components is lost, and no component takes the square of its size.
+list, which may hold a third of all sets: first every set of a list is verified against the list's first, then, in
+lists whose sets are still in several components, against the set that meets most others in all its lists, as the
+source of many copies does. Only sets of one list that are in different components after that, and that were not
+left out, are compared with each other; so no link between components is lost, and no component takes the square
+of its size.
 """
 
 from __future__ import annotations
@@ -22,6 +24,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -31,8 +34,14 @@ from oreflow.llm.words import Words, mix, signed, slices, windows
 
 WIDTH = 5
 PERCENT = 80
-#: Bits of the parity map of a set, by which most pairs that are not similar are told before their sets are fetched.
+#: Bits of the parity map of a set, by which most pairs that are not similar are told before their sets are fetched;
+#: sets from LARGE shingles on have a map of LARGE_BITS, which folds to the size of the others.
 PARITY_BITS = 1024
+LARGE = 512
+LARGE_BITS = 8192
+#: Segments that a band has beyond what the pigeonhole needs, for each of so many and two more: each lets a set leave
+#: out one more of its longest lists.
+SPARE_ONE_IN = 8
 #: Kinds of index entries: a set is only found by FOUND ones, may leave out SPARED ones, looks up ASKED ones. Those of
 #: empty segments are looked up by sets that need them only.
 FOUND, SPARED, ASKED, EMPTY, EMPTY_ASKED = range(5)
@@ -61,8 +70,26 @@ def set_key(grams: np.ndarray) -> int:
 
 def parity(grams: np.ndarray) -> bytes:
     """Whether an odd number of shingles falls on each bit; two sets differ by at least as many shingles as bits."""
-    at = (mix(grams ^ _SEGMENT) & np.uint64(PARITY_BITS - 1)).astype(np.int64)
-    return np.packbits((np.bincount(at, minlength=PARITY_BITS) & 1).astype(bool)).tobytes()
+    bits = LARGE_BITS if len(grams) >= LARGE else PARITY_BITS
+    at = (mix(grams ^ _SEGMENT) & np.uint64(bits - 1)).astype(np.int64)
+    return np.packbits((np.bincount(at, minlength=bits) & 1).astype(bool)).tobytes()
+
+
+def folded(maps: pa.Array, size: int) -> np.ndarray:
+    """Parity maps of one length as rows of numbers, of ``size`` bytes after folding."""
+    rows = np.frombuffer(b"".join(maps.to_pylist()), np.uint64).reshape(len(maps), -1, size // 8)
+    return np.bitwise_xor.reduce(rows, axis=1)
+
+
+def parity_distance(x: pa.Array, y: pa.Array) -> np.ndarray:
+    """Bits in which the parity maps of each pair of sets differ, at the size of the shorter map."""
+    m, n = (pc.binary_length(c).to_numpy(zero_copy_only=False) for c in (x, y))
+    out = np.zeros(len(x), np.int64)
+    for a, b in {*zip(m.tolist(), n.tolist())}:
+        at = np.flatnonzero((m == a) & (n == b))
+        rows = [folded(c.take(pa.array(at)), min(a, b)) for c in (x, y)]
+        out[at] = np.bitwise_count(rows[0] ^ rows[1]).sum(axis=1, dtype=np.int64)
+    return out
 
 
 def differing(small_size: int, percent: int) -> int:
@@ -72,8 +99,8 @@ def differing(small_size: int, percent: int) -> int:
 
 def band_layout(band: int, percent: int) -> tuple[int, int]:
     """Segments of a band, and how many of them also index their one-deletion neighbourhoods."""
-    segments = differing((2 << band) - 1, percent) + 1
-    return segments, min(segments, segments // 24 + 3)
+    needed = differing((2 << band) - 1, percent) + 1
+    return needed + needed // SPARE_ONE_IN + 2, min(needed, needed // 24 + 3)
 
 
 def segment_sizes(grams: np.ndarray, segments: int) -> tuple[np.ndarray, np.ndarray]:
@@ -103,7 +130,7 @@ def entries(grams: np.ndarray, band: int, percent: int, short: bool) -> tuple[np
     kind = np.full(segments + len(deleted), ASKED)
     kind[deletions:segments] = ASKED if short else SPARED
     kind[:segments][size == 0] = EMPTY_ASKED if short else EMPTY
-    return np.concatenate([mix(total + tag), without]), kind
+    return np.concatenate([mix(total + tag), without]) >> np.uint64(16), kind  # 48 bits: few enough, and as many lists
 
 
 def text_key(text: str) -> Column:
@@ -173,6 +200,21 @@ def looked_up(met: DataFrame, where: DataFrame) -> DataFrame:
     )
 
 
+def apart(every: DataFrame, parts: DataFrame) -> DataFrame:
+    """Rows (entry, set, size, kind, component) of the lists whose sets are in several components."""
+    every = every.join(parts, "set", "left").withColumn("component", F.coalesce("component", "set"))
+    mixed = every.groupBy("entry").agg(F.min("component").alias("x"), F.max("component").alias("y")).where("x <> y")
+    return every.join(mixed.select("entry"), "entry", "left_semi")
+
+
+def with_hubs(lists: DataFrame) -> DataFrame:
+    """Rows of lists with ``head``: the set of the list that meets most others in all its lists."""
+    length = lists.groupBy("entry").agg(F.count("*").alias("length"))
+    degree = lists.join(length, "entry").groupBy("set").agg(F.sum("length").alias("degree"))
+    most = Window.partitionBy("entry").orderBy(F.desc("degree"), "set")
+    return lists.join(degree, "set").withColumn("head", F.first(F.struct("set", "size", "component")).over(most))
+
+
 def _alike(x: Column, y: Column, percent: int) -> Column:
     """Whether sets of these sizes can be similar."""
     return 100 * F.least(x, y) >= percent * F.greatest(x, y)
@@ -183,11 +225,7 @@ def may_be_similar(pairs: DataFrame, where: DataFrame, percent: int) -> DataFram
 
     def near(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            x, y = (
-                np.frombuffer(b"".join(batch.column(k).to_pylist()), np.uint64).reshape(batch.num_rows, -1)
-                for k in (2, 3)
-            )
-            bits = np.bitwise_count(x ^ y).sum(axis=1, dtype=np.int64)
+            bits = parity_distance(batch.column(2), batch.column(3))
             ok = (100 + percent) * bits <= (100 - percent) * batch.column(4).to_numpy()
             yield batch.select([0, 1]).filter(pa.array(ok))
 
@@ -260,13 +298,19 @@ def near_duplicates(
     links = stored(similar(heads, docs, where, id, text, width, percent), "links")
     parts = stored(components(links), "components").withColumnRenamed("node", "set")
 
-    # within a list, sets that are still apart
+    # within a list, sets that are still apart: first against the one that meets most others, then each other
     every = met.select("entry", *row).unionByName(met.select("entry", *(f"head.{c}" for c in row))).distinct()
-    every = every.join(parts, "set", "left").withColumn("component", F.coalesce("component", "set"))
-    mixed = every.groupBy("entry").agg(F.min("component").alias("x"), F.max("component").alias("y")).where("x <> y")
-    every = stored(every.join(mixed.select("entry"), "entry", "left_semi"), "lists")
+    lists = stored(apart(every, parts), "lists")
     discard(met)
-    asked = looked_up(every, where).join(parts, "set", "left").withColumn("component", F.coalesce("component", "set"))
+    hubs = with_hubs(lists)
+    hubs = hubs.where((F.col("component") != F.col("head.component")) & _alike(F.col("size"), F.col("head.size"), percent))
+    hubs = hubs.select(F.least("set", "head.set").alias("a"), F.greatest("set", "head.set").alias("b")).distinct()
+    hubs = hubs.join(heads.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")), ["a", "b"], "left_anti")
+    links = links.unionByName(stored(similar(stored(hubs, "pairs"), docs, where, id, text, width, percent), "links"))
+    parts = stored(components(links), "components").withColumnRenamed("node", "set")
+    every = stored(apart(lists.select("entry", *row), parts), "lists")
+    discard(lists)
+    asked = looked_up(every, where).join(every.select("set", "component").distinct(), "set")
     later = "x.entry = y.entry and x.component <> y.component and struct(x.size, x.set) < struct(y.size, y.set)"
     rest = asked.alias("x").join(every.alias("y"), F.expr(later) & _alike(F.col("x.size"), F.col("y.size"), percent))
     rest = rest.select(F.col("x.set").alias("a"), F.col("y.set").alias("b")).distinct()

@@ -4,6 +4,7 @@ import re
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 import corpus_pipeline
@@ -99,8 +100,14 @@ def test_parity_never_excludes_similar_sets():
     for n in (5, 60, 700, 5000):
         x = np.unique(rng.integers(0, 1 << 63, n).astype(np.uint64))
         y = x[n // 9 :]
-        bits = (np.frombuffer(near.parity(x), np.uint8) ^ np.frombuffer(near.parity(y), np.uint8))
-        assert np.bitwise_count(bits).sum() <= len(x) - len(y)
+        (bits,) = near.parity_distance(pa.array([near.parity(x)]), pa.array([near.parity(y)]))
+        assert bits <= len(x) - len(y)
+    x = np.unique(rng.integers(0, 1 << 63, near.LARGE + 9).astype(np.uint64))  # a map of either size
+    y = x[20:]
+    pairs = [near.parity(a) for a in (x, y, x[:100], y)], [near.parity(b) for b in (y, x, x[:90], y)]
+    assert {len(m) for m in pairs[0]} == {near.PARITY_BITS // 8, near.LARGE_BITS // 8}
+    bits = near.parity_distance(*(pa.array(m) for m in pairs))
+    assert (0 < bits[:3]).all() and (bits <= [20, 20, 10, 0]).all()
 
 
 def test_components_of_chains_and_loops(spark):
