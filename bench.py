@@ -21,7 +21,8 @@ from oreflow.session import build_session  # noqa: E402
 HEADLINE = """sales_by_category popular_products monthly_sales top_sales gold_lines order_lines orders_per_customer
 dedup_row_number find_duplicates window_means asof_features asof_range_join training_set time_split
 update_where merge_upsert score_udf classification_report
-stream_tumbling_complete stream_watermark_append ingest_incremental scan_json_nested""".split()
+stream_tumbling_complete stream_watermark_append ingest_incremental scan_json_nested
+asof_one_key schema_evolve_nested stream_progress train_linear ridge_coefficients""".split()
 
 
 def seconds(spark, run, sf_dir: str) -> float:

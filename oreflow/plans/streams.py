@@ -30,10 +30,11 @@ MINUTES_SQL = f"""WITH {src.READINGS_SQL}, minutes AS (SELECT device_type, devic
 def event_stream(spark: SparkSession, sf_dir: str, path: str | None = None, max_files: int | None = None) -> DataFrame:
     """Stream of the events table, or of a landing folder with the same columns.
 
-    The table may be one file or a folder of files; the trailing wildcard lets the source take either.
+    The table may be one file or a folder of files; a pattern, even one that only matches its name, lets the source
+    take either.
     """
     schema = src.table(spark, sf_dir, "events").schema
-    return runner.read_stream(spark, path or f"{sf_dir}/events.parquet*", schema, max_files=max_files)
+    return runner.read_stream(spark, path or f"{sf_dir}/events.parque[t]", schema, max_files=max_files)
 
 
 def timed_actions(events: DataFrame) -> DataFrame:
