@@ -74,3 +74,46 @@ inner_phrases AS (SELECT lang, array_to_string(w[s : s + size - 1], ' ') AS phra
 kept AS (SELECT l.* FROM lowest l LEFT JOIN inner_phrases USING (lang, phrase) WHERE most IS NULL OR 100 * most < 100 * a),
 ranked AS (SELECT *, ROW_NUMBER() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank FROM kept)
 SELECT lang, rank, phrase, a, l, r, n, score FROM ranked WHERE rank <= 2000"""
+
+
+_WORDS = r"list_filter(regexp_split_to_array({0}, '[\x20\x09-\x0D]+'), lambda x: x <> '')"
+
+# Shingles joined with each other, links closed transitively.
+NEAR_SQL = rf"""WITH RECURSIVE words AS (SELECT doc_id, {_WORDS.format(_LOWER)} AS w FROM documents),
+shingles AS (SELECT DISTINCT doc_id, unnest(CASE WHEN len(w) >= 5 THEN list_transform(range(1, len(w) - 3), lambda s: array_to_string(w[s : s + 4], ' '))
+    WHEN len(w) > 0 THEN [array_to_string(w, ' ')] ELSE [] END) AS g FROM words),
+sizes AS (SELECT doc_id, COUNT(*) AS n FROM shingles GROUP BY 1),
+shared AS (SELECT a.doc_id AS a, b.doc_id AS b, COUNT(*) AS n FROM shingles a JOIN shingles b ON a.g = b.g AND a.doc_id <> b.doc_id GROUP BY 1, 2),
+links AS (SELECT a, b FROM shared s JOIN sizes x ON x.doc_id = a JOIN sizes y ON y.doc_id = b WHERE 100 * s.n >= 80 * (x.n + y.n - s.n)),
+reached AS (SELECT doc_id, doc_id AS other FROM documents UNION SELECT r.doc_id, l.b FROM reached r JOIN links l ON l.a = r.other)
+SELECT doc_id, COALESCE(ANY_VALUE(n), 0)::BIGINT AS n_shingles, MIN(other) AS component_id FROM reached LEFT JOIN sizes USING (doc_id) GROUP BY 1"""
+
+# Lines joined on the words of their prefixes, the rarest first by exact counts.
+LINES_SQL = r"""WITH lines AS (SELECT doc_id, text, generate_subscripts(string_split(text, chr(10)), 1) - 1 AS number, unnest(string_split(text, chr(10))) AS line FROM documents),
+sets AS (SELECT doc_id, number, list_sort(list_distinct(list_filter(regexp_split_to_array(lower(line), '[\x20\x09-\x0D]+'), lambda x: x <> ''))) AS s FROM lines),
+firsts AS (SELECT s, MIN((doc_id, number)) AS place, len(s) AS n FROM sets WHERE len(s) > 0 GROUP BY s),
+entries AS (SELECT place, n, unnest(s) AS word FROM firsts),
+counts AS (SELECT word, COUNT(*) AS c FROM entries GROUP BY 1),
+ranked AS (SELECT *, ROW_NUMBER() OVER (PARTITION BY place ORDER BY c, word) AS pos FROM entries JOIN counts USING (word)),
+prefix AS (SELECT * FROM ranked WHERE pos <= n - (80 * n + 99) // 100 + 1),
+pairs AS (SELECT DISTINCT x.place AS a, y.place AS b FROM prefix x JOIN prefix y ON x.word = y.word AND x.place < y.place
+  AND 100 * least(x.n, y.n) >= 80 * greatest(x.n, y.n)),
+near AS (SELECT DISTINCT b AS place FROM pairs JOIN firsts x ON x.place = a JOIN firsts y ON y.place = b
+  WHERE 100 * len(list_intersect(x.s, y.s)) >= 80 * (x.n + y.n - len(list_intersect(x.s, y.s)))),
+removed AS (SELECT doc_id, number FROM sets JOIN firsts f USING (s) LEFT JOIN near ON near.place = f.place
+  WHERE near.place IS NOT NULL OR (doc_id, number) <> f.place),
+marked AS (SELECT l.*, r.number IS NOT NULL AS gone FROM lines l LEFT JOIN removed r ON r.doc_id = l.doc_id AND r.number = l.number),
+done AS (SELECT doc_id, COUNT(*)::INT AS n_lines, SUM(gone::INT)::INT AS n_removed,
+  COALESCE(string_agg(number::VARCHAR, ',' ORDER BY number) FILTER (gone), '') AS removed_lines,
+  COALESCE(string_agg(line, chr(10) ORDER BY number) FILTER (NOT gone), '') AS kept FROM marked GROUP BY 1)
+SELECT doc_id, n_lines, n_removed, removed_lines, sha256(kept) AS kept_sha256 FROM done
+UNION ALL SELECT doc_id, 0, 0, '', NULL FROM documents WHERE text IS NULL"""
+
+# Equal payloads by their digests; the address's host backwards.
+ARCHIVE_SQL = r"""WITH own AS (SELECT page_id, COALESCE(html, '') AS body, regexp_replace(COALESCE(url, ''), '^[A-Za-z][A-Za-z0-9+.-]*://', '') AS rest FROM pages),
+hashed AS (SELECT page_id, strlen(body) AS payload_bytes, sha1(body) AS payload_digest, lower(regexp_extract(rest, '^([^/?#]*)', 1)) AS host,
+  regexp_replace(rest, '^[^/?#]*', '') AS path FROM own),
+latest AS (SELECT *, MAX(page_id) OVER (PARTITION BY payload_digest) AS last FROM hashed)
+SELECT page_id, payload_bytes, payload_digest, CASE WHEN payload_bytes >= 1000 AND page_id <> last THEN 'revisit' ELSE 'response' END AS record_type,
+  CASE WHEN payload_bytes >= 1000 AND page_id <> last THEN last END AS refers_to,
+  array_to_string(list_reverse(string_split(host, '.')), ',') || ')' || path AS url_key FROM latest"""

@@ -11,7 +11,7 @@ from oreflow.llm.licenses import scan_licenses
 from oreflow.llm.lines import dedup_lines
 from oreflow.llm.merkle import fold, leaf_digest, manifest, siblings
 from oreflow.llm.near import near_duplicates
-from oreflow.llm.oracles import MANIFEST_SQL, PHRASES_SQL
+from oreflow.llm.oracles import ARCHIVE_SQL, LINES_SQL, MANIFEST_SQL, NEAR_SQL, PHRASES_SQL
 from oreflow.llm.packing import pack_documents
 from oreflow.llm.personal import KINDS, find_personal
 from oreflow.llm.phrases import best_phrases, mine_phrases
@@ -128,4 +128,11 @@ SELECT doc_id, CAST(len(words) AS BIGINT) AS n_words, CAST(len(words) - COALESCE
   sha256(COALESCE(kept.text, '')) AS kept_sha256
 FROM w LEFT JOIN kept USING (doc_id)"""
 
-ORACLES = {"op7_substring_dedup": SUBSTRING_SQL, "op11_merkle_manifest": MANIFEST_SQL, "op13_phrase_collocations": PHRASES_SQL}
+ORACLES = {
+    "op5_ngram_jaccard_join": NEAR_SQL,
+    "op7_substring_dedup": SUBSTRING_SQL,
+    "op8_warc": ARCHIVE_SQL,
+    "op10_line_dedup": LINES_SQL,
+    "op11_merkle_manifest": MANIFEST_SQL,
+    "op13_phrase_collocations": PHRASES_SQL,
+}
