@@ -9,9 +9,9 @@ sets of words, made anew from the texts. Everything is DataFrame expressions.
 Rarity is counted over all words, in hash buckets, so that the table of counts has the same size for any corpus: a
 word is as rare as its bucket's count, on a scale of powers of the fourth root of two. The order needs to be the same
 everywhere, not exact. Equal lines are merged first, and sets too small to resemble another one join nothing. Then
-every line is verified against the earliest line that has the same two neighbours in its prefix, for the first few
-pairs of neighbours: one pass that finds most lines to remove, copies with some words changed among them. Only lines
-that are still there after that are paired with all earlier ones that share a word of the prefix.
+every line is verified against the earliest line of each of its prefix words' lists, which finds most of the lines to
+remove, copies with some words changed among them, in one pass over the lists. Only lines that are still there after
+that are paired with all earlier ones that share a word of the prefix.
 """
 
 from __future__ import annotations
@@ -30,8 +30,6 @@ BUCKETS = 1 << 18
 #: Steps of the scale of rarity; a word's step is in the bits above its hash.
 RANKS = 128
 RANK_BITS = 7
-#: Pairs of neighbours in a line's prefix whose lists it looks for an earliest line in.
-NEIGHBOURS = 3
 _WHITE = r"[\x20\x09-\x0D]+"
 
 
@@ -72,8 +70,15 @@ def tokens(line: Column, steps: Column, buckets: int) -> Column:
     return F.sort_array(F.array_distinct(F.transform(word_list(line), token)))
 
 
-def may_match(x: str, y: str, percent: int, placed: bool = True) -> Column:
-    """Length and bitmap filter for two sets, and positional filter if they are prefix rows of one word."""
+def prefix_words(sets: DataFrame, *more: Column) -> DataFrame:
+    """(word, place, at, map, ...) for each word of a set's prefix; ``at`` has the set's size and the word's place."""
+    rows = sets.select("place", "size", "map", *more, F.posexplode("prefix").alias("pos", "word"))
+    at = F.shiftleft("size", 32).bitwiseOR(F.col("pos").cast("long")).alias("at")
+    return rows.select("word", "place", at, *[c for c in rows.columns if c not in ("word", "place", "size", "pos")])
+
+
+def may_match(x: str, y: str, percent: int) -> Column:
+    """Length, bitmap and positional filter for two prefix rows of one word."""
     size = lambda r: f"shiftright({r}at, 32)"
     place = lambda r: f"({r}at & 4294967295)"
     sizes = f"({size(x)} + {size(y)})"
@@ -82,7 +87,7 @@ def may_match(x: str, y: str, percent: int, placed: bool = True) -> Column:
         f"{100 + percent} * bit_count({x}map ^ {y}map) <= {100 - percent} * {sizes}",
         f"{100 + percent} * least({size(x)} - {place(x)}, {size(y)} - {place(y)}) >= {percent} * {sizes}",
     ]
-    return F.expr(" and ".join(rules if placed else rules[:2]))
+    return F.expr(" and ".join(rules))
 
 
 def verified(pairs: DataFrame, sets: DataFrame, docs: DataFrame, id: str, text: str, percent: int) -> DataFrame:
@@ -140,22 +145,18 @@ def dedup_lines(
     sets = lines.groupBy("set").agg(first, F.count("*").alias("copies")).select("set", "copies", "s.*", F.lit("").alias("all"))
     sets = numbered(sets, "all", [F.col("id").asc_nulls_first(), F.col("number"), F.col("set")])
 
-    # every line against the earliest one that shares two neighbours in its prefix
-    neighbours = [F.xxhash64(F.get("prefix", k), F.get("prefix", k + 1)) for k in range(NEIGHBOURS)]
-    both = [F.when((F.size("prefix") > k + 1) | F.lit(k == 0), c) for k, c in enumerate(neighbours)]
-    at = F.shiftleft("size", 32)
-    lists = sets.where("prefix is not null").select("place", at.alias("at"), "map", F.explode(F.array_compact(F.array(*both))).alias("list"))
-    first = Window.partitionBy("list").orderBy("place")
-    lists = lists.select("place", "at", "map", *(F.first(c).over(first).alias(f"head_{c}") for c in ("place", "at", "map")))
-    pairs = lists.where("head_place < place").where(may_match("head_", "", percent, placed=False))
+    # every line against the earliest one of each of its words' lists
+    words = prefix_words(sets.where("prefix is not null"))
+    first = Window.partitionBy("word").orderBy("place")
+    lists = words.select("place", "at", "map", *(F.first(c).over(first).alias(f"head_{c}") for c in ("place", "at", "map")))
+    pairs = lists.where("head_place < place").where(may_match("head_", "", percent))
     pairs = stored(pairs.select(F.col("head_place").alias("a"), F.col("place").alias("b")).distinct(), "pairs")
     found = verified(pairs, sets, docs, id, text, percent)
     gone = stored(found.select(F.col("b").alias("place")).distinct(), "gone")
 
-    # lines that are still there, against all earlier ones that share a word of the prefix; both sides read one shuffle
+    # lines that are still there, against all earlier ones of their lists; both sides of the join read one shuffle
     flagged = sets.where("prefix is not null").join(small(gone.withColumn("near", F.lit(True))), "place", "left")
-    words = flagged.select("place", at.alias("at"), "map", F.col("near").isNull().alias("still"), F.posexplode("prefix").alias("pos", "word"))
-    words = words.select("word", "place", F.col("at").bitwiseOR(F.col("pos").cast("long")).alias("at"), "map", "still")
+    words = prefix_words(flagged, F.col("near").isNull().alias("still"))
     pairs = words.alias("x").join(words.alias("y"), F.expr("x.word = y.word and x.place < y.place and y.still") & may_match("x.", "y.", percent))
     pairs = stored(pairs.select(F.col("x.place").alias("a"), F.col("y.place").alias("b")).distinct(), "pairs")
     found = verified(pairs, sets, docs, id, text, percent)
