@@ -8,8 +8,8 @@ their blocks, and a look-up by the window's blocks finds every fingerprint withi
 within it are verified by their exact weighted Jaccard similarity. So are the windows that share one of an item's
 heaviest n-grams, enough of them that a similar window can't do without: the radius alone loses some.
 
-Only windows that share an n-gram with an item of their size, at the same place in it, are fingerprinted: all
-others have the words of no item where the item has them. Windows that would reach over an end of the text are
+Only windows that share n-grams with items of their size are fingerprinted: those that have one at the same place as
+the item, and those that have many of them, in whatever order. Windows that would reach over an end of the text are
 clipped to it, so that an item of which words are missing there is found too. This is a join of all n-grams of all documents with
 those of the items; copies of a text are merged before. Everything is DataFrame expressions.
 """
@@ -29,6 +29,10 @@ PERCENT = 80
 #: Bits in which fingerprints found by the index may differ, and its blocks; the latter divides 64.
 RADIUS = 15
 BLOCKS = 8
+#: Stretches of a window in which one may begin that holds an item's n-grams in another order, and the hundredths of
+#: its size that it must hold of them.
+STEPS = 16
+LEAST_HELD = 60
 #: Largest weight of an n-gram.
 MAX_WEIGHT = 8
 # White space and punctuation part words.
@@ -88,6 +92,23 @@ def flips(radius: int, blocks: int) -> list[int]:
     return [sum(1 << b for b in c) for k in range(radius // blocks + 1) for c in combinations(range(bits), k)]
 
 
+def crowded(hits: DataFrame) -> DataFrame:
+    """(key, n, first, end) of item-sized windows that hold the n-grams of items in whatever order.
+
+    A window can be moved on to its first n-gram that some item has without losing one. So windows begin at the first
+    such n-gram of each stretch of a STEPS-th of their size, where the next STEPS stretches hold at least LEAST_HELD
+    hundredths of their size of them, and no fewer than those from the stretches beside it.
+    """
+    own = hits.select("key", "m", "n", "p").distinct().withColumn("step", F.expr(f"greatest(1, n div {STEPS})"))
+    own = own.withColumn("stretch", F.expr("p div step"))
+    own = own.groupBy("key", "m", "n", "stretch").agg(F.min("p").alias("first"), F.count("*").alias("c"))
+    along = Window.partitionBy("key", "n").orderBy("stretch")
+    own = own.withColumn("held", F.sum("c").over(along.rangeBetween(0, STEPS)))
+    own = own.withColumns({"before": F.lag("held", 1, 0).over(along), "after": F.lead("held", 1, 0).over(along)})
+    own = own.where(100 * F.col("held") >= LEAST_HELD * F.col("n")).where("held > before and held >= after")
+    return own.select("key", "n", "first", F.least("m", F.col("first") + F.col("n")).alias("end"))
+
+
 def leaks(
     docs: DataFrame,
     items: DataFrame,
@@ -119,12 +140,13 @@ def leaks(
     found = text_grams(texts, width).withColumn("m", F.size("grams"))  # below the explosion, which drops the array
     # outer: else Spark adds a filter on the size of the array, which computes it once more, in nested form
     found = found.select("key", "m", F.posexplode_outer("grams").alias("p", "g"))
-    found = found.join(small(places), "g").withColumn("from", F.col("p") - F.col("at"))
+    hits = found.join(small(places), "g").select("key", "m", "n", "p", (F.col("p") - F.col("at")).alias("from"))
+    hits = stored(hits.distinct(), "hits")
     # clipped to the text; where the item would begin before the text, so much at its start as an item has, too
     first, end = F.greatest(F.lit(0), "from"), F.least("m", F.col("from") + F.col("n"))
     ends = F.array_distinct(F.array(end, F.least("m", first + F.col("n"))))
-    found = found.select("key", "n", first.alias("first"), F.explode(ends).alias("end"))
-    found = found.groupBy("key").agg(
+    found = hits.select("key", "n", first.alias("first"), F.explode(ends).alias("end"))
+    found = found.unionByName(crowded(hits)).groupBy("key").agg(
         # at most twice as many as the text has words, and as the items that hang over its ends, times sizes of items
         F.collect_set(F.struct("first", (F.col("end") - F.col("first")).alias("size"), "n")).alias("places")
     )

@@ -323,6 +323,38 @@ def test_leaks_of_cut_items(spark):
         assert t.split()[r.first_word : r.first_word + left] == [x for x in t.split() if x[0] == "w"]
 
 
+def every_window(text, item):
+    """Largest plain similarity of an item and any window of its size."""
+    grams = lambda w: [tuple(w[k : k + 5]) for k in range(len(w) - 4)]
+    own, want = grams(text.split()), Counter(grams(item.split()))
+    n, best = sum(want.values()), 0.0
+    for a in range(max(1, len(own) - n + 1)):
+        have = Counter(own[a : a + n])
+        best = max(best, sum((have & want).values()) / sum((have | want).values()))
+    return best
+
+
+def test_leaks_with_parts_in_another_order(spark):
+    """Recall over all item-sized windows: halves and thirds swapped, sentences dropped and put in, inside other text."""
+    rng = random.Random(9)
+    items = made_items(60, 120)
+    bench = spark.createDataFrame(list(enumerate(items)), "item_id BIGINT, text STRING")
+    docs = []
+    for k, t in enumerate(items):
+        w = t.split()
+        cut = sorted(rng.sample(range(20, 100), 1 + k % 2))
+        parts = [w[a:b] for a, b in zip([0, *cut], [*cut, 120])]
+        rng.shuffle(parts)
+        if k % 3 == 0:
+            parts.insert(1, [f"in{k}x{i}" for i in range(rng.randrange(8))])
+        before, after = ([f"o{k}x{i}" for i in range(rng.randrange(200))] for _ in range(2))
+        docs.append((k, " ".join(before + sum(parts, []) + after)))
+    got = {(r.doc_id, r.item) for r in decontaminate(spark.createDataFrame(docs, "doc_id BIGINT, text STRING"), bench).collect()}
+    similar = [k for k, t in docs if every_window(t, items[k]) >= 0.8]
+    assert len(similar) > 40 and all(a == b for a, b in got)
+    assert sum((k, k) in got for k in similar) >= 0.95 * len(similar)
+
+
 def test_leaks_at_the_bound(spark):
     """A changed word in the middle of 49 leaves 40 of 50 n-grams, whatever bits of the fingerprint it turns."""
     items = made_items(200, 49)
