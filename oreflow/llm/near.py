@@ -190,14 +190,18 @@ def indexed(docs: DataFrame, text: str, width: int, percent: int) -> DataFrame:
 
 
 def looked_up(met: DataFrame, where: DataFrame) -> DataFrame:
-    """(entry, set, size) that each set looks up, of lists that hold others too: the longest are left out."""
+    """(entry, set, size, least) that each set looks up, of lists that hold others too: the longest are left out.
+
+    A set that has segments to spare leaves out one less than it could, and so shares ``least`` 2 of the entries it
+    looks up with any similar set; the others share 1.
+    """
     length = met.groupBy("entry").agg(F.count("*").alias("length"))
     longest = Window.partitionBy("set").orderBy(F.desc("length"), "entry")  # of the lists of one set
     spared = met.where(F.col("kind") == SPARED).join(length, "entry").withColumn("rank", F.row_number().over(longest))
-    spared = spared.join(where.select("set", "spare"), "set").where("rank > spare")
-    return spared.select("entry", "set", "size").unionByName(
-        met.where(F.col("kind").isin(ASKED, EMPTY_ASKED)).select("entry", "set", "size")
-    )
+    own = where.select("set", "spare", F.when(F.col("spare") > 0, 2).otherwise(1).alias("least"))
+    spared = spared.join(own, "set").where("rank > spare - 1")
+    others = met.where(F.col("kind").isin(ASKED, EMPTY_ASKED)).join(own, "set")
+    return spared.select("entry", "set", "size", "least").unionByName(others.select("entry", "set", "size", "least"))
 
 
 def apart(every: DataFrame, parts: DataFrame) -> DataFrame:
@@ -313,7 +317,8 @@ def near_duplicates(
     asked = looked_up(every, where).join(every.select("set", "component").distinct(), "set")
     later = "x.entry = y.entry and x.component <> y.component and struct(x.size, x.set) < struct(y.size, y.set)"
     rest = asked.alias("x").join(every.alias("y"), F.expr(later) & _alike(F.col("x.size"), F.col("y.size"), percent))
-    rest = rest.select(F.col("x.set").alias("a"), F.col("y.set").alias("b")).distinct()
+    rest = rest.groupBy(F.col("x.set").alias("a"), F.col("y.set").alias("b"), "x.least").agg(F.count("*").alias("shared"))
+    rest = rest.where("shared >= least").select("a", "b")
     rest = stored(rest, "pairs")
     discard(every)
     more = similar(rest, docs, where, id, text, width, percent)
