@@ -22,7 +22,6 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from oreflow.llm.common import discard, small, stored
-from oreflow.llm.numbering import numbered
 
 PERCENT = 80
 #: Hash buckets for which word counts are kept; a power of two.
@@ -71,10 +70,10 @@ def tokens(line: Column, steps: Column, buckets: int) -> Column:
 
 
 def prefix_words(sets: DataFrame, *more: Column) -> DataFrame:
-    """(word, place, at, map, ...) for each word of a set's prefix; ``at`` has the set's size and the word's place."""
-    rows = sets.select("place", "size", "map", *more, F.posexplode("prefix").alias("pos", "word"))
+    """(word, set, id, number, map, at, ...) for each word of a set's prefix; ``at`` has the set's size and the word's place."""
+    rows = sets.select("set", "id", "number", "size", "map", *more, F.posexplode("prefix").alias("pos", "word"))
     at = F.shiftleft("size", 32).bitwiseOR(F.col("pos").cast("long")).alias("at")
-    return rows.select("word", "place", at, *[c for c in rows.columns if c not in ("word", "place", "size", "pos")])
+    return rows.select("word", *[c for c in rows.columns if c not in ("word", "size", "pos")], at)
 
 
 def may_match(x: str, y: str, percent: int) -> Column:
@@ -91,19 +90,19 @@ def may_match(x: str, y: str, percent: int) -> Column:
 
 
 def verified(pairs: DataFrame, sets: DataFrame, docs: DataFrame, id: str, text: str, percent: int) -> DataFrame:
-    """Of pairs (a, b) of places of sets, those that are similar; their words are made from the texts again."""
-    ends = pairs.select(F.col("a").alias("place")).unionByName(pairs.select(F.col("b").alias("place"))).distinct()
+    """Of pairs (a, b) of sets, those that are similar; their words are made from the texts again."""
+    ends = pairs.select(F.col("a").alias("set")).unionByName(pairs.select(F.col("b").alias("set"))).distinct()
     # a text is split once for all its lines that are needed
-    needed = ends.join(sets.select("place", "id", "key", "number"), "place").groupBy("id", "key")
-    needed = stored(needed.agg(F.collect_list(F.struct("number", "place")).alias("wanted")), "needed")
+    needed = ends.join(sets.select("set", "id", "key", "number"), "set").groupBy("id", "key")
+    needed = stored(needed.agg(F.collect_list(F.struct("number", "set")).alias("wanted")), "needed")
     own = keyed(docs, id, text).alias("own")
     found = own.join(small(needed).alias("n"), F.expr("own.id <=> n.id and own.key = n.key"))
     found = found.select(F.split("own.text", "\n", -1).alias("lines"), F.explode("n.wanted").alias("w"))
     words = F.transform(word_list(F.get("lines", F.col("w.number"))), lambda x: F.xxhash64(x))
-    grams = found.select("w.place", F.array_distinct(words).alias("words")).dropDuplicates(["place"])
+    grams = found.select("w.set", F.array_distinct(words).alias("words")).dropDuplicates(["set"])
     grams = stored(grams, "words")
-    both = pairs.join(grams.select(F.col("place").alias("a"), F.col("words").alias("x")), "a")
-    both = both.join(grams.select(F.col("place").alias("b"), F.col("words").alias("y")), "b")
+    both = pairs.join(grams.select(F.col("set").alias("a"), F.col("words").alias("x")), "a")
+    both = both.join(grams.select(F.col("set").alias("b"), F.col("words").alias("y")), "b")
     shared = F.size(F.array_intersect("x", "y"))
     similar = 100 * shared >= percent * (F.size("x") + F.size("y") - shared)
     out = stored(both.where(similar).select("a", "b"), "similar")
@@ -142,29 +141,30 @@ def dedup_lines(
     own = [F.xxhash64("tokens").alias("set"), n.cast("long").alias("size"), odd.alias("map"), F.when(~alone, prefix).alias("prefix")]
     lines = stored(lines.select("id", "key", "number", *own), "lines")
     first = F.min(F.struct("id", "number", "key", "size", "map", "prefix")).alias("s")
-    sets = lines.groupBy("set").agg(first, F.count("*").alias("copies")).select("set", "copies", "s.*", F.lit("").alias("all"))
-    sets = numbered(sets, "all", [F.col("id").asc_nulls_first(), F.col("number"), F.col("set")])
+    sets = stored(lines.groupBy("set").agg(first, F.count("*").alias("copies")).select("set", "copies", "s.*"), "sets")
 
     # every line against the earliest one of each of its words' lists
     words = prefix_words(sets.where("prefix is not null"))
-    first = Window.partitionBy("word").orderBy("place")
-    lists = words.select("place", "at", "map", *(F.first(c).over(first).alias(f"head_{c}") for c in ("place", "at", "map")))
-    pairs = lists.where("head_place < place").where(may_match("head_", "", percent))
-    pairs = stored(pairs.select(F.col("head_place").alias("a"), F.col("place").alias("b")).distinct(), "pairs")
+    first = Window.partitionBy("word").orderBy("id", "number", "set")  # a null id comes first
+    lists = words.select("set", "at", "map", *(F.first(c).over(first).alias(f"head_{c}") for c in ("set", "at", "map")))
+    pairs = lists.where("head_set <> set").where(may_match("head_", "", percent))
+    pairs = stored(pairs.select(F.col("head_set").alias("a"), F.col("set").alias("b")).distinct(), "pairs")
     found = verified(pairs, sets, docs, id, text, percent)
-    gone = stored(found.select(F.col("b").alias("place")).distinct(), "gone")
+    gone = stored(found.select(F.col("b").alias("set")).distinct(), "gone")
 
     # lines that are still there, against all earlier ones of their lists; both sides of the join read one shuffle
-    flagged = sets.where("prefix is not null").join(small(gone.withColumn("near", F.lit(True))), "place", "left")
+    flagged = sets.where("prefix is not null").join(small(gone.withColumn("near", F.lit(True))), "set", "left")
     words = prefix_words(flagged, F.col("near").isNull().alias("still"))
-    pairs = words.alias("x").join(words.alias("y"), F.expr("x.word = y.word and x.place < y.place and y.still") & may_match("x.", "y.", percent))
-    pairs = stored(pairs.select(F.col("x.place").alias("a"), F.col("y.place").alias("b")).distinct(), "pairs")
+    earlier = F.expr("struct(x.id, x.number, x.set) < struct(y.id, y.number, y.set)")
+    alike = F.expr("x.word = y.word and y.still and x.set <> y.set") & may_match("x.", "y.", percent)
+    pairs = words.alias("x").join(words.alias("y"), alike & earlier)
+    pairs = stored(pairs.select(F.col("x.set").alias("a"), F.col("y.set").alias("b")).distinct(), "pairs")
     found = verified(pairs, sets, docs, id, text, percent)
-    gone = gone.unionByName(found.select(F.col("b").alias("place"))).distinct().withColumn("near", F.lit(True))
+    gone = gone.unionByName(found.select(F.col("b").alias("set"))).distinct().withColumn("near", F.lit(True))
 
     # a line goes if its set does, or if it isn't the first with its set
-    state = sets.select("set", "place", "copies", F.col("id").alias("first_id"), F.col("number").alias("first_number"))
-    state = state.join(gone, "place", "left").where("near or copies > 1").drop("place", "copies")
+    state = sets.select("set", "copies", F.col("id").alias("first_id"), F.col("number").alias("first_number"))
+    state = state.join(gone, "set", "left").where("near or copies > 1").drop("copies")
     marked = lines.select("id", "key", "number", "set").join(small(stored(state, "state")), "set")
     marked = marked.where("near is not null or not (id <=> first_id and number = first_number)")
     marked = marked.groupBy("id", "key").agg(F.sort_array(F.collect_set("number")).alias("removed"))
