@@ -9,7 +9,7 @@ sets of words, made anew from the texts. Everything is DataFrame expressions.
 Rarity is counted over all words, in hash buckets, so that the table of counts has the same size for any corpus: a
 word is as rare as its bucket's count, on a scale of powers of the fourth root of two. The order needs to be the same
 everywhere, not exact. Equal lines are merged first, and sets too small to resemble another one join nothing. Then
-every line is verified against the earliest line of each of its prefix words' lists, which finds most of the lines to
+every line is verified against the earliest line of the lists of its few rarest words, which finds most of the lines to
 remove, copies with some words changed among them, in one pass over the lists. Only lines that are still there after
 that are paired with all earlier ones that share a word of the prefix.
 """
@@ -29,6 +29,8 @@ BUCKETS = 1 << 18
 #: Steps of the scale of rarity; a word's step is in the bits above its hash.
 RANKS = 128
 RANK_BITS = 7
+#: Words of a line's prefix in whose lists it is compared with the earliest line.
+HEAD_WORDS = 4
 _WHITE = r"[\x20\x09-\x0D]+"
 
 
@@ -143,8 +145,8 @@ def dedup_lines(
     first = F.min(F.struct("id", "number", "key", "size", "map", "prefix")).alias("s")
     sets = stored(lines.groupBy("set").agg(first, F.count("*").alias("copies")).select("set", "copies", "s.*"), "sets")
 
-    # every line against the earliest one of each of its words' lists
-    words = prefix_words(sets.where("prefix is not null"))
+    # every line against the earliest one of the lists of its rarest words
+    words = prefix_words(sets.where("prefix is not null").withColumn("prefix", F.slice("prefix", 1, HEAD_WORDS)))
     first = Window.partitionBy("word").orderBy("id", "number", "set")  # a null id comes first
     lists = words.select("set", "at", "map", *(F.first(c).over(first).alias(f"head_{c}") for c in ("set", "at", "map")))
     pairs = lists.where("head_set <> set").where(may_match("head_", "", percent))
