@@ -38,6 +38,8 @@ STEPS = 100
 BATCH = 256
 #: Texts that are cut to words, and words whose n-grams are hashed, at once; they bound the memory of a fit.
 TEXTS_AT_ONCE = 100
+#: Bytes of texts that are scored at once; their words' n-grams take some hundred times as much memory.
+SCORED_BYTES = 1 << 19
 WORDS_AT_ONCE = 20_000
 RATE = 4.0
 DECAY = 1e-4
@@ -252,7 +254,7 @@ def score_toxicity(
     model = model or train(docs, labels, id, text, label)
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in slices(batches, "text"):
+        for part in slices(batches, "text", SCORED_BYTES):
             score = scores(model, part.column(2))
             yield pa.RecordBatch.from_arrays(
                 [part.column(0), part.column(1), pa.array(score), pa.array((score >= 0.5).astype(np.int32))],
