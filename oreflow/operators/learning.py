@@ -13,7 +13,7 @@ from multiprocessing.pool import ThreadPool
 from pyspark.ml import Estimator, Model, PipelineModel
 from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.feature import IndexToString, OneHotEncoder, StringIndexerModel, VectorAssembler
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from oreflow.operators import tpe
@@ -60,6 +60,12 @@ def column_means(rows: DataFrame, columns: Iterable[str]) -> dict[str, float]:
     return {c: float(m or 0.0) for c, m in means.items()}
 
 
+def vector_size(column: str) -> Column:
+    """The length of a vector column, without writing out the zeros of a sparse one."""
+    parts = F.unwrap_udt(column)
+    return F.coalesce(parts["size"], F.size(parts["values"]))
+
+
 @dataclass
 class Encoding:
     """How rows become feature vectors: the numbers, then for each category column one column per value.

@@ -4,7 +4,6 @@ from __future__ import annotations
 
 import re
 
-from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -106,7 +105,7 @@ def encode_features(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = _training_table(spark, sf_dir).read()
     encoded = learning.Encoding.fit(rows).transform(rows)
     indexes = [F.col(f"{c}_index").cast("bigint").alias(f"{c}_index") for c in learning.CATEGORICAL]
-    return encoded.select("id", F.size(vector_to_array("features")).cast("bigint").alias("columns"), *indexes, "label_index")
+    return encoded.select("id", learning.vector_size("features").cast("bigint").alias("columns"), *indexes, "label_index")
 
 
 @query(TRAINING_SQL + """, held AS (SELECT CASE WHEN device_type IN (SELECT MIN(device_type) FROM training)

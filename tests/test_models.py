@@ -5,6 +5,7 @@ import random
 import numpy as np
 import pandas as pd
 import pytest
+from pyspark.ml.linalg import Vectors
 from pyspark.sql import functions as F
 
 from oreflow.operators import drift, flat, learning, metrics, models, scoring, tpe
@@ -200,6 +201,13 @@ def test_flat_models_predict_what_the_model_predicts(spark, training, folder, ma
     assert {r.id: r.predicted_label for r in again.select("id", "predicted_label").collect()} == want
 
 
+def test_vector_size_does_not_write_vectors_out(spark):
+    """Written out, one of the vectors would be 16 GB."""
+    vectors = [(Vectors.sparse(2_000_000_000, {5: 1.0}),), (Vectors.dense([1.0, 0.0, 2.0]),), (Vectors.sparse(4, {}),)]
+    rows = spark.createDataFrame(vectors, ["features"])
+    assert sorted(r[0] for r in rows.select(learning.vector_size("features")).collect()) == [3, 4, 2_000_000_000]
+
+
 @pytest.mark.parametrize("make", [lambda: learning.boosted_trees(2, 2, 0.0), lambda: learning.forest(30, 3)], ids=["boosted", "forest"])
 def test_trees_over_a_category_with_very_many_values(spark, folder, make):
     """One column per value, written out for each row, would be 40,000 columns of 44,000 rows."""
