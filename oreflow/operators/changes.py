@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from functools import reduce
-from operator import and_
+from operator import and_, or_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -78,7 +78,12 @@ def merge_matched(target: DataFrame, source: DataFrame, on: list[str], hit: str,
 def merge_unmatched(source: DataFrame, keys: DataFrame, on: list[str], null_safe: bool = False) -> DataFrame:
     """Source rows whose key is not among ``keys``, the ones that were met in the target."""
     keys = keys.select(*[F.col(k).alias(f"_{k}") for k in on]).distinct()
-    return source.join(keys, key_matches(source, keys, on, null_safe), "left_anti")
+    if null_safe:
+        return source.join(keys, key_matches(source, keys, on, null_safe), "left_anti")
+    # a NULL key matches nothing, so its rows need not be shuffled
+    whole = source.dropna(subset=on)
+    unkeyed = source.filter(reduce(or_, [F.col(k).isNull() for k in on]))
+    return whole.join(keys, key_matches(whole, keys, on, null_safe), "left_anti").unionByName(unkeyed)
 
 
 def merge_rows(target: DataFrame, source: DataFrame, on: list[str], null_safe: bool = False) -> DataFrame:

@@ -7,7 +7,8 @@ that hold touched rows. Rows become visible with the history row, so a job that
 nothing a reader can see. One writer at a time is assumed; a second one fails on the history folder.
 
 Tables written with ``cluster_by`` get one segment per value of that SQL expression (keep it coarse: a
-month, a region); others are one segment per commit.
+month, a region); others are one segment per commit. Rows are shuffled by segment only where they don't
+lie together already and their segments are not few.
 """
 
 from __future__ import annotations
@@ -40,8 +41,11 @@ HISTORY_SCHEMA = (
     "table_schema STRING, cluster_by STRING, segments ARRAY<STRING>"
 )
 SEGMENT = "_segment"
+CODEC = "zstd"
 NO_SEGMENT = "__HIVE_DEFAULT_PARTITION__"  # how a folder is named whose value is NULL or empty
 HIT = "_merge_hit"
+#: Segments up to which each task of a merge writes a file of its own for each.
+FEW = 16
 
 
 @dataclass(frozen=True)
@@ -127,15 +131,20 @@ class VersionedTable:
         rows: DataFrame,
         cluster_by: str | None = None,
         if_not_exists: bool = False,
+        gather: bool = True,
     ) -> VersionedTable:
-        """Create the table with its first rows as version 0."""
+        """Create the table with its first rows as version 0.
+
+        Without ``gather`` each task writes a file of its own for each segment it has rows of, and nothing is shuffled
+        by segment; for tables of few segments.
+        """
         table = cls(spark, path)
         if table.exists():
             if if_not_exists:
                 return table
             raise FileExistsError(f"{path} already holds a table")
         schema = T.StructType([T.StructField(f.name, f.dataType, True) for f in rows.schema.fields])
-        segments = table._write(rows, cluster_by)
+        segments = table._write(rows, cluster_by, gather)
         table._commit(0, "CREATE TABLE AS SELECT", {}, schema, cluster_by, segments)
         return table
 
@@ -158,11 +167,15 @@ class VersionedTable:
         check_fits(v.schema, rows.schema)
         return v.schema
 
-    def overwrite(self, rows: DataFrame, merge_schema: bool = False) -> Version:
-        """Replace all rows; such as don't fit the table are refused unless ``merge_schema``."""
+    def overwrite(self, rows: DataFrame, merge_schema: bool = False, gather: bool = True) -> Version:
+        """Replace all rows; such as don't fit the table are refused unless ``merge_schema``.
+
+        Without ``gather`` rows are written where they are; for rows that lie together by segment already, as the
+        table's own do.
+        """
         v = self.latest()
         schema = self._fitting(v, rows, merge_schema)
-        segments = self._write(conform(rows, schema), v.cluster_by)
+        segments = self._write(conform(rows, schema), v.cluster_by, gather)
         return self._next(v, "WRITE", {"mode": "Overwrite", "mergeSchema": str(merge_schema).lower()}, schema, segments)
 
     def delete(self, condition: Column | None = None) -> Version:
@@ -170,7 +183,9 @@ class VersionedTable:
         if condition is None:
             return self._next(v, "DELETE", {}, v.schema, [])
         touched, kept = self._split(v, lambda rows: rows.filter(condition))
-        segments = self._write(delete_where(self._rows(v, touched), condition), v.cluster_by) if touched else []
+        # what is left of a segment stays in it, so its rows lie together already
+        left = delete_where(self._rows(v, touched), condition)
+        segments = self._write(left, v.cluster_by, gather=False) if touched else []
         return self._next(v, "DELETE", {"predicate": _text(condition)}, v.schema, [*kept, *segments])
 
     def update(self, assignments: dict[str, object], condition: Column | None = None) -> Version:
@@ -179,9 +194,8 @@ class VersionedTable:
             touched, kept = v.segments, ()
         else:
             touched, kept = self._split(v, lambda rows: rows.filter(condition))
-        segments = (
-            self._write(update_where(self._rows(v, touched), assignments, condition), v.cluster_by) if touched else []
-        )
+        updated = update_where(self._rows(v, touched), assignments, condition)
+        segments = self._write(updated, v.cluster_by, self._scatters(v, assignments)) if touched else []
         parameters = {"predicate": _text(condition), "columns": ",".join(assignments)}
         return self._next(v, "UPDATE", parameters, v.schema, [*kept, *segments])
 
@@ -199,9 +213,9 @@ class VersionedTable:
         check_fits(v.schema, source.schema)
         # the source is used several times below and must be the same rows each time
         staged = scratch(self.spark, "merge-source")
-        fitted(source, self._rows(v, ())).write.parquet(staged)
+        fitted(source, self._rows(v, ())).write.option("compression", CODEC).parquet(staged)
         source = self.spark.read.schema(v.schema).parquet(staged)
-        touched = self._reachable(v, source, on)
+        touched, few = self._reachable(v, source, on)
         if touched is None:
             keys = source.select(*[F.col(k).alias(f"_{k}") for k in on]).distinct()
             touched, _ = self._split(v, lambda rows: rows.join(keys, key_matches(rows, keys, on, null_safe), "left_semi"))
@@ -209,14 +223,14 @@ class VersionedTable:
         written, changed = [], set()
         if touched:
             merged = merge_matched(self._rows(v, touched), source, on, HIT, null_safe)
-            written = self._write(merged, v.cluster_by)
+            written = self._write(merged, v.cluster_by, not few)
             marked = self.spark.read.schema(T.StructType([*v.schema.fields, T.StructField(HIT, T.BooleanType())]))
             hits = marked.parquet(*written).filter(F.col(HIT))
             changed = self._folders(hits)
             inserted = merge_unmatched(source, hits, on, null_safe)
         else:
             inserted = source
-        added = self._write(inserted, v.cluster_by)
+        added = self._write(inserted, v.cluster_by, not few)
         if v.cluster_by is None and self._rows(v, tuple(added)).isEmpty():
             added = []
         if v.cluster_by is not None:
@@ -273,37 +287,51 @@ class VersionedTable:
             raise RuntimeError(f"rows read from folders that are not segments of {self.path}")
         return touched, tuple(s for s in v.segments if s not in touched)
 
-    def _reachable(self, v: Version, source: DataFrame, on: list[str]) -> tuple[str, ...] | None:
-        """Segments that rows with a key of the source can lie in, or None if the segments don't follow from the key.
+    def _scatters(self, v: Version, assignments: dict[str, object]) -> bool:
+        """Whether an update can send rows of one segment to many: if ``cluster_by`` uses a computed new value."""
+        computed = [c for c, value in assignments.items() if isinstance(value, Column)]
+        if v.cluster_by is None or not computed:
+            return False
+        try:
+            self._rows(v, ()).drop(*computed).select(F.expr(v.cluster_by)).schema  # analysed here at the latest
+        except AnalysisException:
+            return True
+        return False
+
+    def _reachable(self, v: Version, source: DataFrame, on: list[str]) -> tuple[tuple[str, ...] | None, bool]:
+        """Segments that rows with a key of the source can lie in, or None if the segments don't follow from the key;
+        and whether the source's rows have few segments.
 
         They do if ``cluster_by`` only uses key columns: equal keys then have equal segments. (Not for fractions,
         where equal numbers can be written differently.)
         """
         kinds = {f.name: f.dataType for f in v.schema.fields}
         if v.cluster_by is None or any(isinstance(kinds[k], (T.FloatType, T.DoubleType)) for k in on):
-            return None
+            return None, False
         try:
             values = source.select(*on).select(F.expr(v.cluster_by).cast("string").alias("value")).distinct()
             values.schema  # analysed here at the latest
         except AnalysisException:
-            return None
+            return None, False
         names = self.spark.createDataFrame([(_segment(s),) for s in v.segments], "name STRING").distinct()
         name = F.when(F.coalesce("value", F.lit("")) == "", NO_SEGMENT).otherwise(F.col("value"))
-        met = {r.name for r in values.select(name.alias("name")).join(names, "name", "left_semi").distinct().collect()}
-        return tuple(s for s in v.segments if _segment(s) in met)
+        asked = values.select(name.alias("name")).distinct()
+        met = {r.name for r in asked.join(names, "name", "left_semi").collect()}
+        return tuple(s for s in v.segments if _segment(s) in met), asked.limit(FEW + 1).count() <= FEW
 
     def _file_system(self, location: str):
         path = self.spark._jvm.org.apache.hadoop.fs.Path(location)
         return path.getFileSystem(self.spark._jsc.hadoopConfiguration()), path
 
-    def _write(self, rows: DataFrame, cluster_by: str | None) -> list[str]:
+    def _write(self, rows: DataFrame, cluster_by: str | None, gather: bool = True) -> list[str]:
         folder = f"{self.path}/data/{uuid.uuid4().hex}"
         if cluster_by is None:
-            rows.write.mode("errorifexists").parquet(folder)
+            rows.write.mode("errorifexists").option("compression", CODEC).parquet(folder)
             return [folder]
-        # rebalancing gives each value few, even files and splits a value that holds much of the table
-        tagged = rows.withColumn(SEGMENT, F.expr(cluster_by).cast("string")).hint("rebalance", SEGMENT)
-        tagged.write.mode("errorifexists").partitionBy(SEGMENT).parquet(folder)
+        tagged = rows.withColumn(SEGMENT, F.expr(cluster_by).cast("string"))
+        if gather:  # rebalancing gives each value few, even files and splits a value that holds much of the table
+            tagged = tagged.hint("rebalance", SEGMENT)
+        tagged.write.mode("errorifexists").option("compression", CODEC).partitionBy(SEGMENT).parquet(folder)
         # one folder per segment; its files are not listed
         fs, path = self._file_system(folder)
         return sorted(f.getPath().toString() for f in fs.listStatus(path) if f.isDirectory())

@@ -42,7 +42,7 @@ STEPS_SQL = f"WITH {src.LINES_SQL}, {STEPS}"
 
 
 def _create(spark: SparkSession, sf_dir: str) -> VersionedTable:
-    return VersionedTable.create(spark, scratch(spark, "silver"), src.sales_lines(spark, sf_dir), BY_YEAR)
+    return VersionedTable.create(spark, scratch(spark, "silver"), src.sales_lines(spark, sf_dir), BY_YEAR, gather=False)
 
 
 def _update(table: VersionedTable) -> None:
@@ -55,22 +55,23 @@ def _delete(table: VersionedTable) -> None:
     table.delete(undated | last)
 
 
-def _merge(table: VersionedTable, lines: DataFrame) -> None:
-    table.merge(rel.keep_first(lines, LINE_KEY, TIE_BREAK), LINE_KEY)
+def _merge(table: VersionedTable) -> None:
+    """Upsert of the lines that the table began with, one per key."""
+    table.merge(rel.keep_first(table.read(version=0), LINE_KEY, TIE_BREAK), LINE_KEY)
 
 
 def _evolve(table: VersionedTable) -> None:
     priced = table.read().withColumn("UnitPrice", F.try_divide("Price", "Quantity"))
-    table.overwrite(priced, merge_schema=True)
+    table.overwrite(priced, merge_schema=True, gather=False)
 
 
 def lifecycle(spark: SparkSession, sf_dir: str, steps: int = 5) -> VersionedTable:
     """The table after its first ``steps`` commits: create, update, delete, merge, evolve."""
-    return _steps(_create(spark, sf_dir), src.sales_lines(spark, sf_dir), steps)
+    return _steps(_create(spark, sf_dir), steps)
 
 
-def _steps(table: VersionedTable, lines: DataFrame, steps: int) -> VersionedTable:
-    for step in (_update, _delete, lambda t: _merge(t, lines), _evolve)[: steps - 1]:
+def _steps(table: VersionedTable, steps: int) -> VersionedTable:
+    for step in (_update, _delete, _merge, _evolve)[: steps - 1]:
         step(table)
     return table
 
@@ -246,5 +247,5 @@ def sales_medallion(spark: SparkSession, sf_dir: str) -> DataFrame:
     products = src.silver_products(files.csv_view(spark, "product_text", products_csv))
     customers = nested.silver_customers(bronze)
     lines = nested.order_lines(bronze)
-    silver = _steps(VersionedTable.create(spark, scratch(spark, "silver"), lines, BY_YEAR), lines, 5)
+    silver = _steps(VersionedTable.create(spark, scratch(spark, "silver"), lines, BY_YEAR, gather=False), 5)
     return rel.monthly_sales(rel.gold_lines(silver.read(), rel.require_unique(customers, "CustomerID"), products))

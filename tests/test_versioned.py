@@ -5,6 +5,7 @@ import os
 import pytest
 from pyspark.sql import functions as F
 
+from oreflow.operators.changes import merge_unmatched
 from oreflow.operators.schemas import SchemaMismatch
 from oreflow.operators.versioned import VersionedTable
 
@@ -284,3 +285,50 @@ def test_wider_types():
         assert not holds(of(a), of(b)) and not holds(of(b), of(a))
     with pytest.raises(SchemaMismatch, match="s.x is string, not int"):
         united(of("struct<s: struct<x: int>>"), of("struct<s: struct<x: string>>"))
+
+
+def shuffles_by_segment(monkeypatch):
+    """Notes for every write by segment whether its rows are gathered first."""
+    seen, write = [], VersionedTable._write
+
+    def noted(self, rows, cluster_by, gather=True):
+        seen.append(gather)
+        return write(self, rows, cluster_by, gather)
+
+    monkeypatch.setattr(VersionedTable, "_write", noted)
+    return seen
+
+
+def test_rows_that_lie_together_are_not_shuffled_by_segment(clustered, spark, monkeypatch):
+    seen = shuffles_by_segment(monkeypatch)
+    clustered.delete(F.col("id") == 4)
+    clustered.update({"v": F.col("v") + 1}, F.col("id") == 5)  # does not move rows
+    clustered.update({"kind": "one"}, F.col("id") == 6)  # one new segment for each old one
+    assert seen == [False, False, False]
+    clustered.update({"kind": F.concat(F.lit("to "), F.col("id"))}, F.col("id") < 9)  # many
+    assert seen == [False, False, False, True]
+    assert {r.kind for r in clustered.read().filter("id < 9 AND id <> 4").collect()} == {f"to {k}" for k in (*range(4), *range(5, 9))}
+    before = {tuple(r) for r in clustered.read().collect()}
+    clustered.overwrite(clustered.read(), gather=False)
+    assert seen[-1] is False and {tuple(r) for r in clustered.read().collect()} == before
+
+
+def test_merge_gathers_rows_of_many_segments_only(spark, folder, monkeypatch):
+    rows = spark.range(60).select("id", F.concat(F.lit("k"), F.col("id") % 30).alias("kind"), F.lit(1.0).alias("v"))
+    table = VersionedTable.create(spark, f"{folder}/t", rows, "kind", gather=False)
+    assert len(table.latest().segments) == 30
+    seen = shuffles_by_segment(monkeypatch)
+    table.merge(rows.where("id % 30 < 5").withColumn("v", F.lit(2.0)), ["id", "kind"])
+    assert seen == [False, False]
+    table.merge(rows.withColumn("v", F.lit(3.0)).union(rows.selectExpr("id + 100", "kind", "9.0D")), ["id", "kind"])
+    assert seen == [False, False, True, True]
+    assert table.read().groupBy("v").count().orderBy("v").collect() == [(3.0, 60), (9.0, 60)]
+
+
+def test_merge_does_not_shuffle_source_rows_without_key(spark):
+    source = spark.createDataFrame([(1, 1.0), (2, 2.0), (None, 3.0), (None, 3.0)], "id INT, v DOUBLE")
+    keys = spark.createDataFrame([(1,)], "id INT")
+    got = merge_unmatched(source, keys, ["id"])
+    assert sorted(map(tuple, got.collect()), key=str) == sorted([(2, 2.0), (None, 3.0), (None, 3.0)], key=str)
+    assert "isnotnull(id" in got._jdf.queryExecution().optimizedPlan().toString()
+    assert merge_unmatched(source, keys.union(spark.sql("SELECT CAST(NULL AS INT)")), ["id"], null_safe=True).collect() == [(2, 2.0)]
