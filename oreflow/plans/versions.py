@@ -240,7 +240,7 @@ def append_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
 def sales_medallion(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The whole sales pipeline: JSON and CSV files to bronze, changed silver versions, gold, monthly totals."""
     orders_json, products_csv = scratch(spark, "orders-json"), scratch(spark, "products-csv")
-    files.land(nested.order_documents(spark, sf_dir), orders_json, "json")
+    files.land(nested.order_documents(spark, sf_dir), orders_json, "json", compression="gzip")
     files.land(src.bronze_products(spark, sf_dir), products_csv, "csv", header="true", delimiter=";")
     documents = files.read_json(spark, orders_json)
     bronze = VersionedTable.create(spark, scratch(spark, "bronze"), nested.bronze_orders(documents)).read()
