@@ -220,14 +220,34 @@ def forest(n_estimators: int = 20, max_depth: int = 5, gamma: float = 0.0) -> Fo
     return Forest(n_estimators, max_depth, gamma)
 
 
-def train(rows: DataFrame, estimator: Estimator | RidgeClassifier | BoostedTrees | Forest, spec: FeatureSpec = FeatureSpec()) -> TrainedModel:
-    """A model fitted on the rows that have a label."""
+@dataclass
+class TreeRows:
+    """Rows encoded to fit several tree models on."""
+
+    encoding: Encoding
+    binned: BinnedRows
+
+    @classmethod
+    def fit(cls, rows: DataFrame, spec: FeatureSpec = FeatureSpec()) -> TreeRows:
+        rows = rows.where(F.col(spec.label).isNotNull())
+        encoding = Encoding.fit(rows, spec)
+        return cls(encoding, encoding.binned(rows))
+
+
+def train(
+    rows: DataFrame,
+    estimator: Estimator | RidgeClassifier | BoostedTrees | Forest,
+    spec: FeatureSpec = FeatureSpec(),
+    encoded: TreeRows | None = None,
+) -> TrainedModel:
+    """A model fitted on the rows that have a label; for trees the rows may be ``encoded`` before."""
     if isinstance(estimator, RidgeClassifier):
         return TrainedModel(None, train_ridge(rows, estimator, spec))
+    if isinstance(estimator, (BoostedTrees, Forest)):
+        encoded = encoded or TreeRows.fit(rows, spec)
+        return TrainedModel(encoded.encoding, estimator.fit(encoded.binned))
     rows = rows.where(F.col(spec.label).isNotNull())
     encoding = Encoding.fit(rows, spec)
-    if isinstance(estimator, (BoostedTrees, Forest)):
-        return TrainedModel(encoding, estimator.fit(encoding.binned(rows)))
     return TrainedModel(encoding, estimator.fit(encoding.transform(rows, fitting=True)))
 
 

@@ -4,7 +4,8 @@ A category with many values is one column per value to a tree: a node asks "is i
 never written out. Rows hold their values' numbers, a pass over the rows adds up what falls on each (node, value),
 and Spark picks the best value of each node, so a fit costs rows times columns, not rows times values. Numbers are
 cut into at most ``BINS`` bins. Each level of all trees that grow together (boosting: one per class, a forest: all)
-takes one pass; only the sums of the bins and the best value of each node reach the driver.
+takes one pass; only the sums of the bins and the best value of each node reach the driver. Below the root the nodes'
+sums are known from the splits above, so bins and best values come of one job.
 """
 
 from __future__ import annotations
@@ -16,6 +17,7 @@ from dataclasses import dataclass, field
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -119,22 +121,29 @@ class BinnedRows:
         """From rows with filled numbers, the categories' numbers (their size for none) and the class's number."""
         picked = [F.col(f"`{c}`").alias(f"n{k}") for k, c in enumerate(numbers)]
         picked += [F.col(f"`{c}`").cast("int").alias(f"c{k}") for k, c in enumerate(categories)]
-        rows = indexed.select(*picked, F.col(label).cast("int").alias("y"))
+        rows = indexed.select(*picked, F.col(label).cast("int").alias("y")).persist()
+        try:
+            return cls._stored(rows, len(numbers), sizes, classes)
+        finally:
+            rows.unpersist()
+
+    @classmethod
+    def _stored(cls, rows: DataFrame, numbers: int, sizes: list[int], classes: int) -> BinnedRows:
         count = rows.count()
         if not count:
             raise ValueError("no rows to fit trees on")
-        thresholds = cuts(rows, len(numbers), count)
+        thresholds = cuts(rows, numbers, count)
         # rows of one value lie together, so that a batch adds up its sums; the number makes a row's weights its own
         widest = sorted(range(len(sizes)), key=lambda k: -sizes[k])
-        order = [f"c{k}" for k in widest] + [f"n{k}" for k in range(len(numbers))] + ["y"]
+        order = [f"c{k}" for k in widest] + [f"n{k}" for k in range(numbers)] + ["y"]
         binned = [F.lit(0) if not len(t) else sum_of(F.col(f"n{k}"), t) for k, t in enumerate(thresholds)]
-        path = scratch(indexed.sparkSession, "binned")
+        path = scratch(rows.sparkSession, "binned")
         rows.sortWithinPartitions(*order).select(
             *[b.cast("tinyint").alias(f"b{k}") for k, b in enumerate(binned)], *[f"c{k}" for k in range(len(sizes))], "y",
             F.monotonically_increasing_id().alias("place"),
         ).write.parquet(path)
-        schema = "".join(f"b{k} TINYINT, " for k in range(len(numbers))) + "".join(f"c{k} INT, " for k in range(len(sizes)))
-        return cls(indexed.sparkSession.read.schema(schema + "y INT, place BIGINT").parquet(path), thresholds, sizes, classes)
+        schema = "".join(f"b{k} TINYINT, " for k in range(numbers)) + "".join(f"c{k} INT, " for k in range(len(sizes)))
+        return cls(rows.sparkSession.read.schema(schema + "y INT, place BIGINT").parquet(path), thresholds, sizes, classes)
 
     @property
     def width(self) -> int:
@@ -233,6 +242,7 @@ def grow(data: BinnedRows, groups: int, depth: int, gamma: float, stats: int, ta
     starts = np.cumsum([numbers, *data.sizes])[:-1]
     grown = [Tree() for _ in range(groups)]
     active = [[0] for _ in range(groups)]
+    known: list[list[np.ndarray]] = []  # sums of the active nodes below the root
     for level in range(depth + 1):
         drawn: dict[tuple[int, int], np.ndarray] = {}
         if share is not None and level < depth:
@@ -245,16 +255,27 @@ def grow(data: BinnedRows, groups: int, depth: int, gamma: float, stats: int, ta
         if level == depth or not any(active):
             break
         sums = level_sums(data, grown, active, stats, targets, drawn, starts)
-        try:
-            bins = np.zeros((groups, max(map(len, active)), max(numbers, 1), BINS, stats))
-            for r in sums.where("v < 0").toArrow().to_batches():
-                g, slot, f, b = (r.column(c).to_numpy() for c in ("g", "slot", "f", "b"))
-                bins[g, slot, f, b] = np.stack([r.column(f"s{k}").to_numpy() for k in range(stats)], axis=1)
-            totals = bins[:, :, 0].sum(axis=2)
-            best = best_values(sums, totals, stats, impurity) if categories else {}
-        finally:
-            sums.unpersist()
+        if level and categories:
+            totals = np.zeros((groups, max(map(len, active)), stats))
+            for g, own in enumerate(known):
+                totals[g, : len(own)] = np.reshape(own, (len(own), stats))
+            found_rows = with_best_values(sums, totals, stats, impurity).toArrow()
+            of_bins = pc.less(found_rows["v"], 0)
+            bins = bin_sums(found_rows.filter(of_bins), totals.shape[:2], numbers, stats)
+            best = best_by_node(found_rows.filter(pc.invert(of_bins)), totals.shape[1], stats)
+        else:
+            sums.persist()
+            try:
+                bins = bin_sums(sums.where("v < 0").toArrow(), (groups, max(map(len, active))), numbers, stats)
+                totals = bins[:, :, 0].sum(axis=2)
+                best = {}
+                if categories:
+                    found_rows = with_best_values(sums.where("v >= 0"), totals, stats, impurity).toArrow()
+                    best = best_by_node(found_rows, totals.shape[1], stats)
+            finally:
+                sums.unpersist()
         following: list[list[int]] = [[] for _ in range(groups)]
+        known = [[] for _ in range(groups)]
         for g, nodes in enumerate(active):
             tree = grown[g]
             for slot, node in enumerate(nodes):
@@ -282,6 +303,7 @@ def grow(data: BinnedRows, groups: int, depth: int, gamma: float, stats: int, ta
                 for child, s in zip((tree.left[node], tree.right[node]), sides):
                     if impurity(s)[1] > 2.0**-52:
                         following[g].append(child)
+                        known[g].append(s)
         active = following
     return grown
 
@@ -356,17 +378,32 @@ def level_sums(data: BinnedRows, grown: list[Tree], active: list[list[int]], sta
     ddl = "g int, slot int, f int, b int, v int, " + ", ".join(f"s{k} double" for k in range(stats))
     found = data.rows.mapInArrow(rows, ddl)
     sums = found.groupBy("g", "slot", "f", "b", "v").agg(*[F.sum(f"s{k}").alias(f"s{k}") for k in range(stats)])
-    return sums.coalesce(2 * data.rows.sparkSession.sparkContext.defaultParallelism).persist()
+    return sums.coalesce(2 * data.rows.sparkSession.sparkContext.defaultParallelism)
 
 
-def best_values(sums: DataFrame, totals: np.ndarray, stats: int, impurity) -> dict[tuple[int, int], tuple]:
-    """For each group and slot the gain, column, value and sums of the category value that splits its node best."""
+def bin_sums(rows: pa.Table, nodes: tuple[int, int], numbers: int, stats: int) -> np.ndarray:
+    """The sums of the bins by group, slot, column and bin."""
+    bins = np.zeros((*nodes, max(numbers, 1), BINS, stats))
+    for r in rows.to_batches():
+        g, slot, f, b = (r.column(c).to_numpy() for c in ("g", "slot", "f", "b"))
+        bins[g, slot, f, b] = np.stack([r.column(f"s{k}").to_numpy() for k in range(stats)], axis=1)
+    return bins
+
+
+def with_best_values(sums: DataFrame, totals: np.ndarray, stats: int, impurity) -> DataFrame:
+    """The bins, and of each task's category values the one with most gain for each node; ``gain`` is 0 for bins."""
     slots = totals.shape[1]
     schema = sums.schema
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         kept: pa.Table | None = None
         for batch in batches:
+            of_bins = pc.less(batch.column("v"), 0)
+            bins, batch = batch.filter(of_bins), batch.filter(pc.invert(of_bins))
+            if bins.num_rows:
+                yield pa.RecordBatch.from_arrays([*bins.columns, pa.array(np.zeros(bins.num_rows))], names=[*names, "gain"])
+            if not batch.num_rows:
+                continue
             g, slot = batch.column("g").to_numpy(), batch.column("slot").to_numpy()
             left = np.stack([batch.column(f"s{k}").to_numpy() for k in range(stats)], axis=1)
             gain = gains(left, totals[g, slot], impurity)
@@ -375,8 +412,13 @@ def best_values(sums: DataFrame, totals: np.ndarray, stats: int, impurity) -> di
         if kept is not None:
             yield from kept.to_batches()
 
+    names = [f.name for f in schema.fields]
     ddl = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in schema.fields) + ", gain double"
-    parts = sums.where("v >= 0").mapInArrow(rows, ddl).toArrow()  # a row for each task and node
+    return sums.mapInArrow(rows, ddl)
+
+
+def best_by_node(parts: pa.Table, slots: int, stats: int) -> dict[tuple[int, int], tuple]:
+    """For each group and slot the gain, column, value and sums of the best of the tasks' category values."""
     out = {}
     for r in first_best(parts, slots).to_pylist():
         out[r["g"], r["slot"]] = (r["gain"], r["f"], r["v"], np.array([r[f"s{k}"] for k in range(stats)]))

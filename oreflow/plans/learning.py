@@ -249,9 +249,9 @@ def retrain_loop(spark: SparkSession, sf_dir: str) -> DataFrame:
     return versions.rows().select("model", "version", "stage", F.lit(check.need_retrain).alias("needed_retrain"))
 
 
-def _fitted(spark: SparkSession, rows: DataFrame, estimator) -> learning.TrainedModel:
+def _fitted(spark: SparkSession, rows: DataFrame, estimator, encoded: learning.TreeRows) -> learning.TrainedModel:
     """A fitted model, and its flat form as the SQL function over all columns of the rows."""
-    model = learning.train(rows, estimator)
+    model = learning.train(rows, estimator, encoded=encoded)
     scoring.register_model(spark, FUNCTION, flat.flatten(spark, model).predict, rows.columns)
     return model
 
@@ -267,8 +267,9 @@ def score_fitted(spark: SparkSession, sf_dir: str) -> DataFrame:
         "forest": learning.forest(n_estimators=10),
         "ridge": RidgeClassifier(),
     }
+    encoded = learning.TreeRows.fit(rows)
     for kind, estimator in kinds.items():
-        model = _fitted(spark, rows, estimator)
+        model = _fitted(spark, rows, estimator, encoded)
         rows.createOrReplaceTempView("rows_to_score")
         scored = spark.sql(f"SELECT id, {learning.LABEL} AS label, {FUNCTION}(*) AS prediction FROM rows_to_score")
         own = model.transform(rows).select("id", "predicted_label")

@@ -334,3 +334,18 @@ def test_schema_of_one_file_needs_a_file(spark, folder):
     (spark.range(0).write.mode("overwrite").json(f"{folder}/empty"))
     with pytest.raises(FileNotFoundError):
         files.schema_of_one_file(spark, f"{folder}/empty")
+
+
+def test_levels_below_the_root_take_one_job_and_encoded_rows_are_taken(training, monkeypatch):
+    encoded = learning.TreeRows.fit(training)
+    fetched, fetch = [], type(training).toArrow
+
+    def noted(rows):
+        fetched.append(rows.columns)
+        return fetch(rows)
+
+    monkeypatch.setattr(type(training), "toArrow", noted)
+    monkeypatch.setattr(learning.Encoding, "fit", None)  # not called again
+    model = learning.train(training, learning.boosted_trees(n_estimators=1, max_depth=2, gamma=0.0), encoded=encoded)
+    assert max(len(t.test) for g in model.model.groups for t in g) > 3  # there is a second level
+    assert len(fetched) == 3  # bins and best values of the root, then both at once
