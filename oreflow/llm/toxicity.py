@@ -36,11 +36,13 @@ PRIOR_TEXTS = 20
 START_BIAS = -3.0
 STEPS = 100
 BATCH = 256
-#: Texts that are cut to words, and words whose n-grams are hashed, at once; they bound the memory of a fit.
+#: Texts that are cut to words, words whose n-grams are looked at, and table rows that are moved, at once; they bound
+#: the memory of a fit, which is the driver's.
 TEXTS_AT_ONCE = 100
+ROWS_AT_ONCE = 1 << 14
 #: Bytes of texts that are scored at once; their words' n-grams take some hundred times as much memory.
 SCORED_BYTES = 1 << 19
-WORDS_AT_ONCE = 20_000
+WORDS_AT_ONCE = 2_000
 RATE = 4.0
 DECAY = 1e-4
 HELD_OUT = 5
@@ -124,55 +126,100 @@ def scores(model: Model, texts: pa.Array) -> np.ndarray:
     return 1 / (1 + np.exp(-np.clip(logit + model.bias, -30, 30)))
 
 
-def vocabulary(texts: list[str]) -> tuple[list[bytes], np.ndarray, np.ndarray]:
-    """The different words of some texts, which of them each word is, and where each text's words begin."""
-    known: dict[int, int] = {}
-    listed: list[bytes] = []
-    which, count = [np.zeros(0, np.int64)], [np.zeros(1, np.int64)]
+@dataclass
+class Vocabulary:
+    """The different words of some texts, numbered: their table rows, and in how many texts of each class they are.
+
+    Words and n-grams are only held as numbers, a block of words at a time is cut to n-grams.
+    """
+
+    which: np.ndarray  #: number of each word of the texts
+    first: np.ndarray  #: where each text's words begin
+    rows: np.ndarray  #: table rows of the n-grams of all different words
+    begin: np.ndarray  #: where each word's rows begin
+    texts_of: tuple[np.ndarray, np.ndarray]  #: texts of class 0 and 1 that hold each different word
+
+
+def vocabulary(texts: pa.Array | pa.ChunkedArray, y: np.ndarray) -> Vocabulary:
+    seen, number = np.zeros(0, np.uint64), np.zeros(0, np.int32)  # hashes of words, ascending, and the words' numbers
+    which, count = [np.zeros(0, np.int32)], [np.zeros(1, np.int64)]
+    parts, sizes, texts_of = [], [np.zeros(1, np.int64)], [np.zeros(0, np.int64)] * 2
     for k in range(0, len(texts), TEXTS_AT_ONCE):
-        words = Words(pa.array(texts[k : k + TEXTS_AT_ONCE], pa.large_string()), lower=True)
+        words = Words(texts.slice(k, TEXTS_AT_ONCE), lower=True)
         hashes, at, own = np.unique(words.hashes(), return_index=True, return_inverse=True)
-        number = np.array([known.setdefault(h, len(known)) for h in hashes.tolist()], np.int64)
-        new = np.flatnonzero(number >= len(listed))
-        listed += [words.data[words.start[i] : words.end[i]].tobytes() for i in at[new[np.argsort(number[new])]]]
-        which.append(number[own] if len(own) else own)
         count.append(words.counts())
-    return listed, np.concatenate(which).astype(np.int64), np.cumsum(np.concatenate(count))
-
-
-def fit(texts: list[str], labels: list[int], seed: int = 0) -> Model:
+        place = np.searchsorted(seen, hashes)
+        new = np.ones(len(hashes), bool)
+        new[place < len(seen)] = seen[place[place < len(seen)]] != hashes[place < len(seen)]
+        for n in range(0, new.sum(), WORDS_AT_ONCE):
+            found, begin = word_rows(words, at[new][n : n + WORDS_AT_ONCE])
+            parts.append(found.astype(np.int32))
+            sizes.append(np.diff(begin))
+        number = np.insert(number, place[new], np.arange(len(seen), len(seen) + new.sum(), dtype=np.int32))
+        seen = np.insert(seen, place[new], hashes[new])
+        own = number[np.searchsorted(seen, hashes)][own].astype(np.int32)
+        which.append(own)
+        pair = np.unique(np.repeat(np.arange(len(count[-1])), count[-1]) * len(seen) + own)
+        label = y[k : k + TEXTS_AT_ONCE][pair // max(len(seen), 1)]
+        for c in (0, 1):
+            more = np.bincount(pair[label == c] % max(len(seen), 1), minlength=len(seen))
+            more[: len(texts_of[c])] += texts_of[c]
+            texts_of[c] = more
+    begin = np.cumsum(np.concatenate(sizes))
+    rows = np.empty(begin[-1], np.int32)
+    end = len(rows)
+    while parts:  # each part goes as soon as it is copied
+        part = parts.pop()
+        rows[end - len(part) : end] = part
+        end -= len(part)
+    return Vocabulary(np.concatenate(which), np.cumsum(np.concatenate(count)), rows, begin, tuple(texts_of))
+
+
+def grams_of(words: np.ndarray, begin: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Places of the n-grams of some words, the word (0, 1, ...) of each, and the words' numbers of n-grams."""
+    count = begin[words + 1] - begin[words]
+    place = np.arange(count.sum()) + np.repeat(begin[words] - (np.cumsum(count) - count), count)
+    return place, np.repeat(np.arange(len(words)), count), count
+
+
+def blocks(n: int, size: int) -> Iterator[slice]:
+    return (slice(k, min(k + size, n)) for k in range(0, n, size))
+
+
+def descend(p: np.ndarray, grad: np.ndarray, momentum: np.ndarray) -> None:
+    momentum += 0.1 * (grad - momentum)
+    p -= RATE * (momentum + DECAY * p)
+
+
+def fit(texts: list[str] | pa.Array | pa.ChunkedArray, labels: list[int], seed: int = 0) -> Model:
     """Fit embeddings and softmax on texts with labels 0 and 1."""
     rng = np.random.default_rng(seed)
     y = np.array(labels, np.float64)
-    listed, which, first = vocabulary(texts)
-    if not listed:
+    found = vocabulary(pa.array(texts, pa.large_string()) if isinstance(texts, list) else texts, y)
+    which, first, rows, begin = found.which, found.first, found.rows, found.begin
+    if len(begin) < 2:
         return Model(np.zeros(ROWS, np.float32), 0.0)
     # only n-grams of enough texts are learnt; the others stay zero, all in one row of their own
-    pair = np.unique(np.repeat(np.arange(len(y)), np.diff(first)) * len(listed) + which)
-    by_word = [np.bincount(pair[y[pair // len(listed)] == k] % len(listed), minlength=len(listed)) for k in (0, 1)]
     texts_of = [np.zeros(ROWS), np.zeros(ROWS)]
-    parts, sizes = [], [np.zeros(1, np.int64)]
-    for k in range(0, len(listed), WORDS_AT_ONCE):
-        own = Words(pa.array(listed[k : k + WORDS_AT_ONCE], pa.large_binary()))
-        found, begin = word_rows(own, np.arange(len(own.start)))
-        parts.append(found.astype(np.int32))
-        sizes.append(np.diff(begin))
-        for n, total in zip(by_word, texts_of):
-            total += np.bincount(found, np.repeat(n[k : k + WORDS_AT_ONCE], sizes[-1]), ROWS)
-    rows, begin = np.concatenate(parts), np.cumsum(np.concatenate(sizes))
-    del parts
+    for at in blocks(len(begin) - 1, WORDS_AT_ONCE):
+        own = rows[begin[at.start] : begin[at.stop]]
+        for n, total in zip(found.texts_of, texts_of):
+            total += np.bincount(own, np.repeat(n[at], np.diff(begin[at.start : at.stop + 1])), ROWS)
     known = np.flatnonzero(texts_of[0] + texts_of[1] >= LEAST_TEXTS)
     compact = np.full(ROWS, len(known), np.int32)
     compact[known] = np.arange(len(known), dtype=np.int32)
-    rows = compact[rows]
+    for at in blocks(len(rows), ROWS):
+        rows[at] = compact[rows[at]]
     # first vectors: along the softmax by the n-gram's log odds, less sure the fewer texts have it
     seen = texts_of[0][known], texts_of[1][known]
     odds = np.log((seen[1] + 1) / (y.sum() + 2)) - np.log((seen[0] + 1) / (len(y) - y.sum() + 2))
     odds *= (seen[0] + seen[1]) / (seen[0] + seen[1] + PRIOR_TEXTS)
     softmax = rng.uniform(-1, 1, SIZE)
     softmax /= np.sqrt(softmax @ softmax)
-    table = rng.uniform(-1, 1, (len(known) + 1, SIZE)) / 100
-    table[:-1] += np.outer(odds, softmax)
+    table = rng.uniform(-1, 1, (len(known) + 1, SIZE))
+    table /= 100
+    for at in blocks(len(known), ROWS_AT_ONCE):
+        table[at] += np.outer(odds[at], softmax)
     table[-1] = 0
     bias = np.full(1, START_BIAS)
     share = np.where(y == 1, 0.5 / max(y.sum(), 1), 0.5 / max((1 - y).sum(), 1)) * len(y)
@@ -184,11 +231,11 @@ def fit(texts: list[str], labels: list[int], seed: int = 0) -> Model:
         own = np.concatenate([which[first[k] : first[k + 1]] for k in batch])
         start, size, of = chunks(np.concatenate([[0], np.cumsum(np.diff(first)[batch])]))
         used, local = np.unique(own, return_inverse=True)
-        count = np.diff(begin)[used]
-        gram = rows[np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count) + np.repeat(begin[used], count)]
-        gram_of = np.repeat(np.arange(len(used)), count)
         value = table @ softmax
-        word = np.bincount(gram_of, value[gram], len(used)) / count
+        word = np.empty(len(used))
+        for at in blocks(len(used), WORDS_AT_ONCE):
+            place, gram_of, count = grams_of(used[at], begin)
+            word[at] = np.bincount(gram_of, value[rows[place]], len(count)) / count
         logit = CHUNK * chunk_sums(word[local], start, size) / size + bias[0]
         # each text's gradient goes to its chunks by their scores
         text_of = np.repeat(np.arange(len(batch)), np.diff(of))
@@ -202,14 +249,18 @@ def fit(texts: list[str], labels: list[int], seed: int = 0) -> Model:
         for k in range(CHUNK):
             inside = size > k
             to_place += np.bincount(start[inside] + k, (CHUNK * to_chunk / size)[inside], len(local))
-        to_word = np.bincount(local, to_place, len(used)) / count
-        to_row = np.bincount(gram, to_word[gram_of], len(table))
+        to_word = np.bincount(local, to_place, len(used))
+        to_row = np.zeros(len(table))
+        for at in blocks(len(used), WORDS_AT_ONCE):
+            place, gram_of, count = grams_of(used[at], begin)
+            np.add.at(to_row, rows[place], (to_word[at] / count)[gram_of])
         to_row[-1] = 0
-        grads = [np.outer(to_row, softmax), table.T @ to_row, np.array([error.sum()])]
+        grads = [table.T @ to_row, np.array([error.sum()])]
         # plain gradient steps: n-grams that agree in many texts outrun those of a few
-        for p, g, m in zip((table, softmax, bias), grads, state):
-            m += 0.1 * (g - m)
-            p -= RATE * (m + DECAY * p)
+        for at in blocks(len(table), ROWS_AT_ONCE):
+            descend(table[at], np.outer(to_row[at], softmax), state[0][at])
+        for p, g, m in zip((softmax, bias), grads, state[1:]):
+            descend(p, g, m)
     value = np.zeros(ROWS, np.float32)
     value[known] = (table @ softmax)[:-1]
     return Model(value, float(bias[0]))
@@ -236,8 +287,8 @@ def train(
     per_class: int = PER_CLASS,
 ) -> Model:
     """A model from the labelled rows that are not held out; without any, one that scores everything one half."""
-    sample = training_sample(docs, labels, id, text, label, per_class).toPandas()
-    return fit(sample["text"].tolist(), sample["label"].tolist())
+    sample = training_sample(docs, labels, id, text, label, per_class).toArrow()
+    return fit(sample["text"], sample["label"].to_pylist())
 
 
 def score_toxicity(

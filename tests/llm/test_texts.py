@@ -4,6 +4,7 @@ import gzip
 import hashlib
 import random
 import re
+import tracemalloc
 import zlib
 from collections import Counter
 
@@ -131,6 +132,16 @@ def test_toxicity_model():
     assert score[120] == score[121] < 0.5 < score[122]  # unseen forms share n-grams
 
 
+def test_toxicity_fit_takes_little_memory():
+    """The driver fits the model: no array but the n-grams of all words, the table and its momentum is large."""
+    texts = [" ".join(f"wordy{(k * 400 + j) * 7919}s" for j in range(400)) for k in range(200)]
+    tracemalloc.start()
+    model = toxicity.fit(texts, [k % 2 for k in range(200)])
+    _, peak = tracemalloc.get_traced_memory()
+    tracemalloc.stop()
+    assert model.rows.any() and peak < 150e6
+
+
 def test_toxicity_wherever_a_phrase_begins():
     """A neutral word in front changes nothing: every run of two words is scored."""
     rows = toxicity.Words(pa.array(["zwo grum ba"]))
