@@ -14,7 +14,8 @@ Entries that meet give candidates, verified by exact set sizes. Entries are not
 list, which may hold a third of all sets: first every set of a list is verified against the list's first, then, in
 lists whose sets are still in several components, against the set that meets most others in all its lists, as the
 source of many copies does. Only sets of one list that are in different components after that, and that were not
-left out, are compared with each other, by a small map of their shingles' parity inside the join; so no link between components is lost, and no component takes the square
+left out, are compared with each other, by maps of their shingles' parity inside the join, the longer the larger the
+sets are; so no link between components is lost, and no component takes the square
 of its size.
 """
 
@@ -39,8 +40,11 @@ PERCENT = 80
 PARITY_BITS = 1024
 LARGE = 512
 LARGE_BITS = 8192
-#: 64-bit numbers that the map is folded to where it goes along with index entries.
+#: 64-bit numbers that the map is folded to where it goes along with index entries: all sets' to so many, and once more,
+#: less far, from WIDE_FROM shingles on. Maps as short as the first of these say nothing about sets as large.
 FOLD = 4
+WIDE, WIDE_FROM = 16, 256
+WIDEST, WIDEST_FROM = 64, 2048
 #: Segments that a band has beyond what the pigeonhole needs, for each of so many and two more: each lets a set leave
 #: out one more of its longest lists.
 SPARE_ONE_IN = 8
@@ -77,15 +81,35 @@ def parity(grams: np.ndarray) -> bytes:
     return np.packbits((np.bincount(at, minlength=bits) & 1).astype(bool)).tobytes()
 
 
-def fold(map: bytes) -> np.ndarray:
-    """A parity map folded to 256 bits, small enough to go along with every index entry of a set."""
-    return np.bitwise_xor.reduce(np.frombuffer(map, np.int64).reshape(-1, FOLD), axis=0)
+def fold(map: bytes, size: int) -> np.ndarray:
+    """A parity map folded to so many 64-bit numbers, few enough to go along with every index entry of a set."""
+    return np.bitwise_xor.reduce(np.frombuffer(map, np.int64).reshape(-1, size), axis=0)
+
+
+def folds(where: DataFrame) -> DataFrame:
+    """(set, fold, wide): the maps of each set that go along with its index entries; small sets have no wide one."""
+
+    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            size, maps = batch.column(1).to_pylist(), batch.column(2).to_pylist()
+            short = [fold(m, FOLD) for m in maps]
+            wide = [fold(m, WIDEST if n >= WIDEST_FROM else WIDE) if n >= WIDE_FROM else None for n, m in zip(size, maps)]
+            kind = pa.list_(pa.int64())
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(short, kind), pa.array(wide, kind)], names=["set", "fold", "wide"])
+
+    return where.select("set", "size", "parity").mapInArrow(rows, "set long, fold array<long>, wide array<long>")
 
 
 def folds_match(x: str, y: str, percent: int) -> Column:
     """Whether the folded parity maps of two rows with a size allow that their sets are similar."""
     bits = " + ".join(f"bit_count({x}.fold[{k}] ^ {y}.fold[{k}])" for k in range(FOLD))
-    return F.expr(f"{100 + percent} * ({bits}) <= {100 - percent} * ({x}.size + {y}.size)")
+    differ = lambda a, b: f"aggregate(zip_with({a}, {b}, (p, q) -> bit_count(p ^ q)), 0, (n, k) -> n + k)"
+    # of a wide map and a wider one, this one is folded to the other's length
+    less = lambda c: f"transform(sequence(0, {WIDE - 1}), i -> " + " ^ ".join(f"{c}[i + {k}]" for k in range(0, WIDEST, WIDE)) + ")"
+    a, b = f"{x}.wide", f"{y}.wide"
+    wide = f"case when size({a}) < size({b}) then {differ(a, less(b))} when size({a}) > size({b}) then {differ(less(a), b)} else {differ(a, b)} end"
+    bound = f"{100 - percent} * ({x}.size + {y}.size)"
+    return F.expr(f"{100 + percent} * ({bits}) <= {bound} and ({a} is null or {b} is null or {100 + percent} * ({wide}) <= {bound})")
 
 
 def folded(maps: pa.Array, size: int) -> np.ndarray:
@@ -152,23 +176,22 @@ def text_key(text: str) -> Column:
 
 
 def memberships(docs: DataFrame, id: str, text: str, width: int, percent: int) -> DataFrame:
-    """(id, set, size, spare, parity, fold, text_key) per row; no set for documents without words."""
+    """(id, set, size, spare, parity, text_key) per row; no set for documents without words."""
     kind = docs.schema[id].dataType.simpleString()
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in slices(batches, text):
-            keys, sizes, spares, maps, folds = [], [], [], [], []
+            keys, sizes, spares, maps = [], [], [], []
             for grams in shingle_sets(part.column(1), width):
                 keys.append(set_key(grams) if len(grams) else None)
                 sizes.append(len(grams))
                 spares.append(spare(grams, percent) if len(grams) else 0)
                 maps.append(parity(grams))
-                folds.append(fold(maps[-1]))
             columns = [part.column(0), pa.array(keys, pa.int64()), pa.array(sizes, pa.int64())]
-            columns += [pa.array(spares, pa.int64()), pa.array(maps, pa.binary()), pa.array(folds, pa.list_(pa.int64())), part.column(2)]
-            yield pa.RecordBatch.from_arrays(columns, names=[id, "set", "size", "spare", "parity", "fold", "text_key"])
+            columns += [pa.array(spares, pa.int64()), pa.array(maps, pa.binary()), part.column(2)]
+            yield pa.RecordBatch.from_arrays(columns, names=[id, "set", "size", "spare", "parity", "text_key"])
 
-    schema = f"`{id}` {kind}, set long, size long, spare long, parity binary, fold array<long>, text_key long"
+    schema = f"`{id}` {kind}, set long, size long, spare long, parity binary, text_key long"
     return docs.select(F.col(id), F.col(text), text_key(text).alias("text_key")).mapInArrow(rows, schema)
 
 
@@ -204,7 +227,7 @@ def indexed(docs: DataFrame, text: str, width: int, percent: int) -> DataFrame:
 
 
 def looked_up(met: DataFrame, where: DataFrame) -> DataFrame:
-    """(entry, set, size, component, fold, least) that each set looks up, of lists that hold others too: the longest are left out.
+    """(entry, set, size, component, fold, wide, least) that each set looks up, of lists that hold others too: the longest are left out.
 
     A set that has segments to spare leaves out one less than it could, and so shares ``least`` 2 of the entries it
     looks up with any similar set; the others share 1.
@@ -212,10 +235,10 @@ def looked_up(met: DataFrame, where: DataFrame) -> DataFrame:
     length = met.groupBy("entry").agg(F.count("*").alias("length"))
     longest = Window.partitionBy("set").orderBy(F.desc("length"), "entry")  # of the lists of one set
     spared = met.where(F.col("kind") == SPARED).join(length, "entry").withColumn("rank", F.row_number().over(longest))
-    own = where.select("set", "spare", F.when(F.col("spare") > 0, 2).otherwise(1).alias("least"))
+    own = where.select("set", "spare", F.when(F.col("spare") > 0, 2).otherwise(1).alias("least")).join(folds(where), "set")
     spared = spared.join(own, "set").where("rank > spare - 1")
     others = met.where(F.col("kind").isin(ASKED, EMPTY_ASKED)).join(own, "set")
-    columns = ["entry", "set", "size", "component", "fold", "least"]
+    columns = ["entry", "set", "size", "component", "fold", "wide", "least"]
     return spared.select(columns).unionByName(others.select(columns))
 
 
@@ -303,7 +326,7 @@ def near_duplicates(
     """
     members = stored(memberships(docs, id, text, width, percent), "members")
     where = members.where("set is not null").groupBy("set").agg(
-        F.min(id).alias("doc"), F.first("size").alias("size"), F.first("spare").alias("spare"), F.first("parity").alias("parity"), F.first("fold").alias("fold"),
+        F.min(id).alias("doc"), F.first("size").alias("size"), F.first("spare").alias("spare"), F.first("parity").alias("parity"),
         F.min_by("text_key", F.struct(F.col(id).isNull(), F.col(id), "text_key")).alias("text_key"),  # of the smallest id
     )
     where = stored(where, "sets")
@@ -327,12 +350,12 @@ def near_duplicates(
     hubs = hubs.join(heads.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")), ["a", "b"], "left_anti")
     links = links.unionByName(stored(similar(stored(hubs, "pairs"), docs, where, id, text, width, percent), "links"))
     parts = stored(components(links), "components").withColumnRenamed("node", "set")
-    every = apart(lists.select("entry", *row), parts).join(where.select("set", "fold"), "set")
-    every = stored(every, "lists")
+    every = stored(apart(lists.select("entry", *row), parts), "lists")
     discard(lists)
     asked = looked_up(every, where)
     later = "x.entry = y.entry and x.component <> y.component and struct(x.size, x.set) < struct(y.size, y.set)"
-    rest = asked.alias("x").join(every.alias("y"), F.expr(later) & _alike(F.col("x.size"), F.col("y.size"), percent) & folds_match("x", "y", percent))
+    mapped = every.join(folds(where), "set")
+    rest = asked.alias("x").join(mapped.alias("y"), F.expr(later) & _alike(F.col("x.size"), F.col("y.size"), percent) & folds_match("x", "y", percent))
     rest = rest.groupBy(F.col("x.set").alias("a"), F.col("y.set").alias("b"), "x.least").agg(F.count("*").alias("shared"))
     rest = rest.where("shared >= least").select("a", "b")
     rest = stored(rest, "pairs")

@@ -6,6 +6,7 @@ from collections import Counter
 import numpy as np
 import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 
 import corpus_pipeline
 from oreflow.llm import near
@@ -110,6 +111,26 @@ def test_parity_never_excludes_similar_sets():
     assert (0 < bits[:3]).all() and (bits <= [20, 20, 10, 0]).all()
 
 
+def test_maps_in_the_join_of_lists(spark):
+    """Those that go along with index entries keep all similar pairs, and few of sets that only share passages."""
+    rng = np.random.default_rng(4)
+    rows, alike = [], []
+    for n in (40, 210, 250, 300, 420, 600, 1500, 1900, 2040, 2500, 5000):
+        x = np.unique(rng.integers(0, 1 << 63, n).astype(np.uint64))
+        grow = rng.integers(0, 1 << 63, 2 * n).astype(np.uint64)
+        for part, more, similar in ((n // 10, n // 10, True), (0, n // 5, True), (n // 3, n // 3, False), (9 * n // 10, n, False)):
+            rows.append((len(alike), [(len(s), near.parity(s)) for s in (x, np.unique(np.concatenate([x[part:], grow[:more]])))]))
+            alike.append(similar)
+    sets = [(2 * k + i, size, bytearray(map)) for k, pair in rows for i, (size, map) in enumerate(pair)]
+    sets = spark.createDataFrame(sets, "set long, size long, parity binary")
+    sized = near.folds(sets).join(sets.select("set", "size"), "set")
+    pairs = sized.alias("x").join(sized.alias("y"), F.expr("x.set + 1 = y.set and x.set % 2 = 0"))
+    for sides in (("x", "y"), ("y", "x")):  # a longer map on either side
+        found = {r.set // 2 for r in pairs.where(near.folds_match(*sides, 80)).select("x.set").collect()}
+        assert found >= {k for k, same in enumerate(alike) if same}
+        assert not [k for k in found if not alike[k] and rows[k][1][0][0] >= near.WIDE_FROM]
+
+
 def test_components_of_chains_and_loops(spark):
     links = [(k, k + 1) for k in range(60)] + [(100, 101), (101, 102), (102, 100), (7, 7), (None, 3)]
     got = {r.node: r.component for r in components(spark.createDataFrame(links, "a BIGINT, b BIGINT")).collect()}
