@@ -30,6 +30,8 @@ BUCKETS = 1 << 20
 #: Steps of the scale of rarity; a word's step is in the bits above its hash.
 RANKS = 128
 RANK_BITS = 7
+#: Codec of the large tables that are stored on the way, lists of prefix words above all.
+CODEC = "zstd"
 _WHITE = r"[\x20\x09-\x0D]+"
 
 
@@ -70,6 +72,13 @@ def tokens(line: Column, steps: Column, buckets: int) -> Column:
     return F.sort_array(F.array_distinct(F.transform(word_list(line), token)))
 
 
+def without_prefix(table: DataFrame, *columns: str) -> DataFrame:
+    """What is still needed of a stored table, stored; the table, most of which is prefixes and maps, is deleted."""
+    less = stored(table.select(*columns), "less", CODEC)
+    discard(table)
+    return less
+
+
 def may_match(x: str, y: str, percent: int, placed: bool = True) -> Column:
     """Length and bitmap filter for two sets, and positional filter if they are prefix rows of one word."""
     size = lambda r: f"shiftright({r}at, 32)"
@@ -133,28 +142,33 @@ def dedup_lines(
     odd = F.expr("aggregate(tokens, 0L, (b, t) -> b ^ shiftleft(1L, cast(t & 63 as int)))")
     alone = 100 * n < percent * (n + 1)  # no other set is similar to one so small
     own = [F.xxhash64("tokens").alias("set"), n.cast("long").alias("size"), odd.alias("map"), F.when(~alone, prefix).alias("prefix")]
-    lines = stored(lines.select("id", "key", "number", *own), "lines")
+    lines = stored(lines.select("id", "key", "number", *own), "lines", CODEC)
     first = F.min(F.struct("id", "number", "key", "size", "map", "prefix")).alias("s")
     sets = lines.groupBy("set").agg(first, F.count("*").alias("copies")).select("set", "copies", "s.*", F.lit("").alias("all"))
-    sets = numbered(sets, "all", [F.col("id").asc_nulls_first(), F.col("number"), F.col("set")])
+    sets = numbered(sets, "all", [F.col("id").asc_nulls_first(), F.col("number"), F.col("set")], CODEC)
+    lines = without_prefix(lines, "id", "key", "number", "set")
 
     at = F.shiftleft("size", 32).bitwiseOR(F.col("pos").cast("long")).alias("at")
     words = sets.where("prefix is not null").select("place", "size", "map", F.posexplode("prefix").alias("pos", "word"))
     listed = Window.partitionBy("word")
     head = [F.first(c).over(listed.orderBy("place")).alias(f"head_{c}") for c in ("place", "at", "map")]
     met = words.select("word", "place", at, "map").select("*", *head, F.count("*").over(listed).alias("n"))
-    met = stored(met.where("n > 1").drop("n"), "met")
-    pairs = met.where("head_place < place").where(may_match("head_", "", percent))
+    lists = stored(met.where("n > 1").drop("n"), "met", CODEC)
+    sets = without_prefix(sets, "place", "id", "key", "number", "set", "copies")
+    pairs = lists.where("head_place < place").where(may_match("head_", "", percent))
     pairs = stored(pairs.select(F.col("head_place").alias("a"), F.col("place").alias("b")).distinct(), "pairs")
     found = verified(pairs, sets, docs, id, text, percent)
+    discard(pairs)
     gone = stored(found.select(F.col("b").alias("place")).distinct(), "gone")
 
     # lines that are still there, against earlier ones of their lists that they have not been compared with
-    met = met.select("word", "place", "at", "map", (F.col("place") == F.col("head_place")).alias("head"))
+    met = lists.select("word", "place", "at", "map", (F.col("place") == F.col("head_place")).alias("head"))
     still = met.where("not head").join(small(gone), "place", "left_anti")
     both = met.where("not head").alias("x").join(still.alias("y"), F.expr("x.word = y.word and x.place < y.place") & may_match("x.", "y.", percent))
     pairs = stored(both.select(F.col("x.place").alias("a"), F.col("y.place").alias("b")).distinct(), "pairs")
+    discard(lists)
     found = verified(pairs, sets, docs, id, text, percent)
+    discard(pairs)
     gone = gone.unionByName(found.select(F.col("b").alias("place"))).distinct().withColumn("near", F.lit(True))
 
     # a line goes if its set does, or if it isn't the first with its set

@@ -9,7 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from oreflow.llm import near
+from oreflow.llm import lines, near, numbering
 from oreflow.llm.graph import components
 from oreflow.llm.lines import dedup_lines
 from oreflow.llm.near import near_duplicates
@@ -204,6 +204,30 @@ def test_similar_lines_of_odd_rows(odd_docs, no_docs, texts):
     assert dedup_lines(no_docs).count() == 0
 
 
+def test_prefixes_of_lines_do_not_stay(spark, docs, monkeypatch):
+    """Once the lists of words are stored, prefixes and maps lie nowhere else; in the end no large table is left."""
+    there, with_prefix = {}, []
+    stored, discard = lines.stored, lines.discard
+
+    def storing(df, name, *more):
+        table = stored(df, name, *more)
+        there[table.stored_at] = name, table.columns
+        if name == "similar":
+            with_prefix.append([n for n, columns in there.values() if "prefix" in columns])
+        return table
+
+    def discarding(table):
+        there.pop(table.stored_at)
+        discard(table)
+
+    for module in (lines, numbering):
+        monkeypatch.setattr(module, "stored", storing)
+        monkeypatch.setattr(module, "discard", discarding)
+    assert dedup_lines(docs).count() == docs.count()
+    assert with_prefix == [[], []]
+    assert not {n for n, _ in there.values()} & {"lines", "numbered", "less", "met", "pairs", "ranged"}
+
+
 def test_unlike_lines_all_stay(spark):
     """Lines of one word each, all different, and long ones that share no word."""
     short = [(k, "\n".join(f"w{k}x{i}" for i in range(1000))) for k in range(100)]
