@@ -2,9 +2,11 @@
 
 import random
 import re
+import tracemalloc
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -125,3 +127,27 @@ def test_hot_tiles_are_split(spark):
             rt, ct = tiles[k]
             found[k, (r.a - base(rt)) * width(ct) + r.b - base(ct)] = r.n
         assert found == {k: v for k, v in want.items() if v >= 300}
+
+
+def test_waiting_words_take_little_memory():
+    """A task keeps a number for each word that waits for its block, not the word's bytes, hash and place."""
+    rng = np.random.default_rng(5)
+    texts = [" ".join(f"word{k}" for k in rng.integers(0, 5000, 4000)) for _ in range(60)]
+    marks, rows = bl.bytes_set(b"\x20\x09.\x0a"), pa.RecordBatch.from_arrays([pa.array(range(10))], ["id"])
+    waiting, size = bl.Waiting(), 0
+    breaks = bl.bytes_set(b".\x0a")
+    bl.Words(pa.array(texts[:10])).hashes()  # makes the table of powers
+    tracemalloc.start()
+    for k in range(0, len(texts), 10):
+        waiting.add(bl.Words(pa.array(texts[k : k + 10]), lower=True, apart=marks), breaks, False, rows)
+        size += 10 * 4000
+    held = tracemalloc.get_traced_memory()[0]
+    tracemalloc.reset_peak()
+    block = waiting.block()
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert held < 10 * size and peak - held < 20 * size
+    numbers, words = block["numbers"], block["words"].to_pylist()
+    assert [words[k] for k in numbers[numbers >= 0]] == [w for t in texts for w in t.split()]
+    assert (numbers < 0).sum() == len(texts) and block["counts"].sum() == size
+    assert block["counts"].tolist() == sorted(block["counts"], reverse=True)
