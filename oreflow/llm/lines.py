@@ -33,10 +33,14 @@ RANK_BITS = 7
 #: Codec of the large tables that are stored on the way, lists of prefix words above all.
 CODEC = "zstd"
 _WHITE = r"[\x20\x09-\x0D]+"
+#: White space other than spaces and line ends; only texts with some are split by a pattern, which takes far longer.
+_RARE_WHITE = r"[\x09\x0B-\x0D]"
 
 
-def word_list(line: Column) -> Column:
-    return F.array_remove(F.split(F.lower(line), _WHITE), "")
+def word_list(text: Column) -> Column:
+    spaced = F.replace(F.lower(text), F.lit("\n"), F.lit(" "))
+    split = F.when(text.rlike(_RARE_WHITE), F.split(F.lower(text), _WHITE)).otherwise(F.split(spaced, " "))
+    return F.array_remove(split, "")
 
 
 def keyed(docs: DataFrame, id: str, text: str) -> DataFrame:
@@ -51,25 +55,30 @@ def text_lines(docs: DataFrame, id: str, text: str) -> DataFrame:
 
 
 def rarity(docs: DataFrame, text: str, buckets: int) -> Column:
-    """The step of rarity of each bucket of words, as an array that is computed once; all words are counted."""
+    """The step of rarity of each bucket of words, in a token's highest bits, as an array that is computed once.
+
+    All words are counted.
+    """
     words = docs.select(F.explode_outer(word_list(F.col(text))).alias("word")).where("word is not null")
     counted = words.groupBy(F.xxhash64("word").bitwiseAND(buckets - 1).alias("bucket")).agg(F.count("*").alias("n"))
     spark = docs.sparkSession
     every = spark.range(buckets).withColumnRenamed("id", "bucket").join(counted, "bucket", "left")
-    step = F.least(F.lit(RANKS - 1), F.floor(4 * F.log2(F.coalesce("n", F.lit(0)) + 1))).cast("int")
-    row = every.agg(F.transform(F.array_sort(F.collect_list(F.struct("bucket", step.alias("step")))), lambda x: x["step"]).alias("steps"))
+    step = F.least(F.lit(RANKS - 1), F.floor(4 * F.log2(F.coalesce("n", F.lit(0)) + 1))).cast("long")
+    high = F.shiftleft(step, 63 - RANK_BITS)
+    row = every.agg(F.transform(F.array_sort(F.collect_list(F.struct("bucket", high.alias("step")))), lambda x: x["step"]).alias("steps"))
     return stored(row, "rarity").scalar()
 
 
 def tokens(line: Column, steps: Column, buckets: int) -> Column:
     """Distinct words of a line as positive numbers, rarest first: the step of rarity, then 56 bits of the hash."""
 
-    def token(word: Column) -> Column:
-        hashed = F.xxhash64(word)
-        step = F.get(steps, hashed.bitwiseAND(buckets - 1).cast("int")).cast("long")
-        return F.shiftleft(step, 63 - RANK_BITS).bitwiseOR(F.shiftrightunsigned(hashed, 1 + RANK_BITS))
+    def token(hashed: Column) -> Column:
+        step = F.get(steps, hashed.bitwiseAND(buckets - 1).cast("int"))
+        # never null: else Spark would sort boxed values
+        return F.coalesce(step, F.lit(0).cast("long")).bitwiseOR(F.shiftrightunsigned(hashed, 1 + RANK_BITS))
 
-    return F.sort_array(F.array_distinct(F.transform(word_list(line), token)))
+    hashes = F.transform(word_list(line), lambda word: F.xxhash64(word))
+    return F.sort_array(F.array_distinct(F.transform(F.array_distinct(hashes), token)))
 
 
 def without_prefix(table: DataFrame, *columns: str) -> DataFrame:
@@ -150,21 +159,24 @@ def dedup_lines(
 
     at = F.shiftleft("size", 32).bitwiseOR(F.col("pos").cast("long")).alias("at")
     words = sets.where("prefix is not null").select("place", "size", "map", F.posexplode("prefix").alias("pos", "word"))
-    listed = Window.partitionBy("word")
-    head = [F.first(c).over(listed.orderBy("place")).alias(f"head_{c}") for c in ("place", "at", "map")]
-    met = words.select("word", "place", at, "map").select("*", *head, F.count("*").over(listed).alias("n"))
-    lists = stored(met.where("n > 1").drop("n"), "met", CODEC)
+    # the whole list is one frame: its first line and its length are found once a list
+    listed = Window.partitionBy("word").orderBy("place").rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    head = [F.first(c).over(listed).alias(f"head_{c}") for c in ("place", "at", "map")]
+    met = words.select("word", "place", at, "map").select("*", *head, F.count("*").over(listed).alias("n")).where("n > 1")
+    # the head's place, null if it can't be similar; the head has its own
+    near = F.when((F.col("place") == F.col("head_place")) | may_match("head_", "", percent), F.col("head_place"))
+    lists = stored(met.select("word", "place", "at", "map", near.alias("near_head")), "met", CODEC)
     sets = without_prefix(sets, "place", "id", "key", "number", "set", "copies")
-    pairs = lists.where("head_place < place").where(may_match("head_", "", percent))
-    pairs = stored(pairs.select(F.col("head_place").alias("a"), F.col("place").alias("b")).distinct(), "pairs")
+    pairs = lists.where("near_head < place")
+    pairs = stored(pairs.select(F.col("near_head").alias("a"), F.col("place").alias("b")).distinct(), "pairs")
     found = verified(pairs, sets, docs, id, text, percent)
     discard(pairs)
     gone = stored(found.select(F.col("b").alias("place")).distinct(), "gone")
 
     # lines that are still there, against earlier ones of their lists that they have not been compared with
-    met = lists.select("word", "place", "at", "map", (F.col("place") == F.col("head_place")).alias("head"))
-    still = met.where("not head").join(small(gone), "place", "left_anti")
-    both = met.where("not head").alias("x").join(still.alias("y"), F.expr("x.word = y.word and x.place < y.place") & may_match("x.", "y.", percent))
+    met = lists.where("near_head is null or near_head < place").select("word", "place", "at", "map")
+    still = met.join(small(gone), "place", "left_anti")
+    both = met.alias("x").join(still.alias("y"), F.expr("x.word = y.word and x.place < y.place") & may_match("x.", "y.", percent))
     pairs = stored(both.select(F.col("x.place").alias("a"), F.col("y.place").alias("b")).distinct(), "pairs")
     discard(lists)
     found = verified(pairs, sets, docs, id, text, percent)

@@ -258,3 +258,36 @@ def test_similar_lines_of_common_words(spark, percent):
                 want[k].append(n)
             seen.append(s)
     assert got == want and sum(map(len, want.values())) > (10 if percent == 100 else 50)
+
+
+def test_words_of_lines(spark):
+    """Texts without tabs and the like are split at spaces, with the same words; tokens are never null, so sort unboxed."""
+    texts = ["A b  b c ", " ", "", None, "x\ty Z\x0bw", "one\ntwo  three\n", "a\r\nb\x0cc", "\u0130stanbul\xa0ok fine", "\n\n"]
+    rows = spark.createDataFrame(list(enumerate(texts)), "k int, text string")
+    found = dict(rows.select("k", lines.word_list(F.col("text"))).collect())
+    for k, text in enumerate(texts):
+        want = None if text is None else [w for w in re.split(r"[\x20\x09-\x0D]+", text.lower()) if w]
+        assert found[k] == want
+    steps = F.array(F.lit(0).cast("long"), F.lit(1 << 56).cast("long"))
+    made = rows.select(lines.tokens(F.col("text"), steps, 2).alias("tokens"))
+    assert not made.schema["tokens"].dataType.containsNull
+    for row, text in zip(made.collect(), texts):
+        assert row.tokens is None if text is None else row.tokens == sorted(set(row.tokens))
+
+
+def test_one_window_lists_lines(spark, monkeypatch):
+    """A list's head and length come from one window, and what is stored of a head is its place."""
+    seen = {}
+    real = lines.stored
+
+    def stored(df, name, *more):
+        if name == "met":
+            seen["windows"] = df._jdf.queryExecution().executedPlan().toString().count("Window [")
+            seen["columns"] = df.columns
+        return real(df, name, *more)
+
+    monkeypatch.setattr(lines, "stored", stored)
+    docs = spark.createDataFrame([(1, "a b c d e f\nsome other line of words"), (2, "a b c d e f g"), (3, "")], "doc_id long, text string")
+    got = {r.doc_id: r.removed for r in lines.dedup_lines(docs, buckets=64).collect()}
+    assert got == {1: [], 2: [0], 3: []}
+    assert seen == {"windows": 1, "columns": ["word", "place", "at", "map", "near_head"]}
