@@ -211,7 +211,7 @@ def linear_classifier(alpha: float = 1.0, fit_intercept: bool = True, normalize:
 
 
 def boosted_trees(n_estimators: int = 20, max_depth: int = 1, gamma: float = 0.5) -> BoostedTrees:
-    """Boosted trees, one model per class; ``gamma`` is the least gain a split must bring."""
+    """Boosted trees, one model per class; ``gamma`` is the least loss, summed over a node's rows, a split must take off."""
     return BoostedTrees(n_estimators, max_depth, gamma)
 
 

@@ -232,11 +232,12 @@ def gains(left: np.ndarray, total: np.ndarray, impurity) -> np.ndarray:
     return np.where((nl > 0.5) & (nr > 0.5), np.round(all_ - nl / n * il - nr / n * ir, 12), -1.0)
 
 
-def grow(data: BinnedRows, groups: int, depth: int, gamma: float, stats: int, targets, impurity, value, share: float | None = None, seed: int = SEED) -> list[Tree]:
+def grow(data: BinnedRows, groups: int, depth: int, gamma: float, stats: int, targets, impurity, value, share: float | None = None, seed: int = SEED, worth=lambda total: 1.0) -> list[Tree]:
     """One tree for each group, level by level.
 
     ``targets`` gives per group the rows' weights and their ``stats`` numbers that are added up; with ``share`` each
-    node only asks for so large a part of all columns, drawn anew.
+    node only asks for so large a part of all columns, drawn anew. A split must bring ``gamma`` at least: what it takes
+    off the node's impurity, times ``worth`` of the node's sums.
     """
     numbers, categories = len(data.thresholds), len(data.sizes)
     starts = np.cumsum([numbers, *data.sizes])[:-1]
@@ -294,7 +295,7 @@ def grow(data: BinnedRows, groups: int, depth: int, gamma: float, stats: int, ta
                             gain, column, cut, left = found[k], f, k, lefts[k]
                 if (g, slot) in best and best[g, slot][0] > gain:
                     gain, column, cut, left = best[g, slot]
-                if column < 0 or gain < gamma:
+                if column < 0 or gain * worth(total) < gamma:
                     continue
                 tree.test[node], tree.cut[node] = column, cut
                 tree.threshold[node] = float(data.thresholds[column][cut]) if column < numbers else 0.0
@@ -436,7 +437,11 @@ def first_best(rows: pa.Table, slots: int) -> pa.Table:
 
 @dataclass(frozen=True)
 class BoostedTrees:
-    """Boosted trees, one model per class; ``gamma`` is the least gain a split must bring."""
+    """Boosted trees, one model per class.
+
+    ``gamma`` is the least that a split must take off the loss, half the squared error added up over the node's rows, as
+    in gradient boosting libraries: the more rows, the smaller the differences that count.
+    """
 
     n_estimators: int
     max_depth: int
@@ -446,7 +451,8 @@ class BoostedTrees:
         model = TreesModel(len(data.thresholds), [[] for _ in range(data.classes)], [], data.classes)
         for _ in range(self.n_estimators):
             targets = lambda columns, y, place: boosted_targets(model, columns, y)
-            trees = grow(data, data.classes, self.max_depth, self.gamma, 3, targets, variance, lambda s: [float(s[1] / max(s[0], 1))])
+            mean = lambda s: [float(s[1] / max(s[0], 1))]
+            trees = grow(data, data.classes, self.max_depth, self.gamma, 3, targets, variance, mean, worth=lambda s: s[0] / 2)
             for own, tree in zip(model.groups, trees):
                 own.append(tree)
             model.weights.append(STEP if model.weights else 1.0)

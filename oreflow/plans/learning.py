@@ -165,7 +165,7 @@ def ridge_coefficients(spark: SparkSession, sf_dir: str) -> DataFrame:
 def train_trees(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Boosted trees, one model per class: confusion counts on the later rows."""
     train, test = _split(_training_table(spark, sf_dir).read())
-    model = learning.train(train, learning.boosted_trees(n_estimators=3, max_depth=1, gamma=0.0))
+    model = learning.train(train, learning.boosted_trees())
     return _label_counts(model.transform(test))
 
 

@@ -12,6 +12,7 @@ from oreflow.operators import drift, flat, learning, metrics, models, scoring, t
 from oreflow.operators.dictionary import number_values
 from oreflow.operators.ridge import RidgeClassifier
 from oreflow.operators.versioned import VersionedTable
+from oreflow.registry import all_queries
 from oreflow.sources import files
 
 
@@ -245,6 +246,22 @@ def test_a_tree_asks_for_the_split_that_brings_most(spark, folder):
     np.testing.assert_allclose([tree.value[k][0] for k in (tree.left[0], tree.right[0])], means)
 
 
+def test_gamma_is_a_loss_added_up_over_rows(training):
+    """As a mean per row, the preset would keep nearly every tree from splitting."""
+    noisy = training.withColumn("reading_1", F.col("reading_1") + 15 * F.rand(3))
+    rows = learning.TreeRows.fit(noisy)
+    splits = lambda *params: sum(t.test[0] >= 0 for g in learning.boosted_trees(*params).fit(rows.binned).groups for t in g)
+    assert splits(3, 1, 0.5) == splits(3, 1, 0.0) == 9
+    assert splits(1, 1, 300.5) == 0  # more than half of 600 squared targets of 1
+
+
+def test_trained_trees_are_all_of_the_preset(spark, monkeypatch):
+    fitted, train = [], learning.train
+    monkeypatch.setattr(learning, "train", lambda *a, **k: fitted.append(train(*a, **k)) or fitted[-1])
+    all_queries()["train_trees"].run(spark, "/root/testdata/sf0.001")
+    assert [len(g) for g in fitted[0].model.groups] == [20] * len(fitted[0].encoding.classes)
+
+
 def test_search_returns_every_setting(training):
     settings = learning.candidates(3)
     result = learning.search(training, training, settings)
