@@ -17,6 +17,7 @@ pass over the lists; only lines that are still there after that are paired with
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -30,6 +31,8 @@ BUCKETS = 1 << 20
 #: Steps of the scale of rarity; a word's step is in the bits above its hash.
 RANKS = 128
 RANK_BITS = 7
+#: Parts, by their words, in which lists are made and joined; what one shuffles is deleted before the next.
+PARTS = 4
 #: Codec of the large tables that are stored on the way, lists of prefix words above all.
 CODEC = "zstd"
 _WHITE = r"[\x20\x09-\x0D]+"
@@ -154,33 +157,43 @@ def dedup_lines(
     lines = stored(lines.select("id", "key", "number", *own), "lines", CODEC)
     first = F.min(F.struct("id", "number", "key", "size", "map", "prefix")).alias("s")
     sets = lines.groupBy("set").agg(first, F.count("*").alias("copies")).select("set", "copies", "s.*", F.lit("").alias("all"))
-    sets = numbered(sets, "all", [F.col("id").asc_nulls_first(), F.col("number"), F.col("set")], CODEC)
+    merged = stored(sets, "sets", CODEC)
     lines = without_prefix(lines, "id", "key", "number", "set")
+    sets = numbered(merged, "all", [F.col("id").asc_nulls_first(), F.col("number"), F.col("set")], CODEC)
+    discard(merged)
 
     at = F.shiftleft("size", 32).bitwiseOR(F.col("pos").cast("long")).alias("at")
     words = sets.where("prefix is not null").select("place", "size", "map", F.posexplode("prefix").alias("pos", "word"))
+    words = words.select("word", "place", at, "map")
     # the whole list is one frame: its first line and its length are found once a list
     listed = Window.partitionBy("word").orderBy("place").rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     head = [F.first(c).over(listed).alias(f"head_{c}") for c in ("place", "at", "map")]
-    met = words.select("word", "place", at, "map").select("*", *head, F.count("*").over(listed).alias("n")).where("n > 1")
     # the head's place, null if it can't be similar; the head has its own
     near = F.when((F.col("place") == F.col("head_place")) | may_match("head_", "", percent), F.col("head_place"))
-    lists = stored(met.select("word", "place", "at", "map", near.alias("near_head")), "met", CODEC)
+    lists = []
+    for part in range(PARTS):
+        met = words.where(F.pmod("word", F.lit(PARTS)) == part).select("*", *head, F.count("*").over(listed).alias("n")).where("n > 1")
+        lists.append(stored(met.select("word", "place", "at", "map", near.alias("near_head")), "met", CODEC))
     sets = without_prefix(sets, "place", "id", "key", "number", "set", "copies")
-    pairs = lists.where("near_head < place")
+    pairs = reduce(DataFrame.unionByName, lists).where("near_head < place")
     pairs = stored(pairs.select(F.col("near_head").alias("a"), F.col("place").alias("b")).distinct(), "pairs")
     found = verified(pairs, sets, docs, id, text, percent)
     discard(pairs)
     gone = stored(found.select(F.col("b").alias("place")).distinct(), "gone")
 
     # lines that are still there, against earlier ones of their lists that they have not been compared with
-    met = lists.where("near_head is null or near_head < place").select("word", "place", "at", "map")
-    still = met.join(small(gone), "place", "left_anti")
-    both = met.alias("x").join(still.alias("y"), F.expr("x.word = y.word and x.place < y.place") & may_match("x.", "y.", percent))
-    pairs = stored(both.select(F.col("x.place").alias("a"), F.col("y.place").alias("b")).distinct(), "pairs")
-    discard(lists)
+    alike = F.expr("x.word = y.word and x.place < y.place") & may_match("x.", "y.", percent)
+    parts = []
+    for part in lists:
+        met = part.where("near_head is null or near_head < place").select("word", "place", "at", "map")
+        still = met.join(small(gone), "place", "left_anti")
+        both = met.alias("x").join(still.alias("y"), alike)
+        parts.append(stored(both.select(F.col("x.place").alias("a"), F.col("y.place").alias("b")).distinct(), "pairs"))
+        discard(part)
+    pairs = stored(reduce(DataFrame.unionByName, parts).distinct(), "pairs")
     found = verified(pairs, sets, docs, id, text, percent)
-    discard(pairs)
+    for table in (*parts, pairs):
+        discard(table)
     gone = gone.unionByName(found.select(F.col("b").alias("place"))).distinct().withColumn("near", F.lit(True))
 
     # a line goes if its set does, or if it isn't the first with its set

@@ -1,6 +1,7 @@
 """Near duplicates, repeated passages and similar lines against brute force."""
 
 import re
+import time
 from collections import Counter
 
 import numpy as np
@@ -291,3 +292,40 @@ def test_one_window_lists_lines(spark, monkeypatch):
     got = {r.doc_id: r.removed for r in lines.dedup_lines(docs, buckets=64).collect()}
     assert got == {1: [], 2: [0], 3: []}
     assert seen == {"windows": 1, "columns": ["word", "place", "at", "map", "near_head"]}
+
+
+def test_stored_tables_leave_no_shuffle_files(spark, docs):
+    """A table's shuffle files go when it is written, not when the driver happens to collect garbage."""
+    resolver = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+    shuffles = lambda: {str(f) for f in re.findall(r"shuffle_\d+_\d+_\d+\.data", resolver.getAllFiles().mkString(" "))}
+    before = shuffles()
+    table = lines.stored(docs.repartition(7, "doc_id").groupBy("lang").count(), "freed")
+    for _ in range(50):
+        if not shuffles() - before:
+            break
+        time.sleep(0.1)
+    assert not shuffles() - before
+    assert table.collect()[0]["count"] == docs.count()
+    again = docs.repartition(3, "doc_id")
+    assert again.count() == docs.count() and shuffles() - before  # what is not stored is left to Spark
+
+
+def test_lists_are_made_and_joined_in_parts(spark, docs, texts, monkeypatch):
+    """No two parts share a word, and a part's list is deleted as soon as it is joined."""
+    met, alive, most = [], set(), []
+    stored, discard = lines.stored, lines.discard
+
+    def storing(df, name, *more):
+        table = stored(df, name, *more)
+        if name == "met":
+            met.append({r.word for r in table.select("word").distinct().collect()})
+            alive.add(table.stored_at)
+        if name == "pairs":
+            most.append(len(alive))
+        return table
+
+    monkeypatch.setattr(lines, "stored", storing)
+    monkeypatch.setattr(lines, "discard", lambda t: (alive.discard(t.stored_at), discard(t)))
+    dedup_lines(docs).collect()
+    assert len(met) == lines.PARTS and len(set().union(*met)) == sum(map(len, met)) > 0
+    assert most == [4, 4, 3, 2, 1, 0]
