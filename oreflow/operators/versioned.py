@@ -34,7 +34,7 @@ from oreflow.operators.changes import (
     update_where,
 )
 from oreflow.operators.schemas import check_fits, conform, merged_schema
-from oreflow.session import scratch
+from oreflow.session import drop, freeing, scratch
 
 HISTORY_SCHEMA = (
     "version BIGINT, committed_at TIMESTAMP, operation STRING, parameters MAP<STRING, STRING>, "
@@ -46,6 +46,9 @@ NO_SEGMENT = "__HIVE_DEFAULT_PARTITION__"  # how a folder is named whose value i
 HIT = "_merge_hit"
 #: Segments up to which each task of a merge writes a file of its own for each.
 FEW = 16
+#: A source with more bytes is merged in several groups of segments, at most so many, one after the other.
+GROUP_BYTES = 32 << 20
+GROUPS = 4
 
 
 @dataclass(frozen=True)
@@ -205,7 +208,8 @@ class VersionedTable:
         """Upsert by key; rewrites the segments that hold a matched key and adds the inserted rows.
 
         If the segments follow from the key, the target's rows are read once, and only those of segments that the
-        source can reach; if not, its keys are read before to find the segments.
+        source can reach; if not, its keys are read before to find the segments. A large source is merged by groups of
+        such segments, so that only a part of both sides is shuffled at a time.
         """
         v = self.latest()
         if batch and self._has_batch(batch):
@@ -213,36 +217,41 @@ class VersionedTable:
         check_fits(v.schema, source.schema)
         # the source is used several times below and must be the same rows each time
         staged = scratch(self.spark, "merge-source")
-        fitted(source, self._rows(v, ())).write.option("compression", CODEC).parquet(staged)
+        with freeing(self.spark):
+            fitted(source, self._rows(v, ())).write.option("compression", CODEC).parquet(staged)
         source = self.spark.read.schema(v.schema).parquet(staged)
         touched, few = self._reachable(v, source, on)
         if touched is None:
             keys = source.select(*[F.col(k).alias(f"_{k}") for k in on]).distinct()
             touched, _ = self._split(v, lambda rows: rows.join(keys, key_matches(rows, keys, on, null_safe), "left_semi"))
-        # matched rows are marked in the new segments, which then tell what to insert and which segments changed
-        written, changed = [], set()
-        if touched:
-            merged = merge_matched(self._rows(v, touched), source, on, HIT, null_safe)
-            written = self._write(merged, v.cluster_by, not few)
-            marked = self.spark.read.schema(T.StructType([*v.schema.fields, T.StructField(HIT, T.BooleanType())]))
-            hits = marked.parquet(*written).filter(F.col(HIT))
-            changed = self._folders(hits)
-            inserted = merge_unmatched(source, hits, on, null_safe)
+            groups = [(touched, source)]
         else:
-            inserted = source
-        added = self._write(inserted, v.cluster_by, not few)
+            groups = self._groups(v, touched, source, staged)
+        # matched rows are marked in the new segments, which then tell what to insert and which segments changed
+        written, added = [], []
+        for own, rows in groups:
+            inserted, new, changed = rows, [], set()
+            if own:
+                new = self._write(merge_matched(self._rows(v, own), rows, on, HIT, null_safe), v.cluster_by, not few)
+                marked = self.spark.read.schema(T.StructType([*v.schema.fields, T.StructField(HIT, T.BooleanType())]))
+                hits = marked.parquet(*new).filter(F.col(HIT))
+                changed = self._folders(hits)
+                inserted = merge_unmatched(rows, hits, on, null_safe)
+            added += self._write(inserted, v.cluster_by, not few)
+            for segment in new:
+                if _folder(segment) in changed:
+                    written.append(segment)
+                else:  # like the old one
+                    drop(self.spark, segment)
+        drop(self.spark, staged)
         if v.cluster_by is None and self._rows(v, tuple(added)).isEmpty():
             added = []
         if v.cluster_by is not None:
-            names = {_segment(s) for s in written if _folder(s) in changed}
+            names = {_segment(s) for s in written}
             replaced = {s for s in touched if _segment(s) in names}
         else:
-            replaced = set(touched) if changed else set()
-        for segment in written:
-            if _folder(segment) not in changed:  # like the old one
-                fs, path = self._file_system(segment)
-                fs.delete(path, True)
-        segments = [s for s in v.segments if s not in replaced] + [s for s in written if _folder(s) in changed] + added
+            replaced = set(touched) if written else set()
+        segments = [s for s in v.segments if s not in replaced] + written + added
         return self._next(v, "MERGE", {"on": ",".join(on), **_batch_parameters(batch)}, v.schema, segments)
 
     def restore(self, version: int) -> Version:
@@ -262,6 +271,15 @@ class VersionedTable:
         copy._commit(0, "CLONE", parameters, v.schema, v.cluster_by, segments)
         return copy
 
+    def vacuum(self) -> None:
+        """Delete the table's own files that only older versions consist of; these, and clones that share such files,
+        can't be read any more."""
+        current = {_folder(s) for s in self.latest().segments}
+        older = {s for row in self._commits().select("segments").distinct().toLocalIterator() for s in row.segments}
+        for segment in older:
+            if _folder(segment).startswith(f"{_folder(self.path)}/") and _folder(segment) not in current:
+                drop(self.spark, segment)
+
     def has_copied_data(self) -> bool:
         """Whether any segment of the current version lies in this table's own folder."""
         return any(s.startswith(f"{self.path}/") for s in self.latest().segments)
@@ -319,6 +337,23 @@ class VersionedTable:
         met = {r.name for r in asked.join(names, "name", "left_semi").collect()}
         return tuple(s for s in v.segments if _segment(s) in met), asked.limit(FEW + 1).count() <= FEW
 
+    def _groups(
+        self, v: Version, touched: tuple[str, ...], source: DataFrame, staged: str
+    ) -> list[tuple[tuple[str, ...], DataFrame]]:
+        """Groups of segments with the source's rows that belong to them, last the rows of segments the table lacks."""
+        fs, path = self._file_system(staged)
+        names = sorted({_segment(s) for s in touched})
+        count = min(GROUPS, len(names), -(-fs.getContentSummary(path).getLength() // GROUP_BYTES))
+        if count < 2:
+            return [(touched, source)]
+        value = F.expr(v.cluster_by).cast("string")
+        name = F.when(F.coalesce(value, F.lit("")) == "", NO_SEGMENT).otherwise(value)
+        groups = []
+        for k in range(count):
+            own = names[k::count]
+            groups.append((tuple(s for s in touched if _segment(s) in own), source.where(name.isin(own))))
+        return [*groups, ((), source.where(~name.isin(names)))]
+
     def _file_system(self, location: str):
         path = self.spark._jvm.org.apache.hadoop.fs.Path(location)
         return path.getFileSystem(self.spark._jsc.hadoopConfiguration()), path
@@ -326,12 +361,14 @@ class VersionedTable:
     def _write(self, rows: DataFrame, cluster_by: str | None, gather: bool = True) -> list[str]:
         folder = f"{self.path}/data/{uuid.uuid4().hex}"
         if cluster_by is None:
-            rows.write.mode("errorifexists").option("compression", CODEC).parquet(folder)
+            with freeing(rows.sparkSession):
+                rows.write.mode("errorifexists").option("compression", CODEC).parquet(folder)
             return [folder]
         tagged = rows.withColumn(SEGMENT, F.expr(cluster_by).cast("string"))
         if gather:  # rebalancing gives each value few, even files and splits a value that holds much of the table
             tagged = tagged.hint("rebalance", SEGMENT)
-        tagged.write.mode("errorifexists").option("compression", CODEC).partitionBy(SEGMENT).parquet(folder)
+        with freeing(rows.sparkSession):
+            tagged.write.mode("errorifexists").option("compression", CODEC).partitionBy(SEGMENT).parquet(folder)
         # one folder per segment; its files are not listed
         fs, path = self._file_system(folder)
         return sorted(f.getPath().toString() for f in fs.listStatus(path) if f.isDirectory())

@@ -10,7 +10,7 @@ from oreflow.operators.schemas import SchemaMismatch
 from oreflow.operators.versioned import VersionedTable
 from oreflow.plans.sales import NESTED_LINES_SQL
 from oreflow.registry import query
-from oreflow.session import scratch
+from oreflow.session import drop, scratch
 from oreflow.sources import files
 from oreflow.sources import orders as nested
 from oreflow.sources import tables as src
@@ -243,9 +243,15 @@ def sales_medallion(spark: SparkSession, sf_dir: str) -> DataFrame:
     files.land(nested.order_documents(spark, sf_dir), orders_json, "json", compression="gzip")
     files.land(src.bronze_products(spark, sf_dir), products_csv, "csv", header="true", delimiter=";")
     documents = files.read_json(spark, orders_json)
-    bronze = VersionedTable.create(spark, scratch(spark, "bronze"), nested.bronze_orders(documents)).read()
+    bronze_table = VersionedTable.create(spark, scratch(spark, "bronze"), nested.bronze_orders(documents))
+    drop(spark, orders_json)  # a level's files go once the next one holds their rows
+    bronze = bronze_table.read()
     products = src.silver_products(files.csv_view(spark, "product_text", products_csv))
-    customers = nested.silver_customers(bronze)
-    lines = nested.order_lines(bronze)
-    silver = _steps(VersionedTable.create(spark, scratch(spark, "silver"), lines, BY_YEAR, gather=False), 5)
+    customers = VersionedTable.create(spark, scratch(spark, "customers"), nested.silver_customers(bronze)).read()
+    silver = VersionedTable.create(spark, scratch(spark, "silver"), nested.order_lines(bronze), BY_YEAR, gather=False)
+    drop(spark, bronze_table.path)
+    _steps(silver, 4)
+    silver.vacuum()  # the merge was the last to read an older version
+    _evolve(silver)
+    silver.vacuum()
     return rel.monthly_sales(rel.gold_lines(silver.read(), rel.require_unique(customers, "CustomerID"), products))

@@ -7,6 +7,7 @@ from pyspark.sql import types as T
 
 from oreflow.streaming.runner import append_to_files, append_to_table, read_stream
 from oreflow.operators.versioned import VersionedTable
+from oreflow.session import freeing
 
 # Declared schema of the device activity feed (fixed by the feed).
 ACTIVITY_SCHEMA = (
@@ -56,7 +57,8 @@ def schema_of_one_file(spark: SparkSession, path: str, fmt: str = "json") -> T.S
 
 def land(rows: DataFrame, path: str, fmt: str = "json", **options: str) -> None:
     """Add files to a landing folder."""
-    rows.write.mode("append").format(fmt).options(**options).save(path)
+    with freeing(rows.sparkSession):
+        rows.write.mode("append").format(fmt).options(**options).save(path)
 
 
 def ingest_files(

@@ -5,7 +5,8 @@ import os
 import pytest
 from pyspark.sql import functions as F
 
-from oreflow.operators.changes import merge_unmatched
+from oreflow.operators import versioned
+from oreflow.operators.changes import merge_rows, merge_unmatched
 from oreflow.operators.schemas import SchemaMismatch
 from oreflow.operators.versioned import VersionedTable
 
@@ -332,3 +333,38 @@ def test_merge_does_not_shuffle_source_rows_without_key(spark):
     assert sorted(map(tuple, got.collect()), key=str) == sorted([(2, 2.0), (None, 3.0), (None, 3.0)], key=str)
     assert "isnotnull(id" in got._jdf.queryExecution().optimizedPlan().toString()
     assert merge_unmatched(source, keys.union(spark.sql("SELECT CAST(NULL AS INT)")), ["id"], null_safe=True).collect() == [(2, 2.0)]
+
+
+@pytest.mark.parametrize("null_safe", [False, True])
+def test_a_large_merge_goes_by_groups_of_segments(clustered, spark, monkeypatch, null_safe):
+    """The same rows as of one merge; each group reads its own segments, and neither source nor shuffles stay."""
+    schema = clustered.read().schema
+    new = [(4, "k 1: x", 44.0), (5, "k 2: x", 55.0), (500, "k 0: x", 5.0), (501, "new", 6.0), (99, None, 9.0), (None, "k 1: x", 7.0), (None, None, 8.0)]
+    source = spark.createDataFrame(new, schema)
+    want = sorted(map(tuple, merge_rows(clustered.read(), source, ["id", "kind"], null_safe).collect()), key=str)
+    before = clustered.latest().segments
+    monkeypatch.setattr(versioned, "GROUP_BYTES", 1)
+    monkeypatch.setattr(versioned, "GROUPS", 3)
+    seen = counting_reads(clustered, monkeypatch)
+    staged = []
+    monkeypatch.setattr(versioned, "scratch", lambda spark, name: staged.append(f"{clustered.path}-{name}") or staged[-1])
+    clustered.merge(source, ["id", "kind"], null_safe)
+    read = [s for s in seen if s]
+    assert sorted(map(len, read)) == [1, 1, 2] and sorted(sum(map(list, read), [])) == sorted(before)
+    assert sorted(map(tuple, clustered.read().collect()), key=str) == want
+    assert len(staged) == 1 and not os.path.exists(staged[0])
+    assert len(set(before) & set(clustered.latest().segments)) == (1 if null_safe else 2)  # no row was met in the others
+
+
+def test_vacuum_deletes_what_only_older_versions_hold(clustered):
+    clustered.update({"v": 0.0}, F.col("kind") == "k 1: x")
+    before, now = rows(clustered.read().where("kind IS NOT NULL")), set(clustered.latest().segments)
+    older = set(clustered.at(0).segments)
+    clustered.vacuum()
+    assert rows(clustered.read().where("kind IS NOT NULL")) == before
+    there = lambda s: os.path.exists(s.removeprefix("file:"))
+    assert all(map(there, now)) and older - now and not any(map(there, older - now))
+    copy = clustered.clone(f"{clustered.path}-copy", shallow=True)
+    copy.update({"v": 1.0})
+    copy.vacuum()
+    assert all(map(there, now))  # a clone doesn't delete its source's files
