@@ -252,7 +252,7 @@ def grow(data: BinnedRows, groups: int, depth: int, gamma: float, stats: int, ta
                     rng = np.random.default_rng((seed, g, node))
                     mask = np.zeros(data.width, bool)
                     mask[rng.choice(data.width, -(-data.width // round(1 / share)), replace=False)] = True
-                    drawn[g, node] = mask
+                    drawn[g, node] = np.packbits(mask, bitorder="little")
         if level == depth or not any(active):
             break
         sums = level_sums(data, grown, active, stats, targets, drawn, starts)
@@ -285,7 +285,7 @@ def grow(data: BinnedRows, groups: int, depth: int, gamma: float, stats: int, ta
                     tree.add(value(total))
                 gain, column, cut, left = 0.0, -1, 0, None
                 for f in range(numbers):
-                    if drawn and not drawn[g, node][f]:
+                    if drawn and not bits_at(drawn[g, node], f):
                         continue
                     lefts = bins[g, slot, f].cumsum(axis=0)[: len(data.thresholds[f])]
                     if len(lefts):
@@ -309,6 +309,11 @@ def grow(data: BinnedRows, groups: int, depth: int, gamma: float, stats: int, ta
     return grown
 
 
+def bits_at(bits: np.ndarray, places):
+    """Whether the bits at some places are set."""
+    return (bits[places >> 3] >> (places & 7)) & 1 == 1
+
+
 def level_sums(data: BinnedRows, grown: list[Tree], active: list[list[int]], stats: int, targets, drawn, starts) -> DataFrame:
     """What falls on each bin and each category value of the nodes that may split: (g, slot, f, b, v, s0, s1, ...).
 
@@ -360,7 +365,7 @@ def level_sums(data: BinnedRows, grown: list[Tree], active: list[list[int]], sta
                     if drawn:
                         for k, node_ in enumerate(active[g]):
                             here = np.flatnonzero((slot == k) & keep)
-                            keep[here] = drawn[g, node_][starts[f] + v[here]]
+                            keep[here] = bits_at(drawn[g, node_], starts[f] + v[here])
                     codes, sums = waiting.setdefault((g, f), ([], []))
                     codes.append((slot.astype(np.int64) << 32 | v)[keep])
                     sums.append(own[:, keep])

@@ -1,5 +1,6 @@
 """Metrics, scoring, training, model records and drift."""
 
+import pickle
 import random
 
 import numpy as np
@@ -10,7 +11,7 @@ from pyspark.sql import functions as F
 
 from oreflow.operators import drift, flat, learning, metrics, models, scoring, tpe
 from oreflow.operators.dictionary import number_values
-from oreflow.operators.ridge import RidgeClassifier
+from oreflow.operators.ridge import RidgeClassifier, RidgeModel
 from oreflow.operators.versioned import VersionedTable
 from oreflow.registry import all_queries
 from oreflow.sources import files
@@ -202,6 +203,28 @@ def test_flat_models_predict_what_the_model_predicts(spark, training, folder, ma
     assert {r.id: r.predicted_label for r in again.select("id", "predicted_label").collect()} == want
 
 
+def test_flat_ridge_of_a_category_with_very_many_values(spark, folder):
+    """More values than a list of them should hold; missing, unknown and empty ones have no offset of their own."""
+    numbers = F.array(*[F.pmod(F.xxhash64("id", F.lit(c)), F.lit(1000)) / 1000.0 for c in range(3)])
+    offsets = spark.range(120_000).select(F.concat(F.lit("é"), F.col("id")).alias("value"), numbers.alias("offsets"))
+    offsets.unionByName(spark.sql("SELECT CAST(NULL AS STRING) AS value, array(9D, 0D, 0D) AS offsets")).write.parquet(f"{folder}/offsets")
+    weights = np.array([[0.4, 0.5, 0.45], [0.1, -0.1, 0.0]])
+    many = spark.read.parquet(f"{folder}/offsets")
+    rows = spark.range(5000).selectExpr(
+        "id", "IF(id % 50 = 0, NULL, id % 7 * 1.0) AS x",
+        "CASE WHEN id % 40 = 0 THEN NULL WHEN id % 41 = 0 THEN 'unknown' WHEN id % 42 = 0 THEN '' ELSE concat('é', id * 25) END AS device",
+    )
+    for table in (many, many.limit(0)):
+        ridge = RidgeModel(["a", "b", "c"], [("", None), ("x", None)], {"x": 2.0}, "device", weights, table)
+        flat_model = flat.flatten(spark, learning.TrainedModel(None, ridge))
+        assert len(pickle.dumps(flat_model)) < 5000
+        scoring.register_model(spark, "flat_ridge", flat_model.predict, rows.columns)
+        rows.createOrReplaceTempView("many_devices")
+        got = {r.id: r.p for r in spark.sql("SELECT id, flat_ridge(*) AS p FROM many_devices").collect()}
+        want = {r.id: r.predicted_label for r in ridge.transform(rows).select("id", "predicted_label").collect()}
+        assert got == want and len(got) == 5000
+
+
 def test_vector_size_does_not_write_vectors_out(spark):
     """Written out, one of the vectors would be 16 GB."""
     vectors = [(Vectors.sparse(2_000_000_000, {5: 1.0}),), (Vectors.dense([1.0, 0.0, 2.0]),), (Vectors.sparse(4, {}),)]
